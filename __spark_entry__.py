@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.sources import fixtures as fx
 from marketlens.operators import returns as rt
+from marketlens.operators import correlation as corr
 from marketlens.operators import risk
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -36,6 +37,10 @@ def q_mart_risk_metrics(spark, d):
     return risk.risk_metrics(_daily_or(spark, d))
 
 
+def q_mart_correlation(spark, d):
+    return corr.correlation(_daily_or(spark, d), fx.ORDERS_UNIVERSE)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the per-symbol risk mart over daily bars derived from orders."""
     return q_mart_risk_metrics(spark, SMOKE_DIR)
@@ -55,6 +60,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_prices": lambda s, d: risk.latest_prices(_daily_or(s, d)),
         "mart_portfolio_summary": lambda s, d: risk.portfolio_summary(_daily_or(s, d)),
         "mart_portfolio_summary_dense": lambda s, d: risk.portfolio_summary(_daily_ev(s, d)),
+        "returns_pivot": lambda s, d: corr.returns_pivot(_daily_or(s, d), fx.ORDERS_UNIVERSE),
+        "mart_correlation": q_mart_correlation,
+        "mart_correlation_dense": lambda s, d: corr.correlation(_daily_ev(s, d), fx.EVENTS_UNIVERSE),
+        "correlation_ranked": lambda s, d: corr.correlation_ranked(q_mart_correlation(s, d)),
+        "correlation_matrix": lambda s, d: corr.correlation_matrix(q_mart_correlation(s, d),
+                                                                   fx.ORDERS_UNIVERSE),
+        "correlation_kpis": lambda s, d: corr.correlation_kpis(q_mart_correlation(s, d),
+                                                               fx.ORDERS_UNIVERSE),
     }
 
 
@@ -115,6 +128,48 @@ FROM rets d JOIN latest l ON d.symbol = l.symbol
 GROUP BY d.symbol, l.latest_close, l.latest_date"""
 
 
+def _pivot_sql(universe) -> str:
+    cols = ",\n       ".join(
+        f"MAX(CASE WHEN symbol = '{u}' THEN daily_return END) AS \"{u}\"" for u in universe)
+    return f"SELECT date,\n       {cols}\nFROM rets GROUP BY date"
+
+
+def _corr_sql(universe) -> str:
+    branches = []
+    for i, a in enumerate(universe):
+        for b in universe[i + 1:]:
+            c = f'CORR("{a}", "{b}")'
+            branches.append(f"SELECT '{a}' AS symbol_1, '{b}' AS symbol_2, "
+                            f"ROUND(CASE WHEN isnan({c}) THEN NULL ELSE {c} END, 4) AS correlation "
+                            f"FROM pivoted")
+    return "\nUNION ALL\n".join(branches)
+
+
+def _matrix_sql(universe) -> str:
+    cells = ",\n       ".join(
+        f"CASE WHEN symbol = '{u}' THEN 1.0 ELSE MAX(CASE WHEN s2 = '{u}' THEN correlation END) END"
+        f" AS \"{u}\"" for u in universe)
+    return ("SELECT symbol,\n       " + cells + "\nFROM (SELECT symbol_1 AS symbol, symbol_2 AS s2, "
+            "correlation FROM mart UNION ALL SELECT symbol_2, symbol_1, correlation FROM mart) "
+            "GROUP BY symbol")
+
+
+def _ord_sql(universe) -> str:
+    return " UNION ALL ".join(f"SELECT '{u}' AS sym, {i} AS ord" for i, u in enumerate(universe))
+
+
+CORR_KPIS = """
+SELECT ROUND(AVG(correlation), 6) AS avg_correlation,
+       arg_max(symbol_1, (correlation, -o1, -o2)) FILTER (WHERE correlation IS NOT NULL) AS most_symbol_1,
+       arg_max(symbol_2, (correlation, -o1, -o2)) FILTER (WHERE correlation IS NOT NULL) AS most_symbol_2,
+       MAX(correlation) AS most_correlation,
+       arg_min(symbol_1, (correlation, o1, o2)) FILTER (WHERE correlation IS NOT NULL) AS least_symbol_1,
+       arg_min(symbol_2, (correlation, o1, o2)) FILTER (WHERE correlation IS NOT NULL) AS least_symbol_2,
+       MIN(correlation) AS least_correlation
+FROM (SELECT m.*, a.ord AS o1, b.ord AS o2 FROM mart m
+      JOIN uni a ON a.sym = m.symbol_1 JOIN uni b ON b.sym = m.symbol_2)"""
+
+
 def _with(*ctes: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + body
 
@@ -123,6 +178,9 @@ def _chain(bars_sql: str, *extra: tuple[str, str]):
     return (("bars", bars_sql), ("daily", DAILY), ("rets", RETS), ("runmax", RUNMAX)) + extra
 
 
+U_OR, U_EV = fx.ORDERS_UNIVERSE, fx.EVENTS_UNIVERSE
+
+
 def oracle_sql() -> dict[str, str]:
     o, e = _chain(BARS_OR), _chain(BARS_EV)
     return {
@@ -142,4 +200,13 @@ def oracle_sql() -> dict[str, str]:
         "latest_prices": _with(*o, body=LATEST),
         "mart_portfolio_summary": _with(*o, ("latest", LATEST), body=SUMMARY),
         "mart_portfolio_summary_dense": _with(*e, ("latest", LATEST), body=SUMMARY),
+        "returns_pivot": _with(*o, body=_pivot_sql(U_OR)),
+        "mart_correlation": _with(*o, ("pivoted", _pivot_sql(U_OR)), body=_corr_sql(U_OR)),
+        "mart_correlation_dense": _with(*e, ("pivoted", _pivot_sql(U_EV)), body=_corr_sql(U_EV)),
+        "correlation_ranked": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
+                                    body="SELECT * FROM mart ORDER BY correlation DESC NULLS LAST"),
+        "correlation_matrix": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
+                                    body=_matrix_sql(U_OR)),
+        "correlation_kpis": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
+                                  ("uni", _ord_sql(U_OR)), body=CORR_KPIS),
     }
