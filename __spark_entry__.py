@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens.sources import fixtures as fx
 from marketlens.operators import returns as rt
 from marketlens.operators import correlation as corr
+from marketlens.operators import alerts as al
 from marketlens.operators import risk
+from marketlens.sources import ticks as tk
+from pyspark.sql import functions as F
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -41,6 +44,33 @@ def q_mart_correlation(spark, d):
     return corr.correlation(_daily_or(spark, d), fx.ORDERS_UNIVERSE)
 
 
+def _ticks(spark, d):
+    return fx.events_ticks(spark, d)
+
+
+def q_tick_parse(spark, d):
+    text = tk.ticks_as_json(_ticks(spark, d))
+    return (tk.parse_ticks(text)
+            .select("symbol", "price", F.col("event_time").cast("timestamp_ntz").alias("event_time")))
+
+
+def q_tick_stats(spark, d):
+    st = al.tick_stats(_ticks(spark, d))
+    return st.select("symbol", "n_ticks", F.round("volatility", 6).alias("volatility"),
+                     F.round("avg_price", 6).alias("avg_price"), "max_price", "min_price",
+                     "latest_price")
+
+
+def q_batch_alerts(spark, d):
+    return (al.alerts(_ticks(spark, d), ["symbol"])
+            .select("symbol", "alert_type", F.round("metric_value", 6).alias("metric_value"),
+                    "threshold_value", "price_at_alert"))
+
+
+def q_alerts(spark, d):
+    return al.window_alerts(_ticks(spark, d), "1 day")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the per-symbol risk mart over daily bars derived from orders."""
     return q_mart_risk_metrics(spark, SMOKE_DIR)
@@ -68,6 +98,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                                                    fx.ORDERS_UNIVERSE),
         "correlation_kpis": lambda s, d: corr.correlation_kpis(q_mart_correlation(s, d),
                                                                fx.ORDERS_UNIVERSE),
+        "tick_parse": q_tick_parse,
+        "tick_encode": lambda s, d: tk.encode_ticks(al.tick_change(_ticks(s, d))),
+        "tick_change": lambda s, d: al.tick_change(_ticks(s, d)),
+        "tick_latest": lambda s, d: al.tick_latest(_ticks(s, d)),
+        "tick_stats": q_tick_stats,
+        "batch_alerts": q_batch_alerts,
+        "alerts": q_alerts,
     }
 
 
@@ -170,6 +207,66 @@ FROM (SELECT m.*, a.ord AS o1, b.ord AS o2 FROM mart m
       JOIN uni a ON a.sym = m.symbol_1 JOIN uni b ON b.sym = m.symbol_2)"""
 
 
+TICKS = "SELECT event_type AS symbol, value AS price, ts AS event_time, event_id AS seq FROM events"
+
+TICK_CHANGE = """
+SELECT symbol, event_time, seq, price, LAG(price) OVER w AS prev_price,
+       CASE WHEN LAG(price) OVER w IS NOT NULL AND LAG(price) OVER w <> 0
+            THEN ROUND((price - LAG(price) OVER w) / LAG(price) OVER w * 100, 4) ELSE 0.0 END AS change_pct,
+       CASE WHEN LAG(price) OVER w IS NULL THEN NULL
+            WHEN price > LAG(price) OVER w THEN 'up'
+            WHEN price < LAG(price) OVER w THEN 'down' ELSE 'flat' END AS direction
+FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY event_time, seq)"""
+
+TICK_ENCODE = """
+SELECT symbol AS key,
+       '{"symbol":"' || symbol || '","price":' || CAST(price AS VARCHAR)
+       || ',"prev_price":' || CAST(COALESCE(prev_price, price) AS VARCHAR)
+       || ',"change_pct":' || CAST(CASE WHEN COALESCE(prev_price, price) <> 0
+            THEN ROUND((price - COALESCE(prev_price, price)) / COALESCE(prev_price, price) * 100, 4)
+            ELSE 0.0 END AS VARCHAR)
+       || ',"timestamp":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00"'
+       || ',"source":"simulated"}' AS value
+FROM chg"""
+
+
+def _stats_sql(keys: str) -> str:
+    return f"""
+SELECT {keys}, COUNT(*) AS n_ticks, STDDEV_SAMP(price) AS volatility, AVG(price) AS avg_price,
+       MAX(price) AS max_price, MIN(price) AS min_price,
+       arg_max(price, (event_time, seq)) FILTER (WHERE price IS NOT NULL) AS latest_price
+FROM ticks GROUP BY ALL"""
+
+
+def _rules_sql(keys: str) -> str:
+    m = f"""SELECT {keys}, COALESCE(volatility, 0.0) AS v, COALESCE(avg_price, 0.0) AS a,
+       COALESCE(max_price, 0.0) AS mx, COALESCE(latest_price, COALESCE(avg_price, 0.0)) AS cur
+FROM stats"""
+    return f"""
+SELECT {keys}, cur AS price_at_alert, 'HIGH_VOLATILITY' AS alert_type,
+       CASE WHEN a > 0 THEN v / a ELSE 0.0 END AS metric_value, 0.02::DOUBLE AS threshold_value FROM ({m})
+UNION ALL
+SELECT {keys}, cur, 'PRICE_DROP', CASE WHEN mx > 0 THEN (mx - cur) / mx ELSE 0.0 END, 0.03::DOUBLE FROM ({m})
+UNION ALL
+SELECT {keys}, cur, 'PRICE_ANOMALY', CASE WHEN v > 0 THEN abs(cur - a) / v END, 2.0::DOUBLE FROM ({m})"""
+
+
+def _id_sql(*parts: str) -> str:
+    h = "sha256(concat_ws('|', " + ", ".join(parts) + "))"
+    return (f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' "
+            f"|| substr({h}, 17, 4) || '-' || substr({h}, 21, 12)")
+
+
+ALERTS_WINDOWED = (
+    "WITH ticks AS (SELECT time_bucket(INTERVAL '1 day', event_time) AS ws, * FROM ("
+    + TICKS + ")),\nstats AS (" + _stats_sql("ws, symbol") + "),\nrules AS ("
+    + _rules_sql("ws, symbol") + ")\nSELECT "
+    + _id_sql("symbol", "alert_type", "CAST(ws AS VARCHAR)")
+    + """ AS alert_id, symbol, alert_type, ROUND(metric_value, 6) AS metric_value,
+       threshold_value, price_at_alert, ws + INTERVAL 1 DAY AS triggered_at
+FROM rules WHERE metric_value > threshold_value""")
+
+
 def _with(*ctes: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + body
 
@@ -209,4 +306,19 @@ def oracle_sql() -> dict[str, str]:
                                     body=_matrix_sql(U_OR)),
         "correlation_kpis": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
                                   ("uni", _ord_sql(U_OR)), body=CORR_KPIS),
+        "tick_parse": "SELECT event_type AS symbol, value AS price, ts AS event_time FROM events",
+        "tick_encode": _with(("ticks", TICKS), ("chg", TICK_CHANGE), body=TICK_ENCODE),
+        "tick_change": _with(("ticks", TICKS), body=TICK_CHANGE),
+        "tick_latest": _with(("ticks", TICKS), body="""SELECT symbol,
+            arg_max(price, (event_time, seq)) FILTER (WHERE price IS NOT NULL) AS latest_price,
+            arg_max(event_time, (event_time, seq)) FILTER (WHERE price IS NOT NULL) AS latest_time
+            FROM ticks GROUP BY symbol"""),
+        "tick_stats": _with(("ticks", TICKS), ("stats", _stats_sql("symbol")), body="""
+            SELECT symbol, n_ticks, ROUND(volatility, 6) AS volatility, ROUND(avg_price, 6) AS avg_price,
+                   max_price, min_price, latest_price FROM stats"""),
+        "batch_alerts": _with(("ticks", TICKS), ("stats", _stats_sql("symbol")),
+                              ("rules", _rules_sql("symbol")), body="""
+            SELECT symbol, alert_type, ROUND(metric_value, 6) AS metric_value, threshold_value,
+                   price_at_alert FROM rules WHERE metric_value > threshold_value"""),
+        "alerts": ALERTS_WINDOWED,
     }
