@@ -19,6 +19,7 @@ from marketlens.operators import correlation as corr
 from marketlens.operators import alerts as al
 from marketlens.operators import risk
 from marketlens.sources import ticks as tk
+from marketlens.plans import reports as rp
 from pyspark.sql import functions as F
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -71,6 +72,23 @@ def q_alerts(spark, d):
     return al.window_alerts(_ticks(spark, d), "1 day")
 
 
+# Filter choices used by the alerts page queries (a user's selection).
+ALERT_SYMBOL_FILTER = ["click", "purchase", "view"]
+ALERT_TYPE_FILTER = ["PRICE_DROP", "HIGH_VOLATILITY"]
+
+
+def _recent(spark, d):
+    return rp.recent_alerts(q_alerts(spark, d))
+
+
+def _filtered(spark, d):
+    return rp.alerts_filtered(_recent(spark, d), ALERT_SYMBOL_FILTER, ALERT_TYPE_FILTER)
+
+
+def _summary_or(spark, d):
+    return risk.portfolio_summary(_daily_or(spark, d))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the per-symbol risk mart over daily bars derived from orders."""
     return q_mart_risk_metrics(spark, SMOKE_DIR)
@@ -105,6 +123,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tick_stats": q_tick_stats,
         "batch_alerts": q_batch_alerts,
         "alerts": q_alerts,
+        "recent_alerts": _recent,
+        "alert_kpis": lambda s, d: rp.alert_kpis(_recent(s, d)),
+        "alerts_filtered": _filtered,
+        "alert_filter_values": lambda s, d: rp.alert_filter_values(_recent(s, d)),
+        "alert_severity": lambda s, d: rp.alert_severity_view(_recent(s, d)),
+        "alerts_by_symbol": lambda s, d: rp.alerts_by_symbol(_filtered(s, d)),
+        "alerts_by_symbol_all": lambda s, d: rp.alerts_by_symbol(_recent(s, d)),
+        "alerts_timeline": lambda s, d: rp.alerts_timeline(_filtered(s, d)),
+        "risk_report": lambda s, d: rp.risk_report(q_mart_risk_metrics(s, d)),
+        "risk_kpis": lambda s, d: rp.risk_kpis(rp.risk_report(q_mart_risk_metrics(s, d))),
+        "portfolio_overview": lambda s, d: rp.portfolio_overview(_summary_or(s, d)),
+        "portfolio_kpis": lambda s, d: rp.portfolio_kpis(rp.portfolio_overview(_summary_or(s, d))),
+        "portfolio_overview_dense": lambda s, d: rp.portfolio_overview(
+            risk.portfolio_summary(_daily_ev(s, d))),
     }
 
 
@@ -267,6 +299,51 @@ ALERTS_WINDOWED = (
 FROM rules WHERE metric_value > threshold_value""")
 
 
+RECENT = """
+SELECT alert_id, symbol, alert_type, ROUND(metric_value, 4) AS metric_value,
+       ROUND(threshold_value, 4) AS threshold_value, ROUND(price_at_alert, 4) AS price_at_alert,
+       triggered_at
+FROM alerts_t ORDER BY triggered_at DESC NULLS LAST, alert_id LIMIT 200"""
+
+FILTERED = ("SELECT * FROM recent WHERE symbol IN ('click', 'purchase', 'view') "
+            "AND alert_type IN ('PRICE_DROP', 'HIGH_VOLATILITY')")
+
+
+def _r2(x: str) -> str:
+    # the mart holds 4-place values; round those decimals half away from zero
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38, 4)), 2) AS DOUBLE)"
+
+
+RISK_REPORT = f"""
+SELECT symbol, {_r2('annual_volatility_pct')} AS ann_volatility_pct,
+       {_r2('var_95_pct')} AS var_95_daily_pct, {_r2('sharpe_ratio')} AS sharpe_ratio,
+       {_r2('max_drawdown_pct')} AS max_drawdown_pct, {_r2('max_daily_gain_pct')} AS max_daily_gain_pct,
+       {_r2('max_daily_loss_pct')} AS max_daily_loss_pct
+FROM mart ORDER BY symbol"""
+
+RISK_KPIS = """
+SELECT ROUND(AVG(ann_volatility_pct), 6) AS avg_ann_volatility_pct,
+       ROUND(AVG(var_95_daily_pct), 6) AS avg_var_95_pct,
+       arg_min(symbol, (-sharpe_ratio, symbol)) FILTER (WHERE sharpe_ratio IS NOT NULL) AS best_sharpe_symbol,
+       arg_min(symbol, (-max_drawdown_pct, symbol)) FILTER (WHERE max_drawdown_pct IS NOT NULL)
+           AS worst_drawdown_symbol
+FROM report"""
+
+OVERVIEW = """
+SELECT symbol, latest_price, avg_price, total_volume, vs_avg_pct,
+       CASE WHEN vs_avg_pct > 0 THEN 'positive' WHEN vs_avg_pct < 0 THEN 'negative'
+            WHEN vs_avg_pct = 0 THEN 'zero' END AS vs_avg_sign
+FROM (SELECT *, ROUND((latest_price - avg_price) / NULLIF(avg_price, 0) * 100, 2) AS vs_avg_pct
+      FROM (SELECT symbol, ROUND(latest_close, 4) AS latest_price, ROUND(avg_close, 4) AS avg_price,
+                   avg_volume AS total_volume FROM summary))"""
+
+PORTFOLIO_KPIS = """
+SELECT SUM(total_volume) AS total_volume,
+       arg_min(symbol, (-total_volume, symbol)) FILTER (WHERE total_volume IS NOT NULL) AS top_volume_symbol,
+       COUNT(*) FILTER (WHERE vs_avg_pct > 0) AS above_avg, COUNT(*) AS n_symbols
+FROM overview"""
+
+
 def _with(*ctes: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + body
 
@@ -321,4 +398,34 @@ def oracle_sql() -> dict[str, str]:
             SELECT symbol, alert_type, ROUND(metric_value, 6) AS metric_value, threshold_value,
                    price_at_alert FROM rules WHERE metric_value > threshold_value"""),
         "alerts": ALERTS_WINDOWED,
+        "recent_alerts": _with(("alerts_t", ALERTS_WINDOWED), body=RECENT),
+        "alert_kpis": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT), body="""
+            SELECT COUNT(*) AS total_alerts, COUNT(DISTINCT symbol) AS symbols_affected,
+                   MAX(triggered_at) AS latest_alert FROM recent"""),
+        "alerts_filtered": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT), body=FILTERED),
+        "alert_filter_values": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT), body="""
+            SELECT DISTINCT 'symbol' AS field, symbol AS value FROM recent
+            UNION SELECT DISTINCT 'alert_type', alert_type FROM recent ORDER BY 1, 2"""),
+        "alert_severity": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT), body="""
+            SELECT *, CASE WHEN lower(alert_type) LIKE '%high%' OR lower(alert_type) LIKE '%breach%'
+                                OR lower(alert_type) LIKE '%loss%' THEN 'high'
+                           WHEN lower(alert_type) LIKE '%warn%' OR lower(alert_type) LIKE '%medium%'
+                                THEN 'medium' ELSE 'low' END AS severity FROM recent"""),
+        "alerts_by_symbol": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT),
+                                  ("filtered", FILTERED), body="""
+            SELECT symbol, COUNT(*) AS n_alerts FROM filtered GROUP BY symbol
+            ORDER BY n_alerts DESC, symbol"""),
+        "alerts_by_symbol_all": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT), body="""
+            SELECT symbol, COUNT(*) AS n_alerts FROM recent GROUP BY symbol
+            ORDER BY n_alerts DESC, symbol"""),
+        "alerts_timeline": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT),
+                                 ("filtered", FILTERED), body="""
+            SELECT date_trunc('minute', triggered_at) AS minute, COUNT(*) AS n_alerts
+            FROM filtered GROUP BY 1 ORDER BY 1"""),
+        "risk_report": _with(*o, ("mart", RISK), body=RISK_REPORT),
+        "risk_kpis": _with(*o, ("mart", RISK), ("report", RISK_REPORT), body=RISK_KPIS),
+        "portfolio_overview": _with(*o, ("latest", LATEST), ("summary", SUMMARY), body=OVERVIEW),
+        "portfolio_kpis": _with(*o, ("latest", LATEST), ("summary", SUMMARY), ("overview", OVERVIEW),
+                                body=PORTFOLIO_KPIS),
+        "portfolio_overview_dense": _with(*e, ("latest", LATEST), ("summary", SUMMARY), body=OVERVIEW),
     }
