@@ -20,6 +20,10 @@ from marketlens.operators import alerts as al
 from marketlens.operators import risk
 from marketlens.sources import ticks as tk
 from marketlens.plans import reports as rp
+from marketlens.plans import pipeline as pl
+from marketlens.operators import quality as dq
+from marketlens.sources import bars as sb
+from marketlens.session import scratch_dir
 from pyspark.sql import functions as F
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -89,6 +93,88 @@ def _summary_or(spark, d):
     return risk.portfolio_summary(_daily_or(spark, d))
 
 
+# Run parameters of the load-side queries.
+RUN_DATE = "2000-01-01"                       # look-back slice end (exclusive)
+RERUN_DT = "1998-01-01"                       # landing partition that is re-run
+REFETCH_TS = "2024-06-28 18:00:00"            # ingest time of a re-run / normalised fetch
+UNIVERSE_SUBSET = ["C1", "C3", "C5", "C9"]    # configured symbols (C9 has no data)
+
+
+def _raw(spark, d):
+    return fx.orders_raw(spark, d)
+
+
+def _month(col="date"):
+    return F.trunc(F.col(col), "month")
+
+
+def _landed(spark, d, name):
+    root = scratch_dir(spark, name)
+    sb.write_landing(_raw(spark, d), root, _month())
+    return root
+
+
+def q_raw_load(spark, d):
+    return sb.load_raw(spark, _landed(spark, d, "landing"))
+
+
+def q_nanos_to_date(spark, d):
+    o = fx.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("_d"))
+    nanos = sb.date_to_nanos("_d")
+    return o.select("o_orderkey", nanos.alias("nanos"),
+                    sb.nanos_to_date(nanos).alias("date"))
+
+
+def q_ingest_normalise(spark, d):
+    bars = fx.orders_bars(spark, d)
+    frames = {s: bars.filter(F.col("symbol") == s)
+              .select(*[F.col(c).alias(c.capitalize()) for c in sb.BAR_FIELDS])
+              for s in fx.ORDERS_UNIVERSE}
+    return sb.normalise_frames(frames, F.lit(REFETCH_TS).cast("timestamp_ntz"))
+
+
+def q_lookback_slice(spark, d):
+    table = sb.materialise(_raw(spark, d), scratch_dir(spark, "raw_table"))
+    return sb.lookback_slice(table, RUN_DATE, 365)
+
+
+def q_rerun_overwrite(spark, d):
+    root = _landed(spark, d, "landing")
+    redo = (_raw(spark, d).filter(_month() == F.lit(RERUN_DT).cast("date"))
+            .withColumn("ingested_at", F.lit(REFETCH_TS).cast("timestamp_ntz")))
+    sb.rerun_overwrite(spark, root, redo, RERUN_DT)
+    return sb.load_raw(spark, root)
+
+
+def q_partitioned_roundtrip(spark, d):
+    return sb.read_partitioned(spark, _landed(spark, d, "landing"))
+
+
+def _models(spark, d):
+    return pl.build_models(_raw(spark, d), fx.ORDERS_UNIVERSE)
+
+
+def q_materialise(spark, d):
+    out = pl.run_batch(_raw(spark, d), fx.ORDERS_UNIVERSE, scratch_dir(spark, "models"), gate=False)
+    return out["mart_risk_metrics"]
+
+
+def q_dq_report(spark, d):
+    m = _models(spark, d)
+    tables = {"raw_stock_prices": _raw(spark, d), "risk_alerts": q_alerts(spark, d),
+              "int_stock_daily": m["int_stock_daily"], "mart_risk_metrics": m["mart_risk_metrics"],
+              "mart_portfolio_summary": m["mart_portfolio_summary"],
+              "mart_correlation": m["mart_correlation"]}
+    return dq.quality_report(tables)
+
+
+def q_dq_unique(spark, d):
+    m = _models(spark, d)
+    parts = [dq.unique_failures(m[t], "symbol").select(F.lit(t).alias("model"), "value", "n")
+             for t in ("mart_risk_metrics", "mart_portfolio_summary")]
+    return parts[0].unionByName(parts[1])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the per-symbol risk mart over daily bars derived from orders."""
     return q_mart_risk_metrics(spark, SMOKE_DIR)
@@ -137,6 +223,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "portfolio_kpis": lambda s, d: rp.portfolio_kpis(rp.portfolio_overview(_summary_or(s, d))),
         "portfolio_overview_dense": lambda s, d: rp.portfolio_overview(
             risk.portfolio_summary(_daily_ev(s, d))),
+        "stg_prices": lambda s, d: rt.stg_prices(_raw(s, d)),
+        "raw_load": q_raw_load,
+        "load_audit": lambda s, d: sb.load_audit(q_raw_load(s, d)),
+        "nanos_to_date": q_nanos_to_date,
+        "ingest_normalise": q_ingest_normalise,
+        "lookback_slice": q_lookback_slice,
+        "universe_filter": lambda s, d: sb.universe_filter(_raw(s, d), UNIVERSE_SUBSET),
+        "dedup_latest": lambda s, d: sb.dedup_latest(_raw(s, d)),
+        "rerun_overwrite": q_rerun_overwrite,
+        "partitioned_roundtrip": q_partitioned_roundtrip,
+        "int_stock_daily": lambda s, d: _models(s, d)["int_stock_daily"],
+        "materialise": q_materialise,
+        "dq_report": q_dq_report,
+        "dq_unique": q_dq_unique,
+        "dq_accepted_values": lambda s, d: dq.accepted_values_failures(
+            q_alerts(s, d), "alert_type", dq.ALERT_TYPE_VALUES).select("alert_id", "alert_type"),
+        "dq_correlation_range": lambda s, d: dq.correlation_out_of_range(
+            _models(s, d)["mart_correlation"]),
     }
 
 
@@ -344,6 +448,42 @@ SELECT SUM(total_volume) AS total_volume,
 FROM overview"""
 
 
+RAW_OR = """
+SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice AS open, o_totalprice AS high,
+       o_totalprice AS low, o_totalprice AS close, CAST(1 AS BIGINT) AS volume,
+       'C' || CAST(o_custkey % 8 AS VARCHAR) AS symbol,
+       TIMESTAMP '2024-01-01 00:00:00' + to_seconds(o_orderkey) AS ingested_at
+FROM orders"""
+
+DEDUP = """
+SELECT * FROM raw
+QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY ingested_at DESC) = 1"""
+
+RAW_COLS = "date, open, high, low, close, volume, symbol, ingested_at"
+
+
+def _dq_sql() -> str:
+    from marketlens.operators.quality import SUITE
+    parts = []
+    for c in SUITE:
+        head = f"SELECT '{c.model}' AS model, '{c.column}' AS column_name, '{c.test}' AS test, "
+        if c.test == "not_null":
+            parts.append(head + f"COUNT(*) FILTER (WHERE {c.column} IS NULL) AS failures FROM {c.model}")
+        elif c.test == "expression":
+            parts.append(head + f"COUNT(*) FILTER (WHERE NOT ({c.expression})) AS failures FROM {c.model}")
+        elif c.test == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in c.values)
+            parts.append(head + f"COUNT(*) FILTER (WHERE {c.column} NOT IN ({vals})) AS failures "
+                                f"FROM {c.model}")
+        else:
+            parts.append(head + f"(SELECT COUNT(*) FROM (SELECT {c.column} FROM {c.model} "
+                                f"WHERE {c.column} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)) "
+                                "AS failures")
+    parts.append("SELECT 'mart_correlation', 'correlation', 'assert_correlation_range', "
+                 "COUNT(*) FROM mart_correlation WHERE correlation < -1 OR correlation > 1")
+    return "\nUNION ALL\n".join(parts)
+
+
 def _with(*ctes: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + body
 
@@ -357,6 +497,10 @@ U_OR, U_EV = fx.ORDERS_UNIVERSE, fx.EVENTS_UNIVERSE
 
 def oracle_sql() -> dict[str, str]:
     o, e = _chain(BARS_OR), _chain(BARS_EV)
+    p = (("raw", RAW_OR), ("bars", DEDUP)) + _chain(BARS_OR)[1:]
+    models = p + (("int_stock_daily", "SELECT * FROM daily"), ("mart_risk_metrics", RISK),
+                  ("latest", LATEST), ("mart_portfolio_summary", SUMMARY),
+                  ("pivoted", _pivot_sql(U_OR)), ("mart_correlation", _corr_sql(U_OR)))
     return {
         "daily_returns": _with(*o, body="SELECT * FROM daily"),
         "daily_returns_dense": _with(*e, body="SELECT * FROM daily"),
@@ -428,4 +572,39 @@ def oracle_sql() -> dict[str, str]:
         "portfolio_kpis": _with(*o, ("latest", LATEST), ("summary", SUMMARY), ("overview", OVERVIEW),
                                 body=PORTFOLIO_KPIS),
         "portfolio_overview_dense": _with(*e, ("latest", LATEST), ("summary", SUMMARY), body=OVERVIEW),
+        "stg_prices": _with(("raw", RAW_OR), body=f"SELECT {RAW_COLS} FROM raw"),
+        "raw_load": RAW_OR,
+        "load_audit": _with(("raw", RAW_OR), body="""SELECT COUNT(*) AS n_rows, MIN(date) AS min_date,
+            MAX(date) AS max_date, COUNT(DISTINCT symbol) AS n_symbols FROM raw"""),
+        "nanos_to_date": """SELECT o_orderkey,
+            (CAST(o_orderdate AS DATE) - DATE '1970-01-01') * 86400000000000 AS nanos,
+            CAST(o_orderdate AS DATE) AS date FROM orders""",
+        "ingest_normalise": _with(("bars", BARS_OR), body=f"""SELECT date, open, high, low, close,
+            volume, symbol, TIMESTAMP '{REFETCH_TS}' AS ingested_at FROM bars"""),
+        "lookback_slice": _with(("raw", RAW_OR), body=f"""SELECT * FROM raw
+            WHERE date >= DATE '{RUN_DATE}' - 365 AND date < DATE '{RUN_DATE}'"""),
+        "universe_filter": _with(("raw", RAW_OR), body="SELECT * FROM raw WHERE symbol IN ("
+                                 + ", ".join(f"'{u}'" for u in UNIVERSE_SUBSET) + ")"),
+        "dedup_latest": _with(("raw", RAW_OR), body=DEDUP),
+        "rerun_overwrite": _with(("raw", RAW_OR), body=f"""
+            SELECT * FROM raw WHERE date_trunc('month', date) <> DATE '{RERUN_DT}'
+            UNION ALL
+            SELECT date, open, high, low, close, volume, symbol, TIMESTAMP '{REFETCH_TS}'
+            FROM raw WHERE date_trunc('month', date) = DATE '{RERUN_DT}'"""),
+        "partitioned_roundtrip": _with(("raw", RAW_OR), body=f"""SELECT {RAW_COLS},
+            CAST(date_trunc('month', date) AS DATE) AS dt FROM raw"""),
+        "int_stock_daily": _with(*p, body="SELECT * FROM daily"),
+        "materialise": _with(*p, body=RISK),
+        "dq_report": _with(*models, ("raw_stock_prices", "SELECT * FROM raw"),
+                           ("risk_alerts", ALERTS_WINDOWED), body=_dq_sql()),
+        "dq_unique": _with(*models, body="""
+            SELECT 'mart_risk_metrics' AS model, symbol AS value, COUNT(*) AS n FROM mart_risk_metrics
+            WHERE symbol IS NOT NULL GROUP BY symbol HAVING COUNT(*) > 1
+            UNION ALL
+            SELECT 'mart_portfolio_summary', symbol, COUNT(*) FROM mart_portfolio_summary
+            WHERE symbol IS NOT NULL GROUP BY symbol HAVING COUNT(*) > 1"""),
+        "dq_accepted_values": _with(("alerts_t", ALERTS_WINDOWED), body="""SELECT alert_id, alert_type
+            FROM alerts_t WHERE alert_type NOT IN ('HIGH_VOLATILITY', 'PRICE_DROP', 'PRICE_ANOMALY')"""),
+        "dq_correlation_range": _with(*models, body="""SELECT * FROM mart_correlation
+            WHERE correlation < -1 OR correlation > 1"""),
     }
