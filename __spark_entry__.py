@@ -24,6 +24,7 @@ from marketlens.plans import pipeline as pl
 from marketlens.operators import quality as dq
 from marketlens.sources import bars as sb
 from marketlens.session import scratch_dir
+from marketlens.streaming import alerts_stream as stx
 from pyspark.sql import functions as F
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -175,6 +176,44 @@ def q_dq_unique(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+# Event-time scope of the streaming alert queries.
+STREAM_WINDOW, STREAM_WATERMARK = "1 day", "1 hour"
+
+
+def _tick_files(spark, d):
+    return tk.write_tick_files(_ticks(spark, d), scratch_dir(spark, "ticks_in"))
+
+
+def q_tick_stream(spark, d):
+    src = tk.read_tick_stream(spark, _tick_files(spark, d))
+    sink, ck = scratch_dir(spark, "ticks_out"), scratch_dir(spark, "ticks_ck")
+    q = (src.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    stx.run_to_end(q)
+    return (spark.read.parquet(sink)
+            .select("symbol", "price", F.col("event_time").cast("timestamp_ntz").alias("event_time")))
+
+
+def q_stream_alerts(spark, d):
+    """Per-micro-batch alerts; with everything landed before the run, the
+    available-now run is one batch, i.e. the whole table per symbol."""
+    src = tk.read_tick_stream(spark, _tick_files(spark, d))
+    sink, ck = scratch_dir(spark, "alerts_out"), scratch_dir(spark, "alerts_ck")
+    stx.run_to_end(stx.start_micro_batch_alerts(src, sink, ck))
+    return (stx.read_alerts(spark, sink)
+            .select("symbol", "alert_type", F.round("metric_value", 6).alias("metric_value"),
+                    "threshold_value", "price_at_alert"))
+
+
+def _windowed_run(spark, d, runs=1):
+    src_path = _tick_files(spark, d)
+    sink, ck = scratch_dir(spark, "walerts_out"), scratch_dir(spark, "walerts_ck")
+    for _ in range(runs):   # a rerun on the same checkpoint must add nothing
+        src = tk.read_tick_stream(spark, src_path)
+        stx.run_to_end(stx.start_windowed_alerts(src, sink, ck, STREAM_WINDOW, STREAM_WATERMARK))
+    return stx.read_alerts(spark, sink)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the per-symbol risk mart over daily bars derived from orders."""
     return q_mart_risk_metrics(spark, SMOKE_DIR)
@@ -241,6 +280,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             q_alerts(s, d), "alert_type", dq.ALERT_TYPE_VALUES).select("alert_id", "alert_type"),
         "dq_correlation_range": lambda s, d: dq.correlation_out_of_range(
             _models(s, d)["mart_correlation"]),
+        "tick_stream": q_tick_stream,
+        "stream_alerts": q_stream_alerts,
+        "stream_alerts_windowed": lambda s, d: _windowed_run(s, d, 1),
+        "stream_restart": lambda s, d: _windowed_run(s, d, 2),
     }
 
 
@@ -484,6 +527,11 @@ def _dq_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# Append mode emits a window once the watermark (max event time - 1 hour) passes its end.
+CLOSED_WINDOWS = """SELECT * FROM alerts_t
+WHERE triggered_at <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR"""
+
+
 def _with(*ctes: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + body
 
@@ -607,4 +655,11 @@ def oracle_sql() -> dict[str, str]:
             FROM alerts_t WHERE alert_type NOT IN ('HIGH_VOLATILITY', 'PRICE_DROP', 'PRICE_ANOMALY')"""),
         "dq_correlation_range": _with(*models, body="""SELECT * FROM mart_correlation
             WHERE correlation < -1 OR correlation > 1"""),
+        "tick_stream": "SELECT event_type AS symbol, value AS price, ts AS event_time FROM events",
+        "stream_alerts": _with(("ticks", TICKS), ("stats", _stats_sql("symbol")),
+                               ("rules", _rules_sql("symbol")), body="""
+            SELECT symbol, alert_type, ROUND(metric_value, 6) AS metric_value, threshold_value,
+                   price_at_alert FROM rules WHERE metric_value > threshold_value"""),
+        "stream_alerts_windowed": _with(("alerts_t", ALERTS_WINDOWED), body=CLOSED_WINDOWS),
+        "stream_restart": _with(("alerts_t", ALERTS_WINDOWED), body=CLOSED_WINDOWS),
     }

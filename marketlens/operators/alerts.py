@@ -33,20 +33,24 @@ def _latest(price="price", order=("event_time", "seq")) -> Column:
     return F.max_by(p, F.when(p.isNotNull(), F.struct(*[F.col(o) for o in order])))
 
 
-def stat_aggs() -> list[Column]:
+def stat_aggs(order: Sequence[str] = ("event_time", "seq")) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n_ticks"),
         F.stddev_samp("price").alias("volatility"),
         F.avg("price").alias("avg_price"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
-        _latest().alias("latest_price"),
+        _latest(order=tuple(order)).alias("latest_price"),
     ]
 
 
+def _order_of(ticks: DataFrame) -> tuple[str, ...]:
+    return ("event_time", "seq") if "seq" in ticks.columns else ("event_time",)
+
+
 def tick_stats(ticks: DataFrame, keys: Sequence = ("symbol",)) -> DataFrame:
     """Per-key price statistics (partial aggregation before the shuffle)."""
-    return ticks.groupBy(*keys).agg(*stat_aggs())
+    return ticks.groupBy(*keys).agg(*stat_aggs(_order_of(ticks)))
 
 
 def tick_latest(ticks: DataFrame) -> DataFrame:
@@ -114,7 +118,7 @@ def window_alerts(ticks: DataFrame, window: str = "1 day") -> DataFrame:
     window end (a data time, not the wall clock).
     """
     stats = (ticks.groupBy(F.window("event_time", window).alias("w"), "symbol")
-             .agg(*stat_aggs()))
+             .agg(*stat_aggs(_order_of(ticks))))
     return to_alert_table(alert_rows(stats, ["w", "symbol"]))
 
 
