@@ -91,7 +91,11 @@ def _filtered(spark, d):
 
 
 def _summary_or(spark, d):
-    return risk.portfolio_summary(_daily_or(spark, d))
+    return risk.portfolio_summary(_daily_or(spark, d), fx.orders_bars(spark, d))
+
+
+def _summary_ev(spark, d):
+    return risk.portfolio_summary(_daily_ev(spark, d), fx.events_bars(spark, d))
 
 
 # Run parameters of the load-side queries.
@@ -161,12 +165,11 @@ def q_materialise(spark, d):
 
 
 def q_dq_report(spark, d):
-    m = _models(spark, d)
-    tables = {"raw_stock_prices": _raw(spark, d), "risk_alerts": q_alerts(spark, d),
-              "int_stock_daily": m["int_stock_daily"], "mart_risk_metrics": m["mart_risk_metrics"],
-              "mart_portfolio_summary": m["mart_portfolio_summary"],
-              "mart_correlation": m["mart_correlation"]}
-    return dq.quality_report(tables)
+    """The pipeline's test step: models materialised once, then all tests read
+    the stored tables (plus the raw bars and the alert table)."""
+    out = pl.run_batch(_raw(spark, d), fx.ORDERS_UNIVERSE, scratch_dir(spark, "models"),
+                       alerts=q_alerts(spark, d), gate=False)
+    return out["quality_report"]
 
 
 def q_dq_unique(spark, d):
@@ -230,9 +233,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_risk_metrics": q_mart_risk_metrics,
         "mart_risk_metrics_dense": lambda s, d: risk.risk_metrics(_daily_ev(s, d)),
         "risk_ranking": lambda s, d: risk.risk_ranking(q_mart_risk_metrics(s, d)),
-        "latest_prices": lambda s, d: risk.latest_prices(_daily_or(s, d)),
-        "mart_portfolio_summary": lambda s, d: risk.portfolio_summary(_daily_or(s, d)),
-        "mart_portfolio_summary_dense": lambda s, d: risk.portfolio_summary(_daily_ev(s, d)),
+        "latest_prices": lambda s, d: risk.latest_prices(_daily_or(s, d), fx.orders_bars(s, d)),
+        "mart_portfolio_summary": lambda s, d: _summary_or(s, d),
+        "mart_portfolio_summary_dense": lambda s, d: _summary_ev(s, d),
         "returns_pivot": lambda s, d: corr.returns_pivot(_daily_or(s, d), fx.ORDERS_UNIVERSE),
         "mart_correlation": q_mart_correlation,
         "mart_correlation_dense": lambda s, d: corr.correlation(_daily_ev(s, d), fx.EVENTS_UNIVERSE),
@@ -260,8 +263,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "risk_kpis": lambda s, d: rp.risk_kpis(rp.risk_report(q_mart_risk_metrics(s, d))),
         "portfolio_overview": lambda s, d: rp.portfolio_overview(_summary_or(s, d)),
         "portfolio_kpis": lambda s, d: rp.portfolio_kpis(rp.portfolio_overview(_summary_or(s, d))),
-        "portfolio_overview_dense": lambda s, d: rp.portfolio_overview(
-            risk.portfolio_summary(_daily_ev(s, d))),
+        "portfolio_overview_dense": lambda s, d: rp.portfolio_overview(_summary_ev(s, d)),
         "stg_prices": lambda s, d: rt.stg_prices(_raw(s, d)),
         "raw_load": q_raw_load,
         "load_audit": lambda s, d: sb.load_audit(q_raw_load(s, d)),

@@ -1,7 +1,7 @@
 """Tick statistics and the three alert rules.
 
 ``tick_stats`` is one grouped aggregation (stddev, mean, max, min and the
-latest price as ``max_by`` over (event_time, seq)) - no per-symbol driver
+latest price as ``max_by`` over an (event_time, seq) key) - no per-symbol driver
 loop, no second job per key.  ``alert_rows`` turns each stats row into 0-3
 alert rows with ``inline`` over an array of rule structs, so the whole
 "metrics -> rules -> rows" step is a projection of the aggregate.
@@ -22,44 +22,49 @@ from marketlens.functions.scalar import (
     DROP_THRESHOLD, VOLATILITY_THRESHOLD, ZSCORE_THRESHOLD, deterministic_id,
     direction, guarded_ratio, pct_change,
 )
-from marketlens.operators.sequential import segmented_lag
+from marketlens.operators.sequential import order_key, segmented_lag
 
 STAT_COLUMNS = ["n_ticks", "volatility", "avg_price", "max_price", "min_price", "latest_price"]
 
 
-def _latest(price="price", order=("event_time", "seq")) -> Column:
+def _latest(key: Column, price="price") -> Column:
     # rows without a price never count as "latest" (they carry nothing to report)
     p = F.col(price)
-    return F.max_by(p, F.when(p.isNotNull(), F.struct(*[F.col(o) for o in order])))
+    return F.max_by(p, F.when(p.isNotNull(), key))
 
 
-def stat_aggs(order: Sequence[str] = ("event_time", "seq")) -> list[Column]:
+def latest_key(ticks: DataFrame) -> Column:
+    """Tick order: event time, then ``seq`` when the source has one.
+
+    A ``decimal(38,0)`` key (not a struct) keeps the stats aggregate hash-based.
+    """
+    if "seq" in ticks.columns:
+        return order_key(ticks, "event_time", F.col("seq"))
+    return F.col("event_time")
+
+
+def stat_aggs(key: Column) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n_ticks"),
         F.stddev_samp("price").alias("volatility"),
         F.avg("price").alias("avg_price"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
-        _latest(order=tuple(order)).alias("latest_price"),
+        _latest(key).alias("latest_price"),
     ]
 
 
-def _order_of(ticks: DataFrame) -> tuple[str, ...]:
-    return ("event_time", "seq") if "seq" in ticks.columns else ("event_time",)
-
-
 def tick_stats(ticks: DataFrame, keys: Sequence = ("symbol",)) -> DataFrame:
     """Per-key price statistics (partial aggregation before the shuffle)."""
-    return ticks.groupBy(*keys).agg(*stat_aggs(_order_of(ticks)))
+    return ticks.groupBy(*keys).agg(*stat_aggs(latest_key(ticks)))
 
 
 def tick_latest(ticks: DataFrame) -> DataFrame:
     """Latest price and its time per symbol (ties on time broken by ``seq``)."""
-    row = F.max_by(F.struct("price", "event_time"),
-                   F.when(F.col("price").isNotNull(), F.struct("event_time", "seq")))
-    return (ticks.groupBy("symbol").agg(row.alias("_l"))
-            .select("symbol", F.col("_l.price").alias("latest_price"),
-                    F.col("_l.event_time").alias("latest_time")))
+    has_price = F.col("price").isNotNull()
+    return ticks.groupBy("symbol").agg(
+        _latest(latest_key(ticks)).alias("latest_price"),
+        F.max(F.when(has_price, F.col("event_time"))).alias("latest_time"))
 
 
 def tick_change(ticks: DataFrame) -> DataFrame:
@@ -118,7 +123,7 @@ def window_alerts(ticks: DataFrame, window: str = "1 day") -> DataFrame:
     window end (a data time, not the wall clock).
     """
     stats = (ticks.groupBy(F.window("event_time", window).alias("w"), "symbol")
-             .agg(*stat_aggs(_order_of(ticks))))
+             .agg(*stat_aggs(latest_key(ticks))))
     return to_alert_table(alert_rows(stats, ["w", "symbol"]))
 
 

@@ -7,15 +7,15 @@ both are computed in two levels instead:
 1. rows are windowed by ``(key, segment)`` where ``segment`` is a coarse
    time bucket (a year of daily bars, a day of ticks), which splits a hot
    key over many tasks;
-2. a per-``(key, segment)`` aggregate (partial, map-side combined) gives the
-   segment's last value / maximum; a window over that small table carries
-   the value of the previous segment(s), and a join on ``(key, segment)``
-   patches the first row of each segment.
+2. the last row of each segment (flagged by ``lead`` in the same window)
+   holds the segment's last value / running maximum; a window over those
+   rows - one per ``(key, segment)`` - carries it to the next segment(s),
+   and a join on ``(key, segment)`` patches the first row of each segment.
 
 The result equals the one-level window (ties on the order key aside, which
-have no defined order in either form).  The join side is one row per
-``(key, segment)``: it shuffles on the same keys as the row window, so the
-big side is not shuffled again.
+have no defined order in either form).  The carry side is read from the same
+row exchange (reused), and is one row per ``(key, segment)``, so the rows
+are scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -36,6 +36,30 @@ def _order(order) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
 
+def _seg_rows(df: DataFrame, keys: list[str], order_cols: list[str], segment: Column):
+    rows = df.withColumn(_SEG, segment)
+    w = Window.partitionBy(*keys, _SEG).orderBy(*order_cols)
+    return rows, w
+
+
+def _patch(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of the rows with the per-segment carry table.
+
+    Null-safe keys: no ``IS NOT NULL`` filter is inferred into either side, so
+    the carry side is planned over the very same row exchange (reused, not
+    recomputed).  The carry side has one row per (key, segment); AQE
+    broadcasts it when small, otherwise both sides meet on (key, segment).
+    """
+    cond = None
+    for k in keys + [_SEG]:
+        c = rows[k].eqNullSafe(carry[k])
+        cond = c if cond is None else cond & c
+    joined = rows.join(carry, cond, "left")
+    for k in keys + [_SEG]:
+        joined = joined.drop(carry[k])
+    return joined
+
+
 def segmented_lag(df: DataFrame, key, order, value: str, segment: Column,
                   out: str) -> DataFrame:
     """Add ``out`` = previous row's ``value`` within ``key`` ordered by ``order``.
@@ -43,51 +67,80 @@ def segmented_lag(df: DataFrame, key, order, value: str, segment: Column,
     ``segment`` must be monotone in the order (e.g. ``year(date)``).
     """
     keys, order_cols = _keys(key), _order(order)
-    seg_keys = keys + [_SEG]
-    rows = df.withColumn(_SEG, segment)
-    w = Window.partitionBy(*seg_keys).orderBy(*order_cols)
+    rows, w = _seg_rows(df, keys, order_cols, segment)
     rows = (rows.withColumn("_prev_in", F.lag(value).over(w))
-                .withColumn("_first", F.lag(F.lit(1)).over(w).isNull()))
-    # Last value of every segment (aggregate, not a window: map-side combined).
-    last = (df.withColumn(_SEG, segment)
-              .groupBy(*seg_keys)
-              .agg(F.max_by(value, F.struct(*order_cols)).alias("_seg_last")))
+                .withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
+                .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
+    # the last row of each segment carries its value to the next segment
     wk = Window.partitionBy(*keys).orderBy(_SEG)
-    carry = last.select(*seg_keys, F.lag("_seg_last").over(wk).alias("_prev_seg"))
-    return (rows.join(carry, on=seg_keys, how="left")
-                .withColumn(out, F.when(F.col("_first"), F.col("_prev_seg"))
-                                  .otherwise(F.col("_prev_in")))
-                .drop("_prev_in", "_first", "_prev_seg", _SEG))
+    carry = (rows.filter(F.col("_last"))
+                 .select(*keys, _SEG, F.lag(value).over(wk).alias("_prev_seg")))
+    out_df = _patch(rows, carry, keys)
+    return (out_df.withColumn(out, F.when(F.col("_first"), F.col("_prev_seg"))
+                                    .otherwise(F.col("_prev_in")))
+                  .drop("_prev_in", "_first", "_last", "_prev_seg", _SEG))
 
 
 def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column,
                           out: str) -> DataFrame:
     """Add ``out`` = max of ``value`` over all rows of ``key`` up to this one."""
     keys, order_cols = _keys(key), _order(order)
-    seg_keys = keys + [_SEG]
-    rows = df.withColumn(_SEG, segment)
-    w = (Window.partitionBy(*seg_keys).orderBy(*order_cols)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("_run_in", F.max(value).over(w))
-    seg_max = (df.withColumn(_SEG, segment)
-                 .groupBy(*seg_keys).agg(F.max(value).alias("_seg_max")))
+    rows, w = _seg_rows(df, keys, order_cols, segment)
+    frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (rows.withColumn("_run_in", F.max(value).over(frame))
+                .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
+    # the running max at a segment's last row is that segment's max
     wk = (Window.partitionBy(*keys).orderBy(_SEG)
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = seg_max.select(*seg_keys, F.max("_seg_max").over(wk).alias("_prev_max"))
-    return (rows.join(carry, on=seg_keys, how="left")
-                .withColumn(out, F.greatest("_run_in", "_prev_max"))
-                .drop("_run_in", "_prev_max", _SEG))
+    carry = (rows.filter(F.col("_last"))
+                 .select(*keys, _SEG, F.max("_run_in").over(wk).alias("_prev_max")))
+    out_df = _patch(rows, carry, keys)
+    return (out_df.withColumn(out, F.greatest("_run_in", "_prev_max"))
+                  .drop("_run_in", "_last", "_prev_max", _SEG))
+
+
+_TIE = 10 ** 18
+
+
+def epoch_units(df: DataFrame, name: str) -> Column:
+    """Order-preserving integral value of a time/number column (session-zone free)."""
+    t = df.schema[name].dataType.typeName()
+    c = F.col(name)
+    if t == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if t == "timestamp":
+        return F.unix_micros(c)
+    if t == "date":
+        return F.unix_date(c).cast("long")
+    if t in ("long", "integer", "short", "byte"):
+        return c.cast("long")
+    raise TypeError(f"cannot build an ordering key from {name}: {t}")
+
+
+def order_key(df: DataFrame, primary: str, tiebreak: Column | None = None) -> Column:
+    """A fixed-width ``decimal(38,0)`` key: ``primary * 10^18 + tiebreak``.
+
+    ``tiebreak`` must lie in ``[0, 10^18)``.  Unlike a struct, a decimal key
+    keeps ``max_by`` in a hash aggregate (no sort of the input).
+    """
+    dec = "decimal(38,0)"
+    key = epoch_units(df, primary).cast(dec) * F.lit(_TIE).cast(dec)
+    if tiebreak is not None:
+        key = key + tiebreak.cast(dec)
+    return key
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-              cols: Sequence[str]) -> DataFrame:
-    """Newest row per key as one aggregation (``max_by`` over a struct).
+def latest_by(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
+    """Newest row per key as one aggregation.
 
     Unlike ``row_number() = 1`` over a window, this is partially aggregated
     before the shuffle, so a key with billions of rows costs one row per
-    map task on the wire.
+    map task on the wire.  Every column is taken with ``max_by`` over the
+    same key - the order column, tie-broken by a hash of the row - so all
+    columns come from one row and the aggregate stays hash-based.
     """
-    keys, order = list(keys), list(order)
+    keys = list(keys)
     rest = [c for c in cols if c not in keys]
-    picked = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    tie = F.pmod(F.xxhash64(*[F.col(c) for c in rest]), F.lit(_TIE))
+    k = order_key(df, order, tie)
+    return df.groupBy(*keys).agg(*[F.max_by(c, k).alias(c) for c in rest])

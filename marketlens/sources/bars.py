@@ -111,7 +111,7 @@ def dedup_latest(raw: DataFrame) -> DataFrame:
     An aggregation (``max_by`` over ``ingested_at``), so duplicates are
     collapsed map-side before the shuffle.
     """
-    return latest_by(raw, ["symbol", "date"], ["ingested_at"], RAW_COLUMNS).select(*RAW_COLUMNS)
+    return latest_by(raw, ["symbol", "date"], "ingested_at", RAW_COLUMNS).select(*RAW_COLUMNS)
 
 
 def rerun_overwrite(spark: SparkSession, root: str, rows: DataFrame, run_date: str) -> int:

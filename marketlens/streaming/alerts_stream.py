@@ -64,7 +64,7 @@ def windowed_alerts_stream(ticks: DataFrame, window: str = "1 day",
     """Streaming alert rows per (symbol, event-time window); append-mode safe."""
     stats = (ticks.withWatermark("event_time", watermark)
              .groupBy(F.window("event_time", window).alias("w"), "symbol")
-             .agg(*stat_aggs(("event_time",))))
+             .agg(*stat_aggs(F.col("event_time"))))
     return to_alert_table(alert_rows(stats, ["w", "symbol"]))
 
 

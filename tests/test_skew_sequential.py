@@ -48,8 +48,16 @@ def test_segments_split_the_hot_key(spark):
 
 
 def test_latest_by_is_an_aggregate(spark):
-    df = spark.createDataFrame([("A", 1, "x"), ("A", 3, "y"), ("B", 2, "z")], "k string, t int, v string")
-    out = {r.k: r.v for r in latest_by(df, ["k"], ["t"], ["k", "t", "v"]).collect()}
-    assert out == {"A": "y", "B": "z"}
-    plan = latest_by(df, ["k"], ["t"], ["k", "t", "v"])._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
+    df = spark.createDataFrame([("A", 1, 1.5, 10), ("A", 3, 2.5, 30), ("B", 2, 0.5, 20)],
+                               "k string, t int, v double, w long")
+    out = {r.k: (r.v, r.w) for r in latest_by(df, ["k"], "t", ["k", "t", "v", "w"]).collect()}
+    assert out == {"A": (2.5, 30), "B": (0.5, 20)}
+    plan = latest_by(df, ["k"], "t", ["k", "t", "v", "w"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortAggregate" not in plan
+
+
+def test_latest_by_ties_take_one_whole_row(spark):
+    rows = [("A", 1, float(i), 100 - i) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, t int, v double, w long")
+    r = latest_by(df, ["k"], "t", ["k", "t", "v", "w"]).first()
+    assert r.v + r.w == 100.0     # both columns from the same tied row
