@@ -34,16 +34,16 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Spark side
 # ----------------------------------------------------------------------------
 
-def _daily_or(spark, d):
-    return rt.daily_returns(fx.orders_bars(spark, d))
+def _daily_or(spark, d, keep_segment=False):
+    return rt.daily_returns(fx.orders_bars(spark, d), keep_segment)
 
 
-def _daily_ev(spark, d):
-    return rt.daily_returns(fx.events_bars(spark, d))
+def _daily_ev(spark, d, keep_segment=False):
+    return rt.daily_returns(fx.events_bars(spark, d), keep_segment)
 
 
 def q_mart_risk_metrics(spark, d):
-    return risk.risk_metrics(_daily_or(spark, d))
+    return risk.risk_metrics(_daily_or(spark, d, keep_segment=True))
 
 
 def q_mart_correlation(spark, d):
@@ -228,10 +228,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_returns_dense": _daily_ev,
         "running_max": lambda s, d: rt.running_max(_daily_or(s, d))
         .select("symbol", "date", "close", "rolling_max"),
-        "max_drawdown": lambda s, d: risk.max_drawdown(_daily_or(s, d)),
+        "max_drawdown": lambda s, d: risk.max_drawdown(_daily_or(s, d, keep_segment=True)),
         "var_95": lambda s, d: risk.var_95(_daily_or(s, d)),
         "mart_risk_metrics": q_mart_risk_metrics,
-        "mart_risk_metrics_dense": lambda s, d: risk.risk_metrics(_daily_ev(s, d)),
+        "mart_risk_metrics_dense": lambda s, d: risk.risk_metrics(_daily_ev(s, d, keep_segment=True)),
         "risk_ranking": lambda s, d: risk.risk_ranking(q_mart_risk_metrics(s, d)),
         "latest_prices": lambda s, d: risk.latest_prices(_daily_or(s, d), fx.orders_bars(s, d)),
         "mart_portfolio_summary": lambda s, d: _summary_or(s, d),

@@ -73,7 +73,7 @@ def tick_change(ticks: DataFrame) -> DataFrame:
     The lag is segmented by calendar day, so a symbol carrying a third of
     all ticks is still spread over many tasks.
     """
-    seg = F.to_date("event_time")
+    seg = F.unix_date(F.to_date("event_time"))
     prev = segmented_lag(ticks, "symbol", ["event_time", "seq"], "price", seg, "prev_price")
     return prev.select("symbol", "event_time", "seq", "price", "prev_price",
                        pct_change("price", "prev_price").alias("change_pct"),

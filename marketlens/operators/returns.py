@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.sequential import segmented_lag, segmented_running_max
+from marketlens.operators.sequential import SEGMENT_COLUMNS, segmented_lag, segmented_running_max
 
 DAILY_COLUMNS = ["date", "symbol", "close", "prev_close", "daily_return",
                  "open", "high", "low", "volume"]
@@ -17,16 +17,20 @@ def stg_prices(raw: DataFrame) -> DataFrame:
                       "ingested_at")
 
 
-def daily_returns(bars: DataFrame) -> DataFrame:
+def daily_returns(bars: DataFrame, keep_segment: bool = False) -> DataFrame:
     """``prev_close`` = previous bar's close per symbol by date; simple return
     ``round((close - prev) / nullif(prev, 0), 6)``.  First bar and a zero
     previous close give NULL.  The lag is segmented by year (see
     ``operators.sequential``), so one symbol's history never sits in one task.
+    ``keep_segment`` keeps the segment column so the marts' running max reuses
+    the (symbol, segment) partitioning instead of shuffling the rows again.
     """
-    prev = segmented_lag(bars, "symbol", "date", "close", F.year("date"), "prev_close")
+    prev = segmented_lag(bars, "symbol", "date", "close", F.year("date"), "prev_close",
+                         keep_segment=keep_segment)
     ret = F.round(F.try_divide(F.col("close") - F.col("prev_close"),
                                F.nullif(F.col("prev_close"), F.lit(0.0))), 6)
-    return prev.withColumn("daily_return", ret).select(*DAILY_COLUMNS)
+    extra = list(SEGMENT_COLUMNS) if keep_segment else []
+    return prev.withColumn("daily_return", ret).select(*DAILY_COLUMNS, *extra)
 
 
 def valid_returns(daily: DataFrame) -> DataFrame:
@@ -38,6 +42,10 @@ def running_max(daily: DataFrame) -> DataFrame:
     """Running maximum of close per symbol by date over the rows with a
     return (the first bar is excluded, as in the marts).  Keeps the return
     so the risk mart aggregates these rows directly."""
+    has_seg = all(c in daily.columns for c in SEGMENT_COLUMNS)
+    if has_seg:   # already segmented and partitioned: keep it that way
+        rets = valid_returns(daily).select("date", "close", "daily_return", *SEGMENT_COLUMNS)
+        return segmented_running_max(rets, "symbol", "date", "close", None, "rolling_max",
+                                     keep_segment=True)
     rets = valid_returns(daily).select("symbol", "date", "close", "daily_return")
-    return segmented_running_max(rets, "symbol", "date", "close", F.year("date"),
-                                 "rolling_max")
+    return segmented_running_max(rets, "symbol", "date", "close", F.year("date"), "rolling_max")

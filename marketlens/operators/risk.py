@@ -42,11 +42,21 @@ def with_drawdown(daily: DataFrame) -> DataFrame:
     return running_max(daily)
 
 
+def _by_symbol(rows: DataFrame):
+    """Group by symbol - through the segmented rows' ``_key`` struct when they
+    carry it, so every branch of the plan reads the same columns and the row
+    shuffle is shared rather than repeated."""
+    if "_key" in rows.columns:
+        return rows.groupBy("_key"), [F.col("_key.symbol").alias("symbol")]
+    return rows.groupBy("symbol"), ["symbol"]
+
+
 def risk_metrics(daily: DataFrame) -> DataFrame:
     """Per-symbol risk mart (percent figures rounded to 4 places)."""
     rows = with_drawdown(daily)
     r = F.col("daily_return")
-    agg = rows.groupBy("symbol").agg(
+    grouped, sym = _by_symbol(rows)
+    agg = grouped.agg(
         F.count(F.lit(1)).alias("trading_days"),
         F.avg(r).alias("_avg"),
         F.stddev_samp(r).alias("_sd"),
@@ -56,7 +66,7 @@ def risk_metrics(daily: DataFrame) -> DataFrame:
         F.max(_drawdown()).alias("_dd"),
     )
     return agg.select(
-        "symbol", "trading_days",
+        *sym, "trading_days",
         F.round(F.col("_avg") * 100, 4).alias("avg_daily_return_pct"),
         F.round(F.col("_sd") * 100, 4).alias("daily_volatility_pct"),
         F.round(F.col("_sd") * _sqrt_days() * 100, 4).alias("annual_volatility_pct"),
@@ -76,8 +86,9 @@ def risk_ranking(mart: DataFrame) -> DataFrame:
 
 def max_drawdown(daily: DataFrame) -> DataFrame:
     """Largest fall from the running peak, percent (a positive number)."""
-    return (with_drawdown(daily).groupBy("symbol")
-            .agg(F.round(F.max(_drawdown()) * 100, 4).alias("max_drawdown_pct")))
+    grouped, sym = _by_symbol(with_drawdown(daily))
+    return (grouped.agg(F.round(F.max(_drawdown()) * 100, 4).alias("max_drawdown_pct"))
+            .select(*sym, "max_drawdown_pct"))
 
 
 def var_95(daily: DataFrame) -> DataFrame:

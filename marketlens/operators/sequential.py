@@ -7,15 +7,16 @@ both are computed in two levels instead:
 1. rows are windowed by ``(key, segment)`` where ``segment`` is a coarse
    time bucket (a year of daily bars, a day of ticks), which splits a hot
    key over many tasks;
-2. the last row of each segment (flagged by ``lead`` in the same window)
-   holds the segment's last value / running maximum; a window over those
-   rows - one per ``(key, segment)`` - carries it to the next segment(s),
-   and a join on ``(key, segment)`` patches the first row of each segment.
+2. a per-``(key, segment)`` aggregate (partial, so one row per key, segment
+   and map task crosses the wire) gives each segment's last value / maximum;
+   a window over that small table carries it to the next segment(s), and a
+   join on ``(key, segment)`` patches the first row of each segment.  The
+   rows are already hash-partitioned on ``(key, segment)`` by their window,
+   so that join moves only the carry table (or broadcasts it, when AQE
+   measures it small).
 
 The result equals the one-level window (ties on the order key aside, which
-have no defined order in either form).  The carry side is read from the same
-row exchange (reused), and is one row per ``(key, segment)``, so the rows
-are scanned and shuffled once.
+have no defined order in either form).  The rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SEG = "_seg"
+_KEY = "_key"
+SEGMENT_COLUMNS = (_KEY, _SEG)
+# Segment id used for rows whose segment expression is NULL.
+_NULL_SEGMENT = -(2 ** 31)
 
 
 def _keys(key) -> list[str]:
@@ -36,67 +41,91 @@ def _order(order) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
 
-def _seg_rows(df: DataFrame, keys: list[str], order_cols: list[str], segment: Column):
-    rows = df.withColumn(_SEG, segment)
-    w = Window.partitionBy(*keys, _SEG).orderBy(*order_cols)
+def _seg_rows(df: DataFrame, keys: list[str], order_cols: list[str], segment: Column | None):
+    """Rows with the internal partition columns ``_key`` = struct(keys) and
+    ``_seg``.  Both are never NULL (a struct is non-null even when its fields
+    are, and struct equality matches NULL fields), so joins on them are plain
+    equi-joins: no inferred IS NOT NULL filter, and no re-shuffle of rows that
+    are already partitioned on them.
+
+    ``segment=None`` reuses the columns (and the partitioning) an earlier
+    segmented step kept with ``keep_segment=True``.
+    """
+    if segment is None:
+        rows = df
+    else:
+        rows = (df.withColumn(_KEY, F.struct(*keys))
+                  .withColumn(_SEG, F.coalesce(segment.cast("int"), F.lit(_NULL_SEGMENT))))
+    w = Window.partitionBy(_KEY, _SEG).orderBy(*order_cols)
     return rows, w
 
 
-def _patch(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of the rows with the per-segment carry table.
+def _carry_window(frame_end=None) -> Window:
+    w = Window.partitionBy(_KEY).orderBy(_SEG)
+    return w if frame_end is None else w.rowsBetween(Window.unboundedPreceding, frame_end)
+
 
-    Null-safe keys: no ``IS NOT NULL`` filter is inferred into either side, so
-    the carry side is planned over the very same row exchange (reused, not
-    recomputed).  The carry side has one row per (key, segment); AQE
-    broadcasts it when small, otherwise both sides meet on (key, segment).
+def _patch(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Left equi-join of the rows with the per-segment carry table on
+    (``_key``, ``_seg``).  The row side is already hash-partitioned on exactly
+    these columns by its window, so a shuffle join moves only the carry side
+    (one row per key and segment); AQE broadcasts it instead when small.
     """
-    cond = None
-    for k in keys + [_SEG]:
-        c = rows[k].eqNullSafe(carry[k])
-        cond = c if cond is None else cond & c
-    joined = rows.join(carry, cond, "left")
-    for k in keys + [_SEG]:
-        joined = joined.drop(carry[k])
-    return joined
-
-
-def segmented_lag(df: DataFrame, key, order, value: str, segment: Column,
-                  out: str) -> DataFrame:
+    carry = carry.withColumnRenamed(_KEY, "_ck").withColumnRenamed(_SEG, "_cs")
+    cond = (F.col(_KEY) == F.col("_ck")) & (F.col(_SEG) == F.col("_cs"))
+    return rows.join(carry, cond, "left").drop("_ck", "_cs")
+
+
+def _order_value(df: DataFrame, order_cols: list[str]) -> Column:
+    """Ordering value for ``max_by``: the column itself, or a fixed-width key
+    for (time, sequence) orders (keeps the aggregate hash-based)."""
+    if len(order_cols) == 1:
+        return F.col(order_cols[0])
+    if len(order_cols) == 2:
+        return order_key(df, order_cols[0], F.col(order_cols[1]))
+    return F.struct(*order_cols)
+
+
+def _finish(df: DataFrame, keep_segment: bool) -> DataFrame:
+    return df if keep_segment else df.drop(_KEY, _SEG)
+
+
+def segmented_lag(df: DataFrame, key, order, value: str, segment: Column | None,
+                  out: str, keep_segment: bool = False) -> DataFrame:
     """Add ``out`` = previous row's ``value`` within ``key`` ordered by ``order``.
 
-    ``segment`` must be monotone in the order (e.g. ``year(date)``).
+    ``segment`` is an integer expression monotone in the order (e.g.
+    ``year(date)``, ``unix_date(to_date(ts))``).
     """
     keys, order_cols = _keys(key), _order(order)
     rows, w = _seg_rows(df, keys, order_cols, segment)
+    # each segment's last value (a partial aggregate: one row per key,
+    # segment and map task on the wire), carried to the next segment
+    last = rows.groupBy(_KEY, _SEG).agg(F.max_by(value, _order_value(rows, order_cols)).alias("_v"))
+    carry = last.select(_KEY, _SEG, F.lag("_v").over(_carry_window()).alias("_prev_seg"))
     rows = (rows.withColumn("_prev_in", F.lag(value).over(w))
-                .withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
-                .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
-    # the last row of each segment carries its value to the next segment
-    wk = Window.partitionBy(*keys).orderBy(_SEG)
-    carry = (rows.filter(F.col("_last"))
-                 .select(*keys, _SEG, F.lag(value).over(wk).alias("_prev_seg")))
-    out_df = _patch(rows, carry, keys)
-    return (out_df.withColumn(out, F.when(F.col("_first"), F.col("_prev_seg"))
-                                    .otherwise(F.col("_prev_in")))
-                  .drop("_prev_in", "_first", "_last", "_prev_seg", _SEG))
-
-
-def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column,
-                          out: str) -> DataFrame:
+                .withColumn("_first", F.lag(F.lit(1)).over(w).isNull()))
+    out_df = _patch(rows, carry)
+    out_df = (out_df.withColumn(out, F.when(F.col("_first"), F.col("_prev_seg"))
+                                      .otherwise(F.col("_prev_in")))
+                    .drop("_prev_in", "_first", "_prev_seg"))
+    return _finish(out_df, keep_segment)
+
+
+def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column | None,
+                          out: str, keep_segment: bool = False) -> DataFrame:
     """Add ``out`` = max of ``value`` over all rows of ``key`` up to this one."""
     keys, order_cols = _keys(key), _order(order)
     rows, w = _seg_rows(df, keys, order_cols, segment)
     frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (rows.withColumn("_run_in", F.max(value).over(frame))
-                .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
-    # the running max at a segment's last row is that segment's max
-    wk = (Window.partitionBy(*keys).orderBy(_SEG)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (rows.filter(F.col("_last"))
-                 .select(*keys, _SEG, F.max("_run_in").over(wk).alias("_prev_max")))
-    out_df = _patch(rows, carry, keys)
-    return (out_df.withColumn(out, F.greatest("_run_in", "_prev_max"))
-                  .drop("_run_in", "_last", "_prev_max", _SEG))
+    # maximum of all earlier segments (partial aggregate, then a prefix max)
+    seg_max = rows.groupBy(_KEY, _SEG).agg(F.max(value).alias("_m"))
+    carry = seg_max.select(_KEY, _SEG, F.max("_m").over(_carry_window(-1)).alias("_prev_max"))
+    rows = rows.withColumn("_run_in", F.max(value).over(frame))
+    out_df = _patch(rows, carry)
+    out_df = (out_df.withColumn(out, F.greatest("_run_in", "_prev_max"))
+                    .drop("_run_in", "_prev_max"))
+    return _finish(out_df, keep_segment)
 
 
 _TIE = 10 ** 18

@@ -27,7 +27,7 @@ def build_models(raw: DataFrame, universe: Sequence[str], dedup: bool = True) ->
     return {
         "stg_stock_prices": stg,
         "int_stock_daily": daily,
-        "mart_risk_metrics": risk.risk_metrics(daily),
+        "mart_risk_metrics": risk.risk_metrics(daily_returns(stg, keep_segment=True)),
         "mart_portfolio_summary": risk.portfolio_summary(daily, stg),
         "mart_correlation": corr.correlation(daily, universe),
     }
