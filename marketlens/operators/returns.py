@@ -30,7 +30,8 @@ def daily_returns(bars: DataFrame, keep_segment: bool = False) -> DataFrame:
     ret = F.round(F.try_divide(F.col("close") - F.col("prev_close"),
                                F.nullif(F.col("prev_close"), F.lit(0.0))), 6)
     extra = list(SEGMENT_COLUMNS) if keep_segment else []
-    return prev.withColumn("daily_return", ret).select(*DAILY_COLUMNS, *extra)
+    cols = [ret.alias("daily_return") if c == "daily_return" else c for c in DAILY_COLUMNS]
+    return prev.select(*cols, *extra)
 
 
 def valid_returns(daily: DataFrame) -> DataFrame:

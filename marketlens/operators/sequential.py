@@ -54,8 +54,8 @@ def _seg_rows(df: DataFrame, keys: list[str], order_cols: list[str], segment: Co
     if segment is None:
         rows = df
     else:
-        rows = (df.withColumn(_KEY, F.struct(*keys))
-                  .withColumn(_SEG, F.coalesce(segment.cast("int"), F.lit(_NULL_SEGMENT))))
+        rows = df.withColumns({_KEY: F.struct(*keys),
+                               _SEG: F.coalesce(segment.cast("int"), F.lit(_NULL_SEGMENT))})
     w = Window.partitionBy(_KEY, _SEG).orderBy(*order_cols)
     return rows, w
 
@@ -71,9 +71,9 @@ def _patch(rows: DataFrame, carry: DataFrame) -> DataFrame:
     these columns by its window, so a shuffle join moves only the carry side
     (one row per key and segment); AQE broadcasts it instead when small.
     """
-    carry = carry.withColumnRenamed(_KEY, "_ck").withColumnRenamed(_SEG, "_cs")
+    carry = carry.select(*[F.col(c).alias({_KEY: "_ck", _SEG: "_cs"}.get(c, c)) for c in carry.columns])
     cond = (F.col(_KEY) == F.col("_ck")) & (F.col(_SEG) == F.col("_cs"))
-    return rows.join(carry, cond, "left").drop("_ck", "_cs")
+    return rows.join(carry, cond, "left")
 
 
 def _order_value(df: DataFrame, order_cols: list[str]) -> Column:
@@ -86,8 +86,8 @@ def _order_value(df: DataFrame, order_cols: list[str]) -> Column:
     return F.struct(*order_cols)
 
 
-def _finish(df: DataFrame, keep_segment: bool) -> DataFrame:
-    return df if keep_segment else df.drop(_KEY, _SEG)
+def _kept(columns: list[str], keep_segment: bool) -> list[str]:
+    return [c for c in columns if keep_segment or c not in (_KEY, _SEG)]
 
 
 def segmented_lag(df: DataFrame, key, order, value: str, segment: Column | None,
@@ -103,13 +103,11 @@ def segmented_lag(df: DataFrame, key, order, value: str, segment: Column | None,
     # segment and map task on the wire), carried to the next segment
     last = rows.groupBy(_KEY, _SEG).agg(F.max_by(value, _order_value(rows, order_cols)).alias("_v"))
     carry = last.select(_KEY, _SEG, F.lag("_v").over(_carry_window()).alias("_prev_seg"))
-    rows = (rows.withColumn("_prev_in", F.lag(value).over(w))
-                .withColumn("_first", F.lag(F.lit(1)).over(w).isNull()))
-    out_df = _patch(rows, carry)
-    out_df = (out_df.withColumn(out, F.when(F.col("_first"), F.col("_prev_seg"))
-                                      .otherwise(F.col("_prev_in")))
-                    .drop("_prev_in", "_first", "_prev_seg"))
-    return _finish(out_df, keep_segment)
+    base = rows.columns
+    rows = rows.select(*base, F.lag(value).over(w).alias("_prev_in"),
+                       F.lag(F.lit(1)).over(w).isNull().alias("_first"))
+    prev = F.when(F.col("_first"), F.col("_prev_seg")).otherwise(F.col("_prev_in"))
+    return _patch(rows, carry).select(*_kept(base, keep_segment), prev.alias(out))
 
 
 def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column | None,
@@ -121,11 +119,10 @@ def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column
     # maximum of all earlier segments (partial aggregate, then a prefix max)
     seg_max = rows.groupBy(_KEY, _SEG).agg(F.max(value).alias("_m"))
     carry = seg_max.select(_KEY, _SEG, F.max("_m").over(_carry_window(-1)).alias("_prev_max"))
-    rows = rows.withColumn("_run_in", F.max(value).over(frame))
-    out_df = _patch(rows, carry)
-    out_df = (out_df.withColumn(out, F.greatest("_run_in", "_prev_max"))
-                    .drop("_run_in", "_prev_max"))
-    return _finish(out_df, keep_segment)
+    base = rows.columns
+    rows = rows.select(*base, F.max(value).over(frame).alias("_run_in"))
+    run = F.greatest("_run_in", "_prev_max")
+    return _patch(rows, carry).select(*_kept(base, keep_segment), run.alias(out))
 
 
 _TIE = 10 ** 18
