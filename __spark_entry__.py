@@ -264,6 +264,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "portfolio_overview": lambda s, d: rp.portfolio_overview(_summary_or(s, d)),
         "portfolio_kpis": lambda s, d: rp.portfolio_kpis(rp.portfolio_overview(_summary_or(s, d))),
         "portfolio_overview_dense": lambda s, d: rp.portfolio_overview(_summary_ev(s, d)),
+        "portfolio_display": lambda s, d: rp.portfolio_display(
+            rp.portfolio_overview(_summary_ev(s, d))),
+        "portfolio_kpis_display": lambda s, d: rp.portfolio_kpis_display(
+            rp.portfolio_kpis(rp.portfolio_overview(_summary_ev(s, d)))),
         "stg_prices": lambda s, d: rt.stg_prices(_raw(s, d)),
         "raw_load": q_raw_load,
         "load_audit": lambda s, d: sb.load_audit(q_raw_load(s, d)),
@@ -622,6 +626,15 @@ def oracle_sql() -> dict[str, str]:
         "portfolio_kpis": _with(*o, ("latest", LATEST), ("summary", SUMMARY), ("overview", OVERVIEW),
                                 body=PORTFOLIO_KPIS),
         "portfolio_overview_dense": _with(*e, ("latest", LATEST), ("summary", SUMMARY), body=OVERVIEW),
+        "portfolio_display": _with(*e, ("latest", LATEST), ("summary", SUMMARY), ("overview", OVERVIEW),
+                                   body="""SELECT symbol, printf('%.4f', latest_price) AS latest_price_text,
+            printf('%.4f', avg_price) AS avg_price_text,
+            format('{:,.0f}', total_volume) AS total_volume_text,
+            printf('%+.2f%%', vs_avg_pct) AS vs_avg_text FROM overview"""),
+        "portfolio_kpis_display": _with(*e, ("latest", LATEST), ("summary", SUMMARY),
+                                        ("overview", OVERVIEW), ("kpis", PORTFOLIO_KPIS), body="""
+            SELECT format('{:,.0f}', total_volume) AS total_volume_text, top_volume_symbol,
+                   printf('%d / %d', above_avg, n_symbols) AS above_avg_text FROM kpis"""),
         "stg_prices": _with(("raw", RAW_OR), body=f"SELECT {RAW_COLS} FROM raw"),
         "raw_load": RAW_OR,
         "load_audit": _with(("raw", RAW_OR), body="""SELECT COUNT(*) AS n_rows, MIN(date) AS min_date,

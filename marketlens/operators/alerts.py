@@ -22,7 +22,7 @@ from marketlens.functions.scalar import (
     DROP_THRESHOLD, VOLATILITY_THRESHOLD, ZSCORE_THRESHOLD, deterministic_id,
     direction, guarded_ratio, pct_change,
 )
-from marketlens.operators.sequential import order_key, segmented_lag
+from marketlens.operators.sequential import epoch_units, order_key, segmented_lag
 
 STAT_COLUMNS = ["n_ticks", "volatility", "avg_price", "max_price", "min_price", "latest_price"]
 
@@ -67,13 +67,17 @@ def tick_latest(ticks: DataFrame) -> DataFrame:
         F.max(F.when(has_price, F.col("event_time"))).alias("latest_time"))
 
 
-def tick_change(ticks: DataFrame) -> DataFrame:
+MICROS_PER_HOUR = 3_600_000_000
+
+
+def tick_change(ticks: DataFrame, segment_micros: int = MICROS_PER_HOUR) -> DataFrame:
     """Previous price per symbol (by event time), percent change and direction.
 
-    The lag is segmented by calendar day, so a symbol carrying a third of
-    all ticks is still spread over many tasks.
+    The lag is segmented by event-time bucket (an hour by default), so a
+    symbol carrying a third of all ticks - even on one busy day - is still
+    spread over many tasks.
     """
-    seg = F.unix_date(F.to_date("event_time"))
+    seg = F.floor(epoch_units(ticks, "event_time") / F.lit(segment_micros))
     prev = segmented_lag(ticks, "symbol", ["event_time", "seq"], "price", seg, "prev_price")
     return prev.select("symbol", "event_time", "seq", "price", "prev_price",
                        pct_change("price", "prev_price").alias("change_pct"),

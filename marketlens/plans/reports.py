@@ -72,6 +72,27 @@ def portfolio_kpis(overview: DataFrame) -> DataFrame:
     )
 
 
+def portfolio_display(overview: DataFrame) -> DataFrame:
+    """The portfolio table as displayed: 4-place prices, thousands-separated
+    volume and a signed percentage (values are already rounded, so the text
+    is exact)."""
+    return overview.select(
+        "symbol",
+        F.format_string("%.4f", "latest_price").alias("latest_price_text"),
+        F.format_string("%.4f", "avg_price").alias("avg_price_text"),
+        F.format_number("total_volume", 0).alias("total_volume_text"),
+        F.format_string("%+.2f%%", "vs_avg_pct").alias("vs_avg_text"),
+    )
+
+
+def portfolio_kpis_display(kpis: DataFrame) -> DataFrame:
+    return kpis.select(
+        F.format_number("total_volume", 0).alias("total_volume_text"),
+        F.col("top_volume_symbol"),
+        F.format_string("%d / %d", "above_avg", "n_symbols").alias("above_avg_text"),
+    )
+
+
 # --- R3: alerts page ---------------------------------------------------------
 
 def recent_alerts(alerts: DataFrame, n: int = RECENT_ALERTS) -> DataFrame:
