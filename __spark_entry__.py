@@ -138,6 +138,14 @@ def q_ingest_normalise(spark, d):
     return sb.normalise_frames(frames, F.lit(REFETCH_TS).cast("timestamp_ntz"))
 
 
+def q_ingest_directory(spark, d):
+    bars = fx.orders_bars(spark, d)
+    root = scratch_dir(spark, "symbol_files")
+    sb.write_symbol_files(bars.select(*[F.col(c).alias(c.capitalize()) for c in sb.BAR_FIELDS],
+                                      "symbol"), root)
+    return sb.ingest_directory(spark, root, "csv", F.lit(REFETCH_TS).cast("timestamp_ntz"))
+
+
 def q_lookback_slice(spark, d):
     table = sb.materialise(_raw(spark, d), scratch_dir(spark, "raw_table"))
     return sb.lookback_slice(table, RUN_DATE, 365)
@@ -273,6 +281,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_audit": lambda s, d: sb.load_audit(q_raw_load(s, d)),
         "nanos_to_date": q_nanos_to_date,
         "ingest_normalise": q_ingest_normalise,
+        "ingest_directory": q_ingest_directory,
         "lookback_slice": q_lookback_slice,
         "universe_filter": lambda s, d: sb.universe_filter(_raw(s, d), UNIVERSE_SUBSET),
         "dedup_latest": lambda s, d: sb.dedup_latest(_raw(s, d)),
@@ -644,6 +653,8 @@ def oracle_sql() -> dict[str, str]:
             CAST(o_orderdate AS DATE) AS date FROM orders""",
         "ingest_normalise": _with(("bars", BARS_OR), body=f"""SELECT date, open, high, low, close,
             volume, symbol, TIMESTAMP '{REFETCH_TS}' AS ingested_at FROM bars"""),
+        "ingest_directory": _with(("bars", BARS_OR), body=f"""SELECT date, open, high, low, close,
+            volume, symbol, TIMESTAMP '{REFETCH_TS}' AS ingested_at FROM bars"""),
         "lookback_slice": _with(("raw", RAW_OR), body=f"""SELECT * FROM raw
             WHERE date >= DATE '{RUN_DATE}' - 365 AND date < DATE '{RUN_DATE}'"""),
         "universe_filter": _with(("raw", RAW_OR), body="SELECT * FROM raw WHERE symbol IN ("

@@ -154,3 +154,31 @@ def load_raw_columns(land: DataFrame) -> DataFrame:
     if "dt" in land.columns:
         cols.append(F.col("dt").alias("_dt"))
     return land.select(*cols)
+
+
+def write_symbol_files(frames_by_symbol: DataFrame, root: str, fmt: str = "csv") -> str:
+    """Land per-symbol bar files the way a market-data fetch delivers them
+    (``symbol=<s>/`` folders, capitalised headers such as ``Date,Open``)."""
+    (frames_by_symbol.write.mode("overwrite").partitionBy("symbol")
+     .option("header", "true").format(fmt).save(root))
+    return root
+
+
+def ingest_directory(spark: SparkSession, root: str, fmt: str = "csv",
+                     ingested_at: Column | None = None) -> DataFrame:
+    """All per-symbol files under ``root`` in one scan -> raw bars.
+
+    The scalable form of ``normalise_frames``: one plan whatever the number of
+    symbols; column names are lower-cased and the symbol comes from the
+    ``symbol=`` folder (partition discovery, typed as text).
+    """
+    land = (spark.read.format(fmt).option("header", "true").option("inferSchema", "false")
+            .load(root))
+    lowered = land.toDF(*[c.lower() for c in land.columns])
+    ts = ingested_at if ingested_at is not None else F.current_timestamp().cast("timestamp_ntz")
+    return lowered.select(
+        F.col("date").cast("date").alias("date"),
+        *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
+        F.col("volume").cast("long").alias("volume"),
+        F.col("symbol").cast("string").alias("symbol"),
+        ts.alias("ingested_at"))

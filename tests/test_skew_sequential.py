@@ -61,3 +61,27 @@ def test_latest_by_ties_take_one_whole_row(spark):
     df = spark.createDataFrame(rows, "k string, t int, v double, w long")
     r = latest_by(df, ["k"], "t", ["k", "t", "v", "w"]).first()
     assert r.v + r.w == 100.0     # both columns from the same tied row
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from([None, "A", "B", "C"]),
+                          st.one_of(st.none(), st.floats(-1e6, 1e6, allow_nan=False))),
+                min_size=1, max_size=60),
+       st.randoms(use_true_random=False))
+def test_segmented_ops_property(spark, rows, rnd):
+    days = rnd.sample(range(0, 4000), len(rows))       # unique dates over ~11 years
+    base = dt.date(2000, 1, 1)
+    data = [(s, base + dt.timedelta(days=d), v) for (s, v), d in zip(rows, days)]
+    df = spark.createDataFrame(data, "symbol string, date date, close double")
+    w = Window.partitionBy("symbol").orderBy("date")
+    want = {(r.symbol, r.date): (r.p, r.m) for r in df.select(
+        "symbol", "date", F.lag("close").over(w).alias("p"),
+        F.max("close").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m")).collect()}
+    lag = segmented_lag(df, "symbol", "date", "close", F.year("date"), "p")
+    both = segmented_running_max(lag, "symbol", "date", "close", F.year("date"), "m")
+    got = {(r.symbol, r.date): (r.p, r.m) for r in both.collect()}
+    assert got == want
