@@ -96,20 +96,21 @@ def var_95(daily: DataFrame) -> DataFrame:
             .agg(F.round(var_95_value() * 100, 4).alias("var_95_pct")))
 
 
-def latest_prices(daily: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+def latest_prices(daily: DataFrame, bars: DataFrame | None = None) -> DataFrame:
     """Bars on the global latest date (uncorrelated scalar subquery, run once).
 
-    ``dates`` is any frame with the same dates as ``daily`` (the bars it was
-    computed from, or the stored table); the subquery then reads one column
-    of it instead of re-running the returns plan.
+    ``bars`` is the frame the daily rows were computed from (same rows, same
+    symbol/date/close), or the stored table: the latest rows need none of the
+    return columns, so reading them there skips the returns window entirely.
     """
-    last_date = (daily if dates is None else dates).select(F.max("date")).scalar()
-    return (daily.filter(F.col("date") == last_date)
-                 .select("symbol", F.col("close").alias("latest_close"),
-                         F.col("date").alias("latest_date")))
+    src = daily if bars is None else bars
+    last_date = src.select(F.max("date")).scalar()
+    return (src.filter(F.col("date") == last_date)
+               .select("symbol", F.col("close").alias("latest_close"),
+                       F.col("date").alias("latest_date")))
 
 
-def portfolio_summary(daily: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+def portfolio_summary(daily: DataFrame, bars: DataFrame | None = None) -> DataFrame:
     """Per-symbol price summary joined (inner) to the latest bar.
 
     Both sides are aggregated before they meet: the return rows to one row
@@ -125,7 +126,7 @@ def portfolio_summary(daily: DataFrame, dates: DataFrame | None = None) -> DataF
         F.max("close").alias("_max_close"),
         F.avg("volume").alias("_avg_volume"),
     )
-    latest = (latest_prices(daily, dates).groupBy("symbol", "latest_close", "latest_date")
+    latest = (latest_prices(daily, bars).groupBy("symbol", "latest_close", "latest_date")
               .agg(F.count(F.lit(1)).alias("_mult")))
     return stats.join(latest, "symbol", "inner").select(
         "symbol",
