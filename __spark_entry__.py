@@ -25,6 +25,7 @@ from marketlens.operators import quality as dq
 from marketlens.sources import bars as sb
 from marketlens.session import scratch_dir
 from marketlens.streaming import alerts_stream as stx
+from marketlens.functions.scalar import utc_wall_clock
 from pyspark.sql import functions as F
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -57,7 +58,7 @@ def _ticks(spark, d):
 def q_tick_parse(spark, d):
     text = tk.ticks_as_json(_ticks(spark, d))
     return (tk.parse_ticks(text)
-            .select("symbol", "price", F.col("event_time").cast("timestamp_ntz").alias("event_time")))
+            .select("symbol", "price", utc_wall_clock(F.col("event_time")).alias("event_time")))
 
 
 def q_tick_stats(spark, d):
@@ -202,7 +203,7 @@ def q_tick_stream(spark, d):
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     stx.run_to_end(q)
     return (spark.read.parquet(sink)
-            .select("symbol", "price", F.col("event_time").cast("timestamp_ntz").alias("event_time")))
+            .select("symbol", "price", utc_wall_clock(F.col("event_time")).alias("event_time")))
 
 
 def q_stream_alerts(spark, d):

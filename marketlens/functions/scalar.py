@@ -80,6 +80,21 @@ def nanos_to_date(nanos) -> Column:
     return F.date_from_unix_date(F.round((n - F.pmod(n, day)) / day).cast("int"))
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def utc_instant(ntz) -> Column:
+    """TIMESTAMP_NTZ read as UTC wall-clock -> TIMESTAMP instant (session-zone free)."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _c(ntz))
+    return F.timestamp_micros(micros)
+
+
+def utc_wall_clock(ts) -> Column:
+    """TIMESTAMP instant -> its UTC wall-clock as TIMESTAMP_NTZ (session-zone free)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)),
+                           F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def minute_bucket(ts) -> Column:
     """Truncate a timestamp to its minute (as TIMESTAMP_NTZ)."""
     return F.date_trunc("minute", _c(ts)).cast("timestamp_ntz")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.scalar import (
     DROP_THRESHOLD, VOLATILITY_THRESHOLD, ZSCORE_THRESHOLD, deterministic_id,
-    direction, guarded_ratio, pct_change,
+    direction, guarded_ratio, pct_change, utc_wall_clock,
 )
 from marketlens.operators.sequential import epoch_units, order_key, segmented_lag
 
@@ -132,12 +132,18 @@ def window_alerts(ticks: DataFrame, window: str = "1 day") -> DataFrame:
 
 
 def to_alert_table(rows: DataFrame) -> DataFrame:
-    start = F.col("w.start").cast("timestamp_ntz")
+    """Window alert rows -> alert table; window bounds as UTC wall-clock."""
+    instant = rows.schema["w"].dataType["start"].dataType.typeName() == "timestamp"
+
+    def ntz(c):
+        return utc_wall_clock(F.col(c)) if instant else F.col(c)
+
+    start, end = ntz("w.start"), ntz("w.end")
     return rows.select(
         deterministic_id("symbol", "alert_type", start).alias("alert_id"),
         "symbol", "alert_type",
         F.round("metric_value", 6).alias("metric_value"),
         F.col("threshold_value"),
         F.col("price_at_alert"),
-        F.col("w.end").cast("timestamp_ntz").alias("triggered_at"),
+        end.alias("triggered_at"),
     )

@@ -9,18 +9,25 @@ are not JSON at all).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.functions.scalar import pct_change
+from marketlens.functions.scalar import pct_change, utc_instant
 from marketlens.schemas import TICK_MESSAGE
 
 # ISO-8601 with microseconds and a numeric offset, e.g. 2024-01-01T00:00:07.179575+00:00
 ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+# Zone the encoder writes offsets in (times are UTC instants).
+ENCODE_ZONE = "UTC"
 # Value of the "source" field of generated messages.
 SOURCE_TAG = "simulated"
 
 
+def _instant(name: str) -> Column:
+    # NTZ tick times are UTC wall-clock; instants are written with their offset
+    return utc_instant(F.col(name))
+
+
 def parse_ticks(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON text (or Kafka binary ``value``) -> symbol, price, event_time (TIMESTAMP)."""
     text = F.col(value_col).cast("string")
@@ -39,16 +46,16 @@ def encode_ticks(ticks: DataFrame) -> DataFrame:
     body = F.struct(
         F.col("symbol"), F.col("price"), prev.alias("prev_price"),
         pct_change("price", prev).alias("change_pct"),
-        F.col("event_time").cast("timestamp").alias("timestamp"),
+        _instant("event_time").alias("timestamp"),
         F.lit(SOURCE_TAG).alias("source"))
     return ticks.select(F.col("symbol").alias("key"),
-                        F.to_json(body, {"timestampFormat": ISO_TS}).alias("value"))
+                        F.to_json(body, {"timestampFormat": ISO_TS, "timeZone": ENCODE_ZONE}).alias("value"))
 
 
 def ticks_as_json(ticks: DataFrame) -> DataFrame:
     """One JSON line per tick (symbol, price, timestamp) in a ``value`` column."""
-    body = F.struct("symbol", "price", F.col("event_time").cast("timestamp").alias("timestamp"))
-    return ticks.select(F.to_json(body, {"timestampFormat": ISO_TS}).alias("value"))
+    body = F.struct("symbol", "price", _instant("event_time").alias("timestamp"))
+    return ticks.select(F.to_json(body, {"timestampFormat": ISO_TS, "timeZone": ENCODE_ZONE}).alias("value"))
 
 
 def write_tick_files(ticks: DataFrame, path: str) -> str:

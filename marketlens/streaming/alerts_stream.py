@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from marketlens.functions.scalar import deterministic_id
+from marketlens.functions.scalar import deterministic_id, utc_wall_clock
 from marketlens.operators.alerts import alert_rows, stat_aggs, tick_stats, to_alert_table
 
 
@@ -32,7 +32,7 @@ def batch_alert_table(batch: DataFrame, batch_id: int) -> DataFrame:
     return rows.select(
         deterministic_id("symbol", "alert_type", F.lit(batch_id)).alias("alert_id"),
         "symbol", "alert_type", "metric_value", "threshold_value", "price_at_alert",
-        F.current_timestamp().cast("timestamp_ntz").alias("triggered_at"))
+        utc_wall_clock(F.current_timestamp()).alias("triggered_at"))
 
 
 def micro_batch_writer(sink: str):

@@ -29,3 +29,19 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[0] == "symbol" and df.count() > 0
+
+
+ZONE_SENSITIVE = ["tick_parse", "tick_encode", "tick_stream", "alerts", "stream_alerts_windowed",
+                  "stream_alerts", "raw_load", "nanos_to_date", "alerts_timeline", "dedup_latest"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    """Tick times are UTC instants and dates are zone-free: a non-UTC session
+    gives the same rows."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        info = compare(spark, con, E.queries()[name], SQL[name], SMALL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert info["values_ok"] and info["spark_rows"] == info["oracle_rows"], info
