@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marketlens.operators import correlation as corr
 from marketlens.operators import quality, risk
@@ -43,7 +44,9 @@ def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str,
     out_dir = out_dir.rstrip("/")
     base = dedup_latest(raw)
     stg = stage_view(stg_prices(base), "stg_stock_prices")
-    daily = materialise(daily_returns(stg), f"{out_dir}/int_stock_daily")
+    # the core table is laid out by bar year: date-range reads prune folders
+    daily = materialise(daily_returns(stg).withColumn("year", F.year("date")),
+                        f"{out_dir}/int_stock_daily", partition_by="year").drop("year")
     tables = {
         "int_stock_daily": daily,
         "mart_risk_metrics": materialise(risk.risk_metrics(daily), f"{out_dir}/mart_risk_metrics"),

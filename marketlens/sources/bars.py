@@ -96,7 +96,11 @@ def lookback_slice(raw: DataFrame, run_date: str, days: int = 365) -> DataFrame:
     """Bars in ``[run_date - days, run_date)``; a plain date range, so it
     reaches the Parquet scan as pushed filters."""
     end = F.to_date(F.lit(run_date))
-    return raw.filter((F.col("date") >= F.date_sub(end, days)) & (F.col("date") < end))
+    start = F.date_sub(end, days)
+    cond = (F.col("date") >= start) & (F.col("date") < end)
+    if "year" in raw.columns:   # a table laid out by year: prune its folders too
+        cond = cond & (F.col("year") >= F.year(start)) & (F.col("year") <= F.year(end))
+    return raw.filter(cond)
 
 
 def universe_filter(df: DataFrame, symbols: Sequence[str]) -> DataFrame:
@@ -126,10 +130,18 @@ def rerun_overwrite(spark: SparkSession, root: str, rows: DataFrame, run_date: s
     return removed
 
 
-def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Write a model as a full-refresh table and read it back (cuts lineage)."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def materialise(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Write a model as a full-refresh table and read it back (cuts lineage).
+
+    ``partition_by`` lays the table out in folders (e.g. by year) so later
+    date-range reads prune whole partitions.
+    """
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    return back.select(*df.columns) if partition_by else back
 
 
 def stage_view(df: DataFrame, name: str) -> DataFrame:

@@ -36,3 +36,20 @@ def test_risk_mart_scan_is_pruned(spark):
     p = _plan(E.q_mart_risk_metrics(spark, SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate" in p
     assert "o_orderpriority" not in p
+
+
+def test_core_table_is_laid_out_by_year_and_pruned(spark):
+    from marketlens.plans import pipeline as pl
+    out_dir = scratch_dir(spark, "t_models")
+    pl.run_batch(fx.orders_raw(spark, SMALL), fx.ORDERS_UNIVERSE, out_dir, gate=False)
+    table = spark.read.parquet(f"{out_dir}/int_stock_daily")
+    assert "year" in table.columns
+    p = _plan(sb.lookback_slice(table, "2000-01-01"))
+    assert "PartitionFilters: [isnotnull(year" in p and "PushedFilters: [IsNotNull(date)" in p
+
+
+def test_sized_conf():
+    from marketlens.session import sized_conf
+    c = sized_conf(100 * (1 << 40), 8000)          # 100 TiB on 8,000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 819200
+    assert sized_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
