@@ -2,15 +2,14 @@
 
 Plan (no pair is ever emitted per date, nothing passes through the driver):
 
-1. ``returns_pivot``: one row per date, one column per configured symbol,
-   ``MAX(CASE WHEN symbol = s THEN daily_return END)`` (duplicates collapse).
-   Partial aggregation on ``date``; the wire carries at most one row per
-   (map task, date).
-2. Gram blocks: each task turns its pivoted rows into N x N partial sums
-   (count, sums, squares, products over rows where both symbols have a
-   return, plus min/max for an exact constant test) with numpy matrix
-   products inside ``mapInPandas`` (Arrow batches), and emits N(N-1)/2
-   partial rows - per task, not per date.
+1. return rows (date, symbol index, return) are shuffled once by date; the
+   per-(date, symbol) MAX collapses duplicate bars without another exchange.
+2. Gram blocks: each task sorts its rows by date, turns each date into a
+   vector over the configured symbols, and folds blocks of vectors into
+   N x N partial sums (count, sums, squares, products over dates where both
+   symbols have a return, plus min/max for an exact constant test) with
+   numpy matrix products inside ``mapInPandas`` (Arrow batches); it emits
+   N(N-1)/2 partial rows - per task, not per date.
 3. ``groupBy(i, j)`` merges the partials (map-side combined), and Pearson's r
    follows from the sums.  Fewer than two common dates or a constant series
    give NULL (a bare ``corr`` raises under ANSI).
@@ -18,7 +17,9 @@ Plan (no pair is ever emitted per date, nothing passes through the driver):
 Returns are small numbers and a pair has at most one term per date, so the
 sum form keeps far more precision than the 4-place rounding needs.  (A single
 wide aggregation with 3-8 aggregates per pair was tried first: its generated
-code grows with N^2 and cost seconds per query already at N = 8.)
+code grows with N^2 and cost seconds per query already at N = 8.)  The
+``returns_pivot`` report keeps the wide conditional-MAX form, since its output
+is the date x symbol table itself.
 
 The universe is configuration (the ticker list), so its size is a known
 bound; the cost grows with dates x pairs and is spread over all tasks.  A
@@ -62,19 +63,21 @@ _PARTIAL_SCHEMA = ("i int, j int, n long, sx double, sy double, sxx double, syy
 
 
 def _gram_partials(n_sym: int):
-    """Per-task partial pair sums over a block of pivoted rows (numpy).
-
-    For x = column i and y = column j, restricted to rows where both exist:
-    count, sums, sums of squares and products, and min/max of each side
-    (for an exact constant-series test).  Row chunks keep the N x N x rows
-    temporaries bounded.  A task always emits all N(N-1)/2 pairs, even with
-    no input, so every configured pair reaches the result.
+    """Per-task partial pair sums from (date, k, r) rows sorted by date (numpy).
+
+    Rows of a date are turned into one vector of the N configured symbols
+    (NaN where a symbol has no return); blocks of such vectors give, for
+    x = symbol i and y = symbol j on the dates where both exist: count, sums,
+    sums of squares and products, and min/max of each side (for an exact
+    constant-series test).  A date split across Arrow batches is carried to the
+    next batch, so memory stays at one batch.  A task always emits all
+    N(N-1)/2 pairs, even without input, so every configured pair reaches the
+    result.
     """
     import numpy as np
     import pandas as pd
 
-    cols = [_col(k) for k in range(n_sym)]
-    chunk = max(1, 4_000_000 // max(1, n_sym * n_sym))
+    block = max(1, 4_000_000 // max(1, n_sym * n_sym))
 
     def run(batches):
         n = np.zeros((n_sym, n_sym))
@@ -83,21 +86,42 @@ def _gram_partials(n_sym: int):
         sxy = np.zeros((n_sym, n_sym))
         mn = np.full((n_sym, n_sym), np.inf)
         mx = np.full((n_sym, n_sym), -np.inf)
-        for pdf in batches:
-            full = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
-            for start in range(0, len(full), chunk):
-                x = full[start:start + chunk]
-                m = ~np.isnan(x)
+
+        def add(dates, ks, rs):
+            nonlocal n, s, ss, sxy, mn, mx
+            codes, _ = pd.factorize(dates, sort=False)
+            x = np.full((codes.max() + 1, n_sym), np.nan)
+            x[codes, ks] = rs
+            for start in range(0, len(x), block):
+                xb = x[start:start + block]
+                m = ~np.isnan(xb)
                 mf = m.astype("float64")
-                x0 = np.where(m, x, 0.0)
-                n += mf.T @ mf                 # n[i, j]   rows with both i and j
+                x0 = np.where(m, xb, 0.0)
+                n += mf.T @ mf                 # n[i, j]   dates with both i and j
                 s += x0.T @ mf                 # s[i, j]   sum of x_i where j exists
                 ss += (x0 * x0).T @ mf         # ss[i, j]  sum of x_i^2 where j exists
                 sxy += x0.T @ x0               # sum of x_i * x_j where both exist
                 both = m[:, :, None] & m[:, None, :]
-                xi = np.broadcast_to(x[:, :, None], both.shape)
+                xi = np.broadcast_to(xb[:, :, None], both.shape)
                 mn = np.minimum(mn, np.where(both, xi, np.inf).min(axis=0))
                 mx = np.maximum(mx, np.where(both, xi, -np.inf).max(axis=0))
+
+        held = None
+        for pdf in batches:
+            if held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            if pdf.empty:
+                held = None
+                continue
+            last = pdf["date"].iloc[-1]
+            tail = (pdf["date"] == last).to_numpy()
+            held = pdf[tail]                     # the last date may continue
+            done = pdf[~tail]
+            if len(done):
+                add(done["date"].to_numpy(), done["k"].to_numpy(), done["r"].to_numpy())
+        if held is not None and len(held):
+            add(held["date"].to_numpy(), held["k"].to_numpy(), held["r"].to_numpy())
+
         iu, ju = np.triu_indices(n_sym, k=1)
 
         def nan_inf(a):
@@ -113,9 +137,22 @@ def _gram_partials(n_sym: int):
 
 
 def pair_sums(daily: DataFrame, universe: Sequence[str]) -> DataFrame:
-    """Per-pair sums over common dates: partial Gram blocks merged by (i, j)."""
-    wide = _pivot_positional(daily, universe)
-    parts = wide.mapInPandas(_gram_partials(len(universe)), _PARTIAL_SCHEMA)
+    """Per-pair sums over common dates: partial Gram blocks merged by (i, j).
+
+    Return rows are shuffled once, by date; the per-(date, symbol) MAX that
+    collapses duplicate bars needs no second exchange (hash partitioning on
+    date already clusters (date, symbol)); each task then sorts its rows by
+    date and folds them into its Gram block.  No step is N columns wide.
+    """
+    index = F.create_map(*[x for i, u in enumerate(universe) for x in (F.lit(u), F.lit(i))])
+    rets = (valid_returns(daily)
+            .select("date", index[F.col("symbol")].alias("k"), "daily_return")
+            .filter(F.col("k").isNotNull()))
+    per_day = (rets.repartition("date").groupBy("date", "k")
+               .agg(F.max("daily_return").alias("r"))
+               .filter(F.col("r").isNotNull())
+               .sortWithinPartitions("date"))
+    parts = per_day.mapInPandas(_gram_partials(len(universe)), _PARTIAL_SCHEMA)
     return parts.groupBy("i", "j").agg(
         F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"),
         F.sum("sxx").alias("sxx"), F.sum("syy").alias("syy"), F.sum("sxy").alias("sxy"),
