@@ -72,15 +72,26 @@ def load_audit(raw: DataFrame) -> DataFrame:
                    F.count_distinct("symbol").alias("n_symbols"))
 
 
-def normalise_frames(frames: Mapping[str, DataFrame], ingested_at: Column | None = None) -> DataFrame:
+class NoDataError(ValueError):
+    """Raised when an ingest run produced no bar for any symbol."""
+
+
+def _require_rows(df: DataFrame) -> DataFrame:
+    if df.isEmpty():                 # one cheap action: stops at the first row
+        raise NoDataError("no data fetched for any symbol")
+    return df
+
+
+def normalise_frames(frames: Mapping[str, DataFrame], ingested_at: Column | None = None,
+                     require_data: bool = True) -> DataFrame:
     """Per-symbol frames (any column case) -> one bar frame with symbol and ingest time.
 
     Column names are lower-cased, ``symbol`` and ``ingested_at`` added and
-    the frames unioned by name.  No frame at all is an error; frames without
-    rows add nothing.
+    the frames unioned by name.  Frames without rows add nothing; no row for
+    any symbol is an error (``NoDataError``) unless ``require_data`` is off.
     """
     if not frames:
-        raise ValueError("no data fetched for any symbol")
+        raise NoDataError("no data fetched for any symbol")
     ts = ingested_at if ingested_at is not None else F.current_timestamp().cast("timestamp_ntz")
     parts = []
     for sym, df in frames.items():
@@ -89,7 +100,8 @@ def normalise_frames(frames: Mapping[str, DataFrame], ingested_at: Column | None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(*RAW_COLUMNS)
+    out = out.select(*RAW_COLUMNS)
+    return _require_rows(out) if require_data else out
 
 
 def lookback_slice(raw: DataFrame, run_date: str, days: int = 365) -> DataFrame:
@@ -177,7 +189,7 @@ def write_symbol_files(frames_by_symbol: DataFrame, root: str, fmt: str = "csv")
 
 
 def ingest_directory(spark: SparkSession, root: str, fmt: str = "csv",
-                     ingested_at: Column | None = None) -> DataFrame:
+                     ingested_at: Column | None = None, require_data: bool = True) -> DataFrame:
     """All per-symbol files under ``root`` in one scan -> raw bars.
 
     The scalable form of ``normalise_frames``: one plan whatever the number of
@@ -188,9 +200,10 @@ def ingest_directory(spark: SparkSession, root: str, fmt: str = "csv",
             .load(root))
     lowered = land.toDF(*[c.lower() for c in land.columns])
     ts = ingested_at if ingested_at is not None else F.current_timestamp().cast("timestamp_ntz")
-    return lowered.select(
+    out = lowered.select(
         F.col("date").cast("date").alias("date"),
         *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
         F.col("volume").cast("long").alias("volume"),
         F.col("symbol").cast("string").alias("symbol"),
         ts.alias("ingested_at"))
+    return _require_rows(out) if require_data else out

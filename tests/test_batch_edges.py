@@ -131,3 +131,15 @@ def test_correlation_matches_brute_force_on_wide_universe(spark):
             assert v is None, (a, b, v)
         else:
             assert v == pytest.approx(round(w, 4), abs=1e-4), (a, b)
+
+
+def test_ingest_without_any_rows_is_an_error(bars):
+    from marketlens.sources.bars import NoDataError, normalise_frames
+    empty = bars([("A", 0, 1.0)]).limit(0).select(
+        *[c.capitalize() for c in ("date", "open", "high", "low", "close", "volume")])
+    with pytest.raises(NoDataError):
+        normalise_frames({"A": empty, "B": empty})
+    one = bars([("A", 0, 1.0)]).select(
+        *[c.capitalize() for c in ("date", "open", "high", "low", "close", "volume")])
+    out = normalise_frames({"A": one, "B": empty}).collect()
+    assert [(r.symbol, r.close) for r in out] == [("A", 1.0)]
