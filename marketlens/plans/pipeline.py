@@ -10,6 +10,7 @@ tables and finishes with the data-quality gate.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,14 +48,16 @@ def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str,
     # the core table is laid out by bar year: date-range reads prune folders
     daily = materialise(daily_returns(stg).withColumn("year", F.year("date")),
                         f"{out_dir}/int_stock_daily", partition_by="year").drop("year")
-    tables = {
-        "int_stock_daily": daily,
-        "mart_risk_metrics": materialise(risk.risk_metrics(daily), f"{out_dir}/mart_risk_metrics"),
-        "mart_portfolio_summary": materialise(risk.portfolio_summary(daily),
-                                              f"{out_dir}/mart_portfolio_summary"),
-        "mart_correlation": materialise(corr.correlation(daily, universe),
-                                        f"{out_dir}/mart_correlation"),
+    marts = {
+        "mart_risk_metrics": risk.risk_metrics(daily),
+        "mart_portfolio_summary": risk.portfolio_summary(daily),
+        "mart_correlation": corr.correlation(daily, universe),
     }
+    # the marts only read the stored core table: write them as concurrent jobs
+    with ThreadPoolExecutor(max_workers=len(marts)) as pool:
+        done = {name: pool.submit(materialise, df, f"{out_dir}/{name}")
+                for name, df in marts.items()}
+        tables = {"int_stock_daily": daily, **{name: f.result() for name, f in done.items()}}
     checked = {"raw_stock_prices": raw, **tables}
     if alerts is not None:
         checked["risk_alerts"] = alerts
