@@ -51,3 +51,19 @@ def test_windowed_stream_equals_batch_windows(spark):
     assert streamed and set(streamed) <= set(batch)
     for k, r in streamed.items():
         assert r.asDict() == batch[k].asDict()
+
+
+def test_processing_time_trigger(spark):
+    ticks = fx.events_ticks(spark, SMALL)
+    src = tk.write_tick_files(ticks, scratch_dir(spark, "pt_in"))
+    sink, ck = scratch_dir(spark, "pt_sink"), scratch_dir(spark, "pt_ck")
+    q = stx.start_micro_batch_alerts(tk.read_tick_stream(spark, src), sink, ck,
+                                     trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = stx.read_alerts(spark, sink)
+    assert out.count() > 0
+    assert set(out.columns) >= {"alert_id", "symbol", "alert_type", "metric_value",
+                                "threshold_value", "price_at_alert", "triggered_at", "batch_id"}
