@@ -48,7 +48,8 @@ def q_mart_risk_metrics(spark, d):
 
 
 def q_mart_correlation(spark, d):
-    return corr.correlation(_daily_or(spark, d), fx.ORDERS_UNIVERSE)
+    # fixture bars are one per (symbol, date): a single shuffle by date suffices
+    return corr.correlation(_daily_or(spark, d), fx.ORDERS_UNIVERSE, unique_bars=True)
 
 
 def _ticks(spark, d):

@@ -136,22 +136,27 @@ def _gram_partials(n_sym: int):
     return run
 
 
-def pair_sums(daily: DataFrame, universe: Sequence[str]) -> DataFrame:
+def pair_sums(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False) -> DataFrame:
     """Per-pair sums over common dates: partial Gram blocks merged by (i, j).
 
-    Return rows are shuffled once, by date; the per-(date, symbol) MAX that
-    collapses duplicate bars needs no second exchange (hash partitioning on
-    date already clusters (date, symbol)); each task then sorts its rows by
-    date and folds them into its Gram block.  No step is N columns wide.
+    Duplicate bars of a (date, symbol) collapse by MAX.  By default that is a
+    partial aggregate before any shuffle (a heavily duplicated bar is combined
+    map-side), then the one-row-per-(date, symbol) returns are shuffled by
+    date.  With ``unique_bars`` (the caller guarantees one bar per symbol and
+    date, e.g. after ``dedup_latest``) the rows are shuffled by date once and
+    the MAX runs there without another exchange.  Each task then sorts its
+    rows by date and folds them into its Gram block.  No step is N columns wide.
     """
     index = F.create_map(*[x for i, u in enumerate(universe) for x in (F.lit(u), F.lit(i))])
     rets = (valid_returns(daily)
             .select("date", index[F.col("symbol")].alias("k"), "daily_return")
             .filter(F.col("k").isNotNull()))
-    per_day = (rets.repartition("date").groupBy("date", "k")
-               .agg(F.max("daily_return").alias("r"))
-               .filter(F.col("r").isNotNull())
-               .sortWithinPartitions("date"))
+    if unique_bars:
+        per_day = rets.repartition("date").groupBy("date", "k").agg(F.max("daily_return").alias("r"))
+    else:
+        per_day = (rets.groupBy("date", "k").agg(F.max("daily_return").alias("r"))
+                   .repartition("date"))
+    per_day = per_day.filter(F.col("r").isNotNull()).sortWithinPartitions("date")
     parts = per_day.mapInPandas(_gram_partials(len(universe)), _PARTIAL_SCHEMA)
     return parts.groupBy("i", "j").agg(
         F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"),
@@ -172,10 +177,10 @@ def _pearson() -> Column:
     return F.round(F.when(ok, cov / F.sqrt(vx * vy)), 4)
 
 
-def correlation(daily: DataFrame, universe: Sequence[str]) -> DataFrame:
+def correlation(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False) -> DataFrame:
     """Correlation mart: ``symbol_1, symbol_2, correlation`` per unordered pair."""
     names = F.array(*[F.lit(u) for u in universe])
-    return pair_sums(daily, universe).select(
+    return pair_sums(daily, universe, unique_bars).select(
         F.element_at(names, F.col("i") + 1).alias("symbol_1"),
         F.element_at(names, F.col("j") + 1).alias("symbol_2"),
         _pearson().alias("correlation"))

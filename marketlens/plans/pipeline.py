@@ -31,7 +31,7 @@ def build_models(raw: DataFrame, universe: Sequence[str], dedup: bool = True) ->
         "int_stock_daily": daily,
         "mart_risk_metrics": risk.risk_metrics(daily_returns(stg, keep_segment=True)),
         "mart_portfolio_summary": risk.portfolio_summary(daily, stg),
-        "mart_correlation": corr.correlation(daily, universe),
+        "mart_correlation": corr.correlation(daily, universe, unique_bars=dedup),
     }
 
 
@@ -51,7 +51,7 @@ def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str,
     marts = {
         "mart_risk_metrics": risk.risk_metrics(daily),
         "mart_portfolio_summary": risk.portfolio_summary(daily),
-        "mart_correlation": corr.correlation(daily, universe),
+        "mart_correlation": corr.correlation(daily, universe, unique_bars=True),
     }
     # the marts only read the stored core table: write them as concurrent jobs
     with ThreadPoolExecutor(max_workers=len(marts)) as pool:
