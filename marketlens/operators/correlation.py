@@ -2,35 +2,36 @@
 
 Plan (no pair is ever emitted per date, nothing passes through the driver):
 
-1. return rows (date, symbol index, return) are shuffled once by date; the
-   per-(date, symbol) MAX collapses duplicate bars without another exchange.
-2. Gram blocks: each task sorts its rows by date, turns each date into a
-   vector over the configured symbols, and folds blocks of vectors into
-   N x N partial sums (count, sums, squares, products over dates where both
-   symbols have a return, plus min/max for an exact constant test) with
-   numpy matrix products inside ``mapInPandas`` (Arrow batches); it emits
-   N(N-1)/2 partial rows - per task, not per date.
-3. ``groupBy(i, j)`` merges the partials (map-side combined), and Pearson's r
-   follows from the sums.  Fewer than two common dates or a constant series
-   give NULL (a bare ``corr`` raises under ANSI).
-
-Returns are small numbers and a pair has at most one term per date, so the
-sum form keeps far more precision than the 4-place rounding needs.  (A single
-wide aggregation with 3-8 aggregates per pair was tried first: its generated
-code grows with N^2 and cost seconds per query already at N = 8.)  The
-``returns_pivot`` report keeps the wide conditional-MAX form, since its output
-is the date x symbol table itself.
-
-The universe is configuration (the ticker list), so its size is a known
-bound; the cost grows with dates x pairs and is spread over all tasks.  A
-configured symbol without data still gets its pairs, with NULL correlation.
+1. return rows (date, symbol index, return) are shuffled by date; duplicate
+   bars of a (date, symbol) collapse by MAX (map-side, unless the bars are
+   known to be one per day).
+2. each task sorts its rows by date, turns each date into a vector over the
+   configured symbols, and folds blocks of vectors into centred pair moments
+   (count, means, sums of squares and co-moment over the dates where both
+   symbols have a return, plus min/max for an exact constant test) with numpy
+   inside ``mapInPandas`` (Arrow batches); it emits N(N-1)/2 rows - per task,
+   not per date.
+3. the per-task moments merge with Chan's parallel formulas (pooled means from
+   a window over each pair's per-task rows, then one ``groupBy(i, j)``), and
+   Pearson's r follows.  Centred moments keep full precision for series with a
+   large mean.  Fewer than two common dates or a constant series give NULL (a
+   bare ``corr`` raises under ANSI).
+
+A single wide aggregation with 3-8 aggregates per pair was tried first: its
+generated code grows with N^2 and cost seconds per query already at N = 8.
+The ``returns_pivot`` report keeps the wide conditional-MAX form, since its
+output is the date x symbol table itself.
+
+The universe is configuration (the ticker list); the cost grows with
+dates x pairs and is spread over all tasks.  A configured symbol without data
+still gets its pairs, with NULL correlation.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.operators.returns import valid_returns
@@ -58,53 +59,64 @@ def returns_pivot(daily: DataFrame, universe: Sequence[str]) -> DataFrame:
     return wide.select("date", *[F.col(_col(i)).alias(s) for i, s in enumerate(universe)])
 
 
-_PARTIAL_SCHEMA = ("i int, j int, n long, sx double, sy double, sxx double, syy double, "
-                   "sxy double, mnx double, mxx double, mny double, mxy double")
+_PARTIAL_SCHEMA = ("i int, j int, n long, mx double, my double, m2x double, m2y double, "
+                   "cxy double, mnx double, mxx double, mny double, mxy double")
 
 
 def _gram_partials(n_sym: int):
-    """Per-task partial pair sums from (date, k, r) rows sorted by date (numpy).
-
-    Rows of a date are turned into one vector of the N configured symbols
-    (NaN where a symbol has no return); blocks of such vectors give, for
-    x = symbol i and y = symbol j on the dates where both exist: count, sums,
-    sums of squares and products, and min/max of each side (for an exact
-    constant-series test).  A date split across Arrow batches is carried to the
-    next batch, so memory stays at one batch.  A task always emits all
-    N(N-1)/2 pairs, even without input, so every configured pair reaches the
-    result.
+    """Per-task centred pair moments from (date, k, r) rows sorted by date (numpy).
+
+    Rows of a date become one vector over the N configured symbols (NaN where
+    a symbol has no return).  For x = symbol i and y = symbol j on the dates
+    where both exist, each block of vectors gives count, means, centred sums
+    of squares and the centred co-moment (two passes over the block, so no
+    cancellation); blocks merge with Chan's parallel update.  Min/max of each
+    side allow an exact constant-series test.  A date split across Arrow
+    batches is carried to the next batch, so memory stays at one batch.  A
+    task always emits all N(N-1)/2 pairs, even without input, so every
+    configured pair reaches the result.
     """
     import numpy as np
     import pandas as pd
 
-    block = max(1, 4_000_000 // max(1, n_sym * n_sym))
+    block = max(1, 2_000_000 // max(1, n_sym * n_sym))
+    shape = (n_sym, n_sym)
 
     def run(batches):
-        n = np.zeros((n_sym, n_sym))
-        s = np.zeros((n_sym, n_sym))
-        ss = np.zeros((n_sym, n_sym))
-        sxy = np.zeros((n_sym, n_sym))
-        mn = np.full((n_sym, n_sym), np.inf)
-        mx = np.full((n_sym, n_sym), -np.inf)
+        # running moments; entry [i, j]: x = symbol i restricted to dates with j
+        n = np.zeros(shape)
+        mean = np.zeros(shape)
+        m2 = np.zeros(shape)
+        c = np.zeros(shape)               # co-moment of (i, j); symmetric
+        mn = np.full(shape, np.inf)
+        mx = np.full(shape, -np.inf)
 
         def add(dates, ks, rs):
-            nonlocal n, s, ss, sxy, mn, mx
+            nonlocal n, mean, m2, c, mn, mx
             codes, _ = pd.factorize(dates, sort=False)
-            x = np.full((codes.max() + 1, n_sym), np.nan)
-            x[codes, ks] = rs
-            for start in range(0, len(x), block):
-                xb = x[start:start + block]
+            vec = np.full((codes.max() + 1, n_sym), np.nan)
+            vec[codes, ks] = rs
+            for start in range(0, len(vec), block):
+                xb = vec[start:start + block]
                 m = ~np.isnan(xb)
-                mf = m.astype("float64")
-                x0 = np.where(m, xb, 0.0)
-                n += mf.T @ mf                 # n[i, j]   dates with both i and j
-                s += x0.T @ mf                 # s[i, j]   sum of x_i where j exists
-                ss += (x0 * x0).T @ mf         # ss[i, j]  sum of x_i^2 where j exists
-                sxy += x0.T @ x0               # sum of x_i * x_j where both exist
-                both = m[:, :, None] & m[:, None, :]
-                xi = np.broadcast_to(xb[:, :, None], both.shape)
-                mn = np.minimum(mn, np.where(both, xi, np.inf).min(axis=0))
-                mx = np.maximum(mx, np.where(both, xi, -np.inf).max(axis=0))
+                both = m[:, :, None] & m[:, None, :]             # rows x i x j
+                xi = np.where(both, xb[:, :, None], 0.0)
+                nb = both.sum(axis=0).astype("float64")
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    mb = np.where(nb > 0, xi.sum(axis=0) / nb, 0.0)
+                d = np.where(both, xb[:, :, None] - mb[None, :, :], 0.0)
+                m2b = (d * d).sum(axis=0)
+                cb = np.einsum("rij,rji->ij", d, d)              # sum (x_i - m_ij)(x_j - m_ji)
+                mn = np.minimum(mn, np.where(both, xb[:, :, None], np.inf).min(axis=0))
+                mx = np.maximum(mx, np.where(both, xb[:, :, None], -np.inf).max(axis=0))
+                tot = n + nb
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    w = np.where(tot > 0, n * nb / tot, 0.0)
+                    delta = mb - mean
+                    c = c + cb + delta * delta.T * w
+                    m2 = m2 + m2b + delta * delta * w
+                    mean = np.where(tot > 0, mean + delta * np.where(tot > 0, nb / tot, 0.0), 0.0)
+                n = tot
 
         held = None
         for pdf in batches:
@@ -124,28 +136,31 @@ def _gram_partials(n_sym: int):
 
         iu, ju = np.triu_indices(n_sym, k=1)
 
-        def nan_inf(a):
+        def finite(a):
             return np.where(np.isfinite(a), a, np.nan)
 
         yield pd.DataFrame({
             "i": iu.astype("int32"), "j": ju.astype("int32"), "n": n[iu, ju].astype("int64"),
-            "sx": s[iu, ju], "sy": s[ju, iu], "sxx": ss[iu, ju], "syy": ss[ju, iu],
-            "sxy": sxy[iu, ju], "mnx": nan_inf(mn[iu, ju]), "mxx": nan_inf(mx[iu, ju]),
-            "mny": nan_inf(mn[ju, iu]), "mxy": nan_inf(mx[ju, iu])})
+            "mx": mean[iu, ju], "my": mean[ju, iu], "m2x": m2[iu, ju], "m2y": m2[ju, iu],
+            "cxy": c[iu, ju], "mnx": finite(mn[iu, ju]), "mxx": finite(mx[iu, ju]),
+            "mny": finite(mn[ju, iu]), "mxy": finite(mx[ju, iu])})
 
     return run
 
 
-def pair_sums(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False) -> DataFrame:
-    """Per-pair sums over common dates: partial Gram blocks merged by (i, j).
+def pair_moments(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False) -> DataFrame:
+    """Per-pair centred moments over common dates, merged over all tasks.
 
     Duplicate bars of a (date, symbol) collapse by MAX.  By default that is a
     partial aggregate before any shuffle (a heavily duplicated bar is combined
     map-side), then the one-row-per-(date, symbol) returns are shuffled by
     date.  With ``unique_bars`` (the caller guarantees one bar per symbol and
     date, e.g. after ``dedup_latest``) the rows are shuffled by date once and
-    the MAX runs there without another exchange.  Each task then sorts its
-    rows by date and folds them into its Gram block.  No step is N columns wide.
+    the MAX runs there without another exchange.  Each task sorts its rows by
+    date and folds them into centred moments; tasks merge with Chan's
+    formulas: the pooled means come from a window over each pair's per-task
+    rows (one row per task), then one ``groupBy(i, j)``.  No step is N columns
+    wide.
     """
     index = F.create_map(*[x for i, u in enumerate(universe) for x in (F.lit(u), F.lit(i))])
     rets = (valid_returns(daily)
@@ -158,29 +173,37 @@ def pair_sums(daily: DataFrame, universe: Sequence[str], unique_bars: bool = Fal
                    .repartition("date"))
     per_day = per_day.filter(F.col("r").isNotNull()).sortWithinPartitions("date")
     parts = per_day.mapInPandas(_gram_partials(len(universe)), _PARTIAL_SCHEMA)
-    return parts.groupBy("i", "j").agg(
-        F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"),
-        F.sum("sxx").alias("sxx"), F.sum("syy").alias("syy"), F.sum("sxy").alias("sxy"),
+    pair = Window.partitionBy("i", "j")
+    n_all = F.sum("n").over(pair)
+    pooled = parts.select(
+        "*",
+        F.try_divide(F.sum(F.col("n") * F.col("mx")).over(pair), n_all).alias("gx"),
+        F.try_divide(F.sum(F.col("n") * F.col("my")).over(pair), n_all).alias("gy"))
+    dx, dy = F.col("mx") - F.col("gx"), F.col("my") - F.col("gy")
+    return pooled.groupBy("i", "j").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("m2x") + F.col("n") * dx * dx).alias("m2x"),
+        F.sum(F.col("m2y") + F.col("n") * dy * dy).alias("m2y"),
+        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("cxy"),
         F.min("mnx").alias("mnx"), F.max("mxx").alias("mxx"),
         F.min("mny").alias("mny"), F.max("mxy").alias("mxy"))
 
 
 def _pearson() -> Column:
-    """r from the sums; NULL for fewer than two common dates or a constant
-    series on them (min = max, exact)."""
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    vx = n * F.col("sxx") - sx * sx
-    vy = n * F.col("syy") - sy * sy
-    cov = n * F.col("sxy") - sx * sy
-    ok = ((n >= 2) & (F.col("mnx") != F.col("mxx")) & (F.col("mny") != F.col("mxy"))
-          & (vx > 0) & (vy > 0))
-    return F.round(F.when(ok, cov / F.sqrt(vx * vy)), 4)
+    """r from the centred moments; NULL for fewer than two common dates or a
+    constant series on them (min = max, exact)."""
+    ok = ((F.col("n") >= 2) & (F.col("mnx") != F.col("mxx")) & (F.col("mny") != F.col("mxy"))
+          & (F.col("m2x") > 0) & (F.col("m2y") > 0))
+    r = F.col("cxy") / F.sqrt(F.col("m2x") * F.col("m2y"))
+    return F.round(F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))), 4)
 
 
 def correlation(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False) -> DataFrame:
-    """Correlation mart: ``symbol_1, symbol_2, correlation`` per unordered pair."""
+    """Correlation mart: ``symbol_1, symbol_2, correlation`` per unordered pair.
+
+    Every configured pair is present (NULL without two common dates)."""
     names = F.array(*[F.lit(u) for u in universe])
-    return pair_sums(daily, universe, unique_bars).select(
+    return pair_moments(daily, universe, unique_bars).select(
         F.element_at(names, F.col("i") + 1).alias("symbol_1"),
         F.element_at(names, F.col("j") + 1).alias("symbol_2"),
         _pearson().alias("correlation"))

@@ -143,3 +143,20 @@ def test_ingest_without_any_rows_is_an_error(bars):
         *[c.capitalize() for c in ("date", "open", "high", "low", "close", "volume")])
     out = normalise_frames({"A": one, "B": empty}).collect()
     assert [(r.symbol, r.close) for r in out] == [("A", 1.0)]
+
+
+def test_correlation_keeps_precision_for_large_means(spark):
+    """Centred moments: series around 1e8 with unit-size moves still give the
+    right correlation (raw sums of squares would cancel away every digit)."""
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(5)
+    a = [1e8 + rnd.gauss(0, 1) for _ in range(300)]
+    b = [x + rnd.gauss(0, 1) for x in a]
+    rows = [(day(d), "A", a[d]) for d in range(300)] + [(day(d), "B", b[d]) for d in range(300)]
+    df = spark.createDataFrame(rows, "date date, symbol string, daily_return double")
+    got = corr.correlation(df, ["A", "B"]).first()["correlation"]
+    want = round(pd.Series(a).corr(pd.Series(b)), 4)
+    assert got == pytest.approx(want, abs=1e-4)
