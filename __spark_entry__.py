@@ -301,6 +301,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_alerts": q_stream_alerts,
         "stream_alerts_windowed": lambda s, d: _windowed_run(s, d, 1),
         "stream_restart": lambda s, d: _windowed_run(s, d, 2),
+        "recent_alerts_streamed": lambda s, d: rp.recent_alerts(_windowed_run(s, d, 1)),
     }
 
 
@@ -690,4 +691,6 @@ def oracle_sql() -> dict[str, str]:
                    price_at_alert FROM rules WHERE metric_value > threshold_value"""),
         "stream_alerts_windowed": _with(("alerts_t", ALERTS_WINDOWED), body=CLOSED_WINDOWS),
         "stream_restart": _with(("alerts_t", ALERTS_WINDOWED), body=CLOSED_WINDOWS),
+        "recent_alerts_streamed": _with(("alerts_w", ALERTS_WINDOWED), ("alerts_t", CLOSED_WINDOWS.replace(
+            "FROM alerts_t", "FROM alerts_w")), body=RECENT),
     }
