@@ -22,8 +22,19 @@ from pyspark.sql import functions as F
 UNIVERSE_SIZE = 8
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the relation is built once per session and path (the
+    driver's tables are read-only), so repeated reads skip file listing and
+    footer schema inference."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def universe(prefix: str) -> list[str]:
