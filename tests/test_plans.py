@@ -53,3 +53,28 @@ def test_sized_conf():
     c = sized_conf(100 * (1 << 40), 8000)          # 100 TiB on 8,000 cores
     assert int(c["spark.sql.shuffle.partitions"]) == 819200
     assert sized_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_unbroadcast_carry_join_moves_only_the_carry(spark):
+    """Without broadcasts the patch join is a sort-merge join whose row side is
+    the window's (_key, _seg) exchange itself: tick_change shuffles the rows
+    once; the other exchanges carry per-segment rows only."""
+    import __spark_entry__ as E
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = [spark.conf.get(k, None) for k in keys]
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        df = E.queries()["tick_change"](spark, SMALL)
+        df.collect()
+        final = _plan(df).split("== Initial Plan ==")[0]
+    finally:
+        for k, v in zip(keys, old):
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    exchanges = [ln for ln in final.splitlines() if "Exchange hashpartitioning" in ln]
+    assert "SortMergeJoin" in final
+    assert len(exchanges) == 4, exchanges        # rows, carry partial, carry window, carry to join
+    assert sum("_ck#" in ln for ln in exchanges) == 1
