@@ -284,6 +284,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nanos_to_date": q_nanos_to_date,
         "ingest_normalise": q_ingest_normalise,
         "ingest_directory": q_ingest_directory,
+        "ingest_preview": lambda s, d: rp.preview(
+            q_ingest_normalise(s, d),
+            [F.array_position(F.array(*[F.lit(u) for u in fx.ORDERS_UNIVERSE]), F.col("symbol")),
+             "date"]),
         "lookback_slice": q_lookback_slice,
         "universe_filter": lambda s, d: sb.universe_filter(_raw(s, d), UNIVERSE_SUBSET),
         "dedup_latest": lambda s, d: sb.dedup_latest(_raw(s, d)),
@@ -658,6 +662,9 @@ def oracle_sql() -> dict[str, str]:
             volume, symbol, TIMESTAMP '{REFETCH_TS}' AS ingested_at FROM bars"""),
         "ingest_directory": _with(("bars", BARS_OR), body=f"""SELECT date, open, high, low, close,
             volume, symbol, TIMESTAMP '{REFETCH_TS}' AS ingested_at FROM bars"""),
+        "ingest_preview": _with(("bars", BARS_OR), body=f"""SELECT date, open, high, low, close,
+            volume, symbol, TIMESTAMP '{REFETCH_TS}' AS ingested_at FROM bars
+            ORDER BY list_position({list(U_OR)!r}, symbol), date LIMIT 10"""),
         "lookback_slice": _with(("raw", RAW_OR), body=f"""SELECT * FROM raw
             WHERE date >= DATE '{RUN_DATE}' - 365 AND date < DATE '{RUN_DATE}'"""),
         "universe_filter": _with(("raw", RAW_OR), body="SELECT * FROM raw WHERE symbol IN ("

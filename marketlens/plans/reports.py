@@ -25,6 +25,15 @@ def _argbest(value: str, by: str = "symbol", largest: bool = True) -> Column:
     return F.min_by(F.col(by), F.when(v.isNotNull(), key))
 
 
+# Rows shown by a fetch preview.
+PREVIEW_ROWS = 10
+
+
+def preview(df: DataFrame, order: Sequence, n: int = PREVIEW_ROWS) -> DataFrame:
+    """First ``n`` rows in a stated order (a top-k, so no full sort)."""
+    return df.orderBy(*order).limit(n)
+
+
 # --- R1: risk page -----------------------------------------------------------
 
 def risk_report(mart: DataFrame) -> DataFrame:
