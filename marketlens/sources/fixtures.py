@@ -32,7 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
+    stale = df is None or df.sparkSession is not spark or spark.sparkContext._jsc is None
+    if stale:
         df = _TABLES[key] = spark.read.parquet(path)
     return df
 
