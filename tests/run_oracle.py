@@ -45,7 +45,8 @@ def main(argv):
               f"{time.time()-t:.1f}s" + ("" if ok else " " + json.dumps(info, default=str)[:900]))
     print("FAILED" if bad else "ALL OK", bad)
     spark.stop()
+    return 1 if bad else 0
 
 
 if __name__ == "__main__":
-    main(sys.argv)
+    sys.exit(main(sys.argv))
