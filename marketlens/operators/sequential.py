@@ -5,7 +5,7 @@ row of a key into one task.  One symbol may hold a third of all ticks, so
 both are computed in two levels instead:
 
 1. rows are windowed by ``(key, segment)`` where ``segment`` is a coarse
-   time bucket (a year of daily bars, a day of ticks), which splits a hot
+   time bucket (a year of daily bars, an hour of ticks), which splits a hot
    key over many tasks;
 2. a per-``(key, segment)`` aggregate (partial, so one row per key, segment
    and map task crosses the wire) gives each segment's last value / maximum;
