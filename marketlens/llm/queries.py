@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import packing
+from marketlens.llm import packing, quality_rules, quality_sql
 from marketlens.llm.common import table
 
 
@@ -20,9 +20,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing,)}
+    return {f.__name__: f for f in (op1_packing, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_quality_rules": quality_sql.report_sql()}
