@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import packing, quality_rules, quality_sql
+from marketlens.llm import line_dedup, packing, quality_rules, quality_sql
 from marketlens.llm.common import table
 
 
@@ -24,9 +24,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_packing, op7_quality_rules, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": quality_sql.report_sql()}
+    return {"op7_quality_rules": quality_sql.report_sql(),
+            "op10_line_dedup": line_dedup.report_sql()}
