@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import line_dedup, packing, quality_rules, quality_sql
+from marketlens.llm import line_dedup, packing, quality_rules, quality_sql, simhash
 from marketlens.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
@@ -29,7 +33,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op7_quality_rules, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_packing, op4_simhash, op7_quality_rules, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
