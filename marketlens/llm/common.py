@@ -24,6 +24,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def through_arrow(df: DataFrame, task, schema) -> DataFrame:
+    """``mapInArrow`` for any column names (it can't take dots): the task sees columns by position."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(task, schema)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` doesn't have yet (names compare case-insensitively)."""
     taken = {c.lower() for c in df.columns}

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import free_name, stored, text_or_empty
+from marketlens.llm.common import free_name, stored, text_or_empty, through_arrow
 
 SPACE = " \t\n\x0b\x0c\r"
 MIN_KEY_CHARS = 10
@@ -157,8 +157,11 @@ def repeated_keys(docs: DataFrame, doc: str, text: str) -> DataFrame:
             .groupBy("doc").agg(F.collect_list("key").alias("keys")))
 
 
-def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _dropped(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from (dropped(batch) for batch in batches)
+
+    def dropped(batch: pa.RecordBatch) -> pa.RecordBatch:
         cols = [batch.column(c) for c in range(batch.num_columns - 2)]
         n_lines, n_dropped, kept = [], [], []
         for text, lost in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)):
@@ -173,8 +176,9 @@ def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append("\n".join(stay) if len(stay) < len(lines) else text)
         cols += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()),
                  pa.array(kept, batch.schema.field(batch.num_columns - 2).type)]
-        names = batch.schema.names[:-2] + ["n_lines", "n_dropped", "kept"]
-        yield pa.RecordBatch.from_arrays(cols, names=names)
+        return pa.RecordBatch.from_arrays(cols, names=names)
+
+    return run
 
 
 def dedup_lines(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -194,11 +198,7 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     schema = StructType([*docs.schema.fields]).add(names["n_lines"], LongType()) \
         .add(names["n_dropped"], LongType()).add(names["kept"], StringType())
 
-    def run(batches):
-        for b in _dropped(batches):
-            yield b.rename_columns(b.schema.names[:-3] + list(names.values()))
-
-    return joined.mapInArrow(run, schema), names
+    return through_arrow(joined, _dropped(schema.names), schema), names
 
 
 def report(docs: DataFrame) -> DataFrame:

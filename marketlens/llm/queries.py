@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import line_dedup, packing, quality_rules, quality_sql, simhash
+from marketlens.llm import byte_bpe, line_dedup, packing, quality_rules, quality_sql, simhash
 from marketlens.llm.common import table
 
 
@@ -20,6 +20,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.report(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"),
+                           public_tokenizers.PATTERN)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(table(spark, sf_dir, "documents"))
 
@@ -33,7 +40,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op4_simhash, op7_quality_rules, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_byte_bpe, op4_simhash, op7_quality_rules, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
