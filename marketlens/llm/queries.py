@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import byte_bpe, line_dedup, packing, quality_rules, quality_sql, simhash
+from marketlens.llm import byte_bpe, language_id, learned_ann, line_dedup, packing, quality_rules, quality_sql, simhash
 from marketlens.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.PATTERN)
 
 
+def op3_learned_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_ann.search(table(spark, sf_dir, "embeddings"), every=20)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(table(spark, sf_dir, "documents"))
 
@@ -35,12 +39,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_byte_bpe, op4_simhash, op7_quality_rules, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_byte_bpe, op3_learned_ann, op4_simhash, op7_quality_rules,
+                                   op8_language_id, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
