@@ -37,11 +37,26 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words covered by 3-word windows that occur twice or more in the text."""
-    window = F.struct
-    windows = F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda w, i: window(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
+    """Words covered by 3-word windows that occur twice or more in the text.
+
+    Window hashes are sorted with their positions as one long each (33 bits of
+    the hash, 31 of the position); equal neighbours are candidates, and only these
+    are compared by their whole hash.
+    """
+    low = (1 << 31) - 1
+    hashes = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
+                         lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+
+    def candidates(h: Column) -> Column:
+        packed = F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
+
+        def alike(a: Column, b: Column) -> Column:
+            return a.bitwiseXOR(b).between(0, low)
+
+        near = bound(packed, lambda s: F.filter(
+            s, lambda x, i: alike(F.get(s, i - 1), x) | alike(F.get(s, i + 1), x)))
+        at = F.transform(near, lambda x: x.bitwiseAND(F.lit(low)).cast("int"))
+        return F.sort_array(F.transform(at, lambda i: F.struct(F.get(h, i).alias("h"), i.alias("i"))))
 
     def positions(s: Column) -> Column:
         twice = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
@@ -51,20 +66,27 @@ def _repeat_words(words: Column) -> Column:
         steps = F.transform(p, lambda x, i: F.least(F.lit(3), x - F.coalesce(F.get(p, i - 1), x - 3)))
         return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
-    return bound(bound(F.sort_array(windows), positions), covered)
+    def total(h: Column) -> Column:
+        none = F.size(F.array_distinct(h)) == F.size(h)
+        return F.when(none, F.lit(0)).otherwise(bound(bound(candidates(h), positions), covered))
+
+    return bound(hashes, total)
 
 
 def counts(text: Column, repeats: bool = True) -> Column:
-    """Struct of the counts of one text, all as long, and its lines with a word."""
-    flat = F.translate(text, SPACES, " " * len(SPACES))
+    """Struct of the counts of one text, all as long, and of its lines with a word."""
+    flat = text
+    for c in SPACES:
+        flat = F.replace(flat, F.lit(c), F.lit(" "))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     words = F.array_remove(F.split(flat, " "), "")
+    symbols = F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))
 
     def build(w: Column) -> Column:
         return bound(lines, lambda x: F.struct(
             F.size(w).cast("long").alias("n_words"),
-            F.char_length(F.translate(flat, " ", "")).cast("long").alias("word_chars"),
-            (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+            F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            F.when(text.rlike("[#*$%&|<>]"), symbols).otherwise(F.lit(0)).cast("long").alias("n_symbols"),
             (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             (_repeat_words(w) if repeats else F.lit(0)).cast("long").alias("n_repeat_words"),
             F.size(x).cast("long").alias("n_lines")))
