@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import byte_bpe, language_id, learned_ann, line_dedup, packing, quality_rules, quality_sql, simhash
+from marketlens.llm import byte_bpe, chat, language_id, learned_ann, line_dedup, packing, quality_rules, quality_sql, simhash
 from marketlens.llm.common import table
 
 
@@ -43,15 +43,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.report(table(spark, sf_dir, "documents"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_packing, op2_byte_bpe, op3_learned_ann, op4_simhash, op7_quality_rules,
-                                   op8_language_id, op10_line_dedup)}
+                                   op8_language_id, op9_chat, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op7_quality_rules": quality_sql.report_sql(),
+            "op9_chat": chat.render_sql(),
             "op10_line_dedup": line_dedup.report_sql()}
