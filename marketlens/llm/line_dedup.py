@@ -29,16 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.llm import repeats
 from marketlens.llm.common import free_name, stored, text_or_empty, through_arrow
 
 SPACE = " \t\n\x0b\x0c\r"
 MIN_KEY_CHARS = 10
 #: Filter bits per line, at an assumed 40 bytes a line.
 BITS_PER_LINE, LINE_BYTES = 12, 40
-MIN_BITS, MAX_BITS = 1 << 20, 1 << 30
-CHUNK_BITS = 1 << 18
-#: Distinct hashes that a task holds before it passes them on.
-HELD = 1 << 20
+MAX_BITS = 1 << 30
 LAST = (1 << 63) - 1
 
 
@@ -52,83 +50,23 @@ def _hashes(keys) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, len(keys))
 
 
-def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit numbers within the hash's chunk (the chunk is the top bits)."""
-    return ((h & np.uint64(CHUNK_BITS - 1)).astype(np.int64),
-            (h >> np.uint64(18) & np.uint64(CHUNK_BITS - 1)).astype(np.int64))
+def _document_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for text in batch.column(0):
+        keys = {k for k in keys_of(text.as_py()) if k is not None}
+        if keys:
+            yield _hashes(keys)
 
 
-def _dealt(shift: int):
-    """Hashes of the documents' distinct keys, packed by chunk."""
-    def pack(held: list[np.ndarray]) -> pa.RecordBatch:
-        # a hash twice in a task stays twice: that alone puts it into the second filter
-        h, n = np.unique(np.concatenate(held), return_counts=True)
-        h = np.sort(np.concatenate([h, h[n > 1]]))
-        chunk = (h >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(h), np.int64)
-        cut = np.flatnonzero(np.diff(chunk)) + 1
-        parts = np.split(h, cut)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(chunk[np.r_[0, cut]], pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-            names=["chunk", "hashes"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in batches:
-            for text in batch.column(0):
-                keys = {k for k in keys_of(text.as_py()) if k is not None}
-                if keys:
-                    held.append(_hashes(keys))
-                    n += len(keys)
-                if n >= HELD:
-                    yield pack(held)
-                    held, n = [], 0
-        if held:
-            yield pack(held)
-
-    return run
-
-
-def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The second filter's slice of each chunk; rows come sorted by chunk."""
-    names = ["chunk", "twice"]
-    at, once, twice = None, None, None
-
-    def out():
-        packed = np.packbits(twice, bitorder="little").tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([packed], pa.binary())], names=names)
-
-    for batch in batches:
-        for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if chunk != at:
-                if at is not None:
-                    yield out()
-                at, once, twice = chunk, np.zeros(CHUNK_BITS, bool), np.zeros(CHUNK_BITS, bool)
-            h, n = np.unique(np.frombuffer(blob, np.uint64), return_counts=True)
-            a, b = _bits(h)
-            again = once[a] & once[b] | (n > 1)
-            twice[a[again]] = twice[b[again]] = True
-            once[a] = once[b] = True
-    if at is not None:
-        yield out()
-
-
-def _suspects(found, shift: int):
+def _suspects(found):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice = found.value
         for batch in batches:
             docs, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = list({k for k in keys_of(text.as_py()) if k is not None})
-                if not own:
-                    continue
-                h = _hashes(own)
-                chunk = (h >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(h), np.int64)
-                hit = np.ones(len(h), bool)
-                for bit in _bits(h):
-                    hit &= twice[chunk, bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
-                hit = np.flatnonzero(hit)
-                docs += [doc] * len(hit)
-                keys += [own[i] for i in hit]
+                if own:
+                    hit = np.flatnonzero(repeats.suspected(found.value, _hashes(own)))
+                    docs += [doc] * len(hit)
+                    keys += [own[i] for i in hit]
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(keys, pa.binary())],
                                              names=["doc", "key"])
 
@@ -137,20 +75,11 @@ def _suspects(found, shift: int):
 
 def repeated_keys(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """(doc, keys): by document, the keys whose lines it loses."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(MAX_BITS, max(MIN_BITS, 1 << (size * BITS_PER_LINE // LINE_BYTES).bit_length()))
-    chunks = bits // CHUNK_BITS
-    shift = 64 - (chunks.bit_length() - 1)
-    dealt = texts.select("text").mapInArrow(_dealt(shift), "chunk int, hashes binary")
-    filled = stored(dealt.repartition("chunk").sortWithinPartitions("chunk")
-                    .mapInArrow(_filled, "chunk int, twice binary"), "line_filter")
-    twice = np.zeros((chunks, CHUNK_BITS // 8), np.uint8)
-    for row in filled.toLocalIterator():  # at most MAX_BITS / 8 bytes
-        twice[row.chunk] = np.frombuffer(row.twice, np.uint8)
-    suspects = stored(texts.mapInArrow(_suspects(spark.sparkContext.broadcast(twice), shift),
-                                       "doc long, key binary"), "line_suspects")
+    bits = repeats.filter_bits(size // LINE_BYTES, BITS_PER_LINE, MAX_BITS)
+    found = repeats.seen_twice(texts.select("text"), _document_hashes, bits)
+    suspects = stored(texts.mapInArrow(_suspects(found), "doc long, key binary"), "line_suspects")
     first = (suspects.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .filter("first < last").select("key", "first"))
     return (suspects.join(first, "key").filter("doc > first").select("doc", "key")

@@ -3,7 +3,7 @@ import random
 
 import duckdb
 
-from marketlens.llm import line_dedup
+from marketlens.llm import line_dedup, repeats
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -50,8 +50,7 @@ def test_against_brute_force(spark):
 
 
 def test_full_filters_only_add_suspects(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "MAX_BITS", line_dedup.CHUNK_BITS)
-    monkeypatch.setattr(line_dedup, "MIN_BITS", line_dedup.CHUNK_BITS)
+    monkeypatch.setattr(line_dedup, "MAX_BITS", repeats.CHUNK_BITS)
     df = spark.createDataFrame(ROWS, "doc_id long, text string")
     assert sorted(r.n_dropped for r in line_dedup.report(df).collect()) == sorted(x[2] for x in brute(ROWS))
 
