@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import byte_bpe, chat, language_id, learned_ann, line_dedup, packing, quality_rules, quality_sql, simhash, training_order
+from marketlens.llm import byte_bpe, chat, language_id, learned_ann, line_dedup, packing, quality_rules, quality_sql, simhash, suffix_dedup, training_order
 from marketlens.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.report(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -56,7 +60,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_byte_bpe, op3_learned_ann, op4_simhash, op6_training_order, op7_quality_rules,
+    return {f.__name__: f for f in (op1_packing, op2_byte_bpe, op3_learned_ann, op4_simhash, op5_suffix_dedup,
+                                   op6_training_order, op7_quality_rules,
                                    op8_language_id, op9_chat, op10_line_dedup)}
 
 
