@@ -197,7 +197,7 @@ def q_dq_unique(spark, d):
 
 
 # Event-time scope of the streaming alert queries.
-STREAM_WINDOW, STREAM_WATERMARK = "1 day", "1 hour"
+STREAM_WINDOW = "1 day"
 
 
 def _tick_files(spark, d):
@@ -225,13 +225,28 @@ def q_stream_alerts(spark, d):
                     "threshold_value", "price_at_alert"))
 
 
-def _windowed_run(spark, d, runs=1):
-    src_path = _tick_files(spark, d)
+def q_stream_two_runs(spark, d):
+    """Two runs, each with its own checkpoint and half of the ticks, append to one sink."""
+    sink = scratch_dir(spark, "alerts_out")
+    for half in (0, 1):
+        files = tk.write_tick_files(_ticks(spark, d).filter(F.col("seq") % 2 == half), scratch_dir(spark, "ticks_in"))
+        src, ck = tk.read_tick_stream(spark, files), scratch_dir(spark, "alerts_ck")
+        stx.run_to_end(stx.start_micro_batch_alerts(src, sink, ck))
+    return (stx.read_alerts(spark, sink)
+            .select("symbol", "alert_type", F.round("metric_value", 6).alias("metric_value"),
+                    "threshold_value", "price_at_alert"))
+
+
+def _windowed_run(spark, d, runs=1, shuffled=False):
+    ticks = _ticks(spark, d)
+    if shuffled:   # five files, none in time order, one per batch
+        ticks = ticks.repartitionByRange(5, F.xxhash64("seq"))
+    src_path = tk.write_tick_files(ticks, scratch_dir(spark, "ticks_in"))
     sink, ck = scratch_dir(spark, "walerts_out"), scratch_dir(spark, "walerts_ck")
     for _ in range(runs):   # a rerun on the same checkpoint must add nothing
-        src = tk.read_tick_stream(spark, src_path)
-        stx.run_to_end(stx.start_windowed_alerts(src, sink, ck, STREAM_WINDOW, STREAM_WATERMARK))
-    return stx.read_alerts(spark, sink)
+        src = tk.read_tick_stream(spark, src_path, 1 if shuffled else None)
+        stx.run_to_end(stx.start_windowed_alerts(src, sink, ck, STREAM_WINDOW))
+    return stx.read_windowed_alerts(spark, sink)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -312,6 +327,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_alerts": q_stream_alerts,
         "stream_alerts_windowed": lambda s, d: _windowed_run(s, d, 1),
         "stream_restart": lambda s, d: _windowed_run(s, d, 2),
+        "stream_alerts_unordered": lambda s, d: _windowed_run(s, d, 1, shuffled=True),
+        "stream_alerts_two_runs": q_stream_two_runs,
         "recent_alerts_streamed": lambda s, d: rp.recent_alerts(_windowed_run(s, d, 1)),
     }
     for module in EXTRA:
@@ -332,8 +349,8 @@ FROM orders GROUP BY 1, 2"""
 
 BARS_EV = """
 SELECT CAST(ts AS DATE) AS date, 'U' || CAST(user_id % 8 AS VARCHAR) AS symbol,
-       arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
-       arg_max(value, ts) AS close, count(*) AS volume
+       arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+       arg_max(value, (ts, event_id)) AS close, count(*) AS volume
 FROM events GROUP BY 1, 2"""
 
 DAILY = """
@@ -418,10 +435,11 @@ FROM (SELECT m.*, a.ord AS o1, b.ord AS o2 FROM mart m
       JOIN uni a ON a.sym = m.symbol_1 JOIN uni b ON b.sym = m.symbol_2)"""
 
 
-TICKS = "SELECT event_type AS symbol, value AS price, ts AS event_time, event_id AS seq FROM events"
+TICKS = ("SELECT event_type AS symbol, value AS price, ts AS event_time, event_id AS seq, "
+         "event_id % 1000 + 1 AS volume FROM events")
 
 TICK_CHANGE = """
-SELECT symbol, event_time, seq, price, LAG(price) OVER w AS prev_price,
+SELECT symbol, event_time, seq, price, volume, LAG(price) OVER w AS prev_price,
        CASE WHEN LAG(price) OVER w IS NOT NULL AND LAG(price) OVER w <> 0
             THEN ROUND((price - LAG(price) OVER w) / LAG(price) OVER w * 100, 4) ELSE 0.0 END AS change_pct,
        CASE WHEN LAG(price) OVER w IS NULL THEN NULL
@@ -436,6 +454,7 @@ SELECT symbol AS key,
        || ',"change_pct":' || CAST(CASE WHEN COALESCE(prev_price, price) <> 0
             THEN ROUND((price - COALESCE(prev_price, price)) / COALESCE(prev_price, price) * 100, 4)
             ELSE 0.0 END AS VARCHAR)
+       || ',"volume":' || CAST(volume AS VARCHAR)
        || ',"timestamp":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00"'
        || ',"source":"simulated"}' AS value
 FROM chg"""
@@ -559,11 +578,6 @@ def _dq_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-# Append mode emits a window once the watermark (max event time - 1 hour) passes its end.
-CLOSED_WINDOWS = """SELECT * FROM alerts_t
-WHERE triggered_at <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR"""
-
-
 def _with(*ctes: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + body
 
@@ -706,10 +720,15 @@ def oracle_sql() -> dict[str, str]:
                                ("rules", _rules_sql("symbol")), body="""
             SELECT symbol, alert_type, ROUND(metric_value, 6) AS metric_value, threshold_value,
                    price_at_alert FROM rules WHERE metric_value > threshold_value"""),
-        "stream_alerts_windowed": _with(("alerts_t", ALERTS_WINDOWED), body=CLOSED_WINDOWS),
-        "stream_restart": _with(("alerts_t", ALERTS_WINDOWED), body=CLOSED_WINDOWS),
-        "recent_alerts_streamed": _with(("alerts_w", ALERTS_WINDOWED), ("alerts_t", CLOSED_WINDOWS.replace(
-            "FROM alerts_t", "FROM alerts_w")), body=RECENT),
+        "stream_alerts_windowed": ALERTS_WINDOWED,
+        "stream_restart": ALERTS_WINDOWED,
+        "stream_alerts_unordered": ALERTS_WINDOWED,
+        "stream_alerts_two_runs": _with(
+            ("ticks", f"SELECT *, seq % 2 AS half FROM ({TICKS})"), ("stats", _stats_sql("half, symbol")),
+            ("rules", _rules_sql("half, symbol")), body="""
+            SELECT symbol, alert_type, ROUND(metric_value, 6) AS metric_value, threshold_value,
+                   price_at_alert FROM rules WHERE metric_value > threshold_value"""),
+        "recent_alerts_streamed": _with(("alerts_t", ALERTS_WINDOWED), body=RECENT),
     }
     for module in EXTRA:
         own |= module.oracle_sql()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.scalar import (
-    DROP_THRESHOLD, VOLATILITY_THRESHOLD, ZSCORE_THRESHOLD, deterministic_id,
+    ALERT_TYPES, DROP_THRESHOLD, VOLATILITY_THRESHOLD, ZSCORE_THRESHOLD, deterministic_id,
     direction, guarded_ratio, pct_change, utc_wall_clock,
 )
 from marketlens.operators.sequential import epoch_units, order_key, segmented_lag
@@ -38,9 +38,7 @@ def latest_key(ticks: DataFrame) -> Column:
 
     A ``decimal(38,0)`` key (not a struct) keeps the stats aggregate hash-based.
     """
-    if "seq" in ticks.columns:
-        return order_key(ticks, "event_time", F.col("seq"))
-    return F.col("event_time")
+    return order_key(ticks, "event_time", F.col("seq") if "seq" in ticks.columns else None)
 
 
 def stat_aggs(key: Column) -> list[Column]:
@@ -79,7 +77,8 @@ def tick_change(ticks: DataFrame, segment_micros: int = MICROS_PER_HOUR) -> Data
     """
     seg = F.floor(epoch_units(ticks, "event_time") / F.lit(segment_micros))
     prev = segmented_lag(ticks, "symbol", ["event_time", "seq"], "price", seg, "prev_price")
-    return prev.select("symbol", "event_time", "seq", "price", "prev_price",
+    volume = [c for c in ("volume",) if c in ticks.columns]
+    return prev.select("symbol", "event_time", "seq", "price", "prev_price", *volume,
                        pct_change("price", "prev_price").alias("change_pct"),
                        direction("price", "prev_price").alias("direction"))
 
@@ -96,13 +95,13 @@ def alert_rows(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     cur = F.coalesce(F.col("latest_price"), avg)
     zscore = F.when(vol > 0, F.abs(cur - avg) / vol)
     rules = F.array(
-        F.struct(F.lit("HIGH_VOLATILITY").alias("alert_type"),
+        F.struct(F.lit(ALERT_TYPES[0]).alias("alert_type"),
                  guarded_ratio(vol, avg).alias("metric_value"),
                  F.lit(VOLATILITY_THRESHOLD).alias("threshold_value")),
-        F.struct(F.lit("PRICE_DROP").alias("alert_type"),
+        F.struct(F.lit(ALERT_TYPES[1]).alias("alert_type"),
                  guarded_ratio(mx - cur, mx).alias("metric_value"),
                  F.lit(DROP_THRESHOLD).alias("threshold_value")),
-        F.struct(F.lit("PRICE_ANOMALY").alias("alert_type"),
+        F.struct(F.lit(ALERT_TYPES[2]).alias("alert_type"),
                  zscore.alias("metric_value"),
                  F.lit(ZSCORE_THRESHOLD).alias("threshold_value")),
     )

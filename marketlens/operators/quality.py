@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.functions.scalar import ALERT_TYPES
+
 
 @dataclass(frozen=True)
 class Check:
@@ -38,7 +40,7 @@ class Check:
 
 
 # --- the declared suite (fixed: models, columns and predicates to check) ----
-ALERT_TYPE_VALUES = ("HIGH_VOLATILITY", "PRICE_DROP", "PRICE_ANOMALY")
+ALERT_TYPE_VALUES = ALERT_TYPES
 SUITE: tuple[Check, ...] = (
     Check("raw_stock_prices", "date", "not_null"),
     Check("raw_stock_prices", "symbol", "not_null"),

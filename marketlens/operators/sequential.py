@@ -16,12 +16,15 @@ both are computed in two levels instead:
    measures it small).
 
 The result equals the one-level window (ties on the order key aside, which
-have no defined order in either form).  The rows are shuffled once.
+have no defined order in either form); a NULL order value sorts first on every
+path.  The rows are shuffled once and the source is read once: the carry table
+is taken from the windowed rows, behind the same exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,8 +32,8 @@ from pyspark.sql import functions as F
 _SEG = "_seg"
 _KEY = "_key"
 SEGMENT_COLUMNS = (_KEY, _SEG)
-# Segment id used for rows whose segment expression is NULL.
-_NULL_SEGMENT = -(2 ** 31)
+# Segment id used for rows whose segment expression is NULL (they sort first).
+_NULL_SEGMENT = -(2 ** 63)
 
 
 def _keys(key) -> list[str]:
@@ -55,7 +58,7 @@ def _seg_rows(df: DataFrame, keys: list[str], order_cols: list[str], segment: Co
         rows = df
     else:
         rows = df.withColumns({_KEY: F.struct(*keys),
-                               _SEG: F.coalesce(segment.cast("int"), F.lit(_NULL_SEGMENT))})
+                               _SEG: F.coalesce(segment.cast("long"), F.lit(_NULL_SEGMENT))})
     w = Window.partitionBy(_KEY, _SEG).orderBy(*order_cols)
     return rows, w
 
@@ -76,14 +79,10 @@ def _patch(rows: DataFrame, carry: DataFrame) -> DataFrame:
     return rows.join(carry, cond, "left")
 
 
-def _order_value(df: DataFrame, order_cols: list[str]) -> Column:
-    """Ordering value for ``max_by``: the column itself, or a fixed-width key
-    for (time, sequence) orders (keeps the aggregate hash-based)."""
-    if len(order_cols) == 1:
-        return F.col(order_cols[0])
-    if len(order_cols) == 2:
-        return order_key(df, order_cols[0], F.col(order_cols[1]))
-    return F.struct(*order_cols)
+def _same_exchange(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Keep every column of ``rows`` alive in a branch that needs few of them, so
+    that both branches read one exchange (an always-true test of a row hash)."""
+    return rows.filter(F.hash(*[F.col(c) for c in columns]) >= F.lit(-2 ** 31))
 
 
 def _kept(columns: list[str], keep_segment: bool) -> list[str]:
@@ -99,11 +98,11 @@ def segmented_lag(df: DataFrame, key, order, value: str, segment: Column | None,
     """
     keys, order_cols = _keys(key), _order(order)
     rows, w = _seg_rows(df, keys, order_cols, segment)
-    # each segment's last value (a partial aggregate: one row per key,
-    # segment and map task on the wire), carried to the next segment
-    last = rows.groupBy(_KEY, _SEG).agg(F.max_by(value, _order_value(rows, order_cols)).alias("_v"))
-    carry = last.select(_KEY, _SEG, F.lag("_v").over(_carry_window()).alias("_prev_seg"))
     base = rows.columns
+    # each segment's last value, carried to the next segment
+    ends = _same_exchange(rows.select(*base, F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+                          .filter("_last"), base)
+    carry = ends.select(_KEY, _SEG, F.lag(value).over(_carry_window()).alias("_prev_seg"))
     rows = rows.select(*base, F.lag(value).over(w).alias("_prev_in"),
                        F.lag(F.lit(1)).over(w).isNull().alias("_first"))
     prev = F.when(F.col("_first"), F.col("_prev_seg")).otherwise(F.col("_prev_in"))
@@ -116,16 +115,21 @@ def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column
     keys, order_cols = _keys(key), _order(order)
     rows, w = _seg_rows(df, keys, order_cols, segment)
     frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # maximum of all earlier segments (partial aggregate, then a prefix max)
-    seg_max = rows.groupBy(_KEY, _SEG).agg(F.max(value).alias("_m"))
-    carry = seg_max.select(_KEY, _SEG, F.max("_m").over(_carry_window(-1)).alias("_prev_max"))
     base = rows.columns
+    windowed = rows.select(*base, F.max(value).over(frame).alias("_run_in"),
+                           F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+    # the running maximum of a segment's last row is the segment's; then a prefix maximum
+    ends = _same_exchange(windowed.filter("_last"), base)
+    carry = ends.select(_KEY, _SEG, F.max("_run_in").over(_carry_window(-1)).alias("_prev_max"))
     rows = rows.select(*base, F.max(value).over(frame).alias("_run_in"))
     run = F.greatest("_run_in", "_prev_max")
     return _patch(rows, carry).select(*_kept(base, keep_segment), run.alias(out))
 
 
-_TIE = 10 ** 18
+# Tie-breaks are any long: they take 64 bits below the primary value.
+_TIE_RANGE, _TIE_LEAST = Decimal(2 ** 64), -(2 ** 63)
+# Stands for a NULL primary value: below every time (in micro-seconds) that Spark has.
+_PRIMARY_LEAST = -(2 ** 62)
 
 
 def epoch_units(df: DataFrame, name: str) -> Column:
@@ -144,16 +148,19 @@ def epoch_units(df: DataFrame, name: str) -> Column:
 
 
 def order_key(df: DataFrame, primary: str, tiebreak: Column | None = None) -> Column:
-    """A fixed-width ``decimal(38,0)`` key: ``primary * 10^18 + tiebreak``.
+    """A fixed-width ``decimal(38,0)`` key: ``primary * 2^64`` plus the tie-break.
 
-    ``tiebreak`` must lie in ``[0, 10^18)``.  Unlike a struct, a decimal key
-    keeps ``max_by`` in a hash aggregate (no sort of the input).
+    The tie-break is any long; a NULL primary or tie-break sorts first and the key
+    is never NULL.  Unlike a struct, a decimal key keeps ``max_by`` in a hash
+    aggregate (no sort of the input).
     """
-    dec = "decimal(38,0)"
-    key = epoch_units(df, primary).cast(dec) * F.lit(_TIE).cast(dec)
+    def dec(x):
+        return x.cast("decimal(38,0)")
+
+    key = dec(F.coalesce(epoch_units(df, primary), F.lit(_PRIMARY_LEAST))) * F.lit(_TIE_RANGE)
     if tiebreak is not None:
-        key = key + tiebreak.cast(dec)
-    return key
+        key = dec(key) + dec(F.coalesce(tiebreak.cast("long"), F.lit(_TIE_LEAST)))
+    return dec(key)
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
@@ -167,6 +174,6 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str
     """
     keys = list(keys)
     rest = [c for c in cols if c not in keys]
-    tie = F.pmod(F.xxhash64(*[F.col(c) for c in rest]), F.lit(_TIE))
+    tie = F.xxhash64(*[F.col(c) for c in rest])
     k = order_key(df, order, tie)
     return df.groupBy(*keys).agg(*[F.max_by(c, k).alias(c) for c in rest])

@@ -35,16 +35,7 @@ LANDING_BARS = StructType([
 TICK_MESSAGE = StructType([
     StructField("symbol", StringType()),
     StructField("price", DoubleType()),
+    StructField("volume", LongType()),
     StructField("timestamp", TimestampType()),
-])
-
-# Alert rows written by the streaming job.
-ALERTS = StructType([
-    StructField("alert_id", StringType()),
-    StructField("symbol", StringType()),
-    StructField("alert_type", StringType()),
-    StructField("metric_value", DoubleType()),
-    StructField("threshold_value", DoubleType()),
-    StructField("price_at_alert", DoubleType()),
-    StructField("triggered_at", TimestampNTZType()),
+    StructField("seq", LongType()),
 ])

@@ -18,24 +18,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.operators.sequential import order_key
+
 # Symbols per synthetic universe (keys are taken modulo this number).
 UNIVERSE_SIZE = 8
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the relation is built once per session and path (the
-    driver's tables are read-only), so repeated reads skip file listing and
-    footer schema inference."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    stale = df is None or df.sparkSession is not spark or spark.sparkContext._jsc is None
-    if stale:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def universe(prefix: str) -> list[str]:
@@ -48,16 +38,16 @@ ORDERS_UNIVERSE = universe("C")
 
 
 def bars_from_events(events: DataFrame) -> DataFrame:
-    """Daily OHLCV bars per ``U<user_id mod 8>``: open/close = first/last value by ts."""
+    """Daily OHLCV bars per ``U<user_id mod 8>``: open/close = first/last value by ts, then event_id."""
     return (
         events.select(
             F.concat(F.lit("U"), (F.col("user_id") % UNIVERSE_SIZE).cast("string")).alias("symbol"),
-            F.to_date("ts").alias("date"), "ts", "value")
+            F.to_date("ts").alias("date"), order_key(events, "ts", F.col("event_id")).alias("at"), "value")
         .groupBy("symbol", "date")
-        .agg(F.min_by("value", "ts").alias("open"),
+        .agg(F.min_by("value", "at").alias("open"),
              F.max("value").alias("high"),
              F.min("value").alias("low"),
-             F.max_by("value", "ts").alias("close"),
+             F.max_by("value", "at").alias("close"),
              F.count(F.lit(1)).alias("volume"))
         .select("date", "symbol", "open", "high", "low", "close", "volume")
     )
@@ -99,12 +89,13 @@ def raw_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def ticks_from_events(events: DataFrame) -> DataFrame:
-    """Price ticks: symbol = event_type, price = value, event_time = ts (NTZ)."""
+    """Price ticks: symbol = event_type, price = value, event_time = ts (NTZ), volume from the id."""
     return events.select(
         F.col("event_type").alias("symbol"),
         F.col("value").alias("price"),
         F.col("ts").alias("event_time"),
         F.col("event_id").alias("seq"),
+        (F.col("event_id") % 1000 + 1).alias("volume"),
     )
 
 

@@ -1,8 +1,9 @@
 """Tick message codecs and sources.
 
-Messages are JSON: ``{"symbol", "price", "prev_price", "change_pct",
+Messages are JSON: ``{"symbol", "price", "prev_price", "change_pct", "volume",
 "timestamp" (ISO-8601 with offset), "source"}``, keyed by symbol so all
-ticks of a symbol land in one topic partition.  Parsing keeps the fields the
+ticks of a symbol land in one topic partition.  A message may carry ``seq``,
+which orders ticks of one time; a Kafka tick without it takes its offset.  Parsing keeps the fields the
 alert job reads and drops rows without a symbol (which also drops lines that
 are not JSON at all).
 """
@@ -29,10 +30,12 @@ def _instant(name: str) -> Column:
 
 
 def parse_ticks(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text (or Kafka binary ``value``) -> symbol, price, event_time (TIMESTAMP)."""
+    """JSON text (or Kafka binary ``value``) -> symbol, price, event_time (TIMESTAMP), volume, seq."""
     text = F.col(value_col).cast("string")
-    return (raw.select(F.from_json(text, TICK_MESSAGE).alias("data"))
-               .select("data.symbol", "data.price", F.col("data.timestamp").alias("event_time"))
+    seq = F.coalesce("data.seq", "offset") if "offset" in raw.columns else F.col("data.seq")
+    return (raw.select(F.from_json(text, TICK_MESSAGE).alias("data"), *[c for c in ("offset",) if c in raw.columns])
+               .select("data.symbol", "data.price", F.col("data.timestamp").alias("event_time"),
+                       "data.volume", seq.alias("seq"))
                .filter(F.col("symbol").isNotNull()))
 
 
@@ -40,12 +43,13 @@ def encode_ticks(ticks: DataFrame) -> DataFrame:
     """Keyed messages: ``key`` = symbol, ``value`` = JSON text of the tick.
 
     ``ticks`` carries symbol, price, prev_price (NULL for a first tick, sent
-    as the price itself), event_time.
+    as the price itself), volume, event_time.
     """
     prev = F.coalesce(F.col("prev_price"), F.col("price"))
     body = F.struct(
         F.col("symbol"), F.col("price"), prev.alias("prev_price"),
         pct_change("price", prev).alias("change_pct"),
+        F.col("volume"),
         _instant("event_time").alias("timestamp"),
         F.lit(SOURCE_TAG).alias("source"))
     return ticks.select(F.col("symbol").alias("key"),
@@ -53,8 +57,9 @@ def encode_ticks(ticks: DataFrame) -> DataFrame:
 
 
 def ticks_as_json(ticks: DataFrame) -> DataFrame:
-    """One JSON line per tick (symbol, price, timestamp) in a ``value`` column."""
-    body = F.struct("symbol", "price", _instant("event_time").alias("timestamp"))
+    """One JSON line per tick (symbol, price, volume, timestamp, and seq if there is one) in a ``value`` column."""
+    more = [c for c in ("volume", "seq") if c in ticks.columns]
+    body = F.struct("symbol", "price", *more, _instant("event_time").alias("timestamp"))
     return ticks.select(F.to_json(body, {"timestampFormat": ISO_TS, "timeZone": ENCODE_ZONE}).alias("value"))
 
 

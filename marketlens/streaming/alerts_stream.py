@@ -3,47 +3,68 @@
 Two scopes:
 
 * ``start_micro_batch_alerts`` - the rules over each micro-batch, per symbol
-  (the scope of a processing-time trigger).  ``foreachBatch`` runs one
-  set-based job per batch - aggregate, rules, write - and writes the batch
-  into its own ``batch_id=<n>`` folder with overwrite, so a batch replayed
-  after a failure replaces its own output instead of duplicating it.  Ids
-  are derived from (symbol, type, batch id), so a replay also keeps them.
+  (the scope of a processing-time trigger).  One set-based job per batch:
+  aggregate, rules, write; the source is read once.
 * ``start_windowed_alerts`` - the rules per symbol and tumbling event-time
-  window under a watermark, appended to a Parquet sink.  The aggregation
-  state lives in the checkpoint, the file sink commits exactly once, and
-  the result does not depend on how ticks were cut into batches.
-
-Checkpoints and sinks belong in shared storage (``spark.checkpoint.dir``).
+  window.  Each batch writes the statistics of the windows it touched;
+  ``read_windowed_alerts`` takes every window's fullest statistics and applies
+  the rules.  All windows are there, the open ones too, and the result doesn't
+  depend on how ticks were cut into batches.
+
+A sink may serve many runs.  A run (one checkpoint) keeps an id in its
+checkpoint folder; batches write into ``day=/run_id=/batch_id=`` folders, so a
+replayed batch replaces its own output, and nothing else: ids derive from the
+run as well.  Checkpoints and sinks belong in shared storage.
+
+Without a watermark no tick is late, and the state holds one row per (window,
+symbol).  With one, closed windows leave the state and later ticks are dropped;
+``run_to_end`` then raises ``LateTicksError`` unless the caller accepts that.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlens.functions.scalar import deterministic_id, utc_wall_clock
-from marketlens.operators.alerts import alert_rows, stat_aggs, tick_stats, to_alert_table
+from marketlens.operators.alerts import STAT_COLUMNS, alert_rows, latest_key, stat_aggs, to_alert_table
+
+
+class LateTicksError(RuntimeError):
+    """Ticks came after their window had left the state."""
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that this checkpoint belongs to; made at its first start."""
+    path = f"{checkpoint.rstrip('/')}/alert_run"
+    spark.createDataFrame([(uuid.uuid4().hex,)], "run_id string").coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema("run_id string").parquet(path).first().run_id
+
+
+def _write(rows: DataFrame, sink: str, run: str, batch_id: int) -> None:
+    """Replace this batch's folders only (an empty batch has none)."""
+    (rows.withColumns({"run_id": F.lit(run), "batch_id": F.lit(batch_id)})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "run_id", "batch_id").parquet(sink))
 
 
-def batch_alert_table(batch: DataFrame, batch_id: int) -> DataFrame:
-    """Alert rows of one micro-batch in the alert table's shape (+ batch_id)."""
-    rows = alert_rows(tick_stats(batch, ["symbol"]), ["symbol"])
-    return rows.select(
-        deterministic_id("symbol", "alert_type", F.lit(batch_id)).alias("alert_id"),
+def batch_alert_table(batch: DataFrame, batch_id: int, run: str) -> DataFrame:
+    """Alert rows of one micro-batch in the alert table's shape, and their day (of the symbol's last tick)."""
+    day = F.to_date(F.max("event_time"))
+    stats = batch.groupBy("symbol").agg(*stat_aggs(latest_key(batch)), day.alias("day"))
+    return alert_rows(stats, ["symbol", "day"]).select(
+        deterministic_id("symbol", "alert_type", F.lit(run), F.lit(batch_id)).alias("alert_id"),
         "symbol", "alert_type", "metric_value", "threshold_value", "price_at_alert",
-        utc_wall_clock(F.current_timestamp()).alias("triggered_at"))
+        utc_wall_clock(F.current_timestamp()).alias("triggered_at"), "day")
 
 
-def micro_batch_writer(sink: str):
+def micro_batch_writer(sink: str, run: str):
     """``foreachBatch`` callback writing each batch's alerts idempotently."""
-    sink = sink.rstrip("/")
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():          # nothing arrived: no job, no folder
-            return
-        (batch_alert_table(batch, batch_id)
-         .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}"))
+        _write(batch_alert_table(batch, batch_id, run), sink, run, batch_id)
 
     return write
 
@@ -55,36 +76,55 @@ def _trigger(writer, trigger: dict | None):
 def start_micro_batch_alerts(ticks: DataFrame, sink: str, checkpoint: str,
                              trigger: dict | None = None) -> StreamingQuery:
     """Per-micro-batch alerts; e.g. ``trigger={"processingTime": "10 seconds"}``."""
-    w = ticks.writeStream.foreachBatch(micro_batch_writer(sink)).option("checkpointLocation", checkpoint)
+    run = run_id(ticks.sparkSession, checkpoint)
+    w = ticks.writeStream.foreachBatch(micro_batch_writer(sink, run)).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
-def windowed_alerts_stream(ticks: DataFrame, window: str = "1 day",
-                           watermark: str = "1 hour") -> DataFrame:
-    """Streaming alert rows per (symbol, event-time window); append-mode safe."""
-    stats = (ticks.withWatermark("event_time", watermark)
-             .groupBy(F.window("event_time", window).alias("w"), "symbol")
-             .agg(*stat_aggs(F.col("event_time"))))
-    return to_alert_table(alert_rows(stats, ["w", "symbol"]))
+def window_stats_stream(ticks: DataFrame, window: str = "1 day", watermark: str | None = None) -> DataFrame:
+    """Statistics per (event-time window, symbol), as they stand after each batch."""
+    src = ticks.withWatermark("event_time", watermark) if watermark else ticks
+    return src.groupBy(F.window("event_time", window).alias("w"), "symbol").agg(*stat_aggs(latest_key(ticks)))
 
 
 def start_windowed_alerts(ticks: DataFrame, sink: str, checkpoint: str, window: str = "1 day",
-                          watermark: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
-    w = (windowed_alerts_stream(ticks, window, watermark).writeStream
-         .format("parquet").outputMode("append")
-         .option("path", sink).option("checkpointLocation", checkpoint))
+                          watermark: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    run = run_id(ticks.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write(batch.withColumn("day", F.to_date("w.start")), sink, run, batch_id)
+
+    w = (window_stats_stream(ticks, window, watermark).writeStream.outputMode("update")
+         .foreachBatch(write).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
-def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query to drain; raise its error if it failed."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
+def late_ticks(query: StreamingQuery) -> int:
+    """Rows that the query's state operators dropped as late, over its reported batches."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def run_to_end(query: StreamingQuery, accept_late: bool = False, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query to drain; raise its error if it failed, or if it lost late ticks."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
-        raise TimeoutError("streaming query did not finish in time")
+        raise TimeoutError(f"streaming query did not finish in {timeout_s} s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    if not accept_late and (late := late_ticks(query)):
+        raise LateTicksError(f"{late} partial aggregates came after the watermark and were dropped")
 
 
 def read_alerts(spark: SparkSession, sink: str) -> DataFrame:
+    """Alerts of all runs and batches of a micro-batch sink."""
     return spark.read.parquet(sink)
+
+
+def read_windowed_alerts(spark: SparkSession, sink: str) -> DataFrame:
+    """The alert table over a windowed sink: every window's fullest statistics, then the rules."""
+    stats = F.struct(*STAT_COLUMNS)
+    latest = (spark.read.parquet(sink).groupBy("w", "symbol")
+              .agg(F.max_by(stats, F.col("n_ticks")).alias("s")).select("w", "symbol", "s.*"))
+    return to_alert_table(alert_rows(latest, ["w", "symbol"]))

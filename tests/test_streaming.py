@@ -1,5 +1,6 @@
 """Streaming runners: file source, per-batch alerts replay, windowed restart."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlens.session import scratch_dir
@@ -19,40 +20,64 @@ def test_micro_batches_are_idempotent(spark):
     n_batches = first.select("batch_id").distinct().count()
     assert n_batches >= 2                     # one file per trigger -> several batches
     ids = sorted(r.alert_id for r in first.collect())
-    # replaying a batch rewrites its own folder: same rows, same ids
+    # replaying a batch rewrites its own folders: same rows, same ids
     batch0 = tk.parse_ticks(spark.read.text(src_dir))
-    writer = stx.micro_batch_writer(sink)
+    writer = stx.micro_batch_writer(sink, "replayed")
     writer(batch0, 10_000)
     writer(batch0, 10_000)
     again = stx.read_alerts(spark, sink).filter(F.col("batch_id") == 10_000).count()
-    assert again == stx.batch_alert_table(batch0, 10_000).count()
+    assert again == stx.batch_alert_table(batch0, 10_000, "replayed").count()
     # restarting on the same checkpoint processes nothing new
     stx.run_to_end(stx.start_micro_batch_alerts(tk.read_tick_stream(spark, src_dir, 1), sink, ck))
     assert sorted(r.alert_id for r in stx.read_alerts(spark, sink)
                   .filter(F.col("batch_id") != 10_000).collect()) == ids
 
 
+def test_another_checkpoint_adds_to_the_sink(spark):
+    ticks = fx.events_ticks(spark, SMALL)
+    src = tk.write_tick_files(ticks, scratch_dir(spark, "a_in"))
+    sink = scratch_dir(spark, "a_sink")
+    counts = []
+    for _ in range(2):
+        stx.run_to_end(stx.start_micro_batch_alerts(tk.read_tick_stream(spark, src), sink, scratch_dir(spark, "a_ck")))
+        counts.append(stx.read_alerts(spark, sink).count())
+    assert counts[1] == 2 * counts[0] > 0
+    assert stx.read_alerts(spark, sink).select("alert_id").distinct().count() == counts[1]
+
+
 def test_empty_batch_writes_nothing(spark):
     sink = scratch_dir(spark, "empty_sink")
     empty = fx.events_ticks(spark, SMALL).limit(0).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    stx.micro_batch_writer(sink)(empty.drop("seq"), 0)
-    import os
-    assert not os.path.exists(sink.replace("file:", ""))
+    stx.micro_batch_writer(sink, "run")(empty.drop("seq"), 0)
+    import glob
+    assert not glob.glob(sink.replace("file:", "") + "/**/*.parquet", recursive=True)
 
 
 def test_windowed_stream_equals_batch_windows(spark):
+    from marketlens.operators.alerts import window_alerts
+
     ticks = fx.events_ticks(spark, SMALL)
-    src = tk.write_tick_files(ticks, scratch_dir(spark, "w_in"))
+    src = tk.write_tick_files(ticks.repartition(4), scratch_dir(spark, "w_in"))     # files not split by time
     sink, ck = scratch_dir(spark, "w_sink"), scratch_dir(spark, "w_ck")
     stx.run_to_end(stx.start_windowed_alerts(tk.read_tick_stream(spark, src, 1), sink, ck))
-    streamed = {r.alert_id: r for r in stx.read_alerts(spark, sink).collect()}
-    from marketlens.operators.alerts import window_alerts
+    assert spark.read.parquet(sink).select("batch_id").distinct().count() == 4
+    streamed = {r.alert_id: r for r in stx.read_windowed_alerts(spark, sink).collect()}
     batch = {r.alert_id: r for r in window_alerts(ticks).collect()}
-    assert streamed and set(streamed) <= set(batch)
+    assert streamed and set(streamed) == set(batch)
     for k, r in streamed.items():
         assert r.asDict() == batch[k].asDict()
 
 
+def test_ticks_dropped_by_a_watermark_are_an_error(spark):
+    ticks = fx.events_ticks(spark, SMALL)
+    src = tk.write_tick_files(ticks.repartition(4), scratch_dir(spark, "l_in"))
+    sink, ck = scratch_dir(spark, "l_sink"), scratch_dir(spark, "l_ck")
+    q = stx.start_windowed_alerts(tk.read_tick_stream(spark, src, 1), sink, ck, watermark="1 hour")
+    with pytest.raises(stx.LateTicksError):
+        stx.run_to_end(q)
+    stx.run_to_end(q, accept_late=True)
+
+
 def test_processing_time_trigger(spark):
     ticks = fx.events_ticks(spark, SMALL)
     src = tk.write_tick_files(ticks, scratch_dir(spark, "pt_in"))
