@@ -92,13 +92,32 @@ ALERT_TYPE_FILTER = ["PRICE_DROP", "HIGH_VOLATILITY"]
 
 
 def _recent(spark, d):
-    return rp.recent_alerts(q_alerts(spark, d))
+    return rp.recent_alerts(_stored(spark, d, q_alerts))
 
 
 def _filtered(spark, d):
     return rp.alerts_filtered(_recent(spark, d), ALERT_SYMBOL_FILTER, ALERT_TYPE_FILTER)
 
 
+#: Folders of marts stored by this application: the report pages read them.
+STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark, d, build):
+    """What ``build`` computes, written once per application and read back."""
+    key = (spark.sparkContext.applicationId, d, build.__name__)
+    if key not in STORED:
+        path = scratch_dir(spark, "stored_marts")
+        sb.materialise(build(spark, d), path)
+        STORED[key] = path
+    return spark.read.parquet(STORED[key])
+
+
+def _page(figures, build):
+    """A report page over a stored mart."""
+    return lambda spark, d: figures(_stored(spark, d, build))
+
+
 def _summary_or(spark, d):
     return risk.portfolio_summary(_daily_or(spark, d), fx.orders_bars(spark, d))
 
@@ -196,6 +215,57 @@ def q_dq_unique(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+def _dirty_tables(spark, d):
+    m = _models(spark, d)
+    clean = {"raw_stock_prices": _raw(spark, d), "risk_alerts": q_alerts(spark, d),
+             "int_stock_daily": m["int_stock_daily"], "mart_risk_metrics": m["mart_risk_metrics"],
+             "mart_portfolio_summary": _summary_ev(spark, d), "mart_correlation": m["mart_correlation"]}
+    return {k: fx.dirty(v, k) for k, v in clean.items()}
+
+
+def q_dq_gate(spark, d):
+    """The gate over dirty tables without the alert table, whose tests can't run."""
+    tables = _dirty_tables(spark, d)
+    del tables["risk_alerts"]
+    return dq.gate_outcome(dq.quality_report(tables))
+
+
+def q_tick_parse_dirty(spark, d):
+    """Messages without a symbol and lines that aren't JSON are dropped."""
+    t = _ticks(spark, d)
+    no_symbol = t.withColumn("symbol", F.when(F.col("symbol") != "click", F.col("symbol")))
+    text = tk.ticks_as_json(no_symbol).union(t.select(F.concat(F.lit("not json "), "symbol").alias("value")))
+    return (tk.parse_ticks(text).select("symbol", "price", "volume", utc_wall_clock(F.col("event_time")).alias("event_time")))
+
+
+def q_dedup_null_ingest(spark, d):
+    """Bars whose ingest time is NULL stay, unless a later load replaces them."""
+    bars = fx.orders_bars(spark, d)
+    unknown = bars.withColumn("ingested_at", F.lit(None).cast("timestamp_ntz"))
+    again = (bars.filter(F.day("date") % 2 == 1).withColumn("close", F.col("close") + 1)
+             .withColumn("ingested_at", F.lit(REFETCH_TS).cast("timestamp_ntz")))
+    return sb.dedup_latest(unknown.unionByName(again).select(*sb.RAW_COLUMNS))
+
+
+def _odd_ticks(spark, d):
+    """Ticks without a time, and sequences over the whole range of a long."""
+    t = _ticks(spark, d)
+    return (t.withColumn("event_time", F.when(F.col("seq") % 10 != 0, F.col("event_time")))
+            .withColumn("seq", F.col("seq") * 90_000_000_000_000))
+
+
+def q_rerun_removed(spark, d):
+    root = _landed(spark, d, "landing")
+    redo = _raw(spark, d).filter(_month() == F.lit(RERUN_DT).cast("date"))
+    removed = [sb.rerun_overwrite(spark, root, redo.limit(0), day) for day in (RERUN_DT, "2090-01-01")]
+    return spark.createDataFrame([tuple(removed)], "removed long, removed_new_date long")
+
+
+def q_load_pruned(spark, d):
+    """Landing rows of a few run dates and a range of bar dates: folders and row groups are pruned."""
+    return sb.load_raw(spark, _landed(spark, d, "landing"), "1995-02-10", "1995-06-20", ("1995-01-01", "1995-05-01"))
+
+
 # Event-time scope of the streaming alert queries.
 STREAM_WINDOW = "1 day"
 
@@ -264,18 +334,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "var_95": lambda s, d: risk.var_95(_daily_or(s, d)),
         "mart_risk_metrics": q_mart_risk_metrics,
         "mart_risk_metrics_dense": lambda s, d: risk.risk_metrics(_daily_ev(s, d, keep_segment=True)),
-        "risk_ranking": lambda s, d: risk.risk_ranking(q_mart_risk_metrics(s, d)),
+        "risk_ranking": _page(risk.risk_ranking, q_mart_risk_metrics),
         "latest_prices": lambda s, d: risk.latest_prices(_daily_or(s, d), fx.orders_bars(s, d)),
         "mart_portfolio_summary": lambda s, d: _summary_or(s, d),
         "mart_portfolio_summary_dense": lambda s, d: _summary_ev(s, d),
         "returns_pivot": lambda s, d: corr.returns_pivot(_daily_or(s, d), fx.ORDERS_UNIVERSE),
         "mart_correlation": q_mart_correlation,
         "mart_correlation_dense": lambda s, d: corr.correlation(_daily_ev(s, d), fx.EVENTS_UNIVERSE),
-        "correlation_ranked": lambda s, d: corr.correlation_ranked(q_mart_correlation(s, d)),
-        "correlation_matrix": lambda s, d: corr.correlation_matrix(q_mart_correlation(s, d),
-                                                                   fx.ORDERS_UNIVERSE),
-        "correlation_kpis": lambda s, d: corr.correlation_kpis(q_mart_correlation(s, d),
-                                                               fx.ORDERS_UNIVERSE),
+        "correlation_ranked": _page(corr.correlation_ranked, q_mart_correlation),
+        "correlation_matrix": _page(lambda m: corr.correlation_matrix(m, fx.ORDERS_UNIVERSE), q_mart_correlation),
+        "correlation_kpis": _page(lambda m: corr.correlation_kpis(m, fx.ORDERS_UNIVERSE), q_mart_correlation),
+        "correlation_kpis_display": _page(lambda m: rp.correlation_kpis_display(
+            corr.correlation_kpis(m, fx.ORDERS_UNIVERSE)), q_mart_correlation),
         "tick_parse": q_tick_parse,
         "tick_encode": lambda s, d: tk.encode_ticks(al.tick_change(_ticks(s, d))),
         "tick_change": lambda s, d: al.tick_change(_ticks(s, d)),
@@ -291,15 +361,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "alerts_by_symbol": lambda s, d: rp.alerts_by_symbol(_filtered(s, d)),
         "alerts_by_symbol_all": lambda s, d: rp.alerts_by_symbol(_recent(s, d)),
         "alerts_timeline": lambda s, d: rp.alerts_timeline(_filtered(s, d)),
-        "risk_report": lambda s, d: rp.risk_report(q_mart_risk_metrics(s, d)),
-        "risk_kpis": lambda s, d: rp.risk_kpis(rp.risk_report(q_mart_risk_metrics(s, d))),
-        "portfolio_overview": lambda s, d: rp.portfolio_overview(_summary_or(s, d)),
-        "portfolio_kpis": lambda s, d: rp.portfolio_kpis(rp.portfolio_overview(_summary_or(s, d))),
-        "portfolio_overview_dense": lambda s, d: rp.portfolio_overview(_summary_ev(s, d)),
-        "portfolio_display": lambda s, d: rp.portfolio_display(
-            rp.portfolio_overview(_summary_ev(s, d))),
-        "portfolio_kpis_display": lambda s, d: rp.portfolio_kpis_display(
-            rp.portfolio_kpis(rp.portfolio_overview(_summary_ev(s, d)))),
+        "risk_report": _page(rp.risk_report, q_mart_risk_metrics),
+        "risk_kpis": _page(lambda m: rp.risk_kpis(rp.risk_figures(m)), q_mart_risk_metrics),
+        "risk_kpis_display": _page(lambda m: rp.risk_kpis_display(rp.risk_kpis(rp.risk_figures(m))),
+                                   q_mart_risk_metrics),
+        "portfolio_overview": _page(rp.portfolio_overview, _summary_or),
+        "portfolio_kpis": _page(lambda m: rp.portfolio_kpis(rp.portfolio_figures(m)), _summary_or),
+        "portfolio_overview_dense": _page(rp.portfolio_overview, _summary_ev),
+        "portfolio_display": _page(lambda m: rp.portfolio_display(rp.portfolio_overview(m)), _summary_ev),
+        "portfolio_kpis_display": _page(lambda m: rp.portfolio_kpis_display(
+            rp.portfolio_kpis(rp.portfolio_figures(m))), _summary_ev),
+        "alert_kpis_display": lambda s, d: rp.alert_kpis_display(rp.alert_kpis(_recent(s, d))),
         "stg_prices": lambda s, d: rt.stg_prices(_raw(s, d)),
         "raw_load": q_raw_load,
         "load_audit": lambda s, d: sb.load_audit(q_raw_load(s, d)),
@@ -323,6 +395,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             q_alerts(s, d), "alert_type", dq.ALERT_TYPE_VALUES).select("alert_id", "alert_type"),
         "dq_correlation_range": lambda s, d: dq.correlation_out_of_range(
             _models(s, d)["mart_correlation"]),
+        "dq_report_dirty": lambda s, d: dq.quality_report(_dirty_tables(s, d)),
+        "dq_gate": q_dq_gate,
+        "dq_unique_dirty": lambda s, d: dq.unique_failures(_dirty_tables(s, d)["mart_risk_metrics"], "symbol"),
+        "dq_accepted_values_dirty": lambda s, d: dq.accepted_values_failures(
+            _dirty_tables(s, d)["risk_alerts"], "alert_type", dq.ALERT_TYPE_VALUES).select("alert_id", "alert_type"),
+        "dq_correlation_range_dirty": lambda s, d: dq.correlation_out_of_range(
+            _dirty_tables(s, d)["mart_correlation"]),
+        "tick_parse_dirty": q_tick_parse_dirty,
+        "tick_change_odd": lambda s, d: al.tick_change(_odd_ticks(s, d)),
+        "tick_latest_odd": lambda s, d: al.tick_latest(_odd_ticks(s, d)),
+        "dedup_null_ingest": q_dedup_null_ingest,
+        "rerun_removed": q_rerun_removed,
+        "load_pruned": q_load_pruned,
+        "pipeline_lookback": lambda s, d: pl.run_batch(
+            _raw(s, d), fx.ORDERS_UNIVERSE, scratch_dir(s, "models"), gate=False,
+            run_date="1997-01-01")["int_stock_daily"],
+        "universe_bars": lambda s, d: (fx.orders_bars(s, d).join(sb.universe_table(s, UNIVERSE_SUBSET), "symbol")
+                                       .groupBy("symbol", "ord").agg(F.count(F.lit(1)).alias("n_bars"))),
         "tick_stream": q_tick_stream,
         "stream_alerts": q_stream_alerts,
         "stream_alerts_windowed": lambda s, d: _windowed_run(s, d, 1),
@@ -553,6 +643,10 @@ DEDUP = """
 SELECT * FROM raw
 QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY ingested_at DESC) = 1"""
 
+ODD_TICKS = f"""SELECT symbol, price, volume, CASE WHEN seq % 10 <> 0 THEN event_time END AS event_time,
+       seq * 90000000000000 AS seq FROM ({TICKS})"""
+
+BAR_COLS = "date, open, high, low, close, volume, symbol"
 RAW_COLS = "date, open, high, low, close, volume, symbol, ingested_at"
 
 
@@ -595,6 +689,13 @@ def oracle_sql() -> dict[str, str]:
     models = p + (("int_stock_daily", "SELECT * FROM daily"), ("mart_risk_metrics", RISK),
                   ("latest", LATEST), ("mart_portfolio_summary", SUMMARY),
                   ("pivoted", _pivot_sql(U_OR)), ("mart_correlation", _corr_sql(U_OR)))
+    clean = dict((*models, ("raw_stock_prices", "SELECT * FROM raw"), ("risk_alerts", ALERTS_WINDOWED)))
+    dirty = tuple((f"clean_{k}" if k in fx.DIRTY else k, v) for k, v in models
+                  if k not in ("latest", "mart_portfolio_summary"))
+    dirty += (("clean_raw_stock_prices", clean["raw_stock_prices"]), ("clean_risk_alerts", ALERTS_WINDOWED),
+              ("clean_mart_portfolio_summary", f"SELECT * FROM ({_with(*e, ('latest', LATEST), body=SUMMARY)})"))
+    dirty += tuple((m, "SELECT * REPLACE (" + ", ".join(f"{x} AS {c}" for c, x in cols.items()) + f") FROM clean_{m}")
+                   for m, cols in fx.DIRTY.items())
     own = {
         "daily_returns": _with(*o, body="SELECT * FROM daily"),
         "daily_returns_dense": _with(*e, body="SELECT * FROM daily"),
@@ -670,6 +771,7 @@ def oracle_sql() -> dict[str, str]:
                                    body="""SELECT symbol, printf('%.4f', latest_price) AS latest_price_text,
             printf('%.4f', avg_price) AS avg_price_text,
             format('{:,.0f}', total_volume) AS total_volume_text,
+            printf('%.1fM', total_volume / 1e6) AS total_volume_label,
             printf('%+.2f%%', vs_avg_pct) AS vs_avg_text FROM overview"""),
         "portfolio_kpis_display": _with(*e, ("latest", LATEST), ("summary", SUMMARY),
                                         ("overview", OVERVIEW), ("kpis", PORTFOLIO_KPIS), body="""
@@ -705,6 +807,53 @@ def oracle_sql() -> dict[str, str]:
         "materialise": _with(*p, body=RISK),
         "dq_report": _with(*models, ("raw_stock_prices", "SELECT * FROM raw"),
                            ("risk_alerts", ALERTS_WINDOWED), body=_dq_sql()),
+        "dq_report_dirty": _with(*dirty, body=_dq_sql()),
+        "dq_gate": _with(*dirty, ("report", _dq_sql()), body="""
+            SELECT bool_or(failures > 0 OR model = 'risk_alerts') AS raised,
+                   COUNT(*) FILTER (WHERE failures > 0 AND model <> 'risk_alerts') AS n_failed,
+                   COUNT(*) FILTER (WHERE model = 'risk_alerts') AS n_not_run FROM report"""),
+        "dq_unique_dirty": _with(*dirty, body="""SELECT symbol AS value, COUNT(*) AS n FROM mart_risk_metrics
+            WHERE symbol IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1"""),
+        "dq_accepted_values_dirty": _with(*dirty, body="""SELECT alert_id, alert_type
+            FROM risk_alerts WHERE alert_type NOT IN ('HIGH_VOLATILITY', 'PRICE_DROP', 'PRICE_ANOMALY')"""),
+        "dq_correlation_range_dirty": _with(*dirty, body="""SELECT * FROM mart_correlation
+            WHERE correlation NOT BETWEEN -1 AND 1"""),
+        "tick_parse_dirty": """SELECT event_type AS symbol, value AS price, event_id % 1000 + 1 AS volume,
+            ts AS event_time FROM events WHERE event_type <> 'click'""",
+        "tick_change_odd": _with(("ticks", ODD_TICKS), body=TICK_CHANGE.replace(
+            "ORDER BY event_time, seq", "ORDER BY event_time NULLS FIRST, seq")),
+        "tick_latest_odd": _with(("ticks", ODD_TICKS), body="""
+            SELECT symbol, price AS latest_price,
+                   max(event_time) OVER (PARTITION BY symbol) AS latest_time
+            FROM ticks QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time DESC NULLS LAST, seq DESC) = 1"""),
+        "dedup_null_ingest": _with(("bars", BARS_OR), ("loads", f"""
+            SELECT {BAR_COLS}, NULL::TIMESTAMP AS ingested_at FROM bars UNION ALL
+            SELECT {BAR_COLS.replace('close', 'close + 1 AS close')}, TIMESTAMP '{REFETCH_TS}'
+            FROM bars WHERE day(date) % 2 = 1"""), body="""SELECT * FROM loads
+            QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY ingested_at DESC NULLS LAST) = 1"""),
+        "rerun_removed": _with(("raw", RAW_OR), body=f"""SELECT COUNT(*) AS removed, 0::BIGINT AS removed_new_date
+            FROM raw WHERE date_trunc('month', date) = DATE '{RERUN_DT}'"""),
+        "load_pruned": _with(("raw", RAW_OR), body="""SELECT * FROM raw
+            WHERE date >= DATE '1995-02-10' AND date < DATE '1995-06-01'"""),
+        "pipeline_lookback": _with(("raw", f"""SELECT * FROM ({RAW_OR})
+            WHERE date >= DATE '1997-01-01' - 365 AND date < DATE '1997-01-01'"""), *p[1:],
+            body="SELECT * FROM daily"),
+        "universe_bars": _with(("bars", BARS_OR), ("uni", _ord_sql(UNIVERSE_SUBSET)), body="""
+            SELECT symbol, ord, COUNT(*) AS n_bars FROM bars JOIN uni ON sym = symbol GROUP BY ALL"""),
+        "risk_kpis_display": _with(*o, ("mart", RISK), ("report", RISK_REPORT), ("kpis", RISK_KPIS), body="""
+            SELECT printf('%.1f%%', avg_ann_volatility_pct) AS avg_ann_volatility_text,
+                   printf('%.2f%%', avg_var_95_pct) AS avg_var_95_text, best_sharpe_symbol, worst_drawdown_symbol
+            FROM kpis"""),
+        "alert_kpis_display": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT), body="""
+            SELECT COUNT(*) AS total_alerts, COUNT(DISTINCT symbol) AS symbols_affected,
+                   coalesce(strftime(MAX(triggered_at), '%Y-%m-%d %H:%M'), '-') AS latest_alert_text FROM recent"""),
+        "correlation_kpis_display": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
+                                          ("uni", _ord_sql(U_OR)), ("kpis", CORR_KPIS), body="""
+            SELECT printf('%.4f', avg_correlation) AS avg_correlation_text,
+                   most_symbol_1 || ' / ' || most_symbol_2 AS most_pair_text,
+                   printf('%.4f', most_correlation) AS most_correlation_text,
+                   least_symbol_1 || ' / ' || least_symbol_2 AS least_pair_text,
+                   printf('%.4f', least_correlation) AS least_correlation_text FROM kpis"""),
         "dq_unique": _with(*models, body="""
             SELECT 'mart_risk_metrics' AS model, symbol AS value, COUNT(*) AS n FROM mart_risk_metrics
             WHERE symbol IS NOT NULL GROUP BY symbol HAVING COUNT(*) > 1

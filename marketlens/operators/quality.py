@@ -32,7 +32,7 @@ class Check:
         c = F.col(self.column)
         if self.test == "not_null":
             return c.isNull()
-        if self.test == "expression":
+        if self.expression is not None:
             return ~F.expr(self.expression)
         if self.test == "accepted_values":
             return ~c.isin(list(self.values))
@@ -99,12 +99,31 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
     return df.filter(~F.col(column).isin(list(values)))
 
 
+def _absent(checks: Sequence[tuple[str, str, str]], spark) -> DataFrame:
+    """Tests whose model isn't there: one row each, failures unknown."""
+    return spark.createDataFrame([(*c, None) for c in checks],
+                                 "model string, column_name string, test string, failures long")
+
+
+SINGULAR = ("mart_correlation", "correlation", "assert_correlation_range")
+
+
 def quality_report(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SUITE,
                    singular: bool = True) -> DataFrame:
-    """One row per test: model, column_name, test, failures."""
+    """One row per test: model, column_name, test, failures (NULL where the model is absent).
+
+    All row-level tests of a table, the singular range test included, are one pass.
+    """
     parts: list[DataFrame] = []
+    spark = next(iter(tables.values())).sparkSession
+    declared = [(c.model, c.column, c.test) for c in suite] + ([SINGULAR] if singular else [])
+    absent = [c for c in declared if c[0] not in tables]
+    if absent:
+        parts.append(_absent(absent, spark))
     for model, df in tables.items():
         checks = [c for c in suite if c.model == model and c.test != "unique"]
+        if singular and model == SINGULAR[0]:
+            checks.append(Check(*SINGULAR, expression="correlation >= -1 and correlation <= 1"))
         if checks:
             parts.append(_row_level(model, df, checks))
         for c in suite:
@@ -113,12 +132,6 @@ def quality_report(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SUI
                 parts.append(n.select(F.lit(c.model).alias("model"),
                                       F.lit(c.column).alias("column_name"),
                                       F.lit(c.test).alias("test"), "failures"))
-    if singular and "mart_correlation" in tables:
-        n = correlation_out_of_range(tables["mart_correlation"]).agg(
-            F.count(F.lit(1)).alias("failures"))
-        parts.append(n.select(F.lit("mart_correlation").alias("model"),
-                              F.lit("correlation").alias("column_name"),
-                              F.lit("assert_correlation_range").alias("test"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -126,9 +139,17 @@ def quality_report(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SUI
 
 
 def assert_quality(report: DataFrame) -> DataFrame:
-    """Gate: raise when any test fails; otherwise return the report."""
-    failed = report.filter(F.col("failures") > 0).collect()  # at most one row per declared test
+    """Gate: raise when any test fails or couldn't run; otherwise return the report."""
+    failed = report.filter(F.col("failures").isNull() | (F.col("failures") > 0)).collect()  # a row per declared test
     if failed:
-        lines = ", ".join(f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed)
+        lines = ", ".join(f"{r.model}.{r.column_name} {r.test}: "
+                          f"{'not run' if r.failures is None else r.failures}" for r in failed)
         raise DataQualityError(f"{len(failed)} data-quality test(s) failed: {lines}")
     return report
+
+
+def gate_outcome(report: DataFrame) -> DataFrame:
+    """What the gate does with a report, as one row: raised, failing tests, tests not run."""
+    return report.agg(F.coalesce(F.max(F.coalesce(F.col("failures") > 0, F.lit(True))), F.lit(False)).alias("raised"),
+                      F.count_if(F.col("failures") > 0).alias("n_failed"),
+                      F.count_if(F.col("failures").isNull()).alias("n_not_run"))

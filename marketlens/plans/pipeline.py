@@ -3,8 +3,9 @@
 Each model is a function of the models it references, so ``build_models``
 is plain composition and Catalyst plans one query per mart.  ``run_batch``
 materialises the core table once (written and read back, which also cuts
-the lineage the three marts share), writes the marts as full-refresh
-tables and finishes with the data-quality gate.
+the lineage the three marts share), writes the marts and the alerts as
+full-refresh tables, runs the tests on the stored tables and gates on the
+stored report.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.operators import correlation as corr
 from marketlens.operators import quality, risk
 from marketlens.operators.returns import daily_returns, stg_prices
-from marketlens.sources.bars import dedup_latest, materialise, stage_view
+from marketlens.sources.bars import dedup_latest, lookback_slice, materialise, stage_view
 
 
 def build_models(raw: DataFrame, universe: Sequence[str], dedup: bool = True) -> dict[str, DataFrame]:
@@ -35,33 +36,48 @@ def build_models(raw: DataFrame, universe: Sequence[str], dedup: bool = True) ->
     }
 
 
-def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str,
-              alerts: DataFrame | None = None, gate: bool = True) -> dict[str, DataFrame]:
-    """Materialise every model under ``out_dir`` and run the test suite.
+#: The folder of each model group under the output folder.
+LAYERS = {"int_stock_daily": "core", "mart_risk_metrics": "marts", "mart_portfolio_summary": "marts",
+          "mart_correlation": "marts", "risk_alerts": "alerts", "quality_report": "quality"}
 
-    Returns the read-back tables plus ``quality_report``; raises
-    ``DataQualityError`` when ``gate`` is set and a test fails.
+
+def model_path(out_dir: str, model: str) -> str:
+    return f"{out_dir.rstrip('/')}/{LAYERS[model]}/{model}"
+
+
+def read_model(spark: SparkSession, out_dir: str, model: str) -> DataFrame:
+    """A stored model, as the report pages read it."""
+    return spark.read.parquet(model_path(out_dir, model))
+
+
+def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str, alerts: DataFrame | None = None,
+              gate: bool = True, run_date: str | None = None, days: int = 365) -> dict[str, DataFrame]:
+    """Materialise every model under ``out_dir`` (a folder per layer) and run the test suite.
+
+    With ``run_date`` the run covers the ``days`` before it.  Returns the read-back
+    tables plus the stored ``quality_report``; raises ``DataQualityError`` when
+    ``gate`` is set and a test fails or, its model missing, wasn't run.
     """
-    out_dir = out_dir.rstrip("/")
+    if run_date is not None:
+        raw = lookback_slice(raw, run_date, days)
     base = dedup_latest(raw)
     stg = stage_view(stg_prices(base), "stg_stock_prices")
     # the core table is laid out by bar year: date-range reads prune folders
     daily = materialise(daily_returns(stg).withColumn("year", F.year("date")),
-                        f"{out_dir}/int_stock_daily", partition_by="year").drop("year")
-    marts = {
+                        model_path(out_dir, "int_stock_daily"), partition_by="year").drop("year")
+    models = {
         "mart_risk_metrics": risk.risk_metrics(daily),
         "mart_portfolio_summary": risk.portfolio_summary(daily),
         "mart_correlation": corr.correlation(daily, universe, unique_bars=True),
     }
-    # the marts only read the stored core table: write them as concurrent jobs
-    with ThreadPoolExecutor(max_workers=len(marts)) as pool:
-        done = {name: pool.submit(materialise, df, f"{out_dir}/{name}")
-                for name, df in marts.items()}
-        tables = {"int_stock_daily": daily, **{name: f.result() for name, f in done.items()}}
-    checked = {"raw_stock_prices": raw, **tables}
     if alerts is not None:
-        checked["risk_alerts"] = alerts
-    report = quality.quality_report(checked)
+        models["risk_alerts"] = alerts
+    # they only read stored tables: write them as concurrent jobs
+    with ThreadPoolExecutor(max_workers=len(models)) as pool:
+        done = {name: pool.submit(materialise, df, model_path(out_dir, name)) for name, df in models.items()}
+        tables = {"int_stock_daily": daily, **{name: f.result() for name, f in done.items()}}
+    report = materialise(quality.quality_report({"raw_stock_prices": raw, **tables}),
+                         model_path(out_dir, "quality_report"))
     if gate:
         quality.assert_quality(report)
     tables["quality_report"] = report

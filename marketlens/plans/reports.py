@@ -36,7 +36,8 @@ def preview(df: DataFrame, order: Sequence, n: int = PREVIEW_ROWS) -> DataFrame:
 
 # --- R1: risk page -----------------------------------------------------------
 
-def risk_report(mart: DataFrame) -> DataFrame:
+def risk_figures(mart: DataFrame) -> DataFrame:
+    """The page's figures, unordered (what the KPIs read)."""
     return mart.select(
         "symbol",
         F.round("annual_volatility_pct", 2).alias("ann_volatility_pct"),
@@ -45,7 +46,11 @@ def risk_report(mart: DataFrame) -> DataFrame:
         F.round("max_drawdown_pct", 2).alias("max_drawdown_pct"),
         F.round("max_daily_gain_pct", 2).alias("max_daily_gain_pct"),
         F.round("max_daily_loss_pct", 2).alias("max_daily_loss_pct"),
-    ).orderBy("symbol")
+    )
+
+
+def risk_report(mart: DataFrame) -> DataFrame:
+    return risk_figures(mart).orderBy("symbol")
 
 
 def risk_kpis(report: DataFrame) -> DataFrame:
@@ -59,7 +64,8 @@ def risk_kpis(report: DataFrame) -> DataFrame:
 
 # --- R2: portfolio page ------------------------------------------------------
 
-def portfolio_overview(summary: DataFrame) -> DataFrame:
+def portfolio_figures(summary: DataFrame) -> DataFrame:
+    """The page's figures, unordered (what the KPIs read)."""
     base = summary.select(
         "symbol",
         F.round("latest_close", 4).alias("latest_price"),
@@ -67,9 +73,11 @@ def portfolio_overview(summary: DataFrame) -> DataFrame:
         F.col("avg_volume").alias("total_volume"),
     )
     vs = F.round(F.try_divide(F.col("latest_price") - F.col("avg_price"), F.col("avg_price")) * 100, 2)
-    return (base.withColumn("vs_avg_pct", vs)
-                .withColumn("vs_avg_sign", sign_class("vs_avg_pct"))
-                .orderBy("symbol"))
+    return base.withColumn("vs_avg_pct", vs).withColumn("vs_avg_sign", sign_class("vs_avg_pct"))
+
+
+def portfolio_overview(summary: DataFrame) -> DataFrame:
+    return portfolio_figures(summary).orderBy("symbol")
 
 
 def portfolio_kpis(overview: DataFrame) -> DataFrame:
@@ -90,6 +98,7 @@ def portfolio_display(overview: DataFrame) -> DataFrame:
         F.format_string("%.4f", "latest_price").alias("latest_price_text"),
         F.format_string("%.4f", "avg_price").alias("avg_price_text"),
         F.format_number("total_volume", 0).alias("total_volume_text"),
+        millions("total_volume").alias("total_volume_label"),
         F.format_string("%+.2f%%", "vs_avg_pct").alias("vs_avg_text"),
     )
 
@@ -102,6 +111,17 @@ def portfolio_kpis_display(kpis: DataFrame) -> DataFrame:
     )
 
 
+def millions(c) -> Column:
+    """A number as the volume labels show it, e.g. 1.2M."""
+    return F.format_string("%.1fM", (F.col(c) if isinstance(c, str) else c) / 1e6)
+
+
+def risk_kpis_display(kpis: DataFrame) -> DataFrame:
+    return kpis.select(F.format_string("%.1f%%", "avg_ann_volatility_pct").alias("avg_ann_volatility_text"),
+                       F.format_string("%.2f%%", "avg_var_95_pct").alias("avg_var_95_text"),
+                       "best_sharpe_symbol", "worst_drawdown_symbol")
+
+
 # --- R3: alerts page ---------------------------------------------------------
 
 def recent_alerts(alerts: DataFrame, n: int = RECENT_ALERTS) -> DataFrame:
@@ -122,6 +142,12 @@ def alert_kpis(recent: DataFrame) -> DataFrame:
                       F.max("triggered_at").alias("latest_alert"))
 
 
+def alert_kpis_display(kpis: DataFrame) -> DataFrame:
+    """The alerts KPIs as displayed; the latest alert to the minute."""
+    return kpis.select("total_alerts", "symbols_affected",
+                       F.coalesce(F.date_format("latest_alert", "yyyy-MM-dd HH:mm"), F.lit("-")).alias("latest_alert_text"))
+
+
 def alerts_filtered(recent: DataFrame, symbols: Sequence[str] = (),
                     types: Sequence[str] = ()) -> DataFrame:
     """Optional membership filters; an empty list means no filter."""
@@ -152,3 +178,14 @@ def alerts_by_symbol(filtered: DataFrame) -> DataFrame:
 def alerts_timeline(filtered: DataFrame) -> DataFrame:
     return (filtered.groupBy(minute_bucket("triggered_at").alias("minute"))
             .agg(F.count(F.lit(1)).alias("n_alerts")).orderBy("minute"))
+
+
+# --- R4: correlation page ----------------------------------------------------
+
+def correlation_kpis_display(kpis: DataFrame) -> DataFrame:
+    def pair(which):
+        return F.concat_ws(" / ", f"{which}_symbol_1", f"{which}_symbol_2").alias(f"{which}_pair_text")
+
+    return kpis.select(F.format_string("%.4f", "avg_correlation").alias("avg_correlation_text"),
+                       pair("most"), F.format_string("%.4f", "most_correlation").alias("most_correlation_text"),
+                       pair("least"), F.format_string("%.4f", "least_correlation").alias("least_correlation_text"))

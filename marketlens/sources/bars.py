@@ -9,10 +9,13 @@ to the raw table's types.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
 
 from marketlens.functions.scalar import nanos_to_date
 from marketlens.operators.sequential import latest_by
@@ -42,27 +45,43 @@ def write_landing(raw: DataFrame, root: str, run_date: Column | str) -> str:
     """Write landing files partitioned by run date (``dt=YYYY-MM-DD``).
 
     Dynamic partition overwrite: re-running a date replaces only that
-    date's folder.
+    date's folder.  Rows are rebalanced by date first: a date is a few files,
+    and a date that is large is split.
     """
-    dt = F.col(run_date) if isinstance(run_date, str) else run_date
-    staged = raw.withColumn("dt", F.date_format(dt, "yyyy-MM-dd"))
-    (to_landing(staged, "dt")
+    day = F.col(run_date) if isinstance(run_date, str) else run_date
+    staged = raw.withColumn("dt", F.date_format(day, "yyyy-MM-dd"))
+    (to_landing(staged, "dt").hint("rebalance", "dt")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dt").parquet(root))
     return root
 
 
-def load_raw(spark: SparkSession, root: str) -> DataFrame:
-    """All ``*.parquet`` files under the landing root -> typed raw bars.
+def read_landing(spark: SparkSession, root: str, start: str | None = None, end: str | None = None,
+                 run_dates: tuple[str, str] | None = None) -> DataFrame:
+    """Landing rows with their run date ``dt``, under a given schema.
+
+    ``start`` / ``end`` (end excluded) bound the bar date on the stored
+    nanoseconds, so they reach the scan; ``run_dates`` (both included) prunes folders.
+    """
+    schema = StructType([*LANDING_BARS.fields]).add("dt", DateType())
+    land = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(root)
+    if run_dates is not None:
+        land = land.filter(F.col("dt").between(F.lit(run_dates[0]).cast("date"), F.lit(run_dates[1]).cast("date")))
+    for bound, is_start in ((start, True), (end, False)):
+        if bound is not None:
+            nanos = (dt.date.fromisoformat(bound) - dt.date(1970, 1, 1)).days * NANOS_PER_DAY
+            land = land.filter(F.col("date") >= nanos if is_start else F.col("date") < nanos)
+    return land
+
+
+def load_raw(spark: SparkSession, root: str, start: str | None = None, end: str | None = None,
+             run_dates: tuple[str, str] | None = None) -> DataFrame:
+    """All ``*.parquet`` files under the landing root -> typed raw bars (bounds as in ``read_landing``).
 
     The schema is given (no inference pass over the files); casts are ANSI,
     so a malformed value fails the load instead of becoming NULL.
     """
-    land = (spark.read.schema(LANDING_BARS)
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true")
-            .parquet(root))
-    return load_raw_columns(land)
+    return load_raw_columns(read_landing(spark, root, start, end, run_dates)).select(*RAW_COLUMNS)
 
 
 def load_audit(raw: DataFrame) -> DataFrame:
@@ -115,6 +134,11 @@ def lookback_slice(raw: DataFrame, run_date: str, days: int = 365) -> DataFrame:
     return raw.filter(cond)
 
 
+def universe_table(spark: SparkSession, symbols: Sequence[str]) -> DataFrame:
+    """The configured symbols as data: ``symbol`` and its position ``ord`` (the pair and page order)."""
+    return spark.createDataFrame([(s, i) for i, s in enumerate(symbols)], "symbol string, ord int")
+
+
 def universe_filter(df: DataFrame, symbols: Sequence[str]) -> DataFrame:
     """Keep configured symbols only: an IN-list on the scan (pushed down),
     no join and no shuffle, whatever the data size."""
@@ -133,10 +157,11 @@ def dedup_latest(raw: DataFrame) -> DataFrame:
 def rerun_overwrite(spark: SparkSession, root: str, rows: DataFrame, run_date: str) -> int:
     """Replace the landing partition of ``run_date`` with ``rows``; return the
     number of rows the rerun removed (read with partition pruning)."""
-    folder = f"{root.rstrip('/')}/dt={run_date}"
     try:
-        removed = spark.read.schema(LANDING_BARS).parquet(folder).count()
-    except Exception:  # noqa: BLE001 - first run: nothing to delete
+        removed = read_landing(spark, root, run_dates=(run_date, run_date)).count()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":   # only a first run has nothing to delete
+            raise
         removed = 0
     write_landing(rows, root, F.lit(run_date))
     return removed
@@ -148,11 +173,11 @@ def materialise(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     ``partition_by`` lays the table out in folders (e.g. by year) so later
     date-range reads prune whole partitions.
     """
-    w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    back = df.sparkSession.read.parquet(path)
+        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
     return back.select(*df.columns) if partition_by else back
 
 
@@ -164,8 +189,7 @@ def stage_view(df: DataFrame, name: str) -> DataFrame:
 
 def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     """Landing files with partition discovery: raw bars plus the run date ``dt``."""
-    land = spark.read.option("pathGlobFilter", "*.parquet").parquet(root)
-    typed = load_raw_columns(land)
+    typed = load_raw_columns(read_landing(spark, root))
     return typed.withColumn("dt", F.col("_dt").cast("date")).drop("_dt")
 
 
@@ -183,7 +207,7 @@ def load_raw_columns(land: DataFrame) -> DataFrame:
 def write_symbol_files(frames_by_symbol: DataFrame, root: str, fmt: str = "csv") -> str:
     """Land per-symbol bar files the way a market-data fetch delivers them
     (``symbol=<s>/`` folders, capitalised headers such as ``Date,Open``)."""
-    (frames_by_symbol.write.mode("overwrite").partitionBy("symbol")
+    (frames_by_symbol.hint("rebalance", "symbol").write.mode("overwrite").partitionBy("symbol")
      .option("header", "true").format(fmt).save(root))
     return root
 
