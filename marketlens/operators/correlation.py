@@ -2,36 +2,33 @@
 
 Plan (no pair is ever emitted per date, nothing passes through the driver):
 
-1. return rows (date, symbol index, return) are shuffled by date; duplicate
-   bars of a (date, symbol) collapse by MAX (map-side, unless the bars are
-   known to be one per day).
-2. each task sorts its rows by date, turns each date into a vector over the
-   configured symbols, and folds blocks of vectors into centred pair moments
-   (count, means, sums of squares and co-moment over the dates where both
-   symbols have a return, plus min/max for an exact constant test) with numpy
-   inside ``mapInPandas`` (Arrow batches); it emits N(N-1)/2 rows - per task,
-   not per date.
-3. the per-task moments merge with Chan's parallel formulas (pooled means from
-   a window over each pair's per-task rows, then one ``groupBy(i, j)``), and
-   Pearson's r follows.  Centred moments keep full precision for series with a
-   large mean.  Fewer than two common dates or a constant series give NULL (a
-   bare ``corr`` raises under ANSI).
+1. return rows (date, symbol index, return less the symbol's mean); duplicate
+   bars of a (date, symbol) collapse by MAX (map-side) unless the bars are known
+   to be one per day.
+2. symbols form blocks of ``BLOCK``; rows are dealt by (pair of blocks, date) to
+   a stated number of tasks, which AQE leaves alone: work grows with dates x
+   pairs, not with bytes.  A task folds its dates' vectors into sums of one pair
+   of blocks with numpy (Arrow batches) and passes on the pairs it has seen, so
+   its state is BLOCK x BLOCK whatever the universe.
+3. the tasks' sums add up in one ``groupBy(i, j)`` (combined map-side), and
+   Pearson's r follows.  Values are less their symbol's mean, so sums keep their
+   precision for series with a large mean.  Minima and maxima give an exact test
+   for constant series.  Configured pairs without two common dates are NULL (a
+   bare ``corr`` raises under ANSI): the pair table is joined last.
 
 A single wide aggregation with 3-8 aggregates per pair was tried first: its
 generated code grows with N^2 and cost seconds per query already at N = 8.
 The ``returns_pivot`` report keeps the wide conditional-MAX form, since its
 output is the date x symbol table itself.
-
-The universe is configuration (the ticker list); the cost grows with
-dates x pairs and is spread over all tasks.  A configured symbol without data
-still gets its pairs, with NULL correlation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.operators.returns import valid_returns
@@ -59,142 +56,116 @@ def returns_pivot(daily: DataFrame, universe: Sequence[str]) -> DataFrame:
     return wide.select("date", *[F.col(_col(i)).alias(s) for i, s in enumerate(universe)])
 
 
-_PARTIAL_SCHEMA = ("i int, j int, n long, mx double, my double, m2x double, m2y double, "
-                   "cxy double, mnx double, mxx double, mny double, mxy double")
-
-
-def _gram_partials(n_sym: int):
-    """Per-task centred pair moments from (date, k, r) rows sorted by date (numpy).
-
-    Rows of a date become one vector over the N configured symbols (NaN where
-    a symbol has no return).  For x = symbol i and y = symbol j on the dates
-    where both exist, each block of vectors gives count, means, centred sums
-    of squares and the centred co-moment (two passes over the block, so no
-    cancellation); blocks merge with Chan's parallel update.  Min/max of each
-    side allow an exact constant-series test.  A date split across Arrow
-    batches is carried to the next batch, so memory stays at one batch.  A
-    task always emits all N(N-1)/2 pairs, even without input, so every
-    configured pair reaches the result.
-    """
-    import numpy as np
-    import pandas as pd
-
-    block = max(1, 2_000_000 // max(1, n_sym * n_sym))
-    shape = (n_sym, n_sym)
-
-    def run(batches):
-        # running moments; entry [i, j]: x = symbol i restricted to dates with j
-        n = np.zeros(shape)
-        mean = np.zeros(shape)
-        m2 = np.zeros(shape)
-        c = np.zeros(shape)               # co-moment of (i, j); symmetric
-        mn = np.full(shape, np.inf)
-        mx = np.full(shape, -np.inf)
-
-        def add(dates, ks, rs):
-            nonlocal n, mean, m2, c, mn, mx
-            codes, _ = pd.factorize(dates, sort=False)
-            vec = np.full((codes.max() + 1, n_sym), np.nan)
-            vec[codes, ks] = rs
-            for start in range(0, len(vec), block):
-                xb = vec[start:start + block]
-                m = ~np.isnan(xb)
-                both = m[:, :, None] & m[:, None, :]             # rows x i x j
-                xi = np.where(both, xb[:, :, None], 0.0)
-                nb = both.sum(axis=0).astype("float64")
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    mb = np.where(nb > 0, xi.sum(axis=0) / nb, 0.0)
-                d = np.where(both, xb[:, :, None] - mb[None, :, :], 0.0)
-                m2b = (d * d).sum(axis=0)
-                cb = np.einsum("rij,rji->ij", d, d)              # sum (x_i - m_ij)(x_j - m_ji)
-                mn = np.minimum(mn, np.where(both, xb[:, :, None], np.inf).min(axis=0))
-                mx = np.maximum(mx, np.where(both, xb[:, :, None], -np.inf).max(axis=0))
-                tot = n + nb
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    w = np.where(tot > 0, n * nb / tot, 0.0)
-                    delta = mb - mean
-                    c = c + cb + delta * delta.T * w
-                    m2 = m2 + m2b + delta * delta * w
-                    mean = np.where(tot > 0, mean + delta * np.where(tot > 0, nb / tot, 0.0), 0.0)
-                n = tot
-
-        held = None
-        for pdf in batches:
-            if held is not None:
-                pdf = pd.concat([held, pdf], ignore_index=True)
-            if pdf.empty:
-                held = None
+#: Symbols in a block, and dates folded at once.
+BLOCK, DATES = 64, 128
+_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+_PARTIALS = "i int, j int, " + ", ".join(f"{c} double" for c in (*_SUMS, "mnx", "mxx", "mny", "mxy"))
+
+
+class _BlockSums:
+    """Sums over dates of one pair of blocks; entry [i, j] covers dates where both symbols have a value."""
+
+    def __init__(self, bi: int, bj: int):
+        self.bi, self.bj = bi, bj
+        self.sums = np.zeros((len(_SUMS), BLOCK, BLOCK))
+        self.least = np.full((2, BLOCK, BLOCK), np.inf)
+        self.most = np.full((2, BLOCK, BLOCK), -np.inf)
+
+    def add(self, dates: np.ndarray, ks: np.ndarray, xs: np.ndarray) -> None:
+        day = np.cumsum(np.r_[0, dates[1:] != dates[:-1]])
+        sides = []
+        for b in (self.bi, self.bj):
+            own = ks // BLOCK == b
+            v = np.full((day[-1] + 1, BLOCK), np.nan)
+            v[day[own], ks[own] % BLOCK] = xs[own]
+            sides.append(v)
+        for start in range(0, day[-1] + 1, DATES):
+            x, y = (v[start:start + DATES] for v in sides)
+            mx, my = ~np.isnan(x), ~np.isnan(y)
+            x0, y0, fx, fy = np.where(mx, x, 0.0), np.where(my, y, 0.0), mx.astype(float), my.astype(float)
+            self.sums += np.stack([fx.T @ fy, x0.T @ fy, fx.T @ y0, (x0 * x0).T @ fy, fx.T @ (y0 * y0), x0.T @ y0])
+            both = mx[:, :, None] & my[:, None, :]
+            for k, v in enumerate((x[:, :, None], y[:, None, :])):
+                self.least[k] = np.minimum(self.least[k], np.where(both, v, np.inf).min(axis=0))
+                self.most[k] = np.maximum(self.most[k], np.where(both, v, -np.inf).max(axis=0))
+
+    def rows(self) -> pa.RecordBatch:
+        i, j = np.nonzero(self.sums[0] > 0)
+        ii, jj = self.bi * BLOCK + i, self.bj * BLOCK + j
+        keep = ii < jj
+        i, j, ii, jj = i[keep], j[keep], ii[keep], jj[keep]
+        cols = [*self.sums[:, i, j], self.least[0, i, j], self.most[0, i, j], self.least[1, i, j], self.most[1, i, j]]
+        return pa.RecordBatch.from_arrays([pa.array(ii, pa.int32()), pa.array(jj, pa.int32()), *map(pa.array, cols)],
+                                          names=[c.split()[0] for c in _PARTIALS.split(", ")])
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bi, bj, date, k, x) sorted by the first three -> sums; a date may go on in the next batch."""
+    state, held = None, None
+    for batch in batches:
+        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(5)]
+        if held is not None:
+            cols = [np.concatenate(c) for c in zip(held, cols)]
+        if not len(cols[0]):
+            continue
+        bi, bj, date = cols[:3]
+        change = np.flatnonzero((bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1]) | (date[1:] != date[:-1])) + 1
+        last = change[-1] if len(change) else 0
+        held = [c[last:] for c in cols]
+        pair = np.flatnonzero((bi[1:last] != bi[:max(last - 1, 0)]) | (bj[1:last] != bj[:max(last - 1, 0)])) + 1
+        for a, b in zip([0, *pair], [*pair, last]):
+            if a == b:
                 continue
-            last = pdf["date"].iloc[-1]
-            tail = (pdf["date"] == last).to_numpy()
-            held = pdf[tail]                     # the last date may continue
-            done = pdf[~tail]
-            if len(done):
-                add(done["date"].to_numpy(), done["k"].to_numpy(), done["r"].to_numpy())
-        if held is not None and len(held):
-            add(held["date"].to_numpy(), held["k"].to_numpy(), held["r"].to_numpy())
-
-        iu, ju = np.triu_indices(n_sym, k=1)
-
-        def finite(a):
-            return np.where(np.isfinite(a), a, np.nan)
-
-        yield pd.DataFrame({
-            "i": iu.astype("int32"), "j": ju.astype("int32"), "n": n[iu, ju].astype("int64"),
-            "mx": mean[iu, ju], "my": mean[ju, iu], "m2x": m2[iu, ju], "m2y": m2[ju, iu],
-            "cxy": c[iu, ju], "mnx": finite(mn[iu, ju]), "mxx": finite(mx[iu, ju]),
-            "mny": finite(mn[ju, iu]), "mxy": finite(mx[ju, iu])})
-
-    return run
+            if state is None or (state.bi, state.bj) != (bi[a], bj[a]):
+                if state is not None:
+                    yield state.rows()
+                state = _BlockSums(int(bi[a]), int(bj[a]))
+            state.add(date[a:b], cols[3][a:b], cols[4][a:b])
+    if held is not None:
+        if state is None or (state.bi, state.bj) != (held[0][0], held[1][0]):
+            if state is not None:
+                yield state.rows()
+            state = _BlockSums(int(held[0][0]), int(held[1][0]))
+        state.add(*held[2:])
+        yield state.rows()
 
 
 def pair_moments(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False) -> DataFrame:
-    """Per-pair centred moments over common dates, merged over all tasks.
-
-    Duplicate bars of a (date, symbol) collapse by MAX.  By default that is a
-    partial aggregate before any shuffle (a heavily duplicated bar is combined
-    map-side), then the one-row-per-(date, symbol) returns are shuffled by
-    date.  With ``unique_bars`` (the caller guarantees one bar per symbol and
-    date, e.g. after ``dedup_latest``) the rows are shuffled by date once and
-    the MAX runs there without another exchange.  Each task sorts its rows by
-    date and folds them into centred moments; tasks merge with Chan's
-    formulas: the pooled means come from a window over each pair's per-task
-    rows (one row per task), then one ``groupBy(i, j)``.  No step is N columns
-    wide.
+    """Per pair of symbols with a common date: sums over these dates of the values less their symbol's mean.
+
+    With ``unique_bars`` the caller guarantees one bar per symbol and date (e.g.
+    after ``dedup_latest``), and the rows are shuffled once.
     """
+    spark = daily.sparkSession
+    blocks = -(-len(universe) // BLOCK)
     index = F.create_map(*[x for i, u in enumerate(universe) for x in (F.lit(u), F.lit(i))])
     rets = (valid_returns(daily)
-            .select("date", index[F.col("symbol")].alias("k"), "daily_return")
+            .select("date", index[F.col("symbol")].alias("k"), F.col("daily_return").alias("r"))
             .filter(F.col("k").isNotNull()))
-    if unique_bars:
-        per_day = rets.repartition("date").groupBy("date", "k").agg(F.max("daily_return").alias("r"))
-    else:
-        per_day = (rets.groupBy("date", "k").agg(F.max("daily_return").alias("r"))
-                   .repartition("date"))
-    per_day = per_day.filter(F.col("r").isNotNull()).sortWithinPartitions("date")
-    parts = per_day.mapInPandas(_gram_partials(len(universe)), _PARTIAL_SCHEMA)
-    pair = Window.partitionBy("i", "j")
-    n_all = F.sum("n").over(pair)
-    pooled = parts.select(
-        "*",
-        F.try_divide(F.sum(F.col("n") * F.col("mx")).over(pair), n_all).alias("gx"),
-        F.try_divide(F.sum(F.col("n") * F.col("my")).over(pair), n_all).alias("gy"))
-    dx, dy = F.col("mx") - F.col("gx"), F.col("my") - F.col("gy")
-    return pooled.groupBy("i", "j").agg(
-        F.sum("n").alias("n"),
-        F.sum(F.col("m2x") + F.col("n") * dx * dx).alias("m2x"),
-        F.sum(F.col("m2y") + F.col("n") * dy * dy).alias("m2y"),
-        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("cxy"),
-        F.min("mnx").alias("mnx"), F.max("mxx").alias("mxx"),
+    if not unique_bars:
+        rets = rets.groupBy("date", "k").agg(F.max("r").alias("r"))
+    # one row per configured symbol
+    means = F.broadcast(rets.groupBy(F.col("k").alias("mk")).agg(F.avg("r").alias("mean")))
+    own = F.floor(F.col("k") / BLOCK).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = (rets.join(means, F.col("k") == F.col("mk"))
+            .select(own.alias("own"), other.alias("other"), F.unix_date("date").alias("date"), "k",
+                    (F.col("r") - F.col("mean")).alias("x"))
+            .select(F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "date", "k", "x"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(tasks, "bi", "bj", "date").sortWithinPartitions("bi", "bj", "date")
+    return dealt.mapInArrow(_folded, _PARTIALS).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in _SUMS], F.min("mnx").alias("mnx"), F.max("mxx").alias("mxx"),
         F.min("mny").alias("mny"), F.max("mxy").alias("mxy"))
 
 
 def _pearson() -> Column:
-    """r from the centred moments; NULL for fewer than two common dates or a
-    constant series on them (min = max, exact)."""
-    ok = ((F.col("n") >= 2) & (F.col("mnx") != F.col("mxx")) & (F.col("mny") != F.col("mxy"))
-          & (F.col("m2x") > 0) & (F.col("m2y") > 0))
-    r = F.col("cxy") / F.sqrt(F.col("m2x") * F.col("m2y"))
+    """r from the sums; NULL for fewer than two common dates or a constant
+    series on them (min = max, exact)."""
+    n = F.col("n")
+    m2x, m2y = (F.col(f"s{v}{v}") - F.col(f"s{v}") * F.col(f"s{v}") / n for v in "xy")
+    ok = (n >= 2) & (F.col("mnx") != F.col("mxx")) & (F.col("mny") != F.col("mxy")) & (m2x > 0) & (m2y > 0)
+    r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(m2x * m2y)
     return F.round(F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))), 4)
 
 
@@ -203,7 +174,10 @@ def correlation(daily: DataFrame, universe: Sequence[str], unique_bars: bool = F
 
     Every configured pair is present (NULL without two common dates)."""
     names = F.array(*[F.lit(u) for u in universe])
-    return pair_moments(daily, universe, unique_bars).select(
+    n = len(universe)
+    every = (daily.sparkSession.range(max(0, n - 1)).select(F.col("id").cast("int").alias("i"))
+             .select("i", F.explode(F.sequence(F.col("i") + 1, F.lit(n - 1))).alias("j")))
+    return every.join(pair_moments(daily, universe, unique_bars), ["i", "j"], "left").select(
         F.element_at(names, F.col("i") + 1).alias("symbol_1"),
         F.element_at(names, F.col("j") + 1).alias("symbol_2"),
         _pearson().alias("correlation"))
