@@ -47,3 +47,19 @@ def test_gate_passes_clean_data(spark):
     out = pl.run_batch(raw, ["A", "B"], scratch_dir(spark, "gate_ok"), gate=True)
     assert out["quality_report"].filter("failures > 0").count() == 0
     assert out["mart_risk_metrics"].count() == 2
+
+
+def test_every_declared_test_fails_on_the_dirty_tables(spark):
+    import __spark_entry__ as E
+
+    rows = E.queries()["dq_report_dirty"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(dq.SUITE) + 1
+    assert all(r.failures > 0 for r in rows), [r for r in rows if not r.failures]
+
+
+def test_gate_counts_tests_that_cannot_run(spark):
+    report = dq.quality_report({"raw_stock_prices": spark.sql(
+        "SELECT date'2024-01-01' AS date, 'A' AS symbol, 1.0D AS close")})
+    assert report.count() == len(dq.SUITE) + 1
+    with pytest.raises(dq.DataQualityError, match="not run"):
+        dq.assert_quality(report)
