@@ -31,9 +31,9 @@ from marketlens.llm.common import stored
 
 TOP = 20
 #: Rows that a part should hold, the most parts, and sample rows for each part.
-PART_ROWS, MAX_PARTS, SAMPLE_PER_PART = 2000, 1024, 128
+PART_ROWS, MAX_PARTS, SAMPLE_PER_PART = 8192, 1024, 512
 #: Share of the sample's true neighbours that the visited parts must hold.
-SAMPLE_RECALL = 0.97
+SAMPLE_RECALL = 0.95
 NEIGHBOURS, HIDDEN, EPOCHS, RATE, SEED = 10, 128, 40, 0.01, 11
 #: Rows, and queries, that meet in one task group at most (on average over hash blocks).
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 2048
