@@ -66,7 +66,7 @@ class WordIds:
     #: Byte 1 is the mark; Python, but not the tokenizer, splits at 1C-1F.
     _odd = re.compile("[\x01\x1c-\x1f]")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 
@@ -97,11 +97,13 @@ class WordIds:
         self.merge = tiktoken.Encoding("words", pat_str="[^ \x01]*\x01| ", mergeable_ranks=ranks,
                                        special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
+        self.remembered = remembered
 
     @classmethod
-    def of(cls, path: str) -> WordIds:
+    def of(cls, path: str, remembered: int = CACHED_WORDS) -> WordIds:
         if path not in cls._open:
             cls._open[path] = cls(path)
+        cls._open[path].remembered = remembered
         return cls._open[path]
 
     def _plain(self, text: str) -> bytes:
@@ -127,7 +129,7 @@ class WordIds:
         got = list(map(known.get, words))
         if None in got:
             missing = [i for i, ids in enumerate(got) if ids is None]
-            if len(known) + len(missing) > CACHED_WORDS:
+            if len(known) + len(missing) > self.remembered:
                 known.clear()
             new = [words[i] for i in missing]
             for i, word, ids in zip(missing, new, self._new(new)):

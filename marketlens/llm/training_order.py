@@ -27,10 +27,10 @@ from marketlens.llm.common import stored, text_or_empty
 from marketlens.llm.packing import END_ID, WordIds
 from marketlens.session import scratch_dir
 
-LENGTH, SLOTS, KEY, PAD_ID = 1024, 512, 20_240_601, 0
+LENGTH, SLOTS, KEY, PAD_ID = 1024, 128, 20_240_601, 0
 ROUNDS = 6
-#: Rows of sequences that a task passes on at once.
-ROWS_OUT = 2000
+#: Rows of sequences that a task handles or passes on at once; words that it remembers while tokenising.
+ROWS_OUT, REMEMBERED = 1000, 150_000
 
 SEQUENCES = "part int, nth long, doc_id long, start long, n int, ids binary"
 SHARDS = ("shard long, first_slot long, doc_ids array<long>, starts array<long>, lengths array<int>, "
@@ -66,7 +66,7 @@ def slots_of(numbers: np.ndarray, total: int, key: int, back: bool = False) -> n
 
 def _cut(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, nth, rows = WordIds.of(path), TaskContext.get().partitionId(), 0, []
+        words, part, nth, rows = WordIds.of(path, REMEMBERED), TaskContext.get().partitionId(), 0, []
         end = np.array([END_ID], "<u2").tobytes()
         names = [x.split()[0] for x in SEQUENCES.split(", ")]
 
@@ -121,12 +121,13 @@ def _sharded(slots: int, stride: int):
                  pa.array([payload], pa.binary())], names=[x.split()[0] for x in SHARDS.split(", ")])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] // slots != at:
-                    if held:
-                        yield out()
-                    at, held = row[0] // slots, []
-                held.append(row)
+            for k in range(0, batch.num_rows, ROWS_OUT):
+                for row in zip(*(c.to_pylist() for c in batch.slice(k, ROWS_OUT).columns)):
+                    if row[0] // slots != at:
+                        if held:
+                            yield out()
+                        at, held = row[0] // slots, []
+                    held.append(row)
         if held:
             yield out()
 
