@@ -37,11 +37,6 @@ def var_95_value(ret="daily_return") -> Column:
     return F.percentile(F.col(ret), F.lit(0.05))
 
 
-def with_drawdown(daily: DataFrame) -> DataFrame:
-    """Return rows (first bar excluded) with the running peak of close."""
-    return running_max(daily)
-
-
 def _by_symbol(rows: DataFrame):
     """Group by symbol - through the segmented rows' ``_key`` struct when they
     carry it, so every branch of the plan reads the same columns and the row
@@ -53,7 +48,7 @@ def _by_symbol(rows: DataFrame):
 
 def risk_metrics(daily: DataFrame) -> DataFrame:
     """Per-symbol risk mart (percent figures rounded to 4 places)."""
-    rows = with_drawdown(daily)
+    rows = running_max(daily)
     r = F.col("daily_return")
     grouped, sym = _by_symbol(rows)
     agg = grouped.agg(
@@ -86,7 +81,7 @@ def risk_ranking(mart: DataFrame) -> DataFrame:
 
 def max_drawdown(daily: DataFrame) -> DataFrame:
     """Largest fall from the running peak, percent (a positive number)."""
-    grouped, sym = _by_symbol(with_drawdown(daily))
+    grouped, sym = _by_symbol(running_max(daily))
     return (grouped.agg(F.round(F.max(_drawdown()) * 100, 4).alias("max_drawdown_pct"))
             .select(*sym, "max_drawdown_pct"))
 

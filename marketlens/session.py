@@ -58,22 +58,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder (never reused) under the shared checkpoint area."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
-def sized_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
-    """Settings that size scan and shuffle partitions to the data.
-
-    Scan splits of ``target_partition_bytes``; enough shuffle partitions for
-    the whole input at that size (at least two waves of the cores), which AQE
-    then coalesces where stages are small and splits where a key is skewed.
-    """
-    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-    }

@@ -44,7 +44,8 @@ def test_gate_stops_the_pipeline(spark):
 def test_gate_passes_clean_data(spark):
     raw = _raw(spark, [("A", i, c) for i, c in enumerate([10.0, 9.0, 11.0, 8.0, 12.0])] +
                [("B", i, c) for i, c in enumerate([5.0, 4.0, 7.0, 3.0, 6.5])])
-    out = pl.run_batch(raw, ["A", "B"], scratch_dir(spark, "gate_ok"), gate=True)
+    alerts = spark.sql("SELECT 'A' AS symbol, 'PRICE_DROP' AS alert_type, timestamp_ntz'2024-01-02' AS triggered_at")
+    out = pl.run_batch(raw, ["A", "B"], scratch_dir(spark, "gate_ok"), alerts=alerts, gate=True)
     assert out["quality_report"].filter("failures > 0").count() == 0
     assert out["mart_risk_metrics"].count() == 2
 
