@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 from marketlens.llm.common import byte_of_char, free_name, text_or_empty, through_arrow
 
 #: Words whose ids a Python worker remembers; the memory is emptied when full.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 #: Rows, and bytes of text, after which a task passes results on.
 ROWS_OUT, BYTES_OUT = 1000, 8 << 20
 #: White space as Unicode has it, which is what the pattern's class means.
@@ -92,6 +93,7 @@ class Codec:
                                    .replace(r"\S", f"[^{WHITE}]"))
         self.stand_in = [c for c, _ in sorted(byte_of_char().items(), key=lambda x: x[1])]
         self.known: dict[str, bytes] = {}
+        self.tokens: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Codec:
@@ -99,16 +101,21 @@ class Codec:
             cls._open[path, pattern] = cls(path, pattern)
         return cls._open[path, pattern]
 
+    def _mapped(self, token: str) -> str:
+        if token.isascii() and token.isprintable():
+            return token.replace(" ", self.stand_in[32])
+        return "".join([self.stand_in[b] for b in token.encode()])
+
     def _new(self, words: list[str]) -> list[bytes]:
-        table = self.stand_in
-        tokens = [self.split.findall(w) for w in words]
-        flat = ["".join([table[b] for b in t.encode()]) for found in tokens for t in found]
-        ids, out, at = self.model.encode(flat, num_threads=1), [], 0
-        for found in tokens:
-            own = [i for piece in ids[at:at + len(found)] for i in piece]
-            at += len(found)
-            out.append((np.array(own, "<i4") - 1).astype("<i4").tobytes())
-        return out
+        """Piece ids (rank + 1, little-endian) of words not remembered, by their matches."""
+        found, tokens = [self.split.findall(w) for w in words], self.tokens
+        new = list({t for own in found for t in own if t not in tokens})
+        if len(tokens) + len(new) > CACHED_WORDS:
+            tokens.clear()
+            new = list({t for own in found for t in own})
+        for token, ids in zip(new, self.model.encode([self._mapped(t) for t in new], num_threads=1)):
+            tokens[token] = array("i", ids).tobytes()
+        return [b"".join([tokens[t] for t in own]) for own in found]
 
     def encode(self, text: str) -> np.ndarray:
         """Ids, as ranks.  A match begins at every single space, so words are encoded one by one."""
@@ -128,7 +135,7 @@ class Codec:
             new = [words[i] for i in missing]
             for i, word, ids in zip(missing, new, self._new(new)):
                 got[i] = known[word] = ids
-        return np.frombuffer(b"".join(got), "<i4")
+        return np.frombuffer(b"".join(got), "<i4") - np.int32(1)
 
     def decode(self, ids: np.ndarray) -> bytes:
         entries = self.entries
