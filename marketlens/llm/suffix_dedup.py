@@ -213,10 +213,13 @@ def scan(array: pa.Table, fresh: np.ndarray) -> list[tuple[int, int, int, int]]:
     at = ends[entry] + nth
     doc = array["doc"].to_numpy()[entry]
     a, b = (gram_hashes(raw, LENGTH, seed)[at] for seed in (1, 2))
-    order = np.lexsort((doc, b, a))
+    order = np.argsort(a)
+    if (apart := (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] != b[order[:-1]])).any():
+        order = np.lexsort((b, a))  # two strings with one first hash: tell them apart
+    del apart
     a, b, doc = a[order], b[order], doc[order]
     head = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
-    least = doc[head][np.cumsum(head) - 1]
+    least = np.minimum.reduceat(doc, np.flatnonzero(head))[np.cumsum(head) - 1]
     found = np.zeros(len(order), bool)
     found[order] = doc > least
     hit = np.flatnonzero(found & fresh[entry])
