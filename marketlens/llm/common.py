@@ -29,6 +29,17 @@ def through_arrow(df: DataFrame, task, schema) -> DataFrame:
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(task, schema)
 
 
+#: Rows of long texts that a task takes up, and passes on, at once.
+SLICE = 1000
+
+
+def slices(batches):
+    """The batches in pieces of ``SLICE`` rows (views), so that what a task holds beside them stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE):
+            yield batch.slice(k, SLICE)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` doesn't have yet (names compare case-insensitively)."""
     taken = {c.lower() for c in df.columns}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm import repeats
-from marketlens.llm.common import free_name, stored, text_or_empty, through_arrow
+from marketlens.llm.common import free_name, slices, stored, text_or_empty, through_arrow
 
 SPACE = " \t\n\x0b\x0c\r"
 MIN_KEY_CHARS = 10
@@ -59,7 +59,7 @@ def _document_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 def _suspects(found):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             docs, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = list({k for k in keys_of(text.as_py()) if k is not None})
@@ -88,7 +88,7 @@ def repeated_keys(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
 def _dropped(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from (dropped(batch) for batch in batches)
+        yield from (dropped(batch) for batch in slices(batches))
 
     def dropped(batch: pa.RecordBatch) -> pa.RecordBatch:
         cols = [batch.column(c) for c in range(batch.num_columns - 2)]

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
 from marketlens.llm import repeats
-from marketlens.llm.common import free_name, stored, text_or_empty, through_arrow
+from marketlens.llm.common import free_name, slices, stored, text_or_empty, through_arrow
 
 LENGTH, GRAM = 50, 16
 #: k-gram hashes in one window, and the share of positions that become suffixes.
@@ -43,7 +43,7 @@ SAMPLED = 2 / (IN_WINDOW + 1)
 BATCHES = 3
 FILTER_BITS_EACH, MAX_FILTER_BITS = 8, 1 << 29
 #: Bytes of text hashed at once; bytes of text whose suffixes are passed on together; text per shard.
-BLOCK, FLUSH, SHARD = 1 << 20, 16 << 20, 4 << 20
+BLOCK, FLUSH, SHARD = 1 << 20, 16 << 20, 2 << 20
 LAST = (1 << 63) - 1
 
 #: What a row's suffixes are in a scan: of the batch, of a level that merges with it, of another level.
@@ -175,12 +175,11 @@ def _sent(marks: dict[tuple[int, int], list[tuple[int, int]]], blobs: dict[int,
 def _suspects(found, shards: int):
     """Documents (doc, rk, text) -> marks of what the same task resolves, and blobs of suspected suffixes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            order = pa.compute.sort_indices(batch.column(0))
-            batch = batch.take(order)
+        first_doc: dict[bytes, int] = {}
+        marks, blobs, size = {}, {}, 0
+        for batch in slices(batches):
+            batch = batch.take(pa.compute.sort_indices(batch.column(0)))
             docs, rks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            first_doc: dict[bytes, int] = {}
-            marks, blobs, size = {}, {}, 0
             for first_row, texts in _blocks(batch, 2):
                 own, at, n, anchor = suffixes(texts)
                 hit = repeats.suspected(found.value, anchor)
@@ -193,11 +192,11 @@ def _suspects(found, shards: int):
                     else:
                         blobs.setdefault(s, []).append((doc, rks[row], a, text))
                 size += sum(map(len, texts))
-                if size >= FLUSH:
-                    yield _sent(marks, blobs, shards)
-                    first_doc, marks, blobs, size = {}, {}, {}, 0
-            if marks or blobs:
+            if size >= FLUSH:
                 yield _sent(marks, blobs, shards)
+                first_doc, marks, blobs, size = {}, {}, {}, 0
+        if marks or blobs:
+            yield _sent(marks, blobs, shards)
 
     return run
 
@@ -303,7 +302,7 @@ class IndexFamily:
 
 def _removed(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             k = batch.num_columns - 2
             size, gone, n, kept = [], [], [], []
             for text, spans in zip(batch.column(k), batch.column(k + 1)):
