@@ -139,7 +139,7 @@ def materialise(docs: DataFrame, tokenizer_path: str, out_path: str, length: int
     """Write the shards to ``out_path`` and return them read back: one row per shard, payload included."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    seqs = stored(d.mapInArrow(_cut(tokenizer_path, length), SEQUENCES), "sequences")
+    seqs = stored(d.mapInArrow(_cut(tokenizer_path, length), SEQUENCES), "sequences", "zstd")
     sizes = seqs.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row per writing task
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = stored(sizes.select("part", before.alias("before"), "n"), "sequence_starts")
@@ -152,7 +152,7 @@ def materialise(docs: DataFrame, tokenizer_path: str, out_path: str, length: int
     tasks = min(shards, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     ranged = slotted.withColumn("range", F.floor(F.floor(F.col("slot") / slots) * tasks / shards))
     (ranged.repartition(tasks, "range").sortWithinPartitions("slot").select("slot", "doc_id", "start", "n", "ids")
-     .mapInArrow(_sharded(slots, 2 * length), SHARDS).write.parquet(out_path))
+     .mapInArrow(_sharded(slots, 2 * length), SHARDS).write.parquet(out_path, compression="zstd"))
     return spark.read.schema(SHARDS).parquet(out_path)
 
 
