@@ -8,8 +8,10 @@ executor loss; a local folder is chosen only when the setting is unset (tests).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +60,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder (never reused) under the shared checkpoint area."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Holds on machines that share that folder; on others ship the package with
+    ``--py-files``, as for any Spark application.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
