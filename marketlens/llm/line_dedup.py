@@ -54,7 +54,7 @@ def _document_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     for text in batch.column(0):
         keys = {k for k in keys_of(text.as_py()) if k is not None}
         if keys:
-            yield _hashes(keys)
+            yield _hashes(keys), repeats.NONE
 
 
 def _suspects(found):

@@ -5,7 +5,9 @@ byte window the least one, leftmost on ties, anchors the window, and a run of
 windows with one anchor is one sampled suffix: the run's bytes.  Equal windows
 have equal anchors, so they lie in suffixes of one anchor hash; suffixes whose
 anchor no other place of the corpus has (by the second of two Bloom filters)
-are left out.
+are left out.  Suffixes of an anchor that more than ``HOT`` places have (a header
+whose surroundings differ by document) are cut into their windows, which are
+dealt by their own bytes: equal windows still meet, different ones don't.
 
 Documents come in batches by ascending doc_id.  A batch's suffixes, dealt by
 anchor hash to shards, are sorted there into the batch's suffix array and scanned
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
@@ -44,6 +47,8 @@ BATCHES = 3
 FILTER_BITS_EACH, MAX_FILTER_BITS = 8, 1 << 29
 #: Bytes of text hashed at once; bytes of text whose suffixes are passed on together; text per shard.
 BLOCK, FLUSH, SHARD = 1 << 20, 16 << 20, 2 << 20
+#: Suffixes of one anchor beyond which they are dealt by window; about 2 MB of text.
+HOT = 1 << 15
 LAST = (1 << 63) - 1
 
 #: What a row's suffixes are in a scan: of the batch, of a level that merges with it, of another level.
@@ -125,13 +130,14 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[byte
         yield first, held
 
 
-def _anchor_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+def _anchor_hashes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for _, texts in _blocks(batch, 0):
         own, _, _, anchor = suffixes(texts)
         order = np.lexsort((anchor, own))
         own, anchor = own[order], anchor[order]
         if len(own):
-            yield anchor[np.r_[True, (own[1:] != own[:-1]) | (anchor[1:] != anchor[:-1])]]
+            new = np.r_[True, (own[1:] != own[:-1]) | (anchor[1:] != anchor[:-1])]
+            yield anchor[new], anchor[~new]
 
 
 def _packed(rows: list[tuple[int, int, int, bytes]]) -> bytes:
@@ -176,6 +182,7 @@ def _suspects(found, shards: int):
     """Documents (doc, rk, text) -> marks of what the same task resolves, and blobs of suspected suffixes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_doc: dict[bytes, int] = {}
+        first_window: dict[bytes, int] = {}
         marks, blobs, size = {}, {}, 0
         for batch in slices(batches):
             batch = batch.take(pa.compute.sort_indices(batch.column(0)))
@@ -184,17 +191,27 @@ def _suspects(found, shards: int):
                 own, at, n, anchor = suffixes(texts)
                 hit = repeats.suspected(found.value, anchor)
                 shard = (anchor >> np.uint64(7)) % np.uint64(shards)
-                for t, a, k, s in zip(*(x[hit].tolist() for x in (own, at, n, shard))):
+                hot = repeats.crowded(found.value, anchor)
+                for t, a, k, s, cut in zip(*(x[hit].tolist() for x in (own, at, n, shard, hot))):
                     row, text = first_row + t, texts[t][a:a + k + LENGTH - 1]
-                    doc = docs[row]
+                    doc, rk = docs[row], rks[row]
                     if first_doc.setdefault(text, doc) < doc:
-                        marks.setdefault((doc, rks[row]), []).append((a, a + len(text)))
+                        marks.setdefault((doc, rk), []).append((a, a + len(text)))
+                    elif not cut:
+                        blobs.setdefault(s, []).append((doc, rk, a, text))
                     else:
-                        blobs.setdefault(s, []).append((doc, rks[row], a, text))
+                        for i in range(k):
+                            window = text[i:i + LENGTH]
+                            if first_window.setdefault(window, doc) < doc:
+                                marks.setdefault((doc, rk), []).append((a + i, a + i + LENGTH))
+                            else:
+                                s = xxhash.xxh3_64_intdigest(window) % shards
+                                blobs.setdefault(s, []).append((doc, rk, a + i, window))
+                        size += k * IN_WINDOW // 2  # as many windows as suffixes of so much text
                 size += sum(map(len, texts))
-            if size >= FLUSH:
-                yield _sent(marks, blobs, shards)
-                first_doc, marks, blobs, size = {}, {}, {}, 0
+                if size >= FLUSH:
+                    yield _sent(marks, blobs, shards)
+                    first_doc, first_window, marks, blobs, size = {}, {}, {}, {}, 0
         if marks or blobs:
             yield _sent(marks, blobs, shards)
 
@@ -332,7 +349,7 @@ def marks(texts: DataFrame, batches: int = BATCHES) -> DataFrame:
     size, cuts = texts.agg(F.sum(F.length("text")), F.percentile_approx("doc", shares, 1000)).first()
     size, cuts = size or 0, sorted(set(cuts or ())) if batches > 1 else []
     found = repeats.seen_twice(texts.select("text"), _anchor_hashes,
-                               repeats.filter_bits(int(size * SAMPLED), FILTER_BITS_EACH, MAX_FILTER_BITS))
+                               repeats.filter_bits(int(size * SAMPLED), FILTER_BITS_EACH, MAX_FILTER_BITS), HOT)
     family = IndexFamily(spark, found, max(1, size // SHARD))
     out = None
     for low, high in zip([None, *cuts], [*cuts, None]):

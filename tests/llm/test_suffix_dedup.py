@@ -79,3 +79,37 @@ def test_keep_leaves_other_columns_and_valid_text(spark):
     assert rows[1].text == "x" + shared and rows[3].text == "quite another"
     assert rows[2].text == "tail é  end" and rows[2].n_chars == 11 and rows[2].kept == "l"
     assert sd.keep(df.limit(0)).count() == 0 and sd.report(df.limit(0)).count() == 0
+
+
+def _headed(n):
+    rng = random.Random(4)
+    noise = lambda k: "".join(rng.choices("abcdefghijklmnop", k=k))
+    rows = [(i, noise(40) + "== a header of all pages of one site, by date ==" + noise(40)) for i in range(n)]
+    shared = noise(70) + "== a header of all pages of one site, by date ==" + noise(70)
+    return rows + [(n + i, noise(9) + shared[i:i + 120]) for i in range(20)] + [(7, shared), (None, shared * 2)]
+
+
+def test_a_frequent_anchor_is_dealt_by_window(spark, monkeypatch):
+    monkeypatch.setattr(sd, "HOT", 5)
+    rows, shards = _headed(400), 16
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = df.selectExpr("coalesce(doc_id, 0) AS doc", "xxhash64(text) AS rk", "CAST(text AS binary) AS text")
+    found = sd.repeats.seen_twice(texts.select("text"), sd._anchor_hashes, sd.repeats.MIN_BITS, sd.HOT)
+    held = [0] * shards
+    for r in texts.mapInArrow(sd._suspects(found, shards), sd.ROWS).filter("blob IS NOT NULL").collect():
+        held[r.shard] += sum(len(t) - L + 1 for t in sd._unpacked(r.blob)["text"].to_pylist())
+    assert max(held) < 3 * sum(held) / shards
+    got = [tuple(r) for r in sd.report(df).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_windows_dealt_alone_against_brute_force(spark, batches, monkeypatch):
+    monkeypatch.setattr(sd.marks, "__defaults__", (batches,))
+    monkeypatch.setattr(sd, "HOT", 3)
+    rows = _rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = [tuple(r) for r in sd.report(df).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
