@@ -319,6 +319,16 @@ def _windowed_run(spark, d, runs=1, shuffled=False):
     return stx.read_windowed_alerts(spark, sink)
 
 
+def q_windowed_two_runs(spark, d):
+    """Two windowed runs, each with its own checkpoint and half of the ticks of every window, into one sink."""
+    sink = scratch_dir(spark, "walerts_out")
+    for half in (0, 1):
+        files = tk.write_tick_files(_ticks(spark, d).filter(F.col("seq") % 2 == half), scratch_dir(spark, "ticks_in"))
+        src, ck = tk.read_tick_stream(spark, files), scratch_dir(spark, "walerts_ck")
+        stx.run_to_end(stx.start_windowed_alerts(src, sink, ck, STREAM_WINDOW))
+    return stx.read_windowed_alerts(spark, sink)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the per-symbol risk mart over daily bars derived from orders."""
     return q_mart_risk_metrics(spark, SMOKE_DIR)
@@ -419,6 +429,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_restart": lambda s, d: _windowed_run(s, d, 2),
         "stream_alerts_unordered": lambda s, d: _windowed_run(s, d, 1, shuffled=True),
         "stream_alerts_two_runs": q_stream_two_runs,
+        "stream_windowed_two_runs": q_windowed_two_runs,
         "recent_alerts_streamed": lambda s, d: rp.recent_alerts(_windowed_run(s, d, 1)),
     }
     for module in EXTRA:
@@ -887,6 +898,7 @@ def oracle_sql() -> dict[str, str]:
             ("rules", _rules_sql("half, symbol")), body="""
             SELECT symbol, alert_type, ROUND(metric_value, 6) AS metric_value, threshold_value,
                    price_at_alert FROM rules WHERE metric_value > threshold_value"""),
+        "stream_windowed_two_runs": ALERTS_WINDOWED,
         "recent_alerts_streamed": _with(("alerts_t", ALERTS_WINDOWED), body=RECENT),
     }
     for module in EXTRA:

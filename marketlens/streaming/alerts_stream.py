@@ -7,9 +7,16 @@ Two scopes:
   aggregate, rules, write; the source is read once.
 * ``start_windowed_alerts`` - the rules per symbol and tumbling event-time
   window.  Each batch writes the statistics of the windows it touched;
-  ``read_windowed_alerts`` takes every window's fullest statistics and applies
-  the rules.  All windows are there, the open ones too, and the result doesn't
-  depend on how ticks were cut into batches.
+  ``read_windowed_alerts`` takes every window's fullest statistics of each feed,
+  merges those of the feeds and applies the rules.  All windows are there, the
+  open ones too, and the result doesn't depend on how ticks were cut into
+  batches or runs.
+
+A windowed run is a feed of its own: its ticks are other ones than those of the
+other runs (another source, or a start at the latest offset).  Runs that read the
+same ticks again, wholly or in part, must be given one ``feed`` name; the one that
+has read most of a window counts.  Feeds whose ticks of a window are all equal
+(by number and sum of hashes) count once.
 
 A sink may serve many runs.  A run (one checkpoint) keeps an id in its
 checkpoint folder; batches write into ``day=/run_id=/batch_id=`` folders, so a
@@ -32,6 +39,9 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlens.functions.scalar import deterministic_id, utc_wall_clock
 from marketlens.operators.alerts import STAT_COLUMNS, alert_rows, latest_key, stat_aggs, to_alert_table
 
+#: What it takes, besides the statistics, to merge them over feeds.
+MERGE_COLUMNS = ["n_prices", "latest_at", "ticks_hash"]
+
 
 class LateTicksError(RuntimeError):
     """Ticks came after their window had left the state."""
@@ -81,18 +91,27 @@ def start_micro_batch_alerts(ticks: DataFrame, sink: str, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
+def merge_aggs(ticks: DataFrame) -> list:
+    key, price = latest_key(ticks), F.col("price")
+    return [F.count(price).alias("n_prices"), F.max(F.when(price.isNotNull(), key)).alias("latest_at"),
+            F.sum(F.xxhash64(price, key).cast("decimal(38,0)")).alias("ticks_hash")]
+
+
 def window_stats_stream(ticks: DataFrame, window: str = "1 day", watermark: str | None = None) -> DataFrame:
     """Statistics per (event-time window, symbol), as they stand after each batch."""
     src = ticks.withWatermark("event_time", watermark) if watermark else ticks
-    return src.groupBy(F.window("event_time", window).alias("w"), "symbol").agg(*stat_aggs(latest_key(ticks)))
+    return (src.groupBy(F.window("event_time", window).alias("w"), "symbol")
+            .agg(*stat_aggs(latest_key(ticks)), *merge_aggs(ticks)))
 
 
 def start_windowed_alerts(ticks: DataFrame, sink: str, checkpoint: str, window: str = "1 day",
-                          watermark: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                          watermark: str | None = None, trigger: dict | None = None,
+                          feed: str | None = None) -> StreamingQuery:
+    """Window statistics into ``sink``; runs that read the same ticks name one ``feed``."""
     run = run_id(ticks.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(batch.withColumn("day", F.to_date("w.start")), sink, run, batch_id)
+        _write(batch.withColumns({"day": F.to_date("w.start"), "feed": F.lit(feed or run)}), sink, run, batch_id)
 
     w = (window_stats_stream(ticks, window, watermark).writeStream.outputMode("update")
          .foreachBatch(write).option("checkpointLocation", checkpoint))
@@ -122,9 +141,31 @@ def read_alerts(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def merged_stats(parts: DataFrame) -> DataFrame:
+    """(w, symbol, statistics) over the feeds of ``parts``: means and squared deviations add up by Chan's formula."""
+    kept = ["n_ticks", *(c for c in STAT_COLUMNS if c != "n_ticks"), *MERGE_COLUMNS]
+    rows = (parts.groupBy("w", "symbol")
+            .agg(F.sum("n_ticks").alias("n_ticks"), F.max("max_price").alias("max_price"),
+                 F.min("min_price").alias("min_price"), F.max_by("latest_price", "latest_at").alias("latest_price"),
+                 F.sum("n_prices").alias("n"), F.sort_array(F.collect_list(F.struct(*kept))).alias("feeds")))  # one per feed
+
+    def total(term):
+        return F.aggregate(F.filter("feeds", lambda x: x["n_prices"] > 0), F.lit(0.0), lambda acc, x: acc + term(x))
+
+    one, n = F.size("feeds") == 1, F.col("n")
+    rows = rows.withColumn("avg_price", F.when(one, F.col("feeds")[0]["avg_price"])
+                           .when(n > 0, total(lambda x: x["avg_price"] * x["n_prices"]) / n))
+    squares = total(lambda x: F.coalesce(x["volatility"] * x["volatility"], F.lit(0.0)) * (x["n_prices"] - 1)
+                    + x["n_prices"] * (x["avg_price"] - F.col("avg_price")) * (x["avg_price"] - F.col("avg_price")))
+    rows = rows.withColumn("volatility", F.when(one, F.col("feeds")[0]["volatility"])
+                           .when(n > 1, F.sqrt(squares / (n - 1))))
+    return rows.select("w", "symbol", *STAT_COLUMNS)
+
+
 def read_windowed_alerts(spark: SparkSession, sink: str) -> DataFrame:
-    """The alert table over a windowed sink: every window's fullest statistics, then the rules."""
-    stats = F.struct(*STAT_COLUMNS)
-    latest = (spark.read.parquet(sink).groupBy("w", "symbol")
-              .agg(F.max_by(stats, F.col("n_ticks")).alias("s")).select("w", "symbol", "s.*"))
-    return to_alert_table(alert_rows(latest, ["w", "symbol"]))
+    """The alert table over a windowed sink: every window's fullest statistics by feed, merged, then the rules."""
+    stats = F.struct(*STAT_COLUMNS, *MERGE_COLUMNS)
+    by_feed = (spark.read.parquet(sink).groupBy("feed", "w", "symbol")
+               .agg(F.max_by(stats, F.col("n_ticks")).alias("s")).select("w", "symbol", "s.*"))
+    once = by_feed.dropDuplicates(["w", "symbol", "n_ticks", "ticks_hash"])
+    return to_alert_table(alert_rows(merged_stats(once), ["w", "symbol"]))

@@ -68,6 +68,28 @@ def test_windowed_stream_equals_batch_windows(spark):
         assert r.asDict() == batch[k].asDict()
 
 
+def test_windowed_runs_into_one_sink(spark):
+    from marketlens.operators.alerts import window_alerts
+
+    ticks = fx.events_ticks(spark, SMALL)
+    want = {r.alert_id: r for r in window_alerts(ticks).collect()}
+    halves = [ticks.filter(F.col("seq") % 5 == 0), ticks.filter(F.col("seq") % 5 != 0)]
+    cases = [[(halves[0], None), (halves[1], None)],                              # other ticks: merged
+             [(ticks, None), (ticks, None)],                                      # the same ticks: once
+             [(halves[0], "feed"), (ticks, "feed")]]                              # a part again, of one named feed
+    for case in cases:
+        sink = scratch_dir(spark, "m_sink")
+        for part, feed in case:
+            src = tk.write_tick_files(part, scratch_dir(spark, "m_in"))
+            stx.run_to_end(stx.start_windowed_alerts(tk.read_tick_stream(spark, src), sink, scratch_dir(spark, "m_ck"),
+                                                     feed=feed))
+        got = {r.alert_id: r for r in stx.read_windowed_alerts(spark, sink).collect()}
+        assert want and set(got) == set(want)
+        for k, r in got.items():
+            assert r.price_at_alert == pytest.approx(want[k].price_at_alert)
+            assert r.metric_value == pytest.approx(want[k].metric_value, abs=2e-6)
+
+
 def test_ticks_dropped_by_a_watermark_are_an_error(spark):
     ticks = fx.events_ticks(spark, SMALL)
     src = tk.write_tick_files(ticks.repartition(4), scratch_dir(spark, "l_in"))
