@@ -173,23 +173,62 @@ def links(fps: DataFrame, most: int = MAX_BITS, hot: int = HOT) -> DataFrame:
     return rows.mapInArrow(_linked(most), "a long, b long")
 
 
+def _with_component(by_fp: DataFrame, most: int) -> DataFrame:
+    """(fp, first) of distinct fingerprints, with the component of each."""
+    fps = stored(by_fp, "distinct_fingerprints")
+    member = components(links(fps.select("fp"), most))
+    return (fps.join(member, F.col("fp") == F.col("node"), "left")
+            .select("fp", "first", F.coalesce("component", "fp").alias("component")))
+
+
 def grouped(docs: DataFrame, size: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     marked = stored(d.mapInArrow(_fingerprints(size), "doc_id long, fp long"), "fingerprints")
-    fps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct_fingerprints")
-    member = components(links(fps.select("fp"), most))
-    first = (fps.join(member, F.col("fp") == F.col("node"), "left")
-             .select("fp", "first", F.coalesce("component", "fp").alias("component")))
+    first = _with_component(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), most)
     least = first.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = first.join(least, "component").select("fp", "component_id")
     return (marked.join(by_fp, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def keep(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one with the least id.  Rows without an id can't be told apart and stay."""
-    member = grouped(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    name = free_name(docs, "kept_doc")
-    first = docs.join(member.withColumnRenamed("doc_id", name), F.col("doc_id") == F.col(name), "left_semi")
-    return first.union(docs.filter(F.col("doc_id").isNull()))
+def _with_row_key(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with what tells rows apart, in the order they are chosen: id (nulls last), two hashes of the text."""
+    doc = F.col("doc_id").cast("long")
+    return docs.withColumn(key, F.struct(doc.isNull().alias("null_id"), F.coalesce(doc, F.lit(0)).alias("id"),
+                                         F.xxhash64(F.lit(1), text_or_empty()).alias("h1"),
+                                         F.xxhash64(F.lit(2), text_or_empty()).alias("h2")))
+
+
+def _keyed_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        fps = [_signed(fingerprint(t.as_py())) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["key", "fp"])
+
+
+def keep(docs: DataFrame, null_ids_stay: bool = True) -> DataFrame:
+    """One row of each component: of the least id, then of the least text hash; of equal rows any one.
+
+    Rows without an id are members like any other, and chosen where no member has one,
+    unless ``null_ids_stay``: then all of them stay and only rows with an id are chosen from.
+    """
+    name = free_name(docs, "kept_row")
+    keyed = _with_row_key(docs, name)
+    chosen_from = keyed.filter(F.col("doc_id").isNotNull()) if null_ids_stay else keyed
+    key_type = keyed.schema[name].dataType.simpleString()
+    marked = stored(chosen_from.select(F.col(name).alias("key"), text_or_empty().alias("text"))
+                    .mapInArrow(_keyed_fingerprints, f"key {key_type}, fp long"), "fingerprints")
+    rows = marked.groupBy("fp", "key").agg(F.count(F.lit(1)).alias("n"))
+    first = _with_component(rows.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("first")), MAX_BITS)
+    least = stored(first.groupBy("component").agg(F.min("first").alias("first"))
+                   .select(F.col("first.key").alias(name), F.col("first.n").alias("n")), "kept_rows")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = keyed.join(least.filter("n = 1"), name, "left_semi").select(*columns)
+    repeated = least.filter("n > 1").select(name)
+    if not repeated.isEmpty():
+        row = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+        one = keyed.join(repeated, name, "left_semi").groupBy(name).agg(F.first(row).alias("row"))
+        out = out.union(one.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)]))
+    if null_ids_stay:
+        out = out.union(docs.filter(F.col("doc_id").isNull()))
+    return out

@@ -69,6 +69,19 @@ def test_small_corpus_against_brute_force(spark):
         (d, f"{fps[d]:016x}", comp[d]) for d, _ in rows)
 
 
+def test_one_row_of_each_component_stays(spark):
+    schema = "doc_id long, text string, source string"
+    rows = [(4, "same words here now", "a")] * 50 + [(4, "Same words  here now", "b"), (6, "same words here now", "c")]
+    rows += [(4, "quite another text it is", "d"), (2, "quite another text it is", "e")]       # id 4 is no winner here
+    rows += [(None, "same words here now", "f"), (None, "nobody else has this text", "g"), (None, "nobody else has this text", "g")]
+    docs = spark.createDataFrame(rows, schema).repartition(5)
+    kept = sorted((r.doc_id or -1, " ".join(r.text.lower().split())) for r in simhash.keep(docs, null_ids_stay=False).collect())
+    assert kept == [(-1, "nobody else has this text"), (2, "quite another text it is"), (4, "same words here now")]
+    with_null = sorted((r.doc_id or -1, r.source) for r in simhash.keep(docs).collect())
+    assert [x for x in with_null if x[0] == -1] == [(-1, "f"), (-1, "g"), (-1, "g")]
+    assert [x[0] for x in with_null if x[0] > 0] == [2, 4]
+
+
 def test_nulls_empty_tables_and_clashing_names(spark):
     schema = "doc_id long, text string, fp string, component_id int, KEPT_DOC int"
     empty = spark.createDataFrame([], schema)
