@@ -7,7 +7,8 @@ equal logs the least conv_id stays.  What remains is rendered.
 
 Only DataFrame functions run here.  Sums roll within segments of ``SEGMENT``
 turns and segment totals are carried on, so a conversation that holds a third of
-all rows is many tasks; prefix keys are made distinct before they are joined,
+all rows is many tasks if its turns are numbered apart (rows of one segment, null
+turns for instance, are one text by definition and meet in one task); prefix keys are made distinct before they are joined,
 so a first turn that many logs share is one row.
 
 Defined results: turn numbers belong to a log's identity; rows of one turn have

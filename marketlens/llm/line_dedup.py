@@ -60,30 +60,34 @@ def _document_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 def _suspects(found):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            docs, keys = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            docs, rks, keys = [], [], []
+            for doc, rk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 own = list({k for k in keys_of(text.as_py()) if k is not None})
                 if own:
                     hit = np.flatnonzero(repeats.suspected(found.value, _hashes(own)))
                     docs += [doc] * len(hit)
+                    rks += [rk] * len(hit)
                     keys += [own[i] for i in hit]
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(keys, pa.binary())],
-                                             names=["doc", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(rks, pa.int64()),
+                                              pa.array(keys, pa.binary())], names=["doc", "rk", "key"])
 
     return run
 
 
-def repeated_keys(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, keys): by document, the keys whose lines it loses."""
-    texts = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+def repeated_keys(docs: DataFrame, doc: str, rk: str, text: str) -> DataFrame:
+    """(doc, rk, keys): by document and text (its hash), the distinct keys whose lines it loses.
+
+    A list is bounded by one text, however many rows a document has.
+    """
+    texts = docs.select(F.col(doc).alias("doc"), F.col(rk).alias("rk"), F.col(text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = repeats.filter_bits(size // LINE_BYTES, BITS_PER_LINE, MAX_BITS)
     found = repeats.seen_twice(texts.select("text"), _document_hashes, bits)
-    suspects = stored(texts.mapInArrow(_suspects(found), "doc long, key binary"), "line_suspects")
+    suspects = stored(texts.mapInArrow(_suspects(found), "doc long, rk long, key binary"), "line_suspects")
     first = (suspects.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .filter("first < last").select("key", "first"))
-    return (suspects.join(first, "key").filter("doc > first").select("doc", "key")
-            .groupBy("doc").agg(F.collect_list("key").alias("keys")))
+    return (suspects.join(first, "key").filter("doc > first").select("doc", "rk", "key")
+            .groupBy("doc", "rk").agg(F.collect_set("key").alias("keys")))
 
 
 def _dropped(names: list[str]):
@@ -117,11 +121,12 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """
     from pyspark.sql.types import LongType, StringType, StructType
 
-    doc, text = free_name(docs, "line_doc"), free_name(docs, "line_text")
-    keyed = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), text: text_or_empty()})
-    lost = repeated_keys(keyed, doc, text).withColumnRenamed("doc", doc)
+    doc, rk, text = (free_name(docs, f"line_{c}") for c in ("doc", "rk", "text"))
+    keyed = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)),
+                              rk: F.xxhash64(text_or_empty()), text: text_or_empty()})
+    lost = repeated_keys(keyed, doc, rk, text).withColumnsRenamed({"doc": doc, "rk": rk})
     lost_name = free_name(keyed, "line_keys")
-    joined = (keyed.join(lost.withColumnRenamed("keys", lost_name), doc, "left")
+    joined = (keyed.join(lost.withColumnRenamed("keys", lost_name), [doc, rk], "left")
               .select(*[F.col(f"`{c}`") for c in docs.columns], text, lost_name))
     names = {c: free_name(docs, f"line_{c}") for c in ("n_lines", "n_dropped", "kept")}
     schema = StructType([*docs.schema.fields]).add(names["n_lines"], LongType()) \

@@ -55,6 +55,18 @@ def test_full_filters_only_add_suspects(spark, monkeypatch):
     assert sorted(r.n_dropped for r in line_dedup.report(df).collect()) == sorted(x[2] for x in brute(ROWS))
 
 
+def test_lost_keys_are_listed_by_text(spark):
+    rows = [(1, "\n".join(f"a common line, number {i}" for i in range(200)))]
+    rows += [(None, f"a common line, number {i}\nown line of row {i}") for i in range(200)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lost = line_dedup.repeated_keys(df.selectExpr(f"coalesce(doc_id, {line_dedup.LAST}) AS doc", "xxhash64(text) AS rk", "text"),
+                                    *("doc", "rk", "text"))
+    assert sorted(len(r["keys"]) for r in lost.collect()) == [1] * 200
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    want = [(d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in brute(rows)]
+    assert sorted((tuple(r) for r in line_dedup.report(df).collect()), key=key) == sorted(want, key=key)
+
+
 def test_keep_leaves_other_columns(spark):
     schema = "doc_id long, text string, n_chars long, line_doc int, kept string, `a.b` int"
     df = spark.createDataFrame([(2, "one same line\nrest", 18, 1, "k", 3), (1, "one same line", 13, 2, "l", 4)], schema)
