@@ -195,12 +195,12 @@ def discoveries(scanned: DataFrame) -> DataFrame:
     stratum = Window.partitionBy("stratum")                                     # windows over CELLS rows at most
     low = F.sum("k").over(stratum.orderBy("cell"))
     cells = cells.withColumn("p", (low + 1) / (F.sum("k").over(stratum) + 1))
-    by_p = cells.groupBy("p").agg(F.sum("m").alias("m"))
-    upto, all_of = F.sum("m").over(Window.orderBy("p")), F.sum("m").over(Window.partitionBy())
-    passing = by_p.withColumn("upto", upto).withColumn("all", all_of).filter(F.col("p") * F.col("all") <= F.col("upto") * FALSE_SHARE)
-    most = passing.agg(F.max("p").alias("most"))
+    every = Window.partitionBy()
+    upto = F.sum("m").over(Window.orderBy("p").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    cells = cells.withColumns({"upto": upto, "all": F.sum("m").over(every)})
+    passing = F.when(F.col("p") * F.col("all") <= F.col("upto") * FALSE_SHARE, F.col("p"))
     fits = F.col("cell") % (BINS + 1) < int(REJECT * FINE)
-    return cells.filter((F.col("m") > 0) & fits).crossJoin(most).filter("p <= most").select("cell")
+    return cells.withColumn("most", F.max(passing).over(every)).filter((F.col("m") > 0) & fits & (F.col("p") <= F.col("most"))).select("cell")
 
 
 def report(docs: DataFrame) -> DataFrame:
