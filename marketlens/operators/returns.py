@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from marketlens.operators.sequential import SEGMENT_COLUMNS, segmented_lag, segm
 
 DAILY_COLUMNS = ["date", "symbol", "close", "prev_close", "daily_return",
                  "open", "high", "low", "volume"]
+#: What the marts read of the core model.
+RISK_INPUT = ["date", "symbol", "close", "daily_return"]
+SUMMARY_INPUT = [*RISK_INPUT, "volume"]
 
 
 def stg_prices(raw: DataFrame) -> DataFrame:
@@ -17,20 +22,23 @@ def stg_prices(raw: DataFrame) -> DataFrame:
                       "ingested_at")
 
 
-def daily_returns(bars: DataFrame, keep_segment: bool = False) -> DataFrame:
+def daily_returns(bars: DataFrame, keep_segment: bool = False, columns: Sequence[str] = DAILY_COLUMNS) -> DataFrame:
     """``prev_close`` = previous bar's close per symbol by date; simple return
     ``round((close - prev) / nullif(prev, 0), 6)``.  First bar and a zero
     previous close give NULL.  The lag is segmented by year (see
     ``operators.sequential``), so one symbol's history never sits in one task.
-    ``keep_segment`` keeps the segment column so the marts' running max reuses
+    ``keep_segment`` keeps the segment columns so the marts' running max reuses
     the (symbol, segment) partitioning instead of shuffling the rows again.
+    ``columns`` are those that the caller reads: no others cross the wire, and as both
+    branches of the lag then use the same ones, they share one exchange and one scan.
     """
-    prev = segmented_lag(bars, "symbol", "date", "close", F.year("date"), "prev_close",
+    needed = [c for c in bars.columns if c in {"date", "symbol", "close", *columns}]
+    prev = segmented_lag(bars.select(*needed), "symbol", "date", "close", F.year("date"), "prev_close",
                          keep_segment=keep_segment)
     ret = F.round(F.try_divide(F.col("close") - F.col("prev_close"),
                                F.nullif(F.col("prev_close"), F.lit(0.0))), 6)
     extra = list(SEGMENT_COLUMNS) if keep_segment else []
-    cols = [ret.alias("daily_return") if c == "daily_return" else c for c in DAILY_COLUMNS]
+    cols = [ret.alias("daily_return") if c == "daily_return" else c for c in columns]
     return prev.select(*cols, *extra)
 
 

@@ -57,8 +57,9 @@ def _seg_rows(df: DataFrame, keys: list[str], order_cols: list[str], segment: Co
     if segment is None:
         rows = df
     else:
-        rows = df.withColumns({_KEY: F.struct(*keys),
-                               _SEG: F.coalesce(segment.cast("long"), F.lit(_NULL_SEGMENT))})
+        rest = [c for c in df.columns if c not in keys]
+        rows = df.select(*rest, F.struct(*keys).alias(_KEY),
+                         F.coalesce(segment.cast("long"), F.lit(_NULL_SEGMENT)).alias(_SEG))
     w = Window.partitionBy(_KEY, _SEG).orderBy(*order_cols)
     return rows, w
 
@@ -80,13 +81,17 @@ def _patch(rows: DataFrame, carry: DataFrame) -> DataFrame:
 
 
 def _same_exchange(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Keep every column of ``rows`` alive in a branch that needs few of them, so
-    that both branches read one exchange (an always-true test of a row hash)."""
+    """Keep every column of ``rows`` alive in a branch that needs few of them, so that
+    both branches read one exchange (an always-true test of a row hash).  It holds as long
+    as the row branch uses all columns: callers select what they need before."""
     return rows.filter(F.hash(*[F.col(c) for c in columns]) >= F.lit(-2 ** 31))
 
 
-def _kept(columns: list[str], keep_segment: bool) -> list[str]:
-    return [c for c in columns if keep_segment or c not in (_KEY, _SEG)]
+def _finished(rows: DataFrame, keys: list[str], base: list[str], out: Column, keep_segment: bool) -> DataFrame:
+    """The caller's columns and ``out``; the segment columns too where a later step reuses the partitioning."""
+    from_key = [F.col(f"{_KEY}.{k}").alias(k) for k in keys if k not in base]
+    rest = [c for c in base if keep_segment or c not in SEGMENT_COLUMNS]
+    return rows.select(*from_key, *rest, out)
 
 
 def segmented_lag(df: DataFrame, key, order, value: str, segment: Column | None,
@@ -106,7 +111,7 @@ def segmented_lag(df: DataFrame, key, order, value: str, segment: Column | None,
     rows = rows.select(*base, F.lag(value).over(w).alias("_prev_in"),
                        F.lag(F.lit(1)).over(w).isNull().alias("_first"))
     prev = F.when(F.col("_first"), F.col("_prev_seg")).otherwise(F.col("_prev_in"))
-    return _patch(rows, carry).select(*_kept(base, keep_segment), prev.alias(out))
+    return _finished(_patch(rows, carry), keys, base, prev.alias(out), keep_segment)
 
 
 def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column | None,
@@ -123,7 +128,7 @@ def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column
     carry = ends.select(_KEY, _SEG, F.max("_run_in").over(_carry_window(-1)).alias("_prev_max"))
     rows = rows.select(*base, F.max(value).over(frame).alias("_run_in"))
     run = F.greatest("_run_in", "_prev_max")
-    return _patch(rows, carry).select(*_kept(base, keep_segment), run.alias(out))
+    return _finished(_patch(rows, carry), keys, base, run.alias(out), keep_segment)
 
 
 # Tie-breaks are any long: they take 64 bits below the primary value.
