@@ -2,17 +2,18 @@
 
 Plan (no pair is ever emitted per date, nothing passes through the driver):
 
-1. return rows (date, symbol index, return less the symbol's mean); duplicate
-   bars of a (date, symbol) collapse by MAX (map-side) unless the bars are known
-   to be one per day.
+1. return rows (date, symbol index, return); duplicate bars of a (date, symbol)
+   collapse by MAX (map-side) unless the bars are known to be one per day.
 2. symbols form blocks of ``BLOCK``; rows are dealt by (pair of blocks, date) to
    a stated number of tasks, which AQE leaves alone: work grows with dates x
    pairs, not with bytes.  A task folds its dates' vectors into sums of one pair
-   of blocks with numpy (Arrow batches) and passes on the pairs it has seen, so
-   its state is BLOCK x BLOCK whatever the universe.
-3. the tasks' sums add up in one ``groupBy(i, j)`` (combined map-side), and
-   Pearson's r follows.  Values are less their symbol's mean, so sums keep their
-   precision for series with a large mean.  Minima and maxima give an exact test
+   of blocks with numpy (Arrow batches) and passes on the moments of the pairs it
+   has seen, so its state is BLOCK x BLOCK whatever the universe.  Sums are about
+   the first value that the task saw of a symbol: they keep their precision for
+   series with a large mean, and no pass over the data is needed for means.
+3. moments (number, means, centred squares and product, extremes) of disjoint sets
+   of dates merge by Chan's formulas, those of the tasks of one run as those of stored
+   periods (``merged``), and Pearson's r follows.  Minima and maxima give an exact test
    for constant series.  Configured pairs without two common dates are NULL (a
    bare ``corr`` raises under ANSI): the pair table is joined last.
 
@@ -28,7 +29,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.operators.returns import valid_returns
@@ -59,30 +60,36 @@ def returns_pivot(daily: DataFrame, universe: Sequence[str]) -> DataFrame:
 #: Symbols in a block, and dates folded at once.
 BLOCK, DATES = 64, 128
 _SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
-_PARTIALS = "i int, j int, " + ", ".join(f"{c} double" for c in (*_SUMS, "mnx", "mxx", "mny", "mxy"))
+#: Mergeable state of a pair: common dates, means, centred squares and product, extremes of both series.
+MOMENTS = ("n", "mean_x", "mean_y", "m_xx", "m_yy", "m_xy", "min_x", "max_x", "min_y", "max_y")
+_PARTIALS = "period int, i int, j int, " + ", ".join(f"{c} double" for c in MOMENTS)
 
 
 class _BlockSums:
     """Sums over dates of one pair of blocks; entry [i, j] covers dates where both symbols have a value."""
 
-    def __init__(self, bi: int, bj: int):
-        self.bi, self.bj = bi, bj
+    def __init__(self, period: int, bi: int, bj: int):
+        self.key = period, bi, bj
         self.sums = np.zeros((len(_SUMS), BLOCK, BLOCK))
+        self.shift = np.full((2, BLOCK), np.nan)
         self.least = np.full((2, BLOCK, BLOCK), np.inf)
         self.most = np.full((2, BLOCK, BLOCK), -np.inf)
 
     def add(self, dates: np.ndarray, ks: np.ndarray, xs: np.ndarray) -> None:
         day = np.cumsum(np.r_[0, dates[1:] != dates[:-1]])
         sides = []
-        for b in (self.bi, self.bj):
+        for side, b in enumerate(self.key[1:]):
             own = ks // BLOCK == b
             v = np.full((day[-1] + 1, BLOCK), np.nan)
             v[day[own], ks[own] % BLOCK] = xs[own]
             sides.append(v)
+            first = np.take_along_axis(v, np.argmax(~np.isnan(v), axis=0)[None], 0)[0]
+            self.shift[side] = np.where(np.isnan(self.shift[side]), first, self.shift[side])
         for start in range(0, day[-1] + 1, DATES):
             x, y = (v[start:start + DATES] for v in sides)
             mx, my = ~np.isnan(x), ~np.isnan(y)
-            x0, y0, fx, fy = np.where(mx, x, 0.0), np.where(my, y, 0.0), mx.astype(float), my.astype(float)
+            x0, y0 = np.where(mx, x - self.shift[0], 0.0), np.where(my, y - self.shift[1], 0.0)
+            fx, fy = mx.astype(float), my.astype(float)
             self.sums += np.stack([fx.T @ fy, x0.T @ fy, fx.T @ y0, (x0 * x0).T @ fy, fx.T @ (y0 * y0), x0.T @ y0])
             both = mx[:, :, None] & my[:, None, :]
             for k, v in enumerate((x[:, :, None], y[:, None, :])):
@@ -91,47 +98,53 @@ class _BlockSums:
 
     def rows(self) -> pa.RecordBatch:
         i, j = np.nonzero(self.sums[0] > 0)
-        ii, jj = self.bi * BLOCK + i, self.bj * BLOCK + j
+        period, bi, bj = self.key
+        ii, jj = bi * BLOCK + i, bj * BLOCK + j
         keep = ii < jj
         i, j, ii, jj = i[keep], j[keep], ii[keep], jj[keep]
-        cols = [*self.sums[:, i, j], self.least[0, i, j], self.most[0, i, j], self.least[1, i, j], self.most[1, i, j]]
-        return pa.RecordBatch.from_arrays([pa.array(ii, pa.int32()), pa.array(jj, pa.int32()), *map(pa.array, cols)],
+        n, sx, sy, sxx, syy, sxy = self.sums[:, i, j]
+        cols = [n, self.shift[0, i] + sx / n, self.shift[1, j] + sy / n, sxx - sx * sx / n, syy - sy * sy / n, sxy - sx * sy / n,
+                self.least[0, i, j], self.most[0, i, j], self.least[1, i, j], self.most[1, i, j]]
+        ids = [pa.array(v, pa.int32()) for v in (np.full(len(ii), period), ii, jj)]
+        return pa.RecordBatch.from_arrays([*ids, *map(pa.array, cols)],
                                           names=[c.split()[0] for c in _PARTIALS.split(", ")])
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (bi, bj, date, k, x) sorted by the first three -> sums; a date may go on in the next batch."""
+    """Rows (period, bi, bj, date, k, r) sorted by the first four -> moments; a date may go on in the next batch."""
     state, held = None, None
+
+    def folded(cols):
+        nonlocal state
+        key = tuple(int(c[0]) for c in cols[:3])
+        if state is None or state.key != key:
+            if state is not None:
+                yield state.rows()
+            state = _BlockSums(*key)
+        state.add(*cols[3:])
+
     for batch in batches:
-        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(5)]
+        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(6)]
         if held is not None:
             cols = [np.concatenate(c) for c in zip(held, cols)]
         if not len(cols[0]):
             continue
-        bi, bj, date = cols[:3]
-        change = np.flatnonzero((bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1]) | (date[1:] != date[:-1])) + 1
-        last = change[-1] if len(change) else 0
+        new_pair = np.any([c[1:] != c[:-1] for c in cols[:3]], axis=0)
+        new_date = np.flatnonzero(new_pair | (cols[3][1:] != cols[3][:-1])) + 1
+        last = new_date[-1] if len(new_date) else 0
         held = [c[last:] for c in cols]
-        pair = np.flatnonzero((bi[1:last] != bi[:max(last - 1, 0)]) | (bj[1:last] != bj[:max(last - 1, 0)])) + 1
-        for a, b in zip([0, *pair], [*pair, last]):
-            if a == b:
-                continue
-            if state is None or (state.bi, state.bj) != (bi[a], bj[a]):
-                if state is not None:
-                    yield state.rows()
-                state = _BlockSums(int(bi[a]), int(bj[a]))
-            state.add(date[a:b], cols[3][a:b], cols[4][a:b])
+        starts = [0, *(x for x in np.flatnonzero(new_pair) + 1 if x < last), last]
+        for a, b in zip(starts, starts[1:]):
+            if a < b:
+                yield from folded([c[a:b] for c in cols])
     if held is not None:
-        if state is None or (state.bi, state.bj) != (held[0][0], held[1][0]):
-            if state is not None:
-                yield state.rows()
-            state = _BlockSums(int(held[0][0]), int(held[1][0]))
-        state.add(*held[2:])
+        yield from folded(held)
         yield state.rows()
 
 
-def pair_moments(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False) -> DataFrame:
-    """Per pair of symbols with a common date: sums over these dates of the values less their symbol's mean.
+def pair_moments(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False,
+                 period: Column | None = None) -> DataFrame:
+    """(i, j, moments) per pair of symbols with a common date, or per ``period`` (an integer of the date) and pair.
 
     With ``unique_bars`` the caller guarantees one bar per symbol and date (e.g.
     after ``dedup_latest``), and the rows are shuffled once.
@@ -139,33 +152,42 @@ def pair_moments(daily: DataFrame, universe: Sequence[str], unique_bars: bool =
     spark = daily.sparkSession
     blocks = -(-len(universe) // BLOCK)
     index = F.create_map(*[x for i, u in enumerate(universe) for x in (F.lit(u), F.lit(i))])
-    rets = (valid_returns(daily)
-            .select("date", index[F.col("symbol")].alias("k"), F.col("daily_return").alias("r"))
-            .filter(F.col("k").isNotNull()))
+    # one test of symbol and return: a test of the symbol alone would go below the lag's window, into one
+    # of its two branches, which then no longer share their exchange
+    known = F.when(F.col("daily_return").isNotNull(), index[F.col("symbol")])
+    rets = daily.select("date", known.alias("k"), F.col("daily_return").alias("r")).filter(F.col("k").isNotNull())
     if not unique_bars:
         rets = rets.groupBy("date", "k").agg(F.max("r").alias("r"))
-    # one row per configured symbol
-    means = F.broadcast(rets.groupBy(F.col("k").alias("mk")).agg(F.avg("r").alias("mean")))
     own = F.floor(F.col("k") / BLOCK).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    rows = (rets.join(means, F.col("k") == F.col("mk"))
-            .select(own.alias("own"), other.alias("other"), F.unix_date("date").alias("date"), "k",
-                    (F.col("r") - F.col("mean")).alias("x"))
-            .select(F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "date", "k", "x"))
+    part = F.lit(0) if period is None else period.cast("int")
+    rows = (rets.select(part.alias("period"), own.alias("own"), other.alias("other"), F.unix_date("date").alias("date"), "k", "r")
+            .select("period", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "date", "k", "r"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(tasks, "bi", "bj", "date").sortWithinPartitions("bi", "bj", "date")
-    return dealt.mapInArrow(_folded, _PARTIALS).groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in _SUMS], F.min("mnx").alias("mnx"), F.max("mxx").alias("mxx"),
-        F.min("mny").alias("mny"), F.max("mxy").alias("mxy"))
+    dealt = rows.repartition(tasks, "bi", "bj", "date").sortWithinPartitions("period", "bi", "bj", "date")
+    parts = dealt.mapInArrow(_folded, _PARTIALS)
+    return merged(parts) if period is None else merged(parts, ("period", "i", "j"))
+
+
+def merged(parts: DataFrame, keys: Sequence[str] = ("i", "j")) -> DataFrame:
+    """Moments of disjoint sets of dates added up per pair (Chan's formulas; one shuffle by pair)."""
+    pair = Window.partitionBy(*keys)
+    n = F.col("n")
+    total = F.sum("n").over(pair)
+    about = parts.withColumns({f"all_{v}": F.sum(n * F.col(f"mean_{v}")).over(pair) / total for v in "xy"})
+    d = {v: F.col(f"mean_{v}") - F.col(f"all_{v}") for v in "xy"}
+    return about.groupBy(*keys).agg(
+        F.sum("n").alias("n"), *[F.first(f"all_{v}").alias(f"mean_{v}") for v in "xy"],
+        *[F.sum(F.col(f"m_{a}{b}") + n * d[a] * d[b]).alias(f"m_{a}{b}") for a, b in ("xx", "yy", "xy")],
+        *[f(f"{name}_{v}").alias(f"{name}_{v}") for v in "xy" for name, f in (("min", F.min), ("max", F.max))])
 
 
 def _pearson() -> Column:
-    """r from the sums; NULL for fewer than two common dates or a constant
+    """r from the moments; NULL for fewer than two common dates or a constant
     series on them (min = max, exact)."""
-    n = F.col("n")
-    m2x, m2y = (F.col(f"s{v}{v}") - F.col(f"s{v}") * F.col(f"s{v}") / n for v in "xy")
-    ok = (n >= 2) & (F.col("mnx") != F.col("mxx")) & (F.col("mny") != F.col("mxy")) & (m2x > 0) & (m2y > 0)
-    r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(m2x * m2y)
+    ok = ((F.col("n") >= 2) & (F.col("min_x") != F.col("max_x")) & (F.col("min_y") != F.col("max_y"))
+          & (F.col("m_xx") > 0) & (F.col("m_yy") > 0))
+    r = F.col("m_xy") / F.sqrt(F.col("m_xx") * F.col("m_yy"))
     return F.round(F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))), 4)
 
 
@@ -173,11 +195,16 @@ def correlation(daily: DataFrame, universe: Sequence[str], unique_bars: bool = F
     """Correlation mart: ``symbol_1, symbol_2, correlation`` per unordered pair.
 
     Every configured pair is present (NULL without two common dates)."""
+    return correlation_of(pair_moments(daily, universe, unique_bars), universe)
+
+
+def correlation_of(moments: DataFrame, universe: Sequence[str]) -> DataFrame:
+    """The mart from the pairs' moments."""
     names = F.array(*[F.lit(u) for u in universe])
     n = len(universe)
-    every = (daily.sparkSession.range(max(0, n - 1)).select(F.col("id").cast("int").alias("i"))
+    every = (moments.sparkSession.range(max(0, n - 1)).select(F.col("id").cast("int").alias("i"))
              .select("i", F.explode(F.sequence(F.col("i") + 1, F.lit(n - 1))).alias("j")))
-    return every.join(pair_moments(daily, universe, unique_bars), ["i", "j"], "left").select(
+    return every.join(moments, ["i", "j"], "left").select(
         F.element_at(names, F.col("i") + 1).alias("symbol_1"),
         F.element_at(names, F.col("j") + 1).alias("symbol_2"),
         _pearson().alias("correlation"))

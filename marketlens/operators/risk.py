@@ -10,7 +10,7 @@ map per symbol, whose size is bounded by the distinct returns (6 decimals).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.scalar import TRADING_DAYS
@@ -60,6 +60,11 @@ def risk_metrics(daily: DataFrame) -> DataFrame:
         var_95_value().alias("_var"),
         F.max(_drawdown()).alias("_dd"),
     )
+    return risk_figures_of(agg, sym)
+
+
+def risk_figures_of(agg: DataFrame, sym: list) -> DataFrame:
+    """The mart's figures from a symbol's aggregates."""
     return agg.select(
         *sym, "trading_days",
         F.round(F.col("_avg") * 100, 4).alias("avg_daily_return_pct"),
@@ -105,7 +110,23 @@ def latest_prices(daily: DataFrame, bars: DataFrame | None = None) -> DataFrame:
                        F.col("date").alias("latest_date")))
 
 
-def portfolio_summary(daily: DataFrame, bars: DataFrame | None = None) -> DataFrame:
+def _unique_summary(daily: DataFrame) -> DataFrame:
+    """The summary's sources for one bar per (symbol, date): the price figures of the rows with
+    a return and the last bar from one aggregation, read once; the global last date
+    is the largest among the symbols (a window over one row per symbol)."""
+    def valid(c):
+        return F.when(F.col("daily_return").isNotNull(), F.col(c))
+
+    per = daily.groupBy("symbol").agg(
+        F.count("daily_return").alias("_n"), F.avg(valid("close")).alias("_avg_close"),
+        F.min(valid("close")).alias("_min_close"), F.max(valid("close")).alias("_max_close"),
+        F.avg(valid("volume")).alias("_avg_volume"), F.max_by("close", "date").alias("latest_close"),
+        F.max("date").alias("latest_date"))
+    per = per.withColumn("_last", F.max("latest_date").over(Window.partitionBy()))
+    return per.filter((F.col("_n") > 0) & (F.col("latest_date") == F.col("_last"))).withColumn("_mult", F.lit(1))
+
+
+def portfolio_summary(daily: DataFrame, bars: DataFrame | None = None, unique_bars: bool = False) -> DataFrame:
     """Per-symbol price summary joined (inner) to the latest bar.
 
     Both sides are aggregated before they meet: the return rows to one row
@@ -113,7 +134,24 @@ def portfolio_summary(daily: DataFrame, bars: DataFrame | None = None) -> DataFr
     its multiplicity.  Joining the aggregates and scaling the count by that
     multiplicity gives exactly the rows of join-then-group, while the join
     only ever sees per-symbol rows (AQE broadcasts it when it is small).
+    With ``unique_bars`` (one bar per symbol and date) one pass gives both sides.
     """
+    return summary_figures_of(_unique_summary(daily) if unique_bars else _joined_summary(daily, bars))
+
+
+def summary_figures_of(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "symbol",
+        (F.col("_n") * F.col("_mult")).alias("trading_days"),
+        F.round("_avg_close", 4).alias("avg_close"),
+        F.round("_min_close", 4).alias("min_close"),
+        F.round("_max_close", 4).alias("max_close"),
+        F.round("_avg_volume", 0).alias("avg_volume"),
+        "latest_close", "latest_date",
+    )
+
+
+def _joined_summary(daily: DataFrame, bars: DataFrame | None) -> DataFrame:
     stats = valid_returns(daily).groupBy("symbol").agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg("close").alias("_avg_close"),
@@ -123,12 +161,4 @@ def portfolio_summary(daily: DataFrame, bars: DataFrame | None = None) -> DataFr
     )
     latest = (latest_prices(daily, bars).groupBy("symbol", "latest_close", "latest_date")
               .agg(F.count(F.lit(1)).alias("_mult")))
-    return stats.join(latest, "symbol", "inner").select(
-        "symbol",
-        (F.col("_n") * F.col("_mult")).alias("trading_days"),
-        F.round("_avg_close", 4).alias("avg_close"),
-        F.round("_min_close", 4).alias("min_close"),
-        F.round("_max_close", 4).alias("max_close"),
-        F.round("_avg_volume", 0).alias("avg_volume"),
-        "latest_close", "latest_date",
-    )
+    return stats.join(latest, "symbol", "inner")
