@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from importlib import import_module
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,41 +21,49 @@ from marketlens.operators import correlation as corr
 from marketlens.operators import quality as dq
 from marketlens.operators import returns as rt
 from marketlens.operators import risk
+from marketlens.plans import incremental as pi
 from marketlens.plans import pipeline as pl
 from marketlens.plans import reports as rp
 from marketlens.session import let_workers_import, scratch_dir
 from marketlens.sources import bars as sb
 from marketlens.sources import fixtures as fx
+from marketlens.sources import incremental as inc
 from marketlens.sources import ticks as tk
 from marketlens.streaming import alerts_stream as stx
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-#: The corpus operators' queries, where that subpackage (and its pipeline module) is present.
-EXTRA = [import_module(m) for m, needs in (("marketlens.llm.queries", "marketlens.llm"),
-                                           ("corpus_pipeline", "corpus_pipeline"))
-         if find_spec("marketlens.llm") and find_spec(needs)]
+def _optional(name: str):
+    """A module that may be absent, or may lack a library that it needs."""
+    try:
+        return import_module(name)
+    except ImportError:
+        return None
+
+
+#: The corpus operators' queries, where that subpackage (and its pipeline module) can be imported.
+EXTRA = [m for m in map(_optional, ("marketlens.llm.queries", "corpus_pipeline")) if m]
 
 
 # ----------------------------------------------------------------------------
 # Spark side
 # ----------------------------------------------------------------------------
 
-def _daily_or(spark, d, keep_segment=False):
-    return rt.daily_returns(fx.orders_bars(spark, d), keep_segment)
+def _daily_or(spark, d, keep_segment=False, columns=rt.DAILY_COLUMNS):
+    return rt.daily_returns(fx.orders_bars(spark, d), keep_segment, columns)
 
 
-def _daily_ev(spark, d, keep_segment=False):
-    return rt.daily_returns(fx.events_bars(spark, d), keep_segment)
+def _daily_ev(spark, d, keep_segment=False, columns=rt.DAILY_COLUMNS):
+    return rt.daily_returns(fx.events_bars(spark, d), keep_segment, columns)
 
 
 def q_mart_risk_metrics(spark, d):
-    return risk.risk_metrics(_daily_or(spark, d, keep_segment=True))
+    return risk.risk_metrics(_daily_or(spark, d, keep_segment=True, columns=rt.RISK_INPUT))
 
 
 def q_mart_correlation(spark, d):
     # fixture bars are one per (symbol, date): a single shuffle by date suffices
-    return corr.correlation(_daily_or(spark, d), fx.ORDERS_UNIVERSE, unique_bars=True)
+    return corr.correlation(_daily_or(spark, d, columns=rt.RISK_INPUT), fx.ORDERS_UNIVERSE, unique_bars=True)
 
 
 def _ticks(spark, d):
@@ -119,11 +126,11 @@ def _page(figures, build):
 
 
 def _summary_or(spark, d):
-    return risk.portfolio_summary(_daily_or(spark, d), fx.orders_bars(spark, d))
+    return risk.portfolio_summary(_daily_or(spark, d, columns=rt.SUMMARY_INPUT), unique_bars=True)
 
 
 def _summary_ev(spark, d):
-    return risk.portfolio_summary(_daily_ev(spark, d), fx.events_bars(spark, d))
+    return risk.portfolio_summary(_daily_ev(spark, d, columns=rt.SUMMARY_INPUT), fx.events_bars(spark, d))
 
 
 # Run parameters of the load-side queries.
@@ -266,6 +273,52 @@ def q_load_pruned(spark, d):
     return sb.load_raw(spark, _landed(spark, d, "landing"), "1995-02-10", "1995-06-20", ("1995-01-01", "1995-05-01"))
 
 
+# The first incremental run covers run dates (months) before this one; later ones the rest.
+SECOND_RUN = "1996-05-01"
+
+
+def _in_two_runs(spark, d, run):
+    """Land the earlier run dates, run, land the later ones, run again, and once more over nothing new."""
+    land, root = scratch_dir(spark, "landing"), scratch_dir(spark, "kept_up")
+    raw, later = _raw(spark, d), _month() >= F.lit(SECOND_RUN).cast("date")
+    sb.write_landing(raw.filter(~later), land, _month())
+    run(land, root)
+    sb.write_landing(raw.filter(later), land, _month())
+    run(land, root)
+    return land, root, run(land, root)
+
+
+def _loaded_twice(spark, d):
+    return _in_two_runs(spark, d, lambda land, table: inc.load_new_files(spark, land, table) and None)[1]
+
+
+def q_incremental_load(spark, d):
+    return inc.raw_bars(inc.read_raw_table(spark, _loaded_twice(spark, d)))
+
+
+def q_incremental_history(spark, d):
+    """Each run date's rows, and the load that took them up: the second one opened the new files only."""
+    history = inc.load_history(inc.read_raw_table(spark, _loaded_twice(spark, d)))
+    return history.select("batch_id", "dt", "n_rows", "min_date", "max_date")
+
+
+def _kept_up(spark, d, mart):
+    return _in_two_runs(spark, d, lambda land, root: pi.run_increment(spark, land, root, fx.ORDERS_UNIVERSE))[2][mart]
+
+
+def _corrected(spark, d, mart):
+    """A run over everything, then old bars loaded anew with other prices: the border of two years changes."""
+    land, root, _ = _in_two_runs(spark, d, lambda land, root: pi.run_increment(spark, land, root, fx.ORDERS_UNIVERSE))
+    redo = (_raw(spark, d).filter(F.col("date").between(F.lit(CORRECTED[0]).cast("date"), F.lit(CORRECTED[1]).cast("date")))
+            .withColumn("close", F.col("close") + 1).withColumn("ingested_at", F.lit(REFETCH_TS).cast("timestamp_ntz")
+                        + F.make_dt_interval(secs=F.col("close").cast("decimal(18,6)"))))
+    sb.write_landing(redo, land, F.lit("2024-06-28").cast("date"))
+    return pi.run_increment(spark, land, root, fx.ORDERS_UNIVERSE)[mart]
+
+
+# Bar dates that are loaded again with other closes (both included).
+CORRECTED = ("1994-12-20", "1995-01-05")
+
 # Event-time scope of the streaming alert queries.
 STREAM_WINDOW = "1 day"
 
@@ -338,19 +391,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {
         "daily_returns": _daily_or,
         "daily_returns_dense": _daily_ev,
-        "running_max": lambda s, d: rt.running_max(_daily_or(s, d))
+        "running_max": lambda s, d: rt.running_max(_daily_or(s, d, columns=rt.RISK_INPUT))
         .select("symbol", "date", "close", "rolling_max"),
-        "max_drawdown": lambda s, d: risk.max_drawdown(_daily_or(s, d, keep_segment=True)),
-        "var_95": lambda s, d: risk.var_95(_daily_or(s, d)),
+        "max_drawdown": lambda s, d: risk.max_drawdown(_daily_or(s, d, keep_segment=True, columns=rt.RISK_INPUT)),
+        "var_95": lambda s, d: risk.var_95(_daily_or(s, d, columns=rt.RISK_INPUT)),
         "mart_risk_metrics": q_mart_risk_metrics,
-        "mart_risk_metrics_dense": lambda s, d: risk.risk_metrics(_daily_ev(s, d, keep_segment=True)),
+        "mart_risk_metrics_dense": lambda s, d: risk.risk_metrics(_daily_ev(s, d, keep_segment=True, columns=rt.RISK_INPUT)),
         "risk_ranking": _page(risk.risk_ranking, q_mart_risk_metrics),
         "latest_prices": lambda s, d: risk.latest_prices(_daily_or(s, d), fx.orders_bars(s, d)),
         "mart_portfolio_summary": lambda s, d: _summary_or(s, d),
         "mart_portfolio_summary_dense": lambda s, d: _summary_ev(s, d),
-        "returns_pivot": lambda s, d: corr.returns_pivot(_daily_or(s, d), fx.ORDERS_UNIVERSE),
+        "returns_pivot": lambda s, d: corr.returns_pivot(_daily_or(s, d, columns=rt.RISK_INPUT), fx.ORDERS_UNIVERSE),
         "mart_correlation": q_mart_correlation,
-        "mart_correlation_dense": lambda s, d: corr.correlation(_daily_ev(s, d), fx.EVENTS_UNIVERSE),
+        "mart_correlation_dense": lambda s, d: corr.correlation(_daily_ev(s, d, columns=rt.RISK_INPUT), fx.EVENTS_UNIVERSE),
         "correlation_ranked": _page(corr.correlation_ranked, q_mart_correlation),
         "correlation_matrix": _page(lambda m: corr.correlation_matrix(m, fx.ORDERS_UNIVERSE), q_mart_correlation),
         "correlation_kpis": _page(lambda m: corr.correlation_kpis(m, fx.ORDERS_UNIVERSE), q_mart_correlation),
@@ -423,6 +476,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             run_date="1997-01-01")["int_stock_daily"],
         "universe_bars": lambda s, d: (fx.orders_bars(s, d).join(sb.universe_table(s, UNIVERSE_SUBSET), "symbol")
                                        .groupBy("symbol", "ord").agg(F.count(F.lit(1)).alias("n_bars"))),
+        "incremental_load": q_incremental_load,
+        "incremental_history": q_incremental_history,
+        "incremental_risk": lambda s, d: _kept_up(s, d, "mart_risk_metrics"),
+        "incremental_summary": lambda s, d: _kept_up(s, d, "mart_portfolio_summary"),
+        "incremental_correlation": lambda s, d: _kept_up(s, d, "mart_correlation"),
+        "incremental_risk_corrected": lambda s, d: _corrected(s, d, "mart_risk_metrics"),
+        "incremental_correlation_corrected": lambda s, d: _corrected(s, d, "mart_correlation"),
         "tick_stream": q_tick_stream,
         "stream_alerts": q_stream_alerts,
         "stream_alerts_windowed": lambda s, d: _windowed_run(s, d, 1),
@@ -513,14 +573,20 @@ def _pivot_sql(universe) -> str:
 
 
 def _corr_sql(universe) -> str:
-    branches = []
-    for i, a in enumerate(universe):
-        for b in universe[i + 1:]:
-            c = f'CORR("{a}", "{b}")'
-            branches.append(f"SELECT '{a}' AS symbol_1, '{b}' AS symbol_2, "
-                            f"ROUND(CASE WHEN isnan({c}) THEN NULL ELSE {c} END, 4) AS correlation "
-                            f"FROM pivoted")
-    return "\nUNION ALL\n".join(branches)
+    # Pearson's r from its definition, over the dates that both symbols have; constant series have none
+    return f"""
+SELECT symbol_1, symbol_2, CASE WHEN n >= 2 AND lo1 < hi1 AND lo2 < hi2 THEN round(greatest(-1.0, least(1.0,
+           list_sum(list_transform(xy, lambda p: (p.x - m1) * (p.y - m2)))
+           / sqrt(list_sum(list_transform(xy, lambda p: (p.x - m1) * (p.x - m1)))
+                  * list_sum(list_transform(xy, lambda p: (p.y - m2) * (p.y - m2)))))), 4) END AS correlation
+FROM (SELECT a.sym AS symbol_1, b.sym AS symbol_2, any_value(n) AS n, any_value(m1) AS m1, any_value(m2) AS m2,
+             any_value(lo1) AS lo1, any_value(hi1) AS hi1, any_value(lo2) AS lo2, any_value(hi2) AS hi2, any_value(xy) AS xy
+      FROM ({_ord_sql(universe)}) a JOIN ({_ord_sql(universe)}) b ON a.ord < b.ord
+      LEFT JOIN (SELECT x.symbol AS s1, y.symbol AS s2, count(*) AS n, avg(x.daily_return) AS m1, avg(y.daily_return) AS m2,
+                        min(x.daily_return) AS lo1, max(x.daily_return) AS hi1, min(y.daily_return) AS lo2,
+                        max(y.daily_return) AS hi2, list({{'x': x.daily_return, 'y': y.daily_return}}) AS xy
+                 FROM rets x JOIN rets y ON x.date = y.date AND x.symbol <> y.symbol GROUP BY 1, 2)
+             ON s1 = a.sym AND s2 = b.sym GROUP BY 1, 2)"""
 
 
 def _matrix_sql(universe) -> str:
@@ -667,6 +733,11 @@ QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY ingested_at DESC)
 ODD_TICKS = f"""SELECT symbol, price, volume, CASE WHEN seq % 10 <> 0 THEN event_time END AS event_time,
        seq * 90000000000000 AS seq FROM ({TICKS})"""
 
+RAW_CORRECTED = f"""{RAW_OR} UNION ALL
+SELECT date, open, high, low, close + 1, volume, symbol,
+       TIMESTAMP '{REFETCH_TS}' + to_microseconds(CAST(round((close + 1) * 1000000) AS BIGINT)) FROM ({RAW_OR})
+WHERE date BETWEEN DATE '{CORRECTED[0]}' AND DATE '{CORRECTED[1]}'"""
+
 BAR_COLS = "date, open, high, low, close, volume, symbol"
 RAW_COLS = "date, open, high, low, close, volume, symbol, ingested_at"
 
@@ -709,7 +780,7 @@ def oracle_sql() -> dict[str, str]:
     p = (("raw", RAW_OR), ("bars", DEDUP)) + _chain(BARS_OR)[1:]
     models = p + (("int_stock_daily", "SELECT * FROM daily"), ("mart_risk_metrics", RISK),
                   ("latest", LATEST), ("mart_portfolio_summary", SUMMARY),
-                  ("pivoted", _pivot_sql(U_OR)), ("mart_correlation", _corr_sql(U_OR)))
+                  ("mart_correlation", _corr_sql(U_OR)))
     clean = dict((*models, ("raw_stock_prices", "SELECT * FROM raw"), ("risk_alerts", ALERTS_WINDOWED)))
     dirty = tuple((f"clean_{k}" if k in fx.DIRTY else k, v) for k, v in models
                   if k not in ("latest", "mart_portfolio_summary"))
@@ -735,13 +806,13 @@ def oracle_sql() -> dict[str, str]:
         "mart_portfolio_summary": _with(*o, ("latest", LATEST), body=SUMMARY),
         "mart_portfolio_summary_dense": _with(*e, ("latest", LATEST), body=SUMMARY),
         "returns_pivot": _with(*o, body=_pivot_sql(U_OR)),
-        "mart_correlation": _with(*o, ("pivoted", _pivot_sql(U_OR)), body=_corr_sql(U_OR)),
-        "mart_correlation_dense": _with(*e, ("pivoted", _pivot_sql(U_EV)), body=_corr_sql(U_EV)),
-        "correlation_ranked": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
+        "mart_correlation": _with(*o, body=_corr_sql(U_OR)),
+        "mart_correlation_dense": _with(*e, body=_corr_sql(U_EV)),
+        "correlation_ranked": _with(*o, ("mart", _corr_sql(U_OR)),
                                     body="SELECT * FROM mart ORDER BY correlation DESC NULLS LAST, symbol_1, symbol_2"),
-        "correlation_matrix": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
+        "correlation_matrix": _with(*o, ("mart", _corr_sql(U_OR)),
                                     body=_matrix_sql(U_OR)),
-        "correlation_kpis": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
+        "correlation_kpis": _with(*o, ("mart", _corr_sql(U_OR)),
                                   ("uni", _ord_sql(U_OR)), body=CORR_KPIS),
         "tick_parse": "SELECT event_type AS symbol, value AS price, ts AS event_time FROM events",
         "tick_encode": _with(("ticks", TICKS), ("chg", TICK_CHANGE), body=TICK_ENCODE),
@@ -868,7 +939,7 @@ def oracle_sql() -> dict[str, str]:
         "alert_kpis_display": _with(("alerts_t", ALERTS_WINDOWED), ("recent", RECENT), body="""
             SELECT COUNT(*) AS total_alerts, COUNT(DISTINCT symbol) AS symbols_affected,
                    coalesce(strftime(MAX(triggered_at), '%Y-%m-%d %H:%M'), '-') AS latest_alert_text FROM recent"""),
-        "correlation_kpis_display": _with(*o, ("pivoted", _pivot_sql(U_OR)), ("mart", _corr_sql(U_OR)),
+        "correlation_kpis_display": _with(*o, ("mart", _corr_sql(U_OR)),
                                           ("uni", _ord_sql(U_OR)), ("kpis", CORR_KPIS), body="""
             SELECT printf('%.4f', avg_correlation) AS avg_correlation_text,
                    most_symbol_1 || ' / ' || most_symbol_2 AS most_pair_text,
@@ -885,6 +956,16 @@ def oracle_sql() -> dict[str, str]:
             FROM alerts_t WHERE alert_type NOT IN ('HIGH_VOLATILITY', 'PRICE_DROP', 'PRICE_ANOMALY')"""),
         "dq_correlation_range": _with(*models, body="""SELECT * FROM mart_correlation
             WHERE correlation < -1 OR correlation > 1"""),
+        "incremental_load": RAW_OR,
+        "incremental_history": _with(("raw", RAW_OR), body=f"""
+            SELECT CASE WHEN dt < DATE '{SECOND_RUN}' THEN 0 ELSE 1 END::BIGINT AS batch_id, dt, COUNT(*) AS n_rows,
+                   MIN(date) AS min_date, MAX(date) AS max_date
+            FROM (SELECT *, CAST(date_trunc('month', date) AS DATE) AS dt FROM raw) GROUP BY dt"""),
+        "incremental_risk": _with(*p, body=RISK),
+        "incremental_summary": _with(*p, ("latest", LATEST), body=SUMMARY),
+        "incremental_correlation": _with(*p, body=_corr_sql(U_OR)),
+        "incremental_risk_corrected": _with(("raw", RAW_CORRECTED), *p[1:], body=RISK),
+        "incremental_correlation_corrected": _with(("raw", RAW_CORRECTED), *p[1:], body=_corr_sql(U_OR)),
         "tick_stream": "SELECT event_type AS symbol, value AS price, ts AS event_time FROM events",
         "stream_alerts": _with(("ticks", TICKS), ("stats", _stats_sql("symbol")),
                                ("rules", _rules_sql("symbol")), body="""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators import correlation as corr
 from marketlens.operators import quality, risk
-from marketlens.operators.returns import daily_returns, stg_prices
+from marketlens.operators.returns import RISK_INPUT, SUMMARY_INPUT, daily_returns, stg_prices
 from marketlens.sources.bars import dedup_latest, lookback_slice, materialise, stage_view
 
 
@@ -30,9 +30,9 @@ def build_models(raw: DataFrame, universe: Sequence[str], dedup: bool = True) ->
     return {
         "stg_stock_prices": stg,
         "int_stock_daily": daily,
-        "mart_risk_metrics": risk.risk_metrics(daily_returns(stg, keep_segment=True)),
-        "mart_portfolio_summary": risk.portfolio_summary(daily, stg),
-        "mart_correlation": corr.correlation(daily, universe, unique_bars=dedup),
+        "mart_risk_metrics": risk.risk_metrics(daily_returns(stg, keep_segment=True, columns=RISK_INPUT)),
+        "mart_portfolio_summary": risk.portfolio_summary(daily_returns(stg, columns=SUMMARY_INPUT), stg, unique_bars=dedup),
+        "mart_correlation": corr.correlation(daily_returns(stg, columns=RISK_INPUT), universe, unique_bars=dedup),
     }
 
 
@@ -67,7 +67,7 @@ def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str, alerts: Dat
                         model_path(out_dir, "int_stock_daily"), partition_by="year").drop("year")
     models = {
         "mart_risk_metrics": risk.risk_metrics(daily),
-        "mart_portfolio_summary": risk.portfolio_summary(daily),
+        "mart_portfolio_summary": risk.portfolio_summary(daily, unique_bars=True),
         "mart_correlation": corr.correlation(daily, universe, unique_bars=True),
     }
     if alerts is not None:

@@ -193,7 +193,8 @@ def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     return typed.withColumn("dt", F.col("_dt").cast("date")).drop("_dt")
 
 
-def load_raw_columns(land: DataFrame) -> DataFrame:
+def load_raw_columns(land: DataFrame, *extra: str) -> DataFrame:
+    """Landing rows in the raw table's types; the run date as ``_dt`` where there is one, and ``extra`` columns."""
     cols = [nanos_to_date("date").alias("date"),
             F.col("open").cast("double"), F.col("high").cast("double"),
             F.col("low").cast("double"), F.col("close").cast("double"),
@@ -201,7 +202,7 @@ def load_raw_columns(land: DataFrame) -> DataFrame:
             F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at")]
     if "dt" in land.columns:
         cols.append(F.col("dt").alias("_dt"))
-    return land.select(*cols)
+    return land.select(*cols, *extra)
 
 
 def write_symbol_files(frames_by_symbol: DataFrame, root: str, fmt: str = "csv") -> str:

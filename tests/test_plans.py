@@ -14,7 +14,7 @@ def _plan(df) -> str:
 def test_no_python_evaluation_anywhere(spark):
     for name, fn in E.queries().items():
         if any(name in m.queries() for m in E.EXTRA) or name.startswith(("recent_alerts_streamed", "stream", "tick_stream", "raw_load", "rerun", "partitioned", "lookback",
-                            "materialise", "load_audit")):
+                            "materialise", "load_audit", "incremental")):
             continue
         p = _plan(fn(spark, SMALL))
         correlation = "correlation" in name or name in ("dq_report_dirty", "dq_gate")   # the one named exception
@@ -84,7 +84,9 @@ def _scans(df) -> int:
 def test_sequential_queries_read_their_source_once(spark):
     for name in ("daily_returns", "daily_returns_dense", "tick_change"):
         assert _scans(E.queries()[name](spark, SMALL)) == 1, name
-    assert _scans(E.queries()["mart_portfolio_summary"](spark, SMALL)) <= 3
+    for name in ("int_stock_daily", "mart_risk_metrics", "mart_correlation", "mart_portfolio_summary", "var_95"):
+        assert _scans(E.queries()[name](spark, SMALL)) == 1, name
+    assert _scans(E.queries()["mart_portfolio_summary_dense"](spark, SMALL)) <= 3
 
 
 def test_landing_read_prunes_folders_and_row_groups(spark):
