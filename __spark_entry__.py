@@ -9,6 +9,7 @@ on both sides.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from importlib import import_module
 
@@ -30,6 +31,8 @@ from marketlens.sources import fixtures as fx
 from marketlens.sources import incremental as inc
 from marketlens.sources import ticks as tk
 from marketlens.streaming import alerts_stream as stx
+from marketlens.streaming import tick_stream as tsx
+from marketlens.streaming.compaction import compact, read_compacted, vacuum
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -372,6 +375,59 @@ def _windowed_run(spark, d, runs=1, shuffled=False):
     return stx.read_windowed_alerts(spark, sink)
 
 
+def q_tick_change_streamed(spark, d):
+    """Ticks land in four pieces, in the order of their times; the stream restarts after each."""
+    ticks = _ticks(spark, d)
+    src, sink, ck = (scratch_dir(spark, n) for n in ("ticks_in", "changes_out", "changes_ck"))
+    piece = F.pmod(F.floor(F.datediff("event_time", F.lit("2024-01-01")) / 8), F.lit(64))
+    ticks = ticks.withColumn("piece", F.least(piece, F.lit(3)))
+    for k in range(4):
+        tk.ticks_as_json(ticks.filter(F.col("piece") == k)).write.mode("append").text(src)
+        stx.run_to_end(tsx.start_changes(tk.read_tick_stream(spark, src), sink, ck))
+    return (tsx.read_changes(spark, sink).drop("day", "run_id", "batch_id")
+            .withColumn("event_time", utc_wall_clock(F.col("event_time"))))
+
+
+def q_stream_compacted(spark, d):
+    """Five unordered batches; half of the days are compacted, the batches behind them removed."""
+    return stx.windowed_alerts(_compacted_sink(spark, d))
+
+
+def _compacted_sink(spark, d):
+    ticks = _ticks(spark, d).repartitionByRange(5, F.xxhash64("seq"))
+    src = tk.write_tick_files(ticks, scratch_dir(spark, "ticks_in"))
+    sink, ck = scratch_dir(spark, "walerts_out"), scratch_dir(spark, "walerts_ck")
+    stx.run_to_end(stx.start_windowed_alerts(tk.read_tick_stream(spark, src, 1), sink, ck, STREAM_WINDOW))
+    compact(spark, sink, stx.WINDOW_STATS, CLOSED_BEFORE, stx.fullest)
+    vacuum(spark, sink, stx.WINDOW_STATS)
+    return read_compacted(spark, sink, stx.WINDOW_STATS)
+
+
+def q_recent_compacted(spark, d):
+    """The newest alerts of a compacted sink, from its newest days."""
+    rows = _compacted_sink(spark, d)
+    return rp.newest_alerts(lambda days: stx.windowed_alerts(rp.by_day(rows)(days)), rp.days_of(rows), reach=dt.timedelta(days=1))
+
+
+def q_recent_newest_days(spark, d):
+    alerts = q_alerts(spark, d).withColumn("day", F.to_date("triggered_at"))
+    stored = sb.materialise(alerts, scratch_dir(spark, "alerts_by_day"), partition_by="day")
+    return rp.newest_alerts(rp.by_day(stored), rp.days_of(stored))
+
+
+def q_stream_quiet(spark, d):
+    """Each symbol's first tick alone: no alert, a sink without a file, and a page that says so."""
+    first = _ticks(spark, d).groupBy("symbol").agg(F.min_by(F.struct("price", "event_time", "seq", "volume"), "event_time").alias("t"))
+    src = tk.write_tick_files(first.select("symbol", "t.*"), scratch_dir(spark, "ticks_in"))
+    sink, ck = scratch_dir(spark, "alerts_out"), scratch_dir(spark, "alerts_ck")
+    stx.run_to_end(stx.start_micro_batch_alerts(tk.read_tick_stream(spark, src), sink, ck))
+    return rp.alert_kpis(rp.recent_alerts(stx.read_alerts(spark, sink)))
+
+
+# Days of the alert sink that are closed.
+CLOSED_BEFORE = dt.date(2024, 1, 16)
+
+
 def q_windowed_two_runs(spark, d):
     """Two windowed runs, each with its own checkpoint and half of the ticks of every window, into one sink."""
     sink = scratch_dir(spark, "walerts_out")
@@ -484,6 +540,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_risk_corrected": lambda s, d: _corrected(s, d, "mart_risk_metrics"),
         "incremental_correlation_corrected": lambda s, d: _corrected(s, d, "mart_correlation"),
         "tick_stream": q_tick_stream,
+        "tick_change_streamed": q_tick_change_streamed,
+        "stream_quiet": q_stream_quiet,
+        "stream_compacted": q_stream_compacted,
+        "recent_alerts_compacted": q_recent_compacted,
+        "recent_alerts_newest_days": q_recent_newest_days,
         "stream_alerts": q_stream_alerts,
         "stream_alerts_windowed": lambda s, d: _windowed_run(s, d, 1),
         "stream_restart": lambda s, d: _windowed_run(s, d, 2),
@@ -967,6 +1028,15 @@ def oracle_sql() -> dict[str, str]:
         "incremental_risk_corrected": _with(("raw", RAW_CORRECTED), *p[1:], body=RISK),
         "incremental_correlation_corrected": _with(("raw", RAW_CORRECTED), *p[1:], body=_corr_sql(U_OR)),
         "tick_stream": "SELECT event_type AS symbol, value AS price, ts AS event_time FROM events",
+        "tick_change_streamed": _with(("ticks", TICKS), body=TICK_CHANGE),
+        "stream_quiet": _with(
+            ("ticks", f"SELECT * FROM ({TICKS}) QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time) = 1"),
+            ("stats", _stats_sql("symbol")), ("rules", _rules_sql("symbol")), body="""
+            SELECT COUNT(*) AS total_alerts, COUNT(DISTINCT symbol) AS symbols_affected, NULL::TIMESTAMP AS latest_alert
+            FROM rules WHERE metric_value > threshold_value"""),
+        "stream_compacted": ALERTS_WINDOWED,
+        "recent_alerts_compacted": _with(("alerts_t", ALERTS_WINDOWED), body=RECENT),
+        "recent_alerts_newest_days": _with(("alerts_t", ALERTS_WINDOWED), body=RECENT),
         "stream_alerts": _with(("ticks", TICKS), ("stats", _stats_sql("symbol")),
                                ("rules", _rules_sql("symbol")), body="""
             SELECT symbol, alert_type, ROUND(metric_value, 6) AS metric_value, threshold_value,

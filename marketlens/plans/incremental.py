@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 from marketlens.operators import states as st
 from marketlens.sources import incremental as inc
 from marketlens.sources.bars import dedup_latest
+from marketlens.sources.tables import read_or_empty
 
 #: Folders of a run's tables.
 RAW, RISK, PAIRS, TAKEN = "raw", "states/risk", "states/pairs", "states/taken_in"
@@ -34,7 +35,7 @@ def _at(root: str, folder: str) -> str:
 
 
 def _read(spark: SparkSession, root: str, folder: str, schema: str) -> DataFrame:
-    return inc.read_or_empty(spark, _at(root, folder), StructType.fromDDL(schema))
+    return read_or_empty(spark, _at(root, folder), StructType.fromDDL(schema))
 
 
 def read_risk_states(spark: SparkSession, root: str) -> DataFrame:

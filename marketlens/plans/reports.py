@@ -7,7 +7,8 @@ style KPIs is made explicit: ties go to the smallest symbol.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,6 +137,40 @@ def recent_alerts(alerts: DataFrame, n: int = RECENT_ALERTS) -> DataFrame:
     )
 
 
+def days_of(stored: DataFrame) -> list[dt.date | None]:
+    """The days of a table laid out by ``day`` (or a sink's), newest first; alerts without a time are the oldest."""
+    found = [r.day for r in stored.select("day").distinct().collect()]          # a row per day of history
+    return sorted((d for d in found if d is not None), reverse=True) + [d for d in found if d is None]
+
+
+def by_day(stored: DataFrame) -> Callable[[list], DataFrame]:
+    """Alerts of some days of a stored table: a list of folders, nothing else is read."""
+    return lambda days: stored.filter(F.col("day").isin([d for d in days if d is not None])
+                                      | (F.col("day").isNull() if None in days else F.lit(False)))
+
+
+def newest_alerts(of_days: Callable[[list], DataFrame], days: Sequence[dt.date | None], n: int = RECENT_ALERTS,
+                  reach: dt.timedelta = dt.timedelta(0)) -> DataFrame:
+    """``recent_alerts`` of a store laid out by day, from its newest days.
+
+    An alert of a day's folder is triggered before the end of that day plus ``reach`` (the
+    window's length where folders go by the window's start).  Days are taken newest
+    first, twice as many each time, until the n-th alert is no older than anything
+    that the next day can hold; ties at the border are thereby among the days read.
+    """
+    take = 1
+    while True:
+        alerts = of_days(list(days[:take]))
+        if take >= len(days):
+            return recent_alerts(alerts, n)
+        top = alerts.orderBy(F.col("triggered_at").desc_nulls_last()).limit(n)
+        found, oldest = top.agg(F.count("triggered_at"), F.min("triggered_at")).first()
+        end = None if days[take] is None else dt.datetime.combine(days[take] + dt.timedelta(days=1), dt.time()) + reach
+        if found == n and (end is None or oldest >= end):
+            return recent_alerts(alerts, n)
+        take *= 2
+
+
 def alert_kpis(recent: DataFrame) -> DataFrame:
     return recent.agg(F.count(F.lit(1)).alias("total_alerts"),
                       F.count_distinct("symbol").alias("symbols_affected"),

@@ -13,13 +13,13 @@ a run date) is a new file, and ``dedup_latest`` keeps the newest load of each ba
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructType
 
 from marketlens.schemas import LANDING_BARS, RAW_BARS
 from marketlens.sources.bars import RAW_COLUMNS, load_raw_columns
+from marketlens.sources.tables import read_or_empty
 from marketlens.streaming.alerts_stream import run_to_end
 
 #: The stored raw table: raw bars, their run date and file, and the layout columns.
@@ -29,16 +29,6 @@ RAW_TABLE = (StructType([*RAW_BARS.fields]).add("dt", DateType()).add("file", St
 HISTORY = "3650d"
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stored table under its schema; without rows where nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def new_files(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
     """The landing area as a stream of rows, each with its run date and file."""
     reader = (spark.readStream.schema(StructType([*LANDING_BARS.fields]).add("dt", DateType()))

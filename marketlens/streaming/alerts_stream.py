@@ -30,17 +30,35 @@ symbol).  With one, closed windows leave the state and later ticks are dropped;
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import (
+    DateType, DecimalType, DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+)
 
 from marketlens.functions.scalar import deterministic_id, utc_wall_clock
 from marketlens.operators.alerts import STAT_COLUMNS, alert_rows, latest_key, stat_aggs, to_alert_table
+from marketlens.streaming.compaction import read_compacted
 
 #: What it takes, besides the statistics, to merge them over feeds.
 MERGE_COLUMNS = ["n_prices", "latest_at", "ticks_hash"]
+_LAYOUT = [StructField("day", DateType()), StructField("run_id", StringType()), StructField("batch_id", LongType())]
+_DECIMAL = DecimalType(38, 0)
+#: The micro-batch sink: alerts, and the folders that lay them out.
+ALERTS = StructType([StructField("alert_id", StringType()), StructField("symbol", StringType()),
+                     StructField("alert_type", StringType()), StructField("metric_value", DoubleType()),
+                     StructField("threshold_value", DoubleType()), StructField("price_at_alert", DoubleType()),
+                     StructField("triggered_at", TimestampNTZType()), *_LAYOUT])
+#: The windowed sink: mergeable statistics of a window and symbol as a batch left them.
+WINDOW_STATS = StructType([
+    StructField("w", StructType().add("start", TimestampType()).add("end", TimestampType())), StructField("symbol", StringType()),
+    StructField("n_ticks", LongType()), *[StructField(c, DoubleType()) for c in STAT_COLUMNS[1:]],
+    StructField("n_prices", LongType()), StructField("latest_at", _DECIMAL), StructField("ticks_hash", _DECIMAL),
+    StructField("feed", StringType()), *_LAYOUT])
 
 
 class LateTicksError(RuntimeError):
@@ -54,7 +72,7 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("run_id string").parquet(path).first().run_id
 
 
-def _write(rows: DataFrame, sink: str, run: str, batch_id: int) -> None:
+def write_batch(rows: DataFrame, sink: str, run: str, batch_id: int) -> None:
     """Replace this batch's folders only (an empty batch has none)."""
     (rows.withColumns({"run_id": F.lit(run), "batch_id": F.lit(batch_id)})
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -74,7 +92,7 @@ def batch_alert_table(batch: DataFrame, batch_id: int, run: str) -> DataFrame:
 def micro_batch_writer(sink: str, run: str):
     """``foreachBatch`` callback writing each batch's alerts idempotently."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(batch_alert_table(batch, batch_id, run), sink, run, batch_id)
+        write_batch(batch_alert_table(batch, batch_id, run), sink, run, batch_id)
 
     return write
 
@@ -111,34 +129,49 @@ def start_windowed_alerts(ticks: DataFrame, sink: str, checkpoint: str, window:
     run = run_id(ticks.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(batch.withColumns({"day": F.to_date("w.start"), "feed": F.lit(feed or run)}), sink, run, batch_id)
+        write_batch(batch.withColumns({"day": F.to_date("w.start"), "feed": F.lit(feed or run)}), sink, run, batch_id)
 
     w = (window_stats_stream(ticks, window, watermark).writeStream.outputMode("update")
          .foreachBatch(write).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
-def late_ticks(query: StreamingQuery) -> int:
-    """Rows that the query's state operators dropped as late, over its reported batches."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+class LateTicks:
+    """Rows that a query's state operators dropped as late, added up as batches report them.
+
+    A query keeps the progress of its last 100 batches only: ``look`` is called while it runs."""
+
+    def __init__(self, query: StreamingQuery):
+        self.query, self.dropped = query, {}
+
+    def look(self) -> int:
+        for p in self.query.recentProgress:
+            self.dropped[p["batchId"]] = max(self.dropped.get(p["batchId"], 0),
+                                             sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"]))
+        return sum(self.dropped.values())
+
+
+#: Seconds between two looks at a running query.
+LOOK_S = 0.5
 
 
 def run_to_end(query: StreamingQuery, accept_late: bool = False, timeout_s: int | None = None) -> None:
     """Wait for an ``availableNow`` query to drain; raise its error if it failed, or if it lost late ticks."""
-    if timeout_s is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError(f"streaming query did not finish in {timeout_s} s")
+    late, started = LateTicks(query), time.monotonic()
+    while not query.awaitTermination(LOOK_S):
+        late.look()
+        if timeout_s is not None and time.monotonic() - started > timeout_s:
+            query.stop()
+            raise TimeoutError(f"streaming query did not finish in {timeout_s} s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    if not accept_late and (late := late_ticks(query)):
-        raise LateTicksError(f"{late} partial aggregates came after the watermark and were dropped")
+    if late.look() and not accept_late:
+        raise LateTicksError(f"{late.look()} partial aggregates came after the watermark and were dropped")
 
 
 def read_alerts(spark: SparkSession, sink: str) -> DataFrame:
-    """Alerts of all runs and batches of a micro-batch sink."""
-    return spark.read.parquet(sink)
+    """Alerts of all runs and batches of a micro-batch sink; none before its first alert."""
+    return read_compacted(spark, sink, ALERTS)
 
 
 def merged_stats(parts: DataFrame) -> DataFrame:
@@ -164,8 +197,18 @@ def merged_stats(parts: DataFrame) -> DataFrame:
 
 def read_windowed_alerts(spark: SparkSession, sink: str) -> DataFrame:
     """The alert table over a windowed sink: every window's fullest statistics by feed, merged, then the rules."""
-    stats = F.struct(*STAT_COLUMNS, *MERGE_COLUMNS)
-    by_feed = (spark.read.parquet(sink).groupBy("feed", "w", "symbol")
-               .agg(F.max_by(stats, F.col("n_ticks")).alias("s")).select("w", "symbol", "s.*"))
+    return windowed_alerts(read_compacted(spark, sink, WINDOW_STATS))
+
+
+def fullest(rows: DataFrame) -> DataFrame:
+    """The fullest statistics of each (feed, window, symbol): what later batches of a window supersede goes."""
+    kept = [f.name for f in WINDOW_STATS.fields if f.name not in ("feed", "w", "symbol")]
+    return (rows.groupBy("feed", "w", "symbol").agg(F.max_by(F.struct(*kept), F.col("n_ticks")).alias("s"))
+            .select("w", "symbol", "feed", "s.*").select(*WINDOW_STATS.fieldNames()))
+
+
+def windowed_alerts(rows: DataFrame) -> DataFrame:
+    """The alert table over rows of a windowed sink."""
+    by_feed = fullest(rows).select("w", "symbol", *STAT_COLUMNS, *MERGE_COLUMNS)
     once = by_feed.dropDuplicates(["w", "symbol", "n_ticks", "ticks_hash"])
     return to_alert_table(alert_rows(merged_stats(once), ["w", "symbol"]))

@@ -54,7 +54,7 @@ def rows_of(names, rows):
 #: Keys whose result is an ordered page: rows are compared in their order.
 ORDERED = {"risk_ranking", "risk_report", "correlation_ranked", "alert_filter_values", "alerts_by_symbol",
            "alerts_by_symbol_all", "alerts_timeline", "portfolio_overview", "portfolio_overview_dense",
-           "portfolio_display", "recent_alerts", "recent_alerts_streamed", "ingest_preview", "correlation_matrix"}
+           "portfolio_display", "recent_alerts", "recent_alerts_streamed", "recent_alerts_compacted", "recent_alerts_newest_days", "ingest_preview", "correlation_matrix"}
 
 
 def compare(spark, con, fn, sql, sf_dir, ordered=False):
