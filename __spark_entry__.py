@@ -22,6 +22,7 @@ from marketlens.operators import correlation as corr
 from marketlens.operators import quality as dq
 from marketlens.operators import returns as rt
 from marketlens.operators import risk
+from marketlens.operators import sketches as sk
 from marketlens.plans import incremental as pi
 from marketlens.plans import pipeline as pl
 from marketlens.plans import reports as rp
@@ -29,6 +30,7 @@ from marketlens.session import let_workers_import, scratch_dir
 from marketlens.sources import bars as sb
 from marketlens.sources import fixtures as fx
 from marketlens.sources import incremental as inc
+from marketlens.sources import semistructured as ss
 from marketlens.sources import ticks as tk
 from marketlens.streaming import alerts_stream as stx
 from marketlens.streaming import tick_stream as tsx
@@ -240,6 +242,32 @@ def q_dq_gate(spark, d):
     return dq.gate_outcome(dq.quality_report(tables))
 
 
+def _checked(spark, d):
+    return {m: dq.write_checked(df, scratch_dir(spark, m), m) for m, df in _dirty_tables(spark, d).items()}
+
+
+def q_dq_quarantine(spark, d):
+    """The rows of the dirty raw bars and alerts that fail a test, from the folders that the checked writes left."""
+    parts = [m.quarantine.select(F.lit(name).alias("model"), "symbol", F.array_join(dq.FAILED_TESTS, ",").alias("failed_tests"))
+             for name, m in _checked(spark, d).items() if "symbol" in m.table.columns]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_var_95_sketched(spark, d):
+    """VaR of tick returns from day sketches that two runs stored; its rank error by counting all returns."""
+    returns, path = sk.tick_returns(_ticks(spark, d)), scratch_dir(spark, "day_sketches")
+    early = F.col("day") < F.lit(CLOSED_BEFORE)
+    for part in (returns.filter(early), returns.filter(~early)):
+        sk.write_day_sketches(part, path)
+    found = sk.var_95_of_sketches(sk.read_day_sketches(spark, path))
+    small = found.select("symbol", "least", "most", (F.col("sketch_bytes") < 64 * sk.K).alias("bounded"))
+    return sk.rank_error(found, returns).join(small, "symbol").select(
+        "symbol", "n", "least", "most", "bounded", (F.col("rank_error") <= sk.RANK_ERROR).alias("within_error"))
+
+
 def q_tick_parse_dirty(spark, d):
     """Messages without a symbol and lines that aren't JSON are dropped."""
     t = _ticks(spark, d)
@@ -295,6 +323,28 @@ def _loaded_twice(spark, d):
     return _in_two_runs(spark, d, lambda land, table: inc.load_new_files(spark, land, table) and None)[1]
 
 
+def _drifted_lines(spark, d):
+    """Landing records as JSON lines; of every 50 orders some are malformed, and some have drifted."""
+    land = sb.to_landing(_raw(spark, d).withColumn("key", F.second("ingested_at") + 60 * F.minute("ingested_at")), "key")
+    text = F.to_json(F.struct(*[c for c in land.columns if c != "key"]))
+    nth = F.col("key") % 50
+    edited = (F.when(nth == 0, F.substring(text, 1, 20)).when(nth == 1, F.lit("[1, 2]"))
+              .when(nth == 2, F.regexp_replace(text, '"close":[^,]*', '"close":"n/a"'))
+              .when(nth == 3, F.regexp_replace(text, '"volume":1', '"turnover":{"eur":1}'))
+              .when(nth == 4, F.regexp_replace(text, '"close":([^,]*)', '"close":"$1"'))
+              .when(nth == 5, F.regexp_replace(F.regexp_replace(text, '"date":[0-9-]*', '"date":"?"'), '"volume":1', '"volume":"one"'))
+              .otherwise(text))
+    path = scratch_dir(spark, "json_landing")
+    land.select(edited.alias("value")).write.text(path)
+    return ss.write_loaded(ss.read_lines(spark, path), scratch_dir(spark, "json_loaded"))
+
+
+def q_json_rejected(spark, d):
+    """How many lines were rejected for which reasons."""
+    return (_drifted_lines(spark, d)[1].select(F.array_join("reasons", ", ").alias("reasons"), F.length("value").alias("n"))
+            .groupBy("reasons").agg(F.count(F.lit(1)).alias("n_lines")))
+
+
 def q_incremental_load(spark, d):
     return inc.raw_bars(inc.read_raw_table(spark, _loaded_twice(spark, d)))
 
@@ -521,6 +571,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _dirty_tables(s, d)["risk_alerts"], "alert_type", dq.ALERT_TYPE_VALUES).select("alert_id", "alert_type"),
         "dq_correlation_range_dirty": lambda s, d: dq.correlation_out_of_range(
             _dirty_tables(s, d)["mart_correlation"]),
+        "dq_report_written": lambda s, d: dq.checked_report(_checked(s, d)),
+        "dq_quarantine": q_dq_quarantine,
+        "var_95_sketched": q_var_95_sketched,
         "tick_parse_dirty": q_tick_parse_dirty,
         "tick_change_odd": lambda s, d: al.tick_change(_odd_ticks(s, d)),
         "tick_latest_odd": lambda s, d: al.tick_latest(_odd_ticks(s, d)),
@@ -532,6 +585,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             run_date="1997-01-01")["int_stock_daily"],
         "universe_bars": lambda s, d: (fx.orders_bars(s, d).join(sb.universe_table(s, UNIVERSE_SUBSET), "symbol")
                                        .groupBy("symbol", "ord").agg(F.count(F.lit(1)).alias("n_bars"))),
+        "json_load": lambda s, d: _drifted_lines(s, d)[0],
+        "json_rejected": q_json_rejected,
         "incremental_load": q_incremental_load,
         "incremental_history": q_incremental_history,
         "incremental_risk": lambda s, d: _kept_up(s, d, "mart_risk_metrics"),
@@ -799,6 +854,7 @@ SELECT date, open, high, low, close + 1, volume, symbol,
        TIMESTAMP '{REFETCH_TS}' + to_microseconds(CAST(round((close + 1) * 1000000) AS BIGINT)) FROM ({RAW_OR})
 WHERE date BETWEEN DATE '{CORRECTED[0]}' AND DATE '{CORRECTED[1]}'"""
 
+NTH = "(second(ingested_at) + 60 * minute(ingested_at)) % 50"
 BAR_COLS = "date, open, high, low, close, volume, symbol"
 RAW_COLS = "date, open, high, low, close, volume, symbol, ingested_at"
 
@@ -825,6 +881,20 @@ def _dq_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _quarantine_sql() -> str:
+    from marketlens.operators.quality import SUITE
+    parts = []
+    for model in dict.fromkeys(c.model for c in SUITE if c.model != "mart_correlation"):
+        tests = []
+        for c in SUITE:
+            if c.model == model and c.test != "unique":
+                bad = {"not_null": f"{c.column} IS NULL", "expression": f"NOT ({c.expression})",
+                       "accepted_values": f"{c.column} NOT IN ({', '.join(repr(v) for v in c.values)})"}[c.test]
+                tests.append(f"CASE WHEN {bad} THEN '{c.column} {c.test}' END")
+        parts.append(f"SELECT '{model}' AS model, symbol, concat_ws(',', {', '.join(tests)}) AS failed_tests FROM {model}")
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE failed_tests <> ''"
+
+
 def _with(*ctes: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + body
 
@@ -961,6 +1031,13 @@ def oracle_sql() -> dict[str, str]:
         "dq_report": _with(*models, ("raw_stock_prices", "SELECT * FROM raw"),
                            ("risk_alerts", ALERTS_WINDOWED), body=_dq_sql()),
         "dq_report_dirty": _with(*dirty, body=_dq_sql()),
+        "dq_report_written": _with(*dirty, body=_dq_sql()),
+        "dq_quarantine": _with(*dirty, body=_quarantine_sql()),
+        "var_95_sketched": _with(("ticks", TICKS), body="""
+            SELECT symbol, COUNT(r) AS n, MIN(r) AS least, MAX(r) AS most, true AS bounded, true AS within_error
+            FROM (SELECT symbol, round((price - prev) / nullif(prev, 0), 6) AS r
+                  FROM (SELECT symbol, price, lag(price) OVER (PARTITION BY symbol ORDER BY event_time, seq) AS prev FROM ticks))
+            WHERE r IS NOT NULL GROUP BY symbol"""),
         "dq_gate": _with(*dirty, ("report", _dq_sql()), body="""
             SELECT bool_or(failures > 0 OR model = 'risk_alerts') AS raised,
                    COUNT(*) FILTER (WHERE failures > 0 AND model <> 'risk_alerts') AS n_failed,
@@ -1017,6 +1094,11 @@ def oracle_sql() -> dict[str, str]:
             FROM alerts_t WHERE alert_type NOT IN ('HIGH_VOLATILITY', 'PRICE_DROP', 'PRICE_ANOMALY')"""),
         "dq_correlation_range": _with(*models, body="""SELECT * FROM mart_correlation
             WHERE correlation < -1 OR correlation > 1"""),
+        "json_load": _with(("raw", RAW_OR), body=f"""SELECT * REPLACE (CASE WHEN {NTH} = 3 THEN NULL ELSE volume END AS volume)
+            FROM raw WHERE {NTH} NOT IN (0, 1, 2, 5)"""),
+        "json_rejected": _with(("raw", RAW_OR), body=f"""SELECT reasons, COUNT(*) AS n_lines FROM (
+            SELECT CASE {NTH} WHEN 2 THEN 'close: no double' WHEN 5 THEN 'date: no bigint, volume: no bigint'
+                        ELSE 'no JSON object' END AS reasons FROM raw WHERE {NTH} IN (0, 1, 2, 5)) GROUP BY reasons"""),
         "incremental_load": RAW_OR,
         "incremental_history": _with(("raw", RAW_OR), body=f"""
             SELECT CASE WHEN dt < DATE '{SECOND_RUN}' THEN 0 ELSE 1 END::BIGINT AS batch_id, dt, COUNT(*) AS n_rows,

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marketlens.functions.scalar import ALERT_TYPES
@@ -99,6 +99,11 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
     return df.filter(~F.col(column).isin(list(values)))
 
 
+def _unique_row(c: Check, df: DataFrame) -> DataFrame:
+    n = unique_failures(df, c.column).agg(F.count(F.lit(1)).alias("failures"))
+    return n.select(F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test"), "failures")
+
+
 def _absent(checks: Sequence[tuple[str, str, str]], spark) -> DataFrame:
     """Tests whose model isn't there: one row each, failures unknown."""
     return spark.createDataFrame([(*c, None) for c in checks],
@@ -121,17 +126,80 @@ def quality_report(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SUI
     if absent:
         parts.append(_absent(absent, spark))
     for model, df in tables.items():
-        checks = [c for c in suite if c.model == model and c.test != "unique"]
-        if singular and model == SINGULAR[0]:
-            checks.append(Check(*SINGULAR, expression="correlation >= -1 and correlation <= 1"))
-        if checks:
+        if checks := row_checks(model, suite, singular):
             parts.append(_row_level(model, df, checks))
         for c in suite:
             if c.model == model and c.test == "unique":
-                n = unique_failures(df, c.column).agg(F.count(F.lit(1)).alias("failures"))
-                parts.append(n.select(F.lit(c.model).alias("model"),
-                                      F.lit(c.column).alias("column_name"),
-                                      F.lit(c.test).alias("test"), "failures"))
+                parts.append(_unique_row(c, df))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+#: Columns that a checked write adds: the tests that a row fails, and whether it fails any (the folder).
+FAILED_TESTS, QUARANTINED = "failed_tests", "quarantined"
+
+
+def row_checks(model: str, suite: Sequence[Check] = SUITE, singular: bool = True) -> list[Check]:
+    """The tests of a model that look at one row at a time."""
+    checks = [c for c in suite if c.model == model and c.test != "unique"]
+    if singular and model == SINGULAR[0]:
+        checks.append(Check(*SINGULAR, expression="correlation >= -1 and correlation <= 1"))
+    return checks
+
+
+@dataclass(frozen=True)
+class Checked:
+    """A model stored with its tests: all its rows, those that fail one, and the failures by test."""
+    table: DataFrame
+    quarantine: DataFrame
+    failures: dict[tuple[str, str, str], int]
+
+
+def write_checked(df: DataFrame, path: str, model: str, partition_by: str | None = None,
+                  suite: Sequence[Check] = SUITE, singular: bool = True) -> Checked:
+    """Store a model and test its rows in the same pass.
+
+    The failures are counted by the tasks that write (observed metrics, taken from successful
+    tasks only), and rows that fail a test go into a folder of their own with the names
+    of their tests: the quarantine is read from there, no row is written twice and
+    no row-level test reads the table again.
+    """
+    checks = row_checks(model, suite, singular)
+    seen = Observation()
+    names = F.array_compact(F.array(*[F.when(c.failing(), F.lit(f"{c.column} {c.test}")) for c in checks], F.lit(None).cast("string")))
+    tested = df.withColumn(FAILED_TESTS, names).withColumn(QUARANTINED, F.size(FAILED_TESTS) > 0)
+    counts = [F.count_if(F.array_contains(FAILED_TESTS, f"{c.column} {c.test}")).alias(f"f{i}") for i, c in enumerate(checks)]
+    layout = [c for c in (partition_by, QUARANTINED) if c]
+    if partition_by:
+        tested = tested.hint("rebalance", partition_by)
+    (tested.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+     .write.mode("overwrite").partitionBy(*layout).parquet(path))
+    found = seen.get
+    stored = df.sparkSession.read.schema(tested.schema).parquet(path)
+    return Checked(stored.select(*df.columns), stored.filter(QUARANTINED).select(*df.columns, FAILED_TESTS),
+                   {(c.model, c.column, c.test): found[f"f{i}"] for i, c in enumerate(checks)})
+
+
+def checked_report(models: Mapping[str, Checked], suite: Sequence[Check] = SUITE, singular: bool = True) -> DataFrame:
+    """``quality_report`` from checked writes: only ``unique`` tests read the stored tables."""
+    spark = next(iter(models.values())).table.sparkSession
+    declared = [(c.model, c.column, c.test) for c in suite if c.test != "unique" or c.model not in models]
+    declared += [SINGULAR] if singular else []
+    known = {k: n for m in models.values() for k, n in m.failures.items()}
+    out = spark.createDataFrame([(*d, known.get(d)) for d in declared],        # a row per declared test
+                                "model string, column_name string, test string, failures long")
+    for c in suite:
+        if c.test == "unique" and c.model in models:
+            out = out.unionByName(_unique_row(c, models[c.model].table))
+    return out
+
+
+def quarantined(models: Mapping[str, Checked]) -> DataFrame:
+    """Failing rows of all models: model, tests, and the row as JSON (models have different columns)."""
+    parts = [m.quarantine.select(F.lit(name).alias("model"), F.array_join(FAILED_TESTS, ",").alias(FAILED_TESTS),
+                                 F.to_json(F.struct(*m.table.columns)).alias("row_json")) for name, m in models.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -47,14 +47,17 @@ def model_path(out_dir: str, model: str) -> str:
 
 def read_model(spark: SparkSession, out_dir: str, model: str) -> DataFrame:
     """A stored model, as the report pages read it."""
-    return spark.read.parquet(model_path(out_dir, model))
+    return spark.read.parquet(model_path(out_dir, model)).drop(quality.FAILED_TESTS, quality.QUARANTINED)
 
 
 def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str, alerts: DataFrame | None = None,
-              gate: bool = True, run_date: str | None = None, days: int = 365) -> dict[str, DataFrame]:
+              gate: bool = True, run_date: str | None = None, days: int = 365, quarantine: bool = False) -> dict[str, DataFrame]:
     """Materialise every model under ``out_dir`` (a folder per layer) and run the test suite.
 
-    With ``run_date`` the run covers the ``days`` before it.  Returns the read-back
+    With ``run_date`` the run covers the ``days`` before it.  With ``quarantine`` rows are
+    tested while they are written: failing rows are in the table ``quarantine`` too, with
+    their model and tests, and stored models carry the layout of ``quality.write_checked``
+    (read them by ``read_model``).  Returns the read-back
     tables plus the stored ``quality_report``; raises ``DataQualityError`` when
     ``gate`` is set and a test fails or, its model missing, wasn't run.
     """
@@ -63,8 +66,16 @@ def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str, alerts: Dat
     base = dedup_latest(raw)
     stg = stage_view(stg_prices(base), "stg_stock_prices")
     # the core table is laid out by bar year: date-range reads prune folders
-    daily = materialise(daily_returns(stg).withColumn("year", F.year("date")),
-                        model_path(out_dir, "int_stock_daily"), partition_by="year").drop("year")
+    checked = {}
+
+    def store(df, model, partition_by=None):
+        path = model_path(out_dir, model)
+        if not quarantine:
+            return materialise(df, path, partition_by)
+        checked[model] = quality.write_checked(df, path, model, partition_by)
+        return checked[model].table
+
+    daily = store(daily_returns(stg).withColumn("year", F.year("date")), "int_stock_daily", "year").drop("year")
     models = {
         "mart_risk_metrics": risk.risk_metrics(daily),
         "mart_portfolio_summary": risk.portfolio_summary(daily, unique_bars=True),
@@ -74,10 +85,17 @@ def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str, alerts: Dat
         models["risk_alerts"] = alerts
     # they only read stored tables: write them as concurrent jobs
     with ThreadPoolExecutor(max_workers=len(models)) as pool:
-        done = {name: pool.submit(materialise, df, model_path(out_dir, name)) for name, df in models.items()}
+        done = {name: pool.submit(store, df, name) for name, df in models.items()}
         tables = {"int_stock_daily": daily, **{name: f.result() for name, f in done.items()}}
-    report = materialise(quality.quality_report({"raw_stock_prices": raw, **tables}),
-                         model_path(out_dir, "quality_report"))
+    if quarantine:
+        # the raw rows are not a model of this run: their tests are one pass over them
+        raw_tests = quality.quality_report({"raw_stock_prices": raw}, singular=False).filter("model = 'raw_stock_prices'")
+        written = quality.checked_report(checked).filter("model <> 'raw_stock_prices'")
+        report = materialise(written.unionByName(raw_tests), model_path(out_dir, "quality_report"))
+        tables["quarantine"] = quality.quarantined(checked)
+    else:
+        report = materialise(quality.quality_report({"raw_stock_prices": raw, **tables}),
+                             model_path(out_dir, "quality_report"))
     if gate:
         quality.assert_quality(report)
     tables["quality_report"] = report
