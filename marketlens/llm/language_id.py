@@ -7,7 +7,7 @@ network is trained in numpy on windows of a bounded sample of labelled documents
 the tasks, which score every window of every whole text in blocks.  A text's
 scores are the softmax of its windows' mean outputs.
 
-Defined results: null text and text without a letter is ``und`` with score 0, as
+Defined results: null text and text without a letter (category L: numerals are none) is ``und`` with score 0, as
 is all text when nothing could be learned; null lang or doc_id is never learned
 from; null doc_id counts as not held out; repeated rows are scored alike; an
 empty table gives no rows; extra columns are ignored.
@@ -15,11 +15,11 @@ empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ EPOCHS, BATCH, RATE, SEED = 12, 64, 0.02, 7
 BLOCK = 128
 REACH = max(WIDTHS) - 1
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def windows_of(text: str) -> np.ndarray:

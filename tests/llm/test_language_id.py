@@ -36,6 +36,14 @@ def test_defined_cases(spark):
     assert li.report(_docs(spark, [])).count() == 0
 
 
+def test_numerals_are_no_letters(spark):
+    en, de = "the house of the river and the people " * 30, "das haus und der fluss mit den leuten " * 30
+    rows = [(i, (en, de)[i % 2], ("en", "de")[i % 2], "s", 1, 2) for i in range(40)]
+    rows += [(100, "½ ② ²", None, "s", 1, 2), (101, "Ⅷ ₃ _ 7", None, "s", 1, 2), (102, "ª", None, "s", 1, 2)]
+    by = {r.doc_id: r.lang_pred for r in li.report(_docs(spark, rows)).collect()}
+    assert by[100] == by[101] == "und" and by[102] in ("en", "de")
+
+
 def test_scoring_tables_equal_the_plain_network():
     rng = np.random.default_rng(0)
     net = li.ByteNet(["a", "b", "c"])
