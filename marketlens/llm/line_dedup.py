@@ -11,7 +11,8 @@ Pass three drops the lines.
 The filters' size follows the corpus up to ``MAX_BITS`` (a 128 MB broadcast).  A
 larger corpus has more false suspects, so more lines travel; the result stays
 exact.  A line that a third of all documents hold is one hash per task in pass
-one, a partial aggregate in the exact step, and a splittable join after it.
+one; in the exact step its holders are dealt to parts by document, each part
+finds its own first document, and the join back is by key and part.
 
 Defined results: null or empty text is one empty line; null doc_id is one
 document after all others; rows with one doc_id are one document; an empty
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm import repeats
@@ -37,6 +38,8 @@ MIN_KEY_CHARS = 10
 #: Filter bits per line, at an assumed 40 bytes a line.
 BITS_PER_LINE, LINE_BYTES = 12, 40
 MAX_BITS = 1 << 30
+#: Parts that the holders of one key are dealt to, by document: the least number, and suspects for each.
+LEAST_PARTS, PART_ROWS = 64, 200_000
 LAST = (1 << 63) - 1
 
 
@@ -84,9 +87,14 @@ def repeated_keys(docs: DataFrame, doc: str, rk: str, text: str) -> DataFrame:
     bits = repeats.filter_bits(size // LINE_BYTES, BITS_PER_LINE, MAX_BITS)
     found = repeats.seen_twice(texts.select("text"), _document_hashes, bits)
     suspects = stored(texts.mapInArrow(_suspects(found), "doc long, rk long, key binary"), "line_suspects")
-    first = (suspects.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-             .filter("first < last").select("key", "first"))
-    return (suspects.join(first, "key").filter("doc > first").select("doc", "rk", "key")
+    parts = max(LEAST_PARTS, -(-suspects.count() // PART_ROWS))
+    dealt = suspects.withColumn("part", F.pmod(F.xxhash64("doc", "rk"), F.lit(parts)).cast("int"))
+    # a key has at most one row of each part here, however many lines hold it
+    key = Window.partitionBy("key")
+    first = (dealt.groupBy("key", "part").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+             .select("key", "part", F.min("least").over(key).alias("first"), F.max("most").over(key).alias("last"))
+             .filter("first < last").select("key", "part", "first"))
+    return (dealt.join(first, ["key", "part"]).filter("doc > first").select("doc", "rk", "key")
             .groupBy("doc", "rk").agg(F.collect_set("key").alias("keys")))
 
 
