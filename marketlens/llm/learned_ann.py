@@ -1,21 +1,25 @@
 """Approximate nearest neighbours by learned partitions.
 
-A bounded sample of the vectors becomes a neighbour graph, which recursive
+A bounded sample of different vectors becomes a neighbour graph, which recursive
 bisection (at the median of a smooth vector on the graph) cuts into equal parts.
 A small network learns which parts a vector's neighbours lie in.  Every row is
 indexed in its most probable part; a query visits its most probable parts, as
-many as hold ``SAMPLE_RECALL`` of the sample's true neighbours, and the rows
-found are ranked by their exact inner product.
+many as hold ``SAMPLE_RECALL`` of the true neighbours of the sample's fifth that
+graph, parts and network haven't seen, and the rows found are ranked by their
+exact inner product.
 
-The number of parts follows the number of rows (``PART_ROWS`` each, up to
-``MAX_PARTS``), and the sample the number of parts.  Rows and queries of one part
-meet in blocks of bounded size, so a part that holds a third of all rows, or of
-all queries, is many tasks.
+The number of parts follows the number of different vectors (``PART_ROWS`` each,
+from ``LEAST_PARTS`` up to ``MAX_PARTS``), and the sample the number of parts.  Neighbours of
+the sample are found in Spark tasks; the driver holds the sample, its graph and
+the network.  Rows and queries of one part meet in blocks of bounded size, so a
+part that holds a third of all rows, or of all queries, is many tasks.
 
 Defined results: vectors null, zero, with null or non-finite components, or of
 another length than most take no part, nor do rows without vec_id; equal rows
 count once; rows that share the query's vec_id aren't its candidates; ties go to
-the smaller vec_id; an empty table gives no rows; extra columns are ignored.
+the smaller vec_id; fewer than ``LEAST_VECTORS`` different vectors are one part; an
+empty table gives no rows; extra columns are ignored.  Vectors of floats stay
+floats, those of other numbers are taken as doubles.
 """
 
 from __future__ import annotations
@@ -24,24 +28,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from marketlens.llm.common import stored
 
 TOP = 20
-#: Rows that a part should hold, the most parts, and sample rows for each part.
-PART_ROWS, MAX_PARTS, SAMPLE_PER_PART = 8192, 1024, 512
-#: Share of the sample's true neighbours that the visited parts must hold.
+#: Different vectors that a part should hold, the least and most parts, and sample rows for each part.
+PART_ROWS, LEAST_PARTS, MAX_PARTS, SAMPLE_PER_PART = 8192, 32, 1024, 512
+#: Fewer different vectors than this are not cut into parts.
+LEAST_VECTORS = 256
+#: Sample rows held out (one in so many), and the share of their true neighbours that the visited parts must hold.
+HELD_OUT = 5
 SAMPLE_RECALL = 0.95
 NEIGHBOURS, HIDDEN, EPOCHS, RATE, SEED = 10, 128, 40, 0.01, 11
 #: Rows, and queries, that meet in one task group at most (on average over hash blocks).
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 2048
+#: Inner products that a task of the sample's graph holds at once, and computes in all.
+HELD_PRODUCTS, TASK_PRODUCTS = 1 << 24, 1 << 28
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id long, vec array<float>): distinct rows whose vectors can take part."""
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vec"))
+    """(vec_id long, vec array of float or double): distinct rows whose vectors can take part."""
+    floats = vectors.schema["embedding"].dataType.elementType == FloatType()
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
+                       F.col("embedding").cast("array<float>" if floats else "array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     v = v.filter(F.col("vec_id").isNotNull() & F.col("vec").isNotNull())
     v = v.filter(finite & F.exists("vec", lambda x: x != 0))
@@ -50,17 +62,42 @@ def usable(vectors: DataFrame) -> DataFrame:
     return stored(v.dropDuplicates(["vec_id", "vec"]), "ann_vectors")
 
 
-def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
-    """Row i: the k rows of largest inner product with row i, nearest first."""
-    out = np.empty((len(x), k), np.int64)
-    for a in range(0, len(x), 1024):
-        s = x[a:a + 1024] @ x.T
-        s[np.arange(len(s)), np.arange(a, a + len(s))] = -np.inf
+def neighbour_graph(x: np.ndarray, k: int, rows: np.ndarray | None = None, among: int | None = None) -> np.ndarray:
+    """For each of ``rows`` (all): the k others of largest inner product among x's first rows, nearest first."""
+    rows = np.arange(len(x)) if rows is None else rows
+    among = len(x) if among is None else among
+    out = np.empty((len(rows), k), np.int64)
+    step = max(1, HELD_PRODUCTS // among)
+    for a in range(0, len(rows), step):
+        own = rows[a:a + step]
+        s = x[own] @ x[:among].T
+        known = np.flatnonzero(own < among)
+        s[known, own[known]] = -np.inf
         near = np.argpartition(-s, k - 1, axis=1)[:, :k]
-        out[a:a + 1024] = np.take_along_axis(near, np.argsort(-np.take_along_axis(s, near, 1), axis=1), 1)
+        out[a:a + step] = np.take_along_axis(near, np.argsort(-np.take_along_axis(s, near, 1), axis=1), 1)
     return out
 
 
+def _graph_task(sent, k: int, among: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = neighbour_graph(sent.value, k, batch.column(0).to_numpy(), among)
+            ends = np.arange(0, near.size + 1, k, dtype=np.int32)
+            lists = pa.ListArray.from_arrays(ends, pa.array(near.ravel(), pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "near"])
+
+    return run
+
+
+def sample_graph(spark: SparkSession, x: np.ndarray, k: int, among: int) -> np.ndarray:
+    """``neighbour_graph`` of a sample, its rows dealt to tasks."""
+    sent = spark.sparkContext.broadcast(x)      # MAX_PARTS * SAMPLE_PER_PART vectors at most
+    tasks = -(-len(x) * among // TASK_PRODUCTS)
+    found = (spark.range(0, len(x), 1, tasks).mapInArrow(_graph_task(sent, k, among), "id long, near array<int>")
+             .toArrow().sort_by("id"))
+    return _matrix(found["near"], np.int64)
+
+
 def balanced_parts(graph: np.ndarray, parts: int) -> np.ndarray:
     """A part for each node; sizes differ by one at most per halving, few edges are cut."""
     rng = np.random.default_rng(SEED)
@@ -103,8 +140,8 @@ class Router:
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
-    def train(self, x: np.ndarray, target: np.ndarray) -> None:
-        """Adam on the cross entropy with each row's distribution of parts."""
+    def train(self, x: np.ndarray, own: np.ndarray, near: np.ndarray) -> None:
+        """Adam on the cross entropy with each row's parts: half its own, half those of its neighbours."""
         rng = np.random.default_rng(SEED)
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         params = [self.w1, self.b1, self.w2, self.b2]
@@ -112,7 +149,11 @@ class Router:
         for _ in range(EPOCHS):
             order = rng.permutation(len(x))
             for a in range(0, len(x), 256):
-                xb, t = x[order[a:a + 256]], target[order[a:a + 256]]
+                rows = order[a:a + 256]
+                xb, t = x[rows], np.zeros((len(rows), len(self.b2)))
+                t[np.arange(len(rows)), own[rows]] = 0.5
+                for column in near[rows].T:
+                    t[np.arange(len(rows)), column] += 0.5 / near.shape[1]
                 h = np.maximum(xb @ self.w1 + self.b1, 0)
                 z = h @ self.w2 + self.b2
                 p = np.exp(z - z.max(axis=1, keepdims=True))
@@ -129,41 +170,47 @@ class Router:
 
 
 def fit(vectors: DataFrame, rows: int, top: int = TOP) -> Router:
-    """A router trained on a sample of ``vectors``; its number of visits is set by the sample's neighbours."""
-    parts = 1
-    while parts < MAX_PARTS and parts * PART_ROWS < rows:
-        parts *= 2
-    if parts == 1:
+    """A router trained on a sample of ``vectors`` (so many rows); its number of visits is set by rows held out."""
+    if rows < LEAST_VECTORS:
         return Router(1, 1)
-    size = parts * SAMPLE_PER_PART
-    h = F.xxhash64("vec_id", "vec")
-    share = min(1.0, 1.5 * size / rows)
-    picked = vectors.filter(F.pmod(h, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("vec", h.alias("h"))
-    x = np.array([r.vec for r in picked.orderBy("h", "vec").limit(size).collect()], np.float64)
-    x = np.unique(x, axis=0)  # copies of one vector would be each other's only neighbours
-    if len(x) < 2 * parts:
+    h = F.xxhash64("vec")       # copies of one vector would be each other's only neighbours
+    different = vectors.select(h).distinct().count()
+    if different < LEAST_VECTORS:
         return Router(1, 1)
-    graph = neighbour_graph(x, min(max(NEIGHBOURS, top), len(x) - 1))
-    label = balanced_parts(graph[:, :NEIGHBOURS], parts)
-    target = np.zeros((len(x), parts))
-    for column in label[graph[:, :NEIGHBOURS]].T:
-        target[np.arange(len(x)), column] += 0.5 / NEIGHBOURS
-    target[np.arange(len(x)), label] += 0.5
-    target /= target.sum(axis=1, keepdims=True)
+    parts = LEAST_PARTS
+    while parts < MAX_PARTS and parts * PART_ROWS < different:
+        parts *= 2
+    size = parts * SAMPLE_PER_PART
+    share = min(1.0, 1.5 * size / different)
+    picked = vectors.filter(F.pmod(h, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select(h.alias("h"), "vec")
+    x = _matrix(picked.dropDuplicates(["vec"]).orderBy("h", "vec").limit(size).toArrow()["vec"], np.float32)
+    held = np.arange(len(x)) % HELD_OUT == HELD_OUT - 1
+    x, known = np.concatenate([x[~held], x[held]]), int((~held).sum())
+    graph = sample_graph(vectors.sparkSession, x, min(max(NEIGHBOURS, top), known - 1), known)
+    near = graph[:known, :NEIGHBOURS]
+    label = balanced_parts(near, parts)
     router = Router(x.shape[1], parts)
-    router.train(x, target)
-    order = router.ranked(x, parts)
-    own = order[:, 0]
-    at = np.argsort(order, axis=1)  # by row: the position of each part in its visiting order
-    position = np.take_along_axis(at, own[graph[:, :top]], axis=1)
-    found = np.cumsum(np.bincount(position.ravel(), minlength=parts)) / position.size
+    x = x.astype(np.float64)
+    router.train(x[:known], label, label[near])
+    found = held_out_shares(router, x[:known], x[known:], graph[known:, :top])
     router.visits = int(np.searchsorted(found, SAMPLE_RECALL) + 1)
     return router
 
 
-def _matrix(column) -> np.ndarray:
+def held_out_shares(router: Router, rows: np.ndarray, queries: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Share of the queries' neighbours (row numbers) that lie in the first 1, 2, ... parts visited."""
+    parts = len(router.b2)
+    own = np.concatenate([router.ranked(rows[a:a + 4096], 1)[:, 0] for a in range(0, len(rows), 4096)])
+    met = np.zeros(parts, np.int64)
+    for a in range(0, len(queries), 4096):
+        at = np.argsort(router.ranked(queries[a:a + 4096], parts), axis=1)   # by query: each part's position
+        met += np.bincount(np.take_along_axis(at, own[near[a:a + 4096]], axis=1).ravel(), minlength=parts)
+    return np.cumsum(met) / met.sum()
+
+
+def _matrix(column, kind=np.float64) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), -1)
 
 
 def _routed(sent, every: int):
@@ -218,9 +265,9 @@ def search(vectors: DataFrame, every: int, top: int = TOP) -> DataFrame:
     """The ``top`` nearest found for every row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     v = usable(vectors)
-    rows = v.count()
-    sent = spark.sparkContext.broadcast(fit(v, rows, top))
-    routed = stored(v.mapInArrow(_routed(sent, every), "vec_id long, vec array<float>, part int, visits array<int>"),
+    sent = spark.sparkContext.broadcast(fit(v, v.count(), top))
+    kind = v.schema["vec"].dataType.simpleString()
+    routed = stored(v.mapInArrow(_routed(sent, every), f"vec_id long, vec {kind}, part int, visits array<int>"),
                     "ann_index")
     queries = routed.filter(F.size("visits") > 0).select(F.col("vec_id").alias("query_id"), "vec",
                                                          F.explode("visits").alias("part"))
