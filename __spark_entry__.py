@@ -32,6 +32,7 @@ from marketlens.sources import fixtures as fx
 from marketlens.sources import incremental as inc
 from marketlens.sources import semistructured as ss
 from marketlens.sources import ticks as tk
+from marketlens.sources import universe as un
 from marketlens.streaming import alerts_stream as stx
 from marketlens.streaming import tick_stream as tsx
 from marketlens.streaming.compaction import compact, read_compacted, vacuum
@@ -142,6 +143,7 @@ def _summary_ev(spark, d):
 RUN_DATE = "2000-01-01"                       # look-back slice end (exclusive)
 RERUN_DT = "1998-01-01"                       # landing partition that is re-run
 REFETCH_TS = "2024-06-28 18:00:00"            # ingest time of a re-run / normalised fetch
+SWITCHED_OFF = ["C0", "C2", "C7"]
 UNIVERSE_SUBSET = ["C1", "C3", "C5", "C9"]    # configured symbols (C9 has no data)
 
 
@@ -149,6 +151,24 @@ def _raw(spark, d):
     return fx.orders_raw(spark, d)
 
 
+def _universe_or(spark, d, switched_off=()):
+    """The bars' symbols as a stored universe, ordered by number."""
+    number = F.substring("symbol", 2, 9).cast("int")
+    found = fx.orders_bars(spark, d).select("symbol").distinct()
+    on = found.select("symbol", F.when(F.col("symbol").isin(*switched_off), -1).otherwise(number).alias("ord"))
+    return un.read_universe(spark, un.write_universe(on, scratch_dir(spark, "universe")))
+
+
+def q_mart_correlation_universe(spark, d):
+    return corr.correlation(_daily_or(spark, d, columns=rt.RISK_INPUT), _universe_or(spark, d), unique_bars=True)
+
+
+def q_universe_pruned(spark, d):
+    bars = fx.orders_bars(spark, d)
+    table = un.read_by_symbol(spark, un.write_by_symbol(bars, scratch_dir(spark, "bars_by_symbol")), bars)
+    return un.of_universe(table, _universe_or(spark, d, SWITCHED_OFF)).select("symbol", "date", "close", "volume")
+
+
 def _month(col="date"):
     return F.trunc(F.col(col), "month")
 
@@ -585,6 +605,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             run_date="1997-01-01")["int_stock_daily"],
         "universe_bars": lambda s, d: (fx.orders_bars(s, d).join(sb.universe_table(s, UNIVERSE_SUBSET), "symbol")
                                        .groupBy("symbol", "ord").agg(F.count(F.lit(1)).alias("n_bars"))),
+        "universe_pruned": q_universe_pruned,
+        "mart_correlation_universe": q_mart_correlation_universe,
+        "pipeline_universe": lambda s, d: pl.run_batch(
+            _raw(s, d), _universe_or(s, d, SWITCHED_OFF), scratch_dir(s, "models"), gate=False)["mart_correlation"],
         "json_load": lambda s, d: _drifted_lines(s, d)[0],
         "json_rejected": q_json_rejected,
         "incremental_load": q_incremental_load,
@@ -938,6 +962,10 @@ def oracle_sql() -> dict[str, str]:
         "mart_portfolio_summary_dense": _with(*e, ("latest", LATEST), body=SUMMARY),
         "returns_pivot": _with(*o, body=_pivot_sql(U_OR)),
         "mart_correlation": _with(*o, body=_corr_sql(U_OR)),
+        "mart_correlation_universe": _with(*o, body=_corr_sql(U_OR)),
+        "pipeline_universe": _with(*o, body=_corr_sql([u for u in U_OR if u not in SWITCHED_OFF])),
+        "universe_pruned": _with(("bars", BARS_OR), body="SELECT symbol, date, close, volume FROM bars WHERE symbol NOT IN ("
+                                 + ", ".join(f"'{u}'" for u in SWITCHED_OFF) + ")"),
         "mart_correlation_dense": _with(*e, body=_corr_sql(U_EV)),
         "correlation_ranked": _with(*o, ("mart", _corr_sql(U_OR)),
                                     body="SELECT * FROM mart ORDER BY correlation DESC NULLS LAST, symbol_1, symbol_2"),

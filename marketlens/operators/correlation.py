@@ -33,6 +33,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.operators.returns import valid_returns
+from marketlens.sources.universe import positions
+
+#: Configured symbols: their names in order, or a table (symbol, ord), which leaves the plan as short as it is.
+Universe = Sequence[str] | DataFrame
 
 
 def _col(i: int) -> str:
@@ -142,7 +146,22 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield state.rows()
 
 
-def pair_moments(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False,
+def _returns(daily: DataFrame, universe: Universe) -> tuple[DataFrame, int]:
+    """(date, k, r): the configured symbols' returns by their position; and how many symbols there are."""
+    # one test of symbol and return: a test of the symbol alone would go below the lag's window, into one
+    # of its two branches, which then no longer share their exchange
+    valid = F.col("daily_return").isNotNull()
+    if isinstance(universe, DataFrame):
+        index = positions(universe)
+        rets = daily.select("date", F.when(valid, F.col("symbol")).alias("symbol"), F.col("daily_return").alias("r"))
+        return rets.join(index, "symbol").select("date", "k", "r"), index.count()
+    index = F.create_map(*[x for i, u in enumerate(universe) for x in (F.lit(u), F.lit(i))])
+    known = F.when(valid, index[F.col("symbol")])
+    rets = daily.select("date", known.alias("k"), F.col("daily_return").alias("r")).filter(F.col("k").isNotNull())
+    return rets, len(universe)
+
+
+def pair_moments(daily: DataFrame, universe: Universe, unique_bars: bool = False,
                  period: Column | None = None) -> DataFrame:
     """(i, j, moments) per pair of symbols with a common date, or per ``period`` (an integer of the date) and pair.
 
@@ -150,12 +169,8 @@ def pair_moments(daily: DataFrame, universe: Sequence[str], unique_bars: bool =
     after ``dedup_latest``), and the rows are shuffled once.
     """
     spark = daily.sparkSession
-    blocks = -(-len(universe) // BLOCK)
-    index = F.create_map(*[x for i, u in enumerate(universe) for x in (F.lit(u), F.lit(i))])
-    # one test of symbol and return: a test of the symbol alone would go below the lag's window, into one
-    # of its two branches, which then no longer share their exchange
-    known = F.when(F.col("daily_return").isNotNull(), index[F.col("symbol")])
-    rets = daily.select("date", known.alias("k"), F.col("daily_return").alias("r")).filter(F.col("k").isNotNull())
+    rets, symbols = _returns(daily, universe)
+    blocks = max(1, -(-symbols // BLOCK))
     if not unique_bars:
         rets = rets.groupBy("date", "k").agg(F.max("r").alias("r"))
     own = F.floor(F.col("k") / BLOCK).cast("int")
@@ -191,15 +206,28 @@ def _pearson() -> Column:
     return F.round(F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))), 4)
 
 
-def correlation(daily: DataFrame, universe: Sequence[str], unique_bars: bool = False) -> DataFrame:
+def correlation(daily: DataFrame, universe: Universe, unique_bars: bool = False) -> DataFrame:
     """Correlation mart: ``symbol_1, symbol_2, correlation`` per unordered pair.
 
     Every configured pair is present (NULL without two common dates)."""
     return correlation_of(pair_moments(daily, universe, unique_bars), universe)
 
 
-def correlation_of(moments: DataFrame, universe: Sequence[str]) -> DataFrame:
+def pair_dimension(universe: DataFrame) -> DataFrame:
+    """(i, j, symbol_1, symbol_2): every pair of a universe table once, in its order."""
+    index = positions(universe)
+    most = F.max("k").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    first = (index.withColumn("most", most).filter("k < most")
+             .select(F.col("k").alias("i"), F.col("symbol").alias("symbol_1"),
+                     F.explode(F.sequence(F.col("k") + 1, F.col("most"))).alias("j")))
+    return first.join(index.select(F.col("k").alias("j"), F.col("symbol").alias("symbol_2")), "j")
+
+
+def correlation_of(moments: DataFrame, universe: Universe) -> DataFrame:
     """The mart from the pairs' moments."""
+    if isinstance(universe, DataFrame):
+        return pair_dimension(universe).join(moments, ["i", "j"], "left").select(
+            "symbol_1", "symbol_2", _pearson().alias("correlation"))
     names = F.array(*[F.lit(u) for u in universe])
     n = len(universe)
     every = (moments.sparkSession.range(max(0, n - 1)).select(F.col("id").cast("int").alias("i"))

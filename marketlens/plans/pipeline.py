@@ -10,7 +10,6 @@ stored report.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,7 @@ from marketlens.operators.returns import RISK_INPUT, SUMMARY_INPUT, daily_return
 from marketlens.sources.bars import dedup_latest, lookback_slice, materialise, stage_view
 
 
-def build_models(raw: DataFrame, universe: Sequence[str], dedup: bool = True) -> dict[str, DataFrame]:
+def build_models(raw: DataFrame, universe: corr.Universe, dedup: bool = True) -> dict[str, DataFrame]:
     """Lazy models; ``dedup`` keeps the newest load of each (symbol, date)."""
     base = dedup_latest(raw) if dedup else raw
     stg = stg_prices(base)
@@ -50,10 +49,11 @@ def read_model(spark: SparkSession, out_dir: str, model: str) -> DataFrame:
     return spark.read.parquet(model_path(out_dir, model)).drop(quality.FAILED_TESTS, quality.QUARANTINED)
 
 
-def run_batch(raw: DataFrame, universe: Sequence[str], out_dir: str, alerts: DataFrame | None = None,
+def run_batch(raw: DataFrame, universe: corr.Universe, out_dir: str, alerts: DataFrame | None = None,
               gate: bool = True, run_date: str | None = None, days: int = 365, quarantine: bool = False) -> dict[str, DataFrame]:
     """Materialise every model under ``out_dir`` (a folder per layer) and run the test suite.
 
+    ``universe`` is the configured symbols, in order or as a table (``sources.universe``).
     With ``run_date`` the run covers the ``days`` before it.  With ``quarantine`` rows are
     tested while they are written: failing rows are in the table ``quarantine`` too, with
     their model and tests, and stored models carry the layout of ``quality.write_checked``
