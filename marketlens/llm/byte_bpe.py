@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
+from marketlens.llm import letters
 from marketlens.llm.common import byte_of_char, free_name, text_or_empty, through_arrow
 
 #: Words whose ids a Python worker remembers; the memory is emptied when full.
@@ -91,6 +92,8 @@ class Codec:
         # the class names white space itself: libraries differ on four control characters
         self.split = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]")
                                    .replace(r"\S", f"[^{WHITE}]"))
+        self.alike = letters.stand_ins(letters.by_tiktoken)
+        self.unlike = letters.any_of(self.alike)
         self.stand_in = [c for c, _ in sorted(byte_of_char().items(), key=lambda x: x[1])]
         self.known: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
@@ -106,9 +109,15 @@ class Codec:
             return token.replace(" ", self.stand_in[32])
         return "".join([self.stand_in[b] for b in token.encode()])
 
+    def _matches(self, text: str) -> list[str]:
+        """The pattern's matches as tiktoken finds them, characters that it classes otherwise included."""
+        if text.isascii() or not self.unlike.search(text):
+            return self.split.findall(text)
+        return [text[m.start():m.end()] for m in self.split.finditer(text.translate(self.alike))]
+
     def _new(self, words: list[str]) -> list[bytes]:
         """Piece ids (rank + 1, little-endian) of words not remembered, by their matches."""
-        found, tokens = [self.split.findall(w) for w in words], self.tokens
+        found, tokens = [self._matches(w) for w in words], self.tokens
         new = list({t for own in found for t in own if t not in tokens})
         if len(tokens) + len(new) > CACHED_WORDS:
             tokens.clear()
@@ -122,7 +131,7 @@ class Codec:
         if not text:
             return np.empty(0, "<i4")
         if self._by_spaces.search(text):
-            words = self.split.findall(text)
+            words = self._matches(text)
         else:
             first, *rest = text.split(" ")
             words = [first] * (first != "") + [" " + w for w in rest]

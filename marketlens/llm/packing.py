@@ -34,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlens.llm import letters
 from marketlens.llm.common import byte_of_char, stored, text_or_empty
 
 CAPACITY = 4096
@@ -55,6 +56,7 @@ class WordIds:
     New words are normalised by the tokenizer, split by its pattern, and merged
     by tiktoken under the same merge order, with byte 1 as the end-of-word mark.
     Both merge alike when every entry encodes to itself, which is checked here.
+    Words with a letter or numeral that ``regex`` classes otherwise go to the tokenizer.
     """
 
     _open: dict[str, WordIds] = {}
@@ -96,6 +98,7 @@ class WordIds:
                     raise ValueError(f"entry {entry!r} doesn't encode to itself")
         self.merge = tiktoken.Encoding("words", pat_str="[^ \x01]*\x01| ", mergeable_ranks=ranks,
                                        special_tokens={}).encode_ordinary
+        self.unlike = letters.any_of(letters.stand_ins(letters.by_tokenizers))
         self.known: dict[str, bytes] = {}
         self.remembered = remembered
 
@@ -111,6 +114,8 @@ class WordIds:
 
     def _new(self, words: list[str]) -> list[bytes]:
         joined = " ".join(words)
+        if not joined.isascii() and self.unlike.search(joined):
+            return [self._plain(w) if self.unlike.search(w) else self._new([w])[0] for w in words]
         if self._latin.fullmatch(joined):
             marked = self._split_latin.sub("\\1\x01", joined.lower())
         else:
