@@ -104,9 +104,9 @@ logs AS (SELECT conv_id, max(turn) AS last, count(*) AS n_turns,
 longer AS (SELECT DISTINCT s.conv_id FROM logs s JOIN logs l ON l.n_turns > s.n_turns AND l.lines[1] = s.lines[1]
            WHERE l.lines[1:s.n_turns] = s.lines AND l.lines[s.n_turns + 1].t IS DISTINCT FROM s.last),
 kept AS (SELECT min(conv_id) AS conv_id, any_value(n_turns) AS n_turns, count(*) AS n_copies, lines
-         FROM logs WHERE conv_id NOT IN (SELECT conv_id FROM longer) GROUP BY lines)
-SELECT conv_id, coalesce(CAST(floor(turn / {SEGMENT}) AS BIGINT), 0) AS part, any_value(n_turns) AS n_turns,
+         FROM logs ANTI JOIN longer ON logs.conv_id IS NOT DISTINCT FROM longer.conv_id GROUP BY lines)
+SELECT kept.conv_id, coalesce(CAST(floor(turn / {SEGMENT}) AS BIGINT), 0) AS part, any_value(n_turns) AS n_turns,
        any_value(n_copies) AS n_copies,
        string_agg('{OPEN}' || {clean('role', 'unknown')} || chr(10) || {clean('text', '')} || '{CLOSE}' || chr(10), ''
                   ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS chat
-FROM t JOIN kept USING (conv_id) GROUP BY conv_id, floor(turn / {SEGMENT})"""
+FROM t JOIN kept ON t.conv_id IS NOT DISTINCT FROM kept.conv_id GROUP BY kept.conv_id, floor(turn / {SEGMENT})"""

@@ -51,6 +51,16 @@ def test_null_conversation_and_empty_table(spark):
     assert chat.render(df.limit(0)).count() == 0
 
 
+def test_sql_keeps_a_null_conversation_too(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "user", "b"), (1, 0, "user", "a"), (2, 0, "user", "c"), (3, 0, "user", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    got = sorted((tuple(r) for r in chat.render(df).select("conv_id", "part", "n_turns", "n_copies", "chat").collect()), key=str)
+    assert got == sorted(con.execute(chat.render_sql()).fetchall(), key=str) and {r[0] for r in got} == {None, 2}
+
+
 def test_main_path_runs_no_python(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     plan = chat.render(df)._jdf.queryExecution().toString()
