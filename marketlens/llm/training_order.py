@@ -5,9 +5,12 @@ Documents become token ids with an end id and are cut into sequences of at most
 its place in that table.  A keyed Feistel network over the next even number of
 bits, walked along its cycle until it falls below the number of sequences, gives
 each number its own slot: a permutation that needs no sort and no shared state.
-Sequences are dealt by ranges of slots and each range writes its shards: a shard
-holds ``slots`` consecutive slots of ``2 * length`` bytes each, so a reader finds
-slot s at shard s // slots, byte s % slots * stride, and goes on from any slot.
+Sequences are dealt by ranges of slots, one range a task and of equal size since
+slots are dense, and each range writes its shards: a shard holds ``slots``
+consecutive slots of ``2 * length`` bytes each, so a reader finds slot s at shard
+s // slots, byte s % slots * stride, and goes on from any slot.  A manifest beside
+the shards states the key, the number of sequences, the stride and each shard's
+size and checksum; ``broken`` holds the shards against it.
 
 Defined results: null text counts as empty (the end id alone); repeated rows are
 sequences of their own; an empty table gives no shards; extra columns are ignored.
@@ -15,6 +18,7 @@ sequences of their own; an empty table gives no shards; extra columns are ignore
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +38,10 @@ ROWS_OUT, REMEMBERED = 1000, 150_000
 
 SEQUENCES = "part int, nth long, doc_id long, start long, n int, ids binary"
 SHARDS = ("shard long, first_slot long, doc_ids array<long>, starts array<long>, lengths array<int>, "
-          "payload binary")
+          "payload binary, crc32 long")
+#: One row per shard; the first four columns are those of the whole output.
+MANIFEST = ("key string, total long, stride int, slots int, shard long, first_slot long, n_slots int, n_bytes long, "
+            "crc32 long")
 
 
 def _mixed(x: np.ndarray, key: int) -> np.ndarray:
@@ -118,7 +125,8 @@ def _sharded(slots: int, stride: int):
             return pa.RecordBatch.from_arrays(
                 [pa.array([at], pa.int64()), pa.array([first], pa.int64()), pa.array(docs, pa.list_(pa.int64())),
                  pa.array(starts, pa.list_(pa.int64())), pa.array(lengths, pa.list_(pa.int32())),
-                 pa.array([payload], pa.binary())], names=[x.split()[0] for x in SHARDS.split(", ")])
+                 pa.array([payload], pa.binary()), pa.array([zlib.crc32(payload)], pa.int64())],
+                names=[x.split()[0] for x in SHARDS.split(", ")])
 
         for batch in batches:
             for k in range(0, batch.num_rows, ROWS_OUT):
@@ -150,10 +158,33 @@ def materialise(docs: DataFrame, tokenizer_path: str, out_path: str, length: int
     # slots are dense, so equal ranges of shards are equal in size without sampling
     shards = -(-total // slots) or 1
     tasks = min(shards, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    ranged = slotted.withColumn("range", F.floor(F.floor(F.col("slot") / slots) * tasks / shards))
-    (ranged.repartition(tasks, "range").sortWithinPartitions("slot").select("slot", "doc_id", "start", "n", "ids")
+    nth = F.floor(F.floor(F.col("slot") / slots) * tasks / shards).cast("int")
+    (slotted.repartitionById(tasks, nth).sortWithinPartitions("slot").select("slot", "doc_id", "start", "n", "ids")
      .mapInArrow(_sharded(slots, 2 * length), SHARDS).write.parquet(out_path, compression="zstd"))
-    return spark.read.schema(SHARDS).parquet(out_path)
+    written = spark.read.schema(SHARDS).parquet(out_path)
+    (written.select(F.lit(str(key)).alias("key"), F.lit(total).cast("long").alias("total"),
+                    F.lit(2 * length).alias("stride"), F.lit(slots).alias("slots"), "shard", "first_slot",
+                    F.size("lengths").alias("n_slots"), (F.size("lengths") * F.lit(2 * length)).cast("long").alias("n_bytes"),
+                    "crc32").write.parquet(_manifest_path(out_path)))
+    return written
+
+
+def _manifest_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_manifest"
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """One row per shard: key, total, stride, slots, shard, first_slot, n_slots, n_bytes, crc32."""
+    return spark.read.schema(MANIFEST).parquet(_manifest_path(path))
+
+
+def broken(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, n_bytes, crc32) of the manifest whose shard is missing or has other bytes."""
+    have = spark.read.schema(SHARDS).parquet(path).select(
+        F.col("shard").alias("have"), F.length("payload").alias("size"), F.crc32("payload").alias("sum"))
+    want = manifest(spark, path).select("shard", "n_bytes", "crc32")
+    same = (F.col("shard") == F.col("have")) & (F.col("n_bytes") == F.col("size")) & (F.col("crc32") == F.col("sum"))
+    return want.join(have, same, "left_anti")
 
 
 def read_from(spark: SparkSession, path: str, slot: int = 0, n: int | None = None,

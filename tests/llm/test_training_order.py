@@ -54,3 +54,38 @@ def test_report_and_empty_table(spark):
     ids = np.frombuffer(WordIds.of(PATH).encode("d"), "<u4").astype("<u2").tobytes() + b"\x02\x00"
     assert next(r for r in rep if r.doc_id == 2).ids_crc32 == zlib.crc32(ids)
     assert to.report(_docs(spark, []), PATH).count() == 0
+
+
+def test_ranges_are_dealt_evenly_and_the_manifest_finds_broken_shards(spark):
+    rows = [(i, "word " * 300, 0, "") for i in range(200)]
+    path = scratch_dir(spark, "order_manifest")
+    to.materialise(_docs(spark, rows).repartition(4), PATH, path, length=16, slots=8, key=1 << 70)
+    listed = to.manifest(spark, path).orderBy("shard").collect()
+    total = listed[0].total
+    assert [r.shard for r in listed] == list(range(-(-total // 8))) and sum(r.n_slots for r in listed) == total
+    assert {(r.key, r.stride, r.slots) for r in listed} == {(str(1 << 70), 32, 8)}
+    files = spark.read.schema(to.SHARDS).parquet(path).selectExpr("_metadata.file_name AS f", "shard").collect()
+    by_file = {f: sorted(r.shard for r in files if r.f == f) for f in {r.f for r in files}}
+    sizes = [len(v) for v in by_file.values()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) - min(sizes) <= 1
+    assert all(v == list(range(v[0], v[-1] + 1)) for v in by_file.values())
+    assert sorted(by_file) == sorted(by_file, key=lambda f: by_file[f][0])
+    assert to.broken(spark, path).count() == 0
+    shards = spark.read.schema(to.SHARDS).parquet(path)
+    other = scratch_dir(spark, "order_broken")
+    shards.filter("shard <> 3").selectExpr("shard", "first_slot", "doc_ids", "starts", "lengths",
+                                           "IF(shard = 5, unhex('00'), payload) AS payload", "crc32").write.parquet(other)
+    to.manifest(spark, path).write.parquet(f"{other}/_manifest")
+    assert {r.shard for r in to.broken(spark, other).collect()} == {3, 5}
+
+
+def test_written_slots_are_those_of_the_permutation(spark):
+    rows = [(i, "word " * (40 * i), 0, "") for i in range(1, 30)]
+    path = scratch_dir(spark, "order_slots")
+    to.materialise(_docs(spark, rows).coalesce(1), PATH, path, length=16, slots=8, key=5)
+    got = sorted(to.read_from(spark, path, length=16, slots=8).collect(), key=lambda r: r.slot)
+    total = len(got)
+    # one writing task: the numbers follow the documents
+    numbers = to.slots_of(np.arange(total), total, 5, back=True)
+    place = sorted((r.doc_id, r.start) for r in got)
+    assert [(r.doc_id, r.start) for r in got] == [place[n] for n in numbers]
