@@ -28,6 +28,7 @@ from marketlens.plans import pipeline as pl
 from marketlens.plans import reports as rp
 from marketlens.session import let_workers_import, scratch_dir
 from marketlens.sources import bars as sb
+from marketlens.sources import bucketed
 from marketlens.sources import fixtures as fx
 from marketlens.sources import incremental as inc
 from marketlens.sources import semistructured as ss
@@ -67,6 +68,32 @@ def q_mart_risk_metrics(spark, d):
     return risk.risk_metrics(_daily_or(spark, d, keep_segment=True, columns=rt.RISK_INPUT))
 
 
+BUCKETS = 16
+
+
+def _bucketed(df, name):
+    """``df`` stored in buckets of (symbol, year), under a table name of its own."""
+    path = scratch_dir(df.sparkSession, name)
+    return bucketed.store_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, BUCKETS)
+
+
+def q_daily_returns_bucketed(spark, d):
+    return rt.daily_returns(_bucketed(fx.orders_bars(spark, d), "bars_bucketed"))
+
+
+def _core_bucketed(spark, d):
+    bars = _bucketed(fx.orders_bars(spark, d), "bars_bucketed")
+    return _bucketed(rt.daily_returns(bars, keep_segment=True, columns=rt.RISK_INPUT), "core_bucketed")
+
+
+def q_running_max_bucketed(spark, d):
+    return rt.running_max(_core_bucketed(spark, d), shared=False).select("symbol", "date", "close", "rolling_max")
+
+
+def q_mart_risk_metrics_bucketed(spark, d):
+    return risk.risk_metrics(_core_bucketed(spark, d), shared=False)
+
+
 def q_mart_correlation(spark, d):
     # fixture bars are one per (symbol, date): a single shuffle by date suffices
     return corr.correlation(_daily_or(spark, d, columns=rt.RISK_INPUT), fx.ORDERS_UNIVERSE, unique_bars=True)
@@ -523,6 +550,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "var_95": lambda s, d: risk.var_95(_daily_or(s, d, columns=rt.RISK_INPUT)),
         "mart_risk_metrics": q_mart_risk_metrics,
         "mart_risk_metrics_dense": lambda s, d: risk.risk_metrics(_daily_ev(s, d, keep_segment=True, columns=rt.RISK_INPUT)),
+        "daily_returns_bucketed": q_daily_returns_bucketed,
+        "running_max_bucketed": q_running_max_bucketed,
+        "mart_risk_metrics_bucketed": q_mart_risk_metrics_bucketed,
         "risk_ranking": _page(risk.risk_ranking, q_mart_risk_metrics),
         "latest_prices": lambda s, d: risk.latest_prices(_daily_or(s, d), fx.orders_bars(s, d)),
         "mart_portfolio_summary": lambda s, d: _summary_or(s, d),
@@ -955,6 +985,9 @@ def oracle_sql() -> dict[str, str]:
             FROM rets GROUP BY symbol"""),
         "mart_risk_metrics": _with(*o, body=RISK),
         "mart_risk_metrics_dense": _with(*e, body=RISK),
+        "daily_returns_bucketed": _with(*o, body="SELECT * FROM daily"),
+        "running_max_bucketed": _with(*o, body="SELECT symbol, date, close, rolling_max FROM runmax"),
+        "mart_risk_metrics_bucketed": _with(*o, body=RISK),
         "risk_ranking": _with(*o, ("mart", RISK),
                               body="SELECT * FROM mart ORDER BY annual_volatility_pct DESC NULLS LAST, symbol"),
         "latest_prices": _with(*o, body=LATEST),

@@ -31,10 +31,12 @@ def daily_returns(bars: DataFrame, keep_segment: bool = False, columns: Sequence
     the (symbol, segment) partitioning instead of shuffling the rows again.
     ``columns`` are those that the caller reads: no others cross the wire, and as both
     branches of the lag then use the same ones, they share one exchange and one scan.
+    ``bars`` stored in buckets (``sources.bucketed``) bring their segment columns and aren't shuffled.
     """
-    needed = [c for c in bars.columns if c in {"date", "symbol", "close", *columns}]
-    prev = segmented_lag(bars.select(*needed), "symbol", "date", "close", F.year("date"), "prev_close",
-                         keep_segment=keep_segment)
+    bucketed = all(c in bars.columns for c in SEGMENT_COLUMNS)
+    needed = [c for c in bars.columns if c in {"date", "symbol", "close", *columns, *SEGMENT_COLUMNS}]
+    prev = segmented_lag(bars.select(*needed), "symbol", "date", "close", None if bucketed else F.year("date"),
+                         "prev_close", keep_segment=keep_segment, shared=not bucketed)
     ret = F.round(F.try_divide(F.col("close") - F.col("prev_close"),
                                F.nullif(F.col("prev_close"), F.lit(0.0))), 6)
     extra = list(SEGMENT_COLUMNS) if keep_segment else []
@@ -47,7 +49,7 @@ def valid_returns(daily: DataFrame) -> DataFrame:
     return daily.filter(F.col("daily_return").isNotNull())
 
 
-def running_max(daily: DataFrame) -> DataFrame:
+def running_max(daily: DataFrame, shared: bool = True) -> DataFrame:
     """Running maximum of close per symbol by date over the rows with a
     return (the first bar is excluded, as in the marts).  Keeps the return
     so the risk mart aggregates these rows directly."""
@@ -55,6 +57,6 @@ def running_max(daily: DataFrame) -> DataFrame:
     if has_seg:   # already segmented and partitioned: keep it that way
         rets = valid_returns(daily).select("date", "close", "daily_return", *SEGMENT_COLUMNS)
         return segmented_running_max(rets, "symbol", "date", "close", None, "rolling_max",
-                                     keep_segment=True)
+                                     keep_segment=True, shared=shared)
     rets = valid_returns(daily).select("symbol", "date", "close", "daily_return")
     return segmented_running_max(rets, "symbol", "date", "close", F.year("date"), "rolling_max")

@@ -46,9 +46,9 @@ def _by_symbol(rows: DataFrame):
     return rows.groupBy("symbol"), ["symbol"]
 
 
-def risk_metrics(daily: DataFrame) -> DataFrame:
-    """Per-symbol risk mart (percent figures rounded to 4 places)."""
-    rows = running_max(daily)
+def risk_metrics(daily: DataFrame, shared: bool = True) -> DataFrame:
+    """Per-symbol risk mart (percent figures rounded to 4 places); ``shared=False`` for ``daily`` stored in buckets."""
+    rows = running_max(daily, shared)
     r = F.col("daily_return")
     grouped, sym = _by_symbol(rows)
     agg = grouped.agg(

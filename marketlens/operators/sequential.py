@@ -54,16 +54,19 @@ def _seg_rows(df: DataFrame, keys: list[str], order_cols: list[str], segment: Co
     ``segment=None`` reuses the columns (and the partitioning) an earlier
     segmented step kept with ``keep_segment=True``.
     """
-    if segment is None:
-        rows = df
-    else:
-        rest = [c for c in df.columns if c not in keys]
-        rows = df.select(*rest, F.struct(*keys).alias(_KEY),
-                         F.coalesce(segment.cast("long"), F.lit(_NULL_SEGMENT)).alias(_SEG))
+    rows = df if segment is None else segmented_rows(df, keys, segment)
     w = Window.partitionBy(_KEY, _SEG).orderBy(*order_cols)
     return rows, w
 
 
+def segmented_rows(df: DataFrame, key, segment: Column) -> DataFrame:
+    """``df`` with its keys inside ``_key`` and its segment as ``_seg``."""
+    keys = _keys(key)
+    rest = [c for c in df.columns if c not in keys]
+    return df.select(*rest, F.struct(*keys).alias(_KEY),
+                     F.coalesce(segment.cast("long"), F.lit(_NULL_SEGMENT)).alias(_SEG))
+
+
 def _carry_window(frame_end=None) -> Window:
     w = Window.partitionBy(_KEY).orderBy(_SEG)
     return w if frame_end is None else w.rowsBetween(Window.unboundedPreceding, frame_end)
@@ -95,18 +98,20 @@ def _finished(rows: DataFrame, keys: list[str], base: list[str], out: Column, ke
 
 
 def segmented_lag(df: DataFrame, key, order, value: str, segment: Column | None,
-                  out: str, keep_segment: bool = False) -> DataFrame:
+                  out: str, keep_segment: bool = False, shared: bool = True) -> DataFrame:
     """Add ``out`` = previous row's ``value`` within ``key`` ordered by ``order``.
 
     ``segment`` is an integer expression monotone in the order (e.g.
-    ``year(date)``, ``unix_date(to_date(ts))``).
+    ``year(date)``, ``unix_date(to_date(ts))``).  ``shared=False`` is for rows that
+    are stored in buckets of the segment columns (``sources.bucketed``): with no exchange
+    to share, the carry reads its own few columns from the table.
     """
     keys, order_cols = _keys(key), _order(order)
     rows, w = _seg_rows(df, keys, order_cols, segment)
     base = rows.columns
     # each segment's last value, carried to the next segment
-    ends = _same_exchange(rows.select(*base, F.lead(F.lit(1)).over(w).isNull().alias("_last"))
-                          .filter("_last"), base)
+    ends = rows.select(*base, F.lead(F.lit(1)).over(w).isNull().alias("_last")).filter("_last")
+    ends = _same_exchange(ends, base) if shared else ends
     carry = ends.select(_KEY, _SEG, F.lag(value).over(_carry_window()).alias("_prev_seg"))
     rows = rows.select(*base, F.lag(value).over(w).alias("_prev_in"),
                        F.lag(F.lit(1)).over(w).isNull().alias("_first"))
@@ -115,7 +120,7 @@ def segmented_lag(df: DataFrame, key, order, value: str, segment: Column | None,
 
 
 def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column | None,
-                          out: str, keep_segment: bool = False) -> DataFrame:
+                          out: str, keep_segment: bool = False, shared: bool = True) -> DataFrame:
     """Add ``out`` = max of ``value`` over all rows of ``key`` up to this one."""
     keys, order_cols = _keys(key), _order(order)
     rows, w = _seg_rows(df, keys, order_cols, segment)
@@ -124,7 +129,8 @@ def segmented_running_max(df: DataFrame, key, order, value: str, segment: Column
     windowed = rows.select(*base, F.max(value).over(frame).alias("_run_in"),
                            F.lead(F.lit(1)).over(w).isNull().alias("_last"))
     # the running maximum of a segment's last row is the segment's; then a prefix maximum
-    ends = _same_exchange(windowed.filter("_last"), base)
+    ends = windowed.filter("_last")
+    ends = _same_exchange(ends, base) if shared else ends
     carry = ends.select(_KEY, _SEG, F.max("_run_in").over(_carry_window(-1)).alias("_prev_max"))
     rows = rows.select(*base, F.max(value).over(frame).alias("_run_in"))
     run = F.greatest("_run_in", "_prev_max")
