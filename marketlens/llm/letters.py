@@ -52,5 +52,11 @@ def stand_ins(matched: Callable[[str], str]) -> dict[int, str]:
 
 
 def any_of(code_points) -> re.Pattern:
-    """Finds any of these characters (nothing, if there are none)."""
-    return re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(code_points)) + "]" if code_points else r"(?!)")
+    """Finds any of these characters, and if one is beyond the first plane, all that are.
+
+    ``re`` looks a character of the first plane up in a bitmap but walks through a list of
+    others, so these are one range; what it finds too often is handled rightly, only slower.
+    """
+    near = "".join(re.escape(chr(c)) for c in sorted(code_points) if c < 0x10000)
+    far = "\U00010000-\U0010ffff" if any(c >= 0x10000 for c in code_points) else ""
+    return re.compile(f"[{near}{far}]" if code_points else r"(?!)")
