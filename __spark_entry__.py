@@ -332,11 +332,18 @@ def q_dedup_null_ingest(spark, d):
     return sb.dedup_latest(unknown.unionByName(again).select(*sb.RAW_COLUMNS))
 
 
+# Odd ticks' sequences lie this far apart, up to the last one that is a long.
+ODD_STEP = 90_000_000_000_000
+ODD_LAST = (2 ** 63 - 1) // ODD_STEP
+
+
 def _odd_ticks(spark, d):
-    """Ticks without a time, and sequences over the whole range of a long."""
+    """Ticks without a time, and sequences over the whole range of a long: those after the last
+    one whose product is a long follow it one by one, so they stay distinct and in order."""
     t = _ticks(spark, d)
+    near = F.greatest(F.lit(-ODD_LAST), F.least(F.lit(ODD_LAST), F.col("seq")))
     return (t.withColumn("event_time", F.when(F.col("seq") % 10 != 0, F.col("event_time")))
-            .withColumn("seq", F.col("seq") * 90_000_000_000_000))
+            .withColumn("seq", near * ODD_STEP + (F.col("seq") - near)))
 
 
 def q_rerun_removed(spark, d):
