@@ -27,3 +27,8 @@ def test_sequences_stay_in_range_distinct_and_in_order(spark, tmp_path):
     assert prices == [float(i % 1000) for i in order]
     previous = {r["seq"]: r["prev_price"] for r in rows}
     assert previous[last + 5_897_520] == 483.0 and previous[last + 497_519] == 480.0
+
+
+def test_latest_is_the_last_id_of_the_last_time(spark, tmp_path):
+    got = e.queries()["tick_latest_odd"](spark, _tables(spark, tmp_path)).collect()
+    assert [tuple(r) for r in got] == [("A", 1.0, dt.datetime(2024, 1, 1))]
