@@ -176,7 +176,8 @@ def links(fps: DataFrame, most: int = MAX_BITS, hot: int = HOT) -> DataFrame:
 def _with_component(by_fp: DataFrame, most: int) -> DataFrame:
     """(fp, first) of distinct fingerprints, with the component of each."""
     fps = stored(by_fp, "distinct_fingerprints")
-    member = components(links(fps.select("fp"), most))
+    # written first: two Python steps in one stage take two workers a core, which outlive the stage with all they load
+    member = components(stored(links(fps.select("fp"), most), "links"))
     return (fps.join(member, F.col("fp") == F.col("node"), "left")
             .select("fp", "first", F.coalesce("component", "fp").alias("component")))
 

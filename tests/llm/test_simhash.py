@@ -94,3 +94,17 @@ def test_nulls_empty_tables_and_clashing_names(spark):
     kept = simhash.keep(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 3, 9]
+
+
+def test_links_and_components_are_no_two_python_steps_of_one_stage(spark, monkeypatch):
+    seen, real = [], simhash.components
+
+    def components(edges):
+        seen.append(edges._jdf.queryExecution().executedPlan().toString())
+        return real(edges)
+
+    monkeypatch.setattr(simhash, "components", components)
+    text = "one two three four five six seven eight nine ten"
+    df = spark.createDataFrame([(1, text), (2, text), (3, "something else altogether")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in simhash.grouped(df).collect()} == {(1, 1), (2, 1), (3, 3)}
+    assert len(seen) == 1 and "MapInArrow" not in seen[0]
