@@ -15,19 +15,23 @@ that failed half-way is made good by the next one.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marketlens.operators import states as st
+from marketlens.session import scratch_dir
 from marketlens.sources import incremental as inc
-from marketlens.sources.bars import dedup_latest
+from marketlens.sources.bars import dedup_latest, materialise
 from marketlens.sources.tables import read_or_empty
 
 #: Folders of a run's tables.
 RAW, RISK, PAIRS, TAKEN = "raw", "states/risk", "states/pairs", "states/taken_in"
 TAKEN_SCHEMA = "batch_id long, universe array<string>"
+#: What the states use of a bar.
+USED = ["symbol", "date", "close", "volume"]
 
 
 def _at(root: str, folder: str) -> str:
@@ -72,8 +76,9 @@ def refresh_states(spark: SparkSession, root: str, universe: Sequence[str]) -> l
         return []
     since = -1 if done.batch_id is None else done.batch_id
     touched = _years(raw.filter(F.col("batch_id") > since))
-    if touched:
-        _replace(st.risk_states(bars_of_years(spark, root, touched)), _at(root, RISK))
+    if touched:                                              # both kinds of states read the loads of a year once
+        bars = materialise(bars_of_years(spark, root, touched).select(*USED), scratch_dir(spark, "touched_bars"))
+        _replace(st.risk_states(bars), _at(root, RISK))
     states = read_risk_states(spark, root)
     if done.universe != list(universe):                      # other pairs: those of all years
         pair_years = _years(raw)
@@ -81,7 +86,10 @@ def refresh_states(spark: SparkSession, root: str, universe: Sequence[str]) -> l
         after = st.carried(states).filter(F.col("prev_year").isin(touched))
         pair_years = sorted({*touched, *_years(after)})
     if pair_years:
-        daily = st.returns_of_years(bars_of_years(spark, root, pair_years), states)
+        others = sorted({*pair_years} - {*touched})
+        older = [bars_of_years(spark, root, others).select(*USED)] if others else []
+        every = reduce(DataFrame.unionByName, [*([bars] if touched else []), *older])
+        daily = st.returns_of_years(every, states)
         _replace(st.pair_states(daily, universe), _at(root, PAIRS))
     (spark.createDataFrame([(newest, list(universe))], TAKEN_SCHEMA).coalesce(1)
      .write.mode("append").parquet(_at(root, TAKEN)))

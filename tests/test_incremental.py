@@ -152,3 +152,22 @@ def test_correlation_of_states(spark, case_bars):
     for k, v in want.items():
         assert _close(got[k], v), (k, got[k], v)
     assert want["walk", "twin"] is not None if ("walk", "twin") in want else want["twin", "walk"] is not None
+
+
+def test_the_raw_rows_of_a_touched_year_are_read_once(spark, monkeypatch):
+    """Risk and pair states share the newest loads; only untouched years next to them are read as well."""
+    raw = fx.orders_raw(spark, SMALL)
+    land, root = scratch_dir(spark, "landing"), scratch_dir(spark, "kept_up")
+    read, real = [], pi.bars_of_years
+    monkeypatch.setattr(pi, "bars_of_years", lambda s, r, years: read.append(list(years)) or real(s, r, years))
+    _land(raw, land)
+    pi.run_increment(spark, land, root, fx.ORDERS_UNIVERSE)
+    assert len(read) == 1 and len(set(read[0])) == len(read[0]) > 2
+    read.clear()
+    redo = raw.filter(F.year("date") == 1996).withColumn("close", F.col("close") + 1)
+    sb.write_landing(redo, land, F.lit("2024-06-28").cast("date"))
+    marts = pi.run_increment(spark, land, root, fx.ORDERS_UNIVERSE)
+    assert read == [[1996], [1997]]
+    bars = sb.dedup_latest(inc.raw_bars(inc.read_raw_table(spark, pi._at(root, pi.RAW))))
+    want = corr.correlation(daily_returns(bars), fx.ORDERS_UNIVERSE, unique_bars=True)
+    assert sorted(map(tuple, marts["mart_correlation"].collect())) == sorted(map(tuple, want.collect()))
