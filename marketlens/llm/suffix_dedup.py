@@ -368,15 +368,16 @@ def dedup(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
     The second result maps "n_bytes", "n_removed", "n_spans" and "kept" to their names.
     """
-    doc, rk, text = (free_name(docs, f"suffix_{c}") for c in ("doc", "rk", "text"))
-    keyed = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)),
-                              rk: F.xxhash64(text_or_empty()), text: text_or_empty().cast("binary")})
-    texts = keyed.select(F.col(doc).alias("doc"), F.col(rk).alias("rk"), F.col(text).alias("text"))
+    doc, rk = (free_name(docs, f"suffix_{c}") for c in ("doc", "rk"))
+    keyed = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), rk: F.xxhash64(text_or_empty())})
+    raw = text_or_empty().cast("binary")
+    texts = keyed.select(F.col(doc).alias("doc"), F.col(rk).alias("rk"), raw.alias("text"))
     spans = free_name(keyed, "suffix_spans")
     found = (marks(texts).groupBy("doc", "rk").agg(F.collect_list("spans").alias(spans))
              .withColumnsRenamed({"doc": doc, "rk": rk}))
+    # the bytes are made after the join, which would move a text twice
     joined = (keyed.join(found, [doc, rk], "left")
-              .select(*[F.col(f"`{c}`") for c in docs.columns], text, spans))
+              .select(*[F.col(f"`{c}`") for c in docs.columns], raw.alias(free_name(keyed, "suffix_text")), spans))
     names = {c: free_name(docs, f"suffix_{c}") for c in ("n_bytes", "n_removed", "n_spans", "kept")}
     schema = StructType([*docs.schema.fields])
     for c in ("n_bytes", "n_removed", "n_spans"):

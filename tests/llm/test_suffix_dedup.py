@@ -1,10 +1,13 @@
 import hashlib
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from marketlens.llm import suffix_dedup as sd
+from marketlens.llm.common import FREED, stored
 
 L = 50
 
@@ -113,3 +116,29 @@ def test_windows_dealt_alone_against_brute_force(spark, batches, monkeypatch):
     got = [tuple(r) for r in sd.report(df).collect()]
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
     assert sorted(got, key=key) == sorted(brute(rows), key=key)
+
+
+def _shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_what_is_stored_leaves_no_shuffle_files(spark):
+    before, setting = _shuffle_files(spark), spark.conf.get(FREED)
+    out = stored(spark.range(1000).repartition(3, "id"), "freed")
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(FREED) == setting
+    assert out.count() == 1000
+
+
+def test_the_last_join_moves_a_text_once(spark):
+    df = spark.createDataFrame(_rows()[:20], "doc_id long, text string")
+    plan = sd.dedup(df)[0]._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    columns = plan.left().output()
+    moved = [columns.apply(i).dataType().simpleString() for i in range(columns.size())]
+    assert sorted(moved) == ["bigint", "bigint", "bigint", "string"]
