@@ -27,7 +27,7 @@ give repeated rows; an empty table gives no rows; extra columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +45,9 @@ IN_WINDOW = LENGTH - GRAM + 1
 SAMPLED = 2 / (IN_WINDOW + 1)
 BATCHES = 3
 FILTER_BITS_EACH, MAX_FILTER_BITS = 8, 1 << 29
-#: Bytes of text hashed at once; bytes of text whose suffixes are passed on together; text per shard.
-BLOCK, FLUSH, SHARD = 1 << 20, 16 << 20, 2 << 20
+#: Bytes of text hashed at once, so few that the hashes stay in a core's cache; bytes of text whose suffixes are
+#: passed on together; text per shard.
+BLOCK, FLUSH, SHARD = 1 << 16, 16 << 20, 2 << 20
 #: Suffixes of one anchor beyond which they are dealt by window; about 2 MB of text.
 HOT = 1 << 15
 LAST = (1 << 63) - 1
@@ -60,13 +61,24 @@ ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(29)
     return x
 
 
 def gram_hashes(raw: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
-    """A hash of the ``size`` bytes from every position on, by doubling."""
+    """A hash of the ``size`` bytes from every position on, a block of positions at a time."""
+    n = len(raw) - size + 1
+    if n <= BLOCK:
+        return _block_hashes(raw, size, seed)
+    out = np.empty(n, np.uint64)
+    for k in range(0, n, BLOCK):
+        out[k:k + BLOCK] = _block_hashes(raw[k:k + BLOCK + size - 1], size, seed)
+    return out
+
+
+def _block_hashes(raw: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """The same of one block, by doubling."""
     table = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     factor = np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
     power, have, whole, done = table[raw], 1, None, 0
@@ -140,8 +152,8 @@ def _anchor_hashes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarr
             yield anchor[new], anchor[~new]
 
 
-def _packed(rows: list[tuple[int, int, int, bytes]]) -> bytes:
-    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SUFFIXES)], schema=SUFFIXES)
+def _packed(columns: Iterable) -> bytes:
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SUFFIXES)], schema=SUFFIXES)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, SUFFIXES, options=ZSTD) as out:
         out.write_batch(batch)
@@ -163,7 +175,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _sent(marks: dict[tuple[int, int], list[tuple[int, int]]], blobs: dict[int, list], shards: int) -> pa.RecordBatch:
+def _sent(marks: dict[tuple[int, int], list[tuple[int, int]]], blobs: dict[int, Iterable], shards: int) -> pa.RecordBatch:
     docs, rks, spans, names = [], [], [], []
     for (doc, rk), found in marks.items():
         docs.append(doc)
@@ -174,7 +186,7 @@ def _sent(marks: dict[tuple[int, int], list[tuple[int, int]]], blobs: dict[int,
     return pa.RecordBatch.from_arrays(
         [pa.array(names + list(blobs), pa.int32()), pa.array(docs + [None] * k, pa.int64()),
          pa.array(rks + [None] * k, pa.int64()), pa.array(spans + [None] * k, pa.list_(pa.int64())),
-         pa.array([None] * n + [_packed(rows) for rows in blobs.values()], pa.binary())],
+         pa.array([None] * n + [_packed(columns) for columns in blobs.values()], pa.binary())],
         names=[x.split()[0] for x in ROWS.split(", ")])
 
 
@@ -210,10 +222,10 @@ def _suspects(found, shards: int):
                         size += k * IN_WINDOW // 2  # as many windows as suffixes of so much text
                 size += sum(map(len, texts))
                 if size >= FLUSH:
-                    yield _sent(marks, blobs, shards)
+                    yield _sent(marks, {s: zip(*rows) for s, rows in blobs.items()}, shards)
                     first_doc, first_window, marks, blobs, size = {}, {}, {}, {}, 0
         if marks or blobs:
-            yield _sent(marks, blobs, shards)
+            yield _sent(marks, {s: zip(*rows) for s, rows in blobs.items()}, shards)
 
     return run
 
@@ -258,15 +270,16 @@ def _scanned(add: bool, shards: int):
         marks: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for doc, rk, a, b in scan(array, role == FRESH):
             marks.setdefault((doc, rk), []).append((a, b))
-        level, last = [], None
-        if add:
+        level = {}
+        if add and (role != SCANNED).any():
             # a suffix array: sorted, equal suffixes once, for the smallest document
-            own = array.filter(pa.array(role != SCANNED))
-            for text, doc in sorted(zip(own["text"].to_pylist(), own["doc"].to_pylist())):
-                if text != last:
-                    level.append((doc, 0, 0, text))
-                    last = text
-        return _sent(marks, {shard: level} if level else {}, shards)
+            own = array.filter(pa.array(role != SCANNED)).sort_by([("text", "ascending"), ("doc", "ascending")])
+            text = own["text"].combine_chunks()
+            new = np.r_[True, pa.compute.not_equal(text[1:], text[:-1]).to_numpy(zero_copy_only=False)]
+            own = own.filter(pa.array(new)).combine_chunks()
+            zeros = np.zeros(len(own), np.int64)
+            level[shard] = own["doc"].combine_chunks(), zeros, zeros.astype(np.int32), own["text"].combine_chunks()
+        return _sent(marks, level, shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
