@@ -142,7 +142,7 @@ def _filled(chunks: int, most: int | None):
 
 
 def seen_twice(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], bits: int,
-               most: int | None = None):
+               most: int | None = None, freed: bool = False):
     """The second filter over ``rows``, broadcast (``bits`` / 8 bytes), with the hashes of more than ``most`` places.
 
     ``hashes`` yields, by batch, two arrays of hashes (uint64): each document's
@@ -151,7 +151,7 @@ def seen_twice(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[tupl
     chunks = bits // CHUNK_BITS
     dealt = rows.mapInArrow(_dealt(hashes, chunks, most is not None), "chunk int, hashes binary, counts binary")
     filled = stored(dealt.repartition("chunk").sortWithinPartitions("chunk")
-                    .mapInArrow(_filled(chunks, most), "chunk int, twice binary, hot binary"), "seen_twice")
+                    .mapInArrow(_filled(chunks, most), "chunk int, twice binary, hot binary"), "seen_twice", freed=freed)
     twice, hot = np.zeros((chunks, CHUNK_BITS // 8), np.uint8), [NONE]
     for row in filled.toLocalIterator():  # bits / 8 bytes at most, and one of ``most`` hashes
         twice[row.chunk] = np.frombuffer(row.twice, np.uint8)

@@ -324,7 +324,7 @@ class IndexFamily:
             rows = rows.union(level.withColumn("role", F.lit(SCANNED)))
         n = min(self.shards, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         dealt = rows.repartition(max(1, n), "shard").sortWithinPartitions("shard")
-        out = stored(dealt.mapInArrow(_scanned(not last, self.shards), ROWS), "suffix_level")
+        out = stored(dealt.mapInArrow(_scanned(not last, self.shards), ROWS), "suffix_level", freed=True)
         if not last:
             self.levels = [*stay, (size, out.filter(F.col("blob").isNotNull()))]
         return out.filter(F.col("blob").isNull()).select("doc", "rk", "spans")
@@ -362,7 +362,7 @@ def marks(texts: DataFrame, batches: int = BATCHES) -> DataFrame:
     size, cuts = texts.agg(F.sum(F.length("text")), F.percentile_approx("doc", shares, 1000)).first()
     size, cuts = size or 0, sorted(set(cuts or ())) if batches > 1 else []
     found = repeats.seen_twice(texts.select("text"), _anchor_hashes,
-                               repeats.filter_bits(int(size * SAMPLED), FILTER_BITS_EACH, MAX_FILTER_BITS), HOT)
+                               repeats.filter_bits(int(size * SAMPLED), FILTER_BITS_EACH, MAX_FILTER_BITS), HOT, freed=True)
     family = IndexFamily(spark, found, max(1, size // SHARD))
     out = None
     for low, high in zip([None, *cuts], [*cuts, None]):

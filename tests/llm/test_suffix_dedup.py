@@ -125,7 +125,7 @@ def _shuffle_files(spark):
 
 def test_what_is_stored_leaves_no_shuffle_files(spark):
     before, setting = _shuffle_files(spark), spark.conf.get(FREED)
-    out = stored(spark.range(1000).repartition(3, "id"), "freed")
+    out = stored(spark.range(1000).repartition(3, "id"), "freed", freed=True)
     for _ in range(50):
         if not (left := _shuffle_files(spark) - before):
             break
