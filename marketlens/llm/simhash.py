@@ -76,18 +76,27 @@ def _fingerprints(size: int):
     return run
 
 
-def _probes(fp: Column, base: Column, turn: int) -> Column:
-    """(key, exact) of all segment balls of ``fp``; ``base`` separates the parts of a split value."""
-    at = fp if turn == 0 else F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, 64 - turn))
+def _balls(radii: bool) -> Column:
+    """Constant (s, first, mask, flip) of all segments: their own values, and if ``radii`` the balls around them."""
     out = []
     for s, (first, bits, radius) in enumerate(SEGMENTS):
-        value = F.shiftrightunsigned(at, first).bitwiseAND(F.lit((1 << bits) - 1))
-        flips = [0] + [1 << b for b in range(bits)] * (radius > 0)
-        out += [F.struct(F.xxhash64(base, F.lit(s), value.bitwiseXOR(F.lit(f).cast("long"))).alias("key"),
-                         F.lit(f == 0).alias("exact")) for f in flips]
+        flips = [0] + [1 << b for b in range(bits)] * (radii and radius > 0)
+        out += [F.struct(F.lit(s).alias("s"), F.lit(first).alias("first"), F.lit((1 << bits) - 1).cast("long").alias("mask"),
+                         F.lit(f).cast("long").alias("flip")) for f in flips]
     return F.array(*out)
 
 
+def _probes(rows: DataFrame, base: Column, turn: int, radii: bool = True) -> DataFrame:
+    """(key, fp, exact) of ``rows`` (fp, exact) for all segment balls; ``base`` separates the parts of a split value."""
+    fp = F.col("fp")
+    at = fp if turn == 0 else F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, 64 - turn))
+    value = F.call_function("shiftrightunsigned", at, F.col("first")).bitwiseAND(F.col("mask"))
+    # the array is constant: a row's probes are never objects of their own, which would fill the heap
+    return (rows.select("*", F.inline(_balls(radii)))
+            .select(F.xxhash64(base, "s", value.bitwiseXOR(F.col("flip"))).alias("key"), "fp",
+                    (F.col("exact") & (F.col("flip") == 0)).alias("exact")))
+
+
 def _search(fp: np.ndarray, exact: np.ndarray, most: int) -> list[tuple[int, int]]:
     """A spanning forest of the links within one large group."""
     links, todo = [], np.arange(len(fp))
@@ -160,24 +169,28 @@ def links(fps: DataFrame, most: int = MAX_BITS, hot: int = HOT) -> DataFrame:
     """(a, b): links that connect all of ``fps`` (fp long, distinct) that differ in at most ``most`` bits."""
     if sum(r + 1 for _, _, r in SEGMENTS) <= most:
         raise ValueError(f"the segments find links of at most {sum(r + 1 for _, _, r in SEGMENTS) - 1} bits")
-    probes = fps.select("fp", F.inline(_probes(F.col("fp"), F.lit(0), 0)))
-    crowded = stored(probes.filter("exact").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    own = fps.select("fp", F.lit(True).alias("exact"))
+    crowded = stored(_probes(own, F.lit(0), 0, radii=False).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
                      .filter(F.col("n") > hot).select("key"), "hot_segments")
+    probes = _probes(own, F.lit(0), 0)
     if not crowded.isEmpty():
-        split = (probes.join(crowded, "key", "left_semi")
-                 .select("fp", "exact", F.explode(_probes(F.col("fp"), F.col("key"), 11)).alias("p"))
-                 .select("p.key", "fp", (F.col("exact") & F.col("p.exact")).alias("exact")))
         # within a split value an inexact row looks up exact ones only, as before
-        probes = probes.join(crowded, "key", "left_anti").select("key", "fp", "exact").union(split)
-    rows = probes.select("key", "fp", "exact").repartition("key").sortWithinPartitions("key")
+        split = _probes(probes.join(crowded, "key", "left_semi"), F.col("key"), 11)
+        probes = probes.join(crowded, "key", "left_anti").union(split)
+    rows = probes.repartition("key").sortWithinPartitions("key")
     return rows.mapInArrow(_linked(most), "a long, b long")
 
 
+def _few_files(df: DataFrame, by: str) -> DataFrame:
+    """``df`` in as few parts as its size asks for: on a local file system an executor starts chmod for each file it writes."""
+    return df.hint("rebalance", by)
+
+
 def _with_component(by_fp: DataFrame, most: int) -> DataFrame:
     """(fp, first) of distinct fingerprints, with the component of each."""
     fps = stored(by_fp, "distinct_fingerprints")
     # written first: two Python steps in one stage take two workers a core, which outlive the stage with all they load
-    member = components(stored(links(fps.select("fp"), most), "links"))
+    member = components(stored(_few_files(links(fps.select("fp"), most), "b"), "links"))
     return (fps.join(member, F.col("fp") == F.col("node"), "left")
             .select("fp", "first", F.coalesce("component", "fp").alias("component")))
 
@@ -185,7 +198,7 @@ def _with_component(by_fp: DataFrame, most: int) -> DataFrame:
 def grouped(docs: DataFrame, size: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    marked = stored(d.mapInArrow(_fingerprints(size), "doc_id long, fp long"), "fingerprints")
+    marked = stored(_few_files(d.mapInArrow(_fingerprints(size), "doc_id long, fp long"), "doc_id"), "fingerprints")
     first = _with_component(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), most)
     least = first.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = first.join(least, "component").select("fp", "component_id")
@@ -217,8 +230,9 @@ def keep(docs: DataFrame, null_ids_stay: bool = True) -> DataFrame:
     keyed = _with_row_key(docs, name)
     chosen_from = keyed.filter(F.col("doc_id").isNotNull()) if null_ids_stay else keyed
     key_type = keyed.schema[name].dataType.simpleString()
-    marked = stored(chosen_from.select(F.col(name).alias("key"), text_or_empty().alias("text"))
-                    .mapInArrow(_keyed_fingerprints, f"key {key_type}, fp long"), "fingerprints")
+    marked = chosen_from.select(F.col(name).alias("key"), text_or_empty().alias("text")).mapInArrow(
+        _keyed_fingerprints, f"key {key_type}, fp long")
+    marked = stored(_few_files(marked, "key"), "fingerprints")
     rows = marked.groupBy("fp", "key").agg(F.count(F.lit(1)).alias("n"))
     first = _with_component(rows.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("first")), MAX_BITS)
     least = stored(first.groupBy("component").agg(F.min("first").alias("first"))

@@ -3,6 +3,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from marketlens.llm import simhash
 from marketlens.llm.components import components
@@ -108,3 +109,24 @@ def test_links_and_components_are_no_two_python_steps_of_one_stage(spark, monkey
     df = spark.createDataFrame([(1, text), (2, text), (3, "something else altogether")], "doc_id long, text string")
     assert {(r.doc_id, r.component_id) for r in simhash.grouped(df).collect()} == {(1, 1), (2, 1), (3, 3)}
     assert len(seen) == 1 and "MapInArrow" not in seen[0]
+
+
+def test_steps_of_short_rows_are_written_in_few_files_and_only_own_values_are_counted(spark, monkeypatch):
+    seen, real = {}, simhash.stored
+
+    def stored(df, name, *args, **kwargs):
+        seen[name] = df._jdf.queryExecution().optimizedPlan().toString(), real(df, name, *args, **kwargs)
+        return seen[name][1]
+
+    monkeypatch.setattr(simhash, "stored", stored)
+    rows = [(i, f"text number {i // 2} has words of its own {i // 2 * 7919}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for run in (simhash.grouped, simhash.keep):
+        seen.clear()
+        run(docs).collect()
+        assert len(seen["fingerprints"][1].inputFiles()) == 1
+        assert seen["links"][0].startswith("RebalancePartitions")
+    fps = spark.createDataFrame([(5, True)], "fp long, exact boolean")
+    assert simhash._probes(fps, F.lit(0), 0, radii=False).count() == 3
+    probes = simhash._probes(fps, F.lit(0), 0)
+    assert probes.count() == 45 and probes.filter("exact").count() == 3
